@@ -1 +1,208 @@
-"""Registered queries."""
+"""Registered queries: features, z-scores, K-Means family, behaviour, rule labels."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from logsmith.operators import anomaly as A
+from logsmith.operators import graph as G
+from logsmith.operators.parsing import describe_columns
+from logsmith.plans.oracle import with_logs
+from logsmith.plans.parse_queries import LOG_SELECT, _describe_sql
+from logsmith.plans.registry import logs_table, register
+
+FEATURES_CTE = """feat AS (
+  SELECT ip, count(*) AS request_count, count(DISTINCT url) AS unique_urls,
+         count(DISTINCT date) AS active_days, CAST(sum(bytes) AS BIGINT) AS total_bytes,
+         avg(bytes) AS avg_bytes, CAST(sum(is_error) AS BIGINT) AS error_count,
+         count(DISTINCT hour) AS active_hours,
+         CAST(sum(is_error) AS DOUBLE) / count(*) AS error_rate,
+         CAST(count(*) AS DOUBLE) / nullif(count(DISTINCT date), 0) AS requests_per_day,
+         CAST(sum(bytes) AS DOUBLE) / count(*) AS bytes_per_request,
+         CAST(count(DISTINCT url) AS DOUBLE) / count(*) AS urls_per_request
+  FROM logs GROUP BY ip)"""
+
+ZSCORE_CTES = FEATURES_CTE + """,
+stats AS (
+  SELECT avg(request_count) AS m_r, stddev_samp(request_count) AS s_r,
+         avg(error_rate) AS m_e, stddev_samp(error_rate) AS s_e,
+         avg(bytes_per_request) AS m_b, stddev_samp(bytes_per_request) AS s_b FROM feat),
+zs AS (
+  SELECT feat.*, (request_count - m_r) / nullif(s_r, 0) AS z_score_requests,
+         (error_rate - m_e) / nullif(s_e, 0) AS z_score_error_rate,
+         (bytes_per_request - m_b) / nullif(s_b, 0) AS z_score_bytes
+  FROM feat CROSS JOIN stats),
+flagged AS (
+  SELECT *, CASE WHEN abs(z_score_requests) > 3.0 OR abs(z_score_error_rate) > 3.0
+                      OR abs(z_score_bytes) > 3.0 THEN 1 ELSE 0 END AS is_anomaly,
+         greatest(abs(z_score_requests), abs(z_score_error_rate), abs(z_score_bytes)) AS max_z_score
+  FROM zs)"""
+
+FEATURE_DOUBLES = ["avg_bytes", "error_rate", "requests_per_day", "bytes_per_request", "urls_per_request"]
+
+
+def _r(cols):
+    return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
+
+
+FEATURE_SELECT = ("ip, request_count, unique_urls, active_days, total_bytes, error_count, active_hours, "
+                  + _r(FEATURE_DOUBLES))
+
+
+def features_of(spark, sf_dir):
+    return A.client_features(logs_table(spark, sf_dir))
+
+
+def zscores_of(spark, sf_dir):
+    return A.zscore_anomalies(features_of(spark, sf_dir))
+
+
+@register("client_features", "M1", with_logs(f"SELECT {FEATURE_SELECT} FROM feat", FEATURES_CTE))
+def client_features(spark, sf_dir):
+    return features_of(spark, sf_dir)
+
+
+@register("describe_features", "P9", with_logs(_describe_sql("feat", A.FEATURE_COLUMNS), FEATURES_CTE))
+def describe_features(spark, sf_dir):
+    return describe_columns(features_of(spark, sf_dir), A.FEATURE_COLUMNS)
+
+
+@register("zscore_anomalies", "M9", with_logs(
+    f"SELECT {FEATURE_SELECT}, "
+    + _r(["z_score_requests", "z_score_error_rate", "z_score_bytes", "max_z_score"])
+    + ", is_anomaly FROM flagged", ZSCORE_CTES))
+def zscore_anomalies(spark, sf_dir):
+    return zscores_of(spark, sf_dir)
+
+
+@register("suspicious_ips_stat", "M10", with_logs("""
+SELECT ip, request_count, unique_urls, error_count, round(error_rate, 6) AS error_rate, total_bytes,
+       round(max_z_score, 6) AS anomaly_score
+FROM flagged WHERE is_anomaly = 1 ORDER BY max_z_score DESC, ip ASC LIMIT 50""", ZSCORE_CTES))
+def suspicious_ips_stat(spark, sf_dir):
+    return A.suspicious_ips(zscores_of(spark, sf_dir), score_col="max_z_score")
+
+
+def _anomalous(spark, sf_dir):
+    logs = logs_table(spark, sf_dir)
+    return A.anomalous_requests(logs, A.zscore_anomalies(A.client_features(logs)))
+
+
+FLAGGED_LOGS_CTE = ZSCORE_CTES + """,
+flagged_logs AS (SELECT * FROM logs WHERE ip IN (SELECT ip FROM flagged WHERE is_anomaly = 1))"""
+
+
+@register("anomalous_requests", "M11", with_logs(f"SELECT {LOG_SELECT} FROM flagged_logs", FLAGGED_LOGS_CTE))
+def anomalous_requests(spark, sf_dir):
+    return _anomalous(spark, sf_dir)
+
+
+@register("anomalous_top_urls", "M11", with_logs(
+    "SELECT url, count(*) AS count FROM flagged_logs GROUP BY url ORDER BY count DESC, url ASC LIMIT 10",
+    FLAGGED_LOGS_CTE))
+def anomalous_top_urls(spark, sf_dir):
+    return A.anomalous_top_urls(_anomalous(spark, sf_dir))
+
+
+@register("anomalous_by_hour", "M11", with_logs(
+    "SELECT hour, count(*) AS count FROM flagged_logs GROUP BY hour", FLAGGED_LOGS_CTE))
+def anomalous_by_hour(spark, sf_dir):
+    return A.anomalous_by_hour(_anomalous(spark, sf_dir))
+
+
+@register("anomalous_error_codes", "M11", with_logs(
+    "SELECT status, count(*) AS count FROM flagged_logs WHERE is_error = 1 GROUP BY status",
+    FLAGGED_LOGS_CTE))
+def anomalous_error_codes(spark, sf_dir):
+    return A.anomalous_error_codes(_anomalous(spark, sf_dir))
+
+
+# ----------------------------------------------------------------------------- K-Means
+
+def _fitted(spark, sf_dir, k: int = 5):
+    feats = A.kmeans_input(features_of(spark, sf_dir)).cache()
+    model = A.fit_kmeans(feats, k=k)
+    return model, model.transform(feats)
+
+
+_SCALED_CTES = FEATURES_CTE + ",\nkin AS (SELECT * REPLACE (coalesce(requests_per_day, 0.0) AS requests_per_day) FROM feat),\n" + \
+    "kstats AS (SELECT " + ", ".join(
+        f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in A.KMEANS_FEATURES) + " FROM kin)"
+
+
+@register("scaled_features", "M2 M3", with_logs(
+    "SELECT ip, " + ", ".join(
+        f"round(CASE WHEN s_{c} IS NULL OR s_{c} = 0 THEN 0.0 ELSE ({c} - m_{c}) / s_{c} END, 6) AS scaled_{c}"
+        for c in A.KMEANS_FEATURES) + " FROM kin CROSS JOIN kstats", _SCALED_CTES))
+def scaled_features(spark, sf_dir):
+    """Assembler + scaler stages of the fitted pipeline, the vector unpacked into columns."""
+    model, pred = _fitted(spark, sf_dir)
+    arr = vector_to_array(F.col("features"))
+    return pred.select("ip", *[arr[i].alias(f"scaled_{c}") for i, c in enumerate(A.KMEANS_FEATURES)])
+
+
+@register("kmeans_clusters", "M4")
+def kmeans_clusters(spark, sf_dir):
+    model, pred = _fitted(spark, sf_dir)
+    return pred.select("ip", "cluster")
+
+
+@register("cluster_sizes", "M6")
+def cluster_sizes(spark, sf_dir):
+    model, pred = _fitted(spark, sf_dir)
+    return A.cluster_sizes(pred)
+
+
+@register("kmeans_quality", "M5 M13")
+def kmeans_quality(spark, sf_dir):
+    model, pred = _fitted(spark, sf_dir)
+    return A.kmeans_quality(pred, model)
+
+
+@register("kmeans_anomalies", "M7 M8")
+def kmeans_anomalies(spark, sf_dir):
+    model, pred = _fitted(spark, sf_dir)
+    return A.kmeans_output(A.kmeans_anomalies(pred))
+
+
+@register("suspicious_ips", "M10")
+def suspicious_ips(spark, sf_dir):
+    model, pred = _fitted(spark, sf_dir)
+    return A.suspicious_ips(A.kmeans_anomalies(pred))
+
+
+@register("centroid_distance", "M12")
+def centroid_distance(spark, sf_dir):
+    model, pred = _fitted(spark, sf_dir)
+    return A.centroid_distance(pred, model).select("ip", "cluster", "centroid_distance")
+
+
+# ----------------------------------------------------------------------------- rules
+
+EDGES_CTE = """edges AS (
+  SELECT ip AS src, url AS dst, count(*) AS weight, CAST(sum(bytes) AS BIGINT) AS total_bytes,
+         CAST(sum(is_error) AS BIGINT) AS error_count
+  FROM logs GROUP BY ip, url)"""
+
+RULES_SQL = """
+SELECT f.ip, f.request_count, round(f.requests_per_day, 6) AS requests_per_day, f.unique_urls,
+       round(f.error_rate, 6) AS error_rate, coalesce(a.attack_edges, 0) AS attack_edges,
+       CAST(coalesce(f.requests_per_day > 10000, false) OR f.unique_urls > 500 AS INTEGER) AS is_scraper,
+       CAST(coalesce(f.error_rate > 0.5, false) AS INTEGER) AS is_attacker,
+       CAST(f.unique_urls > 500 AS INTEGER) AS is_bot,
+       CAST(coalesce(a.attack_edges, 0) > 0 AS INTEGER) AS has_attack_edge,
+       coalesce(nullif(concat_ws(',',
+           CASE WHEN coalesce(f.requests_per_day > 10000, false) OR f.unique_urls > 500 THEN 'scraper' END,
+           CASE WHEN coalesce(f.error_rate > 0.5, false) THEN 'attacker' END,
+           CASE WHEN f.unique_urls > 500 THEN 'bot' END,
+           CASE WHEN coalesce(a.attack_edges, 0) > 0 THEN 'attack_edge' END), ''), 'normal') AS labels
+FROM feat f LEFT JOIN attack a ON f.ip = a.ip"""
+
+
+@register("rule_labels", "M14", with_logs(RULES_SQL, FEATURES_CTE + ",\n" + EDGES_CTE + """,
+attack AS (SELECT src AS ip, count(*) AS attack_edges FROM edges
+           WHERE CAST(error_count AS DOUBLE) / weight > 0.5 GROUP BY src)"""))
+def rule_labels(spark, sf_dir):
+    logs = logs_table(spark, sf_dir)
+    return A.rule_labels(A.client_features(logs), G.graph_edges(logs))

@@ -78,7 +78,8 @@ logs AS (
 def with_logs(body: str, extra_ctes: str = "") -> str:
     """``WITH lines, fields, typed, logs[, extra] <body>``."""
     ctes = ",\n".join([LINES_CTE, FIELDS_CTE, LOGS_CTE] + ([extra_ctes] if extra_ctes else []))
-    return f"WITH {ctes}\n{body}"
+    recursive = "RECURSIVE " if "reach(" in extra_ctes else ""
+    return f"WITH {recursive}{ctes}\n{body}"
 
 
 def with_lines(body: str, extra_ctes: str = "") -> str:

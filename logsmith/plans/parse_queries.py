@@ -67,7 +67,8 @@ def _describe_sql(table: str, columns: list[str]) -> str:
     parts = [f"SELECT '{c}' AS column_name, count(\"{c}\") AS count, "
              f"round(avg(CAST(\"{c}\" AS DOUBLE)), 6) AS mean, "
              f"round(stddev_samp(CAST(\"{c}\" AS DOUBLE)), 6) AS stddev, "
-             f"CAST(min(\"{c}\") AS DOUBLE) AS min, CAST(max(\"{c}\") AS DOUBLE) AS max FROM {table}"
+             f"round(CAST(min(\"{c}\") AS DOUBLE), 6) AS min, round(CAST(max(\"{c}\") AS DOUBLE), 6) AS max "
+             f"FROM {table}"
              for c in columns]
     return "\nUNION ALL\n".join(parts)
 
