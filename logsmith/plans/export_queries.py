@@ -1 +1,82 @@
-"""Registered queries."""
+"""Registered queries: sink round trips, versioned exports, the export bundle."""
+
+from __future__ import annotations
+
+from logsmith.operators import anomaly as A
+from logsmith.operators import graph as G
+from logsmith.operators import kpis
+from logsmith.plans import graph_queries, kpi_queries  # noqa: F401 - oracle text reused below
+from logsmith.plans.anomaly_queries import EDGES_CTE
+from logsmith.plans.oracle import with_logs
+from logsmith.plans.registry import logs_table, register
+from logsmith.session import scratch_path
+from logsmith.sources import sinks
+
+ACCESS_PER_HOUR_SQL = """
+SELECT date, hour, count(*) AS access_count, count(DISTINCT ip) AS unique_ips,
+       CAST(sum(bytes) AS BIGINT) AS total_bytes, round(avg(bytes), 6) AS avg_bytes
+FROM logs GROUP BY date, hour"""
+
+
+@register("sink_parquet_roundtrip", "S3 S13", with_logs(ACCESS_PER_HOUR_SQL))
+def sink_parquet_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "kpi-parquet")
+    sinks.write_parquet(kpis.access_per_hour(logs_table(spark, sf_dir)), path)
+    return spark.read.parquet(path)
+
+
+TOP_IPS_SCHEMA = ("ip string, request_count long, unique_urls long, total_bytes long, "
+                  "error_count long, error_rate double")
+
+
+@register("sink_json_roundtrip", "S4", with_logs(
+    f"SELECT * FROM ({kpi_queries.IP_ACTIVITY_SQL}) ORDER BY request_count DESC, ip ASC LIMIT 20"))
+def sink_json_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "kpi-json")
+    sinks.write_json(kpis.top_ips(logs_table(spark, sf_dir)), path)
+    return spark.read.schema(TOP_IPS_SCHEMA).json(path)
+
+
+ERRORS_SCHEMA = "status int, url string, error_count long, affected_ips long"
+
+
+@register("sink_csv_roundtrip", "S5", with_logs("""
+SELECT status, url, count(*) AS error_count, count(DISTINCT ip) AS affected_ips
+FROM logs WHERE status >= 400 GROUP BY status, url"""))
+def sink_csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "kpi-csv") + "/errors.csv"
+    sinks.write_single_csv(kpis.errors(logs_table(spark, sf_dir)), path)
+    return sinks.read_single_csv(spark, path, ERRORS_SCHEMA)
+
+
+EDGES_SCHEMA = "src string, dst string, weight long, total_bytes long, error_count long"
+
+
+@register("graph_export_roundtrip", "S8", with_logs("SELECT * FROM edges", EDGES_CTE))
+def graph_export_roundtrip(spark, sf_dir):
+    g = G.build_graph(logs_table(spark, sf_dir))
+    _, e = sinks.export_graph(g.vertices, g.edges, scratch_path(spark, "graph"))
+    return spark.read.option("header", True).schema(EDGES_SCHEMA).csv(e)
+
+
+@register("export_versions", "S6", with_logs(
+    "SELECT 'run-0002' AS run_id, * FROM (" + ACCESS_PER_HOUR_SQL + ")"))
+def export_versions(spark, sf_dir):
+    """Two runs appended as partitions; the latest one is read back."""
+    base = scratch_path(spark, "versions")
+    table = kpis.access_per_hour(logs_table(spark, sf_dir))
+    sinks.write_version(table, base, "run-0001")
+    sinks.write_version(table, base, "run-0002")
+    return sinks.latest_version(spark, base)
+
+
+@register("export_bundle", "S7")
+def export_bundle(spark, sf_dir):
+    logs = logs_table(spark, sf_dir)
+    tables = kpis.all_kpis(logs)
+    edges = G.graph_edges(logs)
+    tables["suspicious_ips"] = A.suspicious_ips(A.zscore_anomalies(A.client_features(logs)),
+                                                score_col="max_z_score")
+    tables["ip_connectivity"] = G.ip_connectivity(edges)
+    tables["url_popularity"] = G.url_popularity(edges)
+    return sinks.export_bundle(spark, tables, scratch_path(spark, "bundle"))

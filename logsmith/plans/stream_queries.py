@@ -1 +1,111 @@
-"""Registered queries."""
+"""Registered queries: the streaming path.
+
+Each query writes the fixture lines as text files into a fresh folder under
+the shared checkpoint directory, streams that folder with ``availableNow``
+(every file is processed, then the query stops), and returns what the sink
+holds.  All files are taken in one micro-batch, so no row can arrive behind
+the watermark; ordering, late rows and restarts are covered by the tests.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from logsmith.plans.oracle import with_logs
+from logsmith.plans.registry import register
+from logsmith.session import scratch_path
+from logsmith.sources.fixtures import event_log_lines
+from logsmith.sources.text import write_log_text
+from logsmith.streaming import stream as S
+
+
+def _feed(spark, sf_dir) -> str:
+    src = scratch_path(spark, "stream-src")
+    write_log_text(event_log_lines(spark, sf_dir), src)
+    return src
+
+
+def _run_parquet(spark, df, name: str):
+    out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+    q = S.write_to_parquet(df, out, ckpt, f"{name}_{uuid.uuid4().hex[:8]}", available_now=True)
+    S.run_to_completion(q)
+    return q, out
+
+
+STREAM_COLUMNS = ["ip", "timestamp", "method", "url", "protocol", "status", "bytes", "hour", "is_error"]
+
+
+@register("stream_parse", "S2 P6 T2 S9", with_logs(
+    'SELECT ip, "timestamp", method, url, protocol, status, bytes, hour, is_error FROM logs'))
+def stream_parse(spark, sf_dir):
+    parsed = S.parsed_log_stream(spark, _feed(spark, sf_dir), max_files_per_trigger=None)
+    _, out = _run_parquet(spark, parsed.select(*STREAM_COLUMNS), "stream_parse")
+    return spark.read.parquet(out)
+
+
+WINDOW_SQL = """
+SELECT window_start, window_start + INTERVAL '1 minute' AS window_end, count(*) AS request_count,
+       CAST(sum(bytes) AS BIGINT) AS total_bytes, CAST(sum(is_error) AS BIGINT) AS error_count
+FROM (SELECT time_bucket(INTERVAL '10 seconds', "timestamp") - k * INTERVAL '10 seconds' AS window_start,
+             bytes, is_error
+      FROM logs CROSS JOIN range(6) AS t(k) WHERE "timestamp" IS NOT NULL)
+GROUP BY window_start
+HAVING window_start + INTERVAL '1 minute' <= (SELECT max("timestamp") FROM logs) - INTERVAL '10 minutes'"""
+
+
+@register("stream_window_metrics", "T1 T3 S9", with_logs(WINDOW_SQL))
+def stream_window_metrics(spark, sf_dir):
+    parsed = S.parsed_log_stream(spark, _feed(spark, sf_dir), max_files_per_trigger=None)
+    _, out = _run_parquet(spark, S.window_metrics(parsed), "stream_window_metrics")
+    return spark.read.parquet(out).select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        "request_count", "total_bytes", "error_count")
+
+
+@register("stream_memory_table", "S10 T9", with_logs("""
+SELECT minute, count(*) AS request_count, CAST(sum(is_error) AS BIGINT) AS error_count
+FROM logs WHERE "timestamp" IS NOT NULL
+GROUP BY minute
+HAVING max(date_trunc('minute', "timestamp")) + INTERVAL '1 minute'
+       <= (SELECT max("timestamp") FROM logs) - INTERVAL '10 minutes'"""))
+def stream_memory_table(spark, sf_dir):
+    """Per-minute live series in the memory sink, then SQL over the in-memory table."""
+    parsed = S.parsed_log_stream(spark, _feed(spark, sf_dir), max_files_per_trigger=None)
+    name = f"live_minutes_{uuid.uuid4().hex[:8]}"
+    S.run_to_completion(S.write_to_memory(S.minute_counts(parsed), name, available_now=True,
+                                          checkpoint_dir=scratch_path(spark, "memory-ckpt")))
+    return spark.sql(f"SELECT minute, request_count, error_count FROM {name}")
+
+
+@register("stream_latest_errors", "T9", with_logs("""
+SELECT ip, "timestamp", url, status FROM logs WHERE is_error = 1
+ORDER BY "timestamp" DESC, ip ASC, url ASC, status ASC LIMIT 20"""))
+def stream_latest_errors(spark, sf_dir):
+    """Dashboard panel "latest errors" over the live table the Parquet sink keeps."""
+    parsed = S.parsed_log_stream(spark, _feed(spark, sf_dir), max_files_per_trigger=None)
+    _, out = _run_parquet(spark, parsed.select(*STREAM_COLUMNS), "live_logs")
+    live = spark.read.parquet(out)
+    return (live.filter(F.col("is_error") == 1).select("ip", "timestamp", "url", "status")
+            .orderBy(F.desc("timestamp"), "ip", "url", "status").limit(20))
+
+
+@register("stream_requests_per_second", "T9", with_logs("""
+SELECT date_trunc('second', "timestamp") AS second, count(*) AS request_count
+FROM logs WHERE "timestamp" IS NOT NULL GROUP BY 1"""))
+def stream_requests_per_second(spark, sf_dir):
+    """Dashboard panel "requests per second" over the live table."""
+    parsed = S.parsed_log_stream(spark, _feed(spark, sf_dir), max_files_per_trigger=None)
+    _, out = _run_parquet(spark, parsed.select(*STREAM_COLUMNS), "live_logs")
+    return (spark.read.parquet(out).filter(F.col("timestamp").isNotNull())
+            .groupBy(F.date_trunc("second", F.col("timestamp")).alias("second"))
+            .agg(F.count(F.lit(1)).alias("request_count")))
+
+
+@register("stream_progress", "T4 T5 T7", shape=True)
+def stream_progress(spark, sf_dir):
+    """One file per micro-batch (the reference's rate limit); the progress reports as a table."""
+    parsed = S.parsed_log_stream(spark, _feed(spark, sf_dir), max_files_per_trigger=1)
+    q, _ = _run_parquet(spark, parsed.select(*STREAM_COLUMNS), "stream_progress")
+    return S.progress_table(spark, q)
