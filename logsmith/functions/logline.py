@@ -40,14 +40,19 @@ _ONE_PASS_REPLACEMENT = _SEP.join(f"${i}" for i in range(1, 10)) + _SEP
 
 
 def split_fields(value: Column) -> Column:
-    """``array<string>`` of the nine groups, or an empty array when the line does not match.
-
-    A matched line yields ten parts (the tenth is the ignored tail); an
-    unmatched one keeps no separator and yields one.
-    """
+    """The split line: ten parts (nine groups and the ignored tail) when the line
+    matches; an unmatched line keeps no separator and yields a single part."""
     escaped = F.replace(value, F.lit(_ESC), F.lit(_ESCAPED))
-    parts = F.split(F.regexp_replace(escaped, LOG_PATTERN, _ONE_PASS_REPLACEMENT), _SEP, 10)
-    return F.when(F.size(parts) == 10, F.slice(parts, 1, 9)).otherwise(F.array().cast("array<string>"))
+    return F.split(F.regexp_replace(escaped, LOG_PATTERN, _ONE_PASS_REPLACEMENT), _SEP, 10)
+
+
+def is_match(parts: Column) -> Column:
+    return F.size(parts) == 10
+
+
+def matched_parts(value: Column) -> Column:
+    """``[parts]`` for a matching line, ``[]`` otherwise (exploded to keep matched lines)."""
+    return F.filter(F.array(split_fields(value)), is_match)
 
 
 def unescape(field: Column) -> Column:

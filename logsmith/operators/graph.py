@@ -147,6 +147,16 @@ def _keyed_vertices(vertices: DataFrame) -> DataFrame:
     return vertices.select("id", "type", vertex_key(F.col("type"), F.col("id")).alias("v"))
 
 
+def _materialised(g: AccessGraph) -> tuple[DataFrame, DataFrame]:
+    """Adjacency and keyed vertices written once to the checkpoint directory.
+
+    Every round joins against them; without this each round would re-derive
+    the graph from the raw logs.  Reliable checkpoints survive executor loss.
+    """
+    ensure_checkpoint_dir(g.edges.sparkSession)
+    return _adjacency(g.edges).checkpoint(eager=True), _keyed_vertices(g.vertices).checkpoint(eager=True)
+
+
 def _cut_lineage(df: DataFrame, step: int, every: int) -> DataFrame:
     if every and step % every == 0:
         ensure_checkpoint_dir(df.sparkSession)
@@ -162,8 +172,7 @@ def label_propagation(g: AccessGraph, max_iter: int = 5, checkpoint_every: int =
     directions), the smallest label on ties; a vertex without neighbours keeps
     its label.  Returns ``(id, type, label)``.
     """
-    adj = _adjacency(g.edges)
-    kv = _keyed_vertices(g.vertices)
+    adj, kv = _materialised(g)
     labels = kv.select("v", F.col("v").alias("label"))
     for step in range(1, max_iter + 1):
         nbr = labels.select(F.col("v").alias("n"), F.col("label").alias("nlabel"))
@@ -208,8 +217,7 @@ def connected_components(g: AccessGraph, max_rounds: int = 100, checkpoint_every
     label (or ``max_rounds``; a warning column is not needed because the loop
     raises if it has not converged).
     """
-    adj = _adjacency(g.edges)
-    kv = _keyed_vertices(g.vertices)
+    adj, kv = _materialised(g)
     comp = kv.select("v", F.col("v").alias("c"))
     for step in range(1, max_rounds + 1):
         nbr_min = (adj.join(comp.select(F.col("v").alias("n"), F.col("c").alias("nc")), on="n")
