@@ -38,24 +38,30 @@ def _row(df: DataFrame, name: str, kind: str, label_key: str, label_value, value
 def metrics_snapshot(logs: DataFrame, anomalies: DataFrame | None = None) -> DataFrame:
     """X1-X4, X6, X7 as rows.
 
-    Status counts, error counts and bytes come from one small aggregate over
-    (status_category, status, is_error), so the logs are scanned once for them;
-    distinct ips and the latest minute are their own aggregates.
+    Three aggregates feed all metrics: one over (status_category, status,
+    is_error) for the request, error and byte counters; one per minute for the
+    requests-per-minute gauge; and the per-client table (the anomaly scores'
+    input, one row per ip) for the distinct-client gauge and the anomaly count.
+    Each branch below reuses one of these, so Spark reuses their shuffles.
     """
     base = (logs.groupBy("status_category", "status", "is_error")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")))
+    if anomalies is not None:
+        clients = anomalies.agg(F.count(F.lit(1)).alias("clients"),
+                                F.coalesce(F.sum("is_anomaly"), F.lit(0)).alias("flagged"))
+    else:
+        clients = logs.agg(F.countDistinct("ip").alias("clients"))
     parts = [
         _row(base.groupBy("status_category").agg(F.sum("n").alias("v")),
              REQUESTS_TOTAL, "counter", "status_category", F.col("status_category"), F.col("v")),
-        _row(logs.agg(F.countDistinct("ip").alias("v")), UNIQUE_IPS, "gauge", "", None, F.col("v")),
+        _row(clients, UNIQUE_IPS, "gauge", "", None, F.col("clients")),
         _row(base.filter(F.col("is_error") == 1).groupBy("status").agg(F.sum("n").alias("v")),
              ERRORS_TOTAL, "counter", "status_code", F.col("status"), F.col("v")),
         _row(base.agg(F.coalesce(F.sum("b"), F.lit(0)).alias("v")), BYTES_TOTAL, "counter", "", None, F.col("v")),
         _row(latest_minute_requests(logs), REQUESTS_PER_MINUTE, "gauge", "", None, F.col("v")),
     ]
     if anomalies is not None:
-        parts.append(_row(anomalies.agg(F.coalesce(F.sum("is_anomaly"), F.lit(0)).alias("v")),
-                          ANOMALOUS_IPS, "gauge", "", None, F.col("v")))
+        parts.append(_row(clients, ANOMALOUS_IPS, "gauge", "", None, F.col("flagged")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -9,6 +9,7 @@ from logsmith.plans.oracle import with_fields, with_lines, with_logs
 from logsmith.plans.registry import logs_table, register
 from logsmith.session import scratch_path
 from logsmith.sources.fixtures import event_log_lines
+from logsmith.sources.logstore import read_logs_table, write_logs_table
 from logsmith.sources.text import read_log_text, write_log_text
 
 LOG_SELECT = ('ip, "timestamp", method, url, protocol, status, bytes, hour, day_of_week, date, '
@@ -88,3 +89,15 @@ FILTER_START, FILTER_END, FILTER_STATUS = "2024-01-08 00:00:00", "2024-01-15 00:
 def filter_logs(spark, sf_dir):
     return parsing.filter_logs(logs_table(spark, sf_dir), start=FILTER_START, end=FILTER_END,
                                status=FILTER_STATUS)
+
+
+@register("stored_logs_filter", "P13 S3 (date-partitioned logs table)", with_logs(
+    f"SELECT {LOG_SELECT} FROM logs WHERE \"timestamp\" >= TIMESTAMP '{FILTER_START}' "
+    f"AND \"timestamp\" < TIMESTAMP '{FILTER_END}' AND status = {FILTER_STATUS}"))
+def stored_logs_filter(spark, sf_dir):
+    """The dashboard filter over the persisted table: days outside the range are
+    pruned as directories, the status test is pushed into the Parquet scan."""
+    path = scratch_path(spark, "logs-table")
+    write_logs_table(logs_table(spark, sf_dir), path)
+    return parsing.filter_logs(read_logs_table(spark, path), start=FILTER_START, end=FILTER_END,
+                               status=FILTER_STATUS)

@@ -57,19 +57,25 @@ def event_line(event_id: Column, ts: Column, user_id: Column, event_type: Column
     return F.when(event_id % 101 == 0, F.concat(F.lit("junk "), event_id.cast("string"))).otherwise(line)
 
 
-def spread(df: DataFrame) -> DataFrame:
+_SCAN_PARTITIONS: dict[str, int] = {}
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
     """Round-robin a scan that has fewer partitions than the cluster has cores.
 
     The driver's tables are single Parquet files with one row group, which scan
     as one task; the per-line work after them (building and parsing lines) is
     CPU-bound, so it is spread first.  A scan of many files is left as it is.
+    The scan's partition count is planned once per path and remembered.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    if key not in _SCAN_PARTITIONS:
+        _SCAN_PARTITIONS[key] = df.rdd.getNumPartitions()
+    return df.repartition(target) if _SCAN_PARTITIONS[key] < target else df
 
 
 def event_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ``value: string`` row per event, like ``spark.read.text`` gives."""
-    ev = spread(read_table(spark, sf_dir, "events"))
+    ev = spread(read_table(spark, sf_dir, "events"), f"{sf_dir.rstrip('/')}/events.parquet")
     return ev.select(event_line(F.col("event_id"), F.col("ts"), F.col("user_id"), F.col("event_type"),
                                 F.col("value"), F.col("props")).alias("value"))
