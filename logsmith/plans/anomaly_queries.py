@@ -121,7 +121,9 @@ def anomalous_error_codes(spark, sf_dir):
 # ----------------------------------------------------------------------------- K-Means
 
 def _fitted(spark, sf_dir, k: int = 5):
-    feats = A.kmeans_input(features_of(spark, sf_dir)).cache()
+    # one row per client, written once as a reliable checkpoint: the K-Means
+    # iterations re-read it, and a lost executor does not send them back to the raw logs
+    feats = A.kmeans_input(features_of(spark, sf_dir)).checkpoint(eager=True)
     model = A.fit_kmeans(feats, k=k)
     return model, model.transform(feats)
 

@@ -105,3 +105,13 @@ def test_memory_sink_and_stop_all(spark, tmpdir_fresh):
     rows = spark.sql(f"SELECT sum(request_count) AS n FROM {name}").first().n
     assert rows is not None and rows > 0
     assert S.stop_all_queries(spark) == 0
+
+
+def test_console_sink(spark, tmpdir_fresh, capfd):
+    src = os.path.join(tmpdir_fresh, "src")
+    os.makedirs(src)
+    feed(src, [[line(4, 1, m) for m in range(3)]])
+    parsed = S.parsed_log_stream(spark, src).select("ip", "timestamp", "method", "url", "status", "bytes")
+    q = S.write_to_console(parsed, os.path.join(tmpdir_fresh, "ckpt"), "console_out", available_now=True)
+    S.run_to_completion(q, 300)
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 3
