@@ -13,7 +13,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -35,10 +34,8 @@ def main() -> None:
     from logsmith.plans.registry import registry
     from logsmith.session import build_session
 
-    scratch = tempfile.mkdtemp(prefix="logsmith-bench-")
     spark = build_session(f"local[{cpus}]", app_name="logsmith-bench", shuffle_partitions=cpus,
-                          extra={"spark.checkpoint.dir": f"{scratch}/ckpt",
-                                 "spark.driver.memory": "16g",
+                          extra={"spark.driver.memory": "16g",
                                  "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m"})
     spark.sparkContext.setLogLevel("ERROR")
     reg = registry()

@@ -113,13 +113,14 @@ def anomalous_error_codes(requests: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------------------- K-Means
 
 def kmeans_input(features: DataFrame) -> DataFrame:
-    """Feature rows in a fixed layout: hash-partitioned by ip, sorted inside each partition.
+    """Feature rows in a fixed layout: hash-partitioned by ip over the cluster's
+    cores, sorted inside each partition.
 
     K-Means|| seeding samples per partition, so a fixed layout makes the fit
     repeatable.  NULL ratios (a client whose every timestamp failed to parse)
     enter the vector as 0.0; VectorAssembler would otherwise fail or drop the row.
     """
-    n = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = features.sparkSession.sparkContext.defaultParallelism
     filled = features.fillna(0.0, subset=["requests_per_day"])
     return filled.repartition(n, "ip").sortWithinPartitions("ip")
 

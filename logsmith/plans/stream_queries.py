@@ -29,7 +29,8 @@ def _feed(spark, sf_dir) -> str:
 
 def _run_parquet(spark, df, name: str):
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
-    q = S.write_to_parquet(df, out, ckpt, f"{name}_{uuid.uuid4().hex[:8]}", available_now=True)
+    q = S.write_to_parquet(df, out, ckpt, f"{name}_{uuid.uuid4().hex[:8]}", available_now=True,
+                           partitions=spark.sparkContext.defaultParallelism)
     S.run_to_completion(q)
     return q, out
 
@@ -75,7 +76,8 @@ def stream_memory_table(spark, sf_dir):
     parsed = S.parsed_log_stream(spark, _feed(spark, sf_dir), max_files_per_trigger=None)
     name = f"live_minutes_{uuid.uuid4().hex[:8]}"
     S.run_to_completion(S.write_to_memory(S.minute_counts(parsed), name, available_now=True,
-                                          checkpoint_dir=scratch_path(spark, "memory-ckpt")))
+                                          checkpoint_dir=scratch_path(spark, "memory-ckpt"),
+                                          partitions=spark.sparkContext.defaultParallelism))
     return spark.sql(f"SELECT minute, request_count, error_count FROM {name}")
 
 

@@ -9,6 +9,8 @@ adds no duplicates.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -53,6 +55,31 @@ def minute_counts(parsed: DataFrame, watermark: str = WATERMARK) -> DataFrame:
                     "request_count", "error_count"))
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None):
+    """Number of state-store partitions for a stateful query started inside.
+
+    A streaming aggregation keeps ``spark.sql.shuffle.partitions`` state
+    partitions, fixed in its checkpoint at the first start; size it to the state
+    (window keys), not to the batch job defaults.  The setting is restored after.
+    """
+    if n is None:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(int(n)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def _start(writer, spark: SparkSession, partitions: int | None) -> StreamingQuery:
+    with state_partitions(spark, partitions):
+        return writer.start()
+
+
 def _trigger(writer, processing_time: str | None, available_now: bool):
     if available_now:
         return writer.trigger(availableNow=True)
@@ -62,17 +89,19 @@ def _trigger(writer, processing_time: str | None, available_now: bool):
 
 
 def write_to_parquet(df: DataFrame, output_path: str, checkpoint_dir: str, query_name: str,
-                     processing_time: str | None = TRIGGER, available_now: bool = False) -> StreamingQuery:
+                     processing_time: str | None = TRIGGER, available_now: bool = False,
+                     partitions: int | None = None) -> StreamingQuery:
     """Append-mode Parquet sink; checkpoint at ``<checkpoint_dir>/<query_name>``."""
     writer = (df.writeStream.outputMode("append").format("parquet")
               .option("path", output_path)
               .option("checkpointLocation", f"{checkpoint_dir.rstrip('/')}/{query_name}")
               .queryName(query_name))
-    return _trigger(writer, processing_time, available_now).start()
+    return _start(_trigger(writer, processing_time, available_now), df.sparkSession, partitions)
 
 
 def write_to_memory(df: DataFrame, query_name: str, processing_time: str | None = TRIGGER,
-                    available_now: bool = False, checkpoint_dir: str | None = None) -> StreamingQuery:
+                    available_now: bool = False, checkpoint_dir: str | None = None,
+                    partitions: int | None = None) -> StreamingQuery:
     """In-memory table ``query_name`` for interactive SQL.
 
     The memory sink keeps its rows in the driver, so it is meant for bounded
@@ -82,7 +111,7 @@ def write_to_memory(df: DataFrame, query_name: str, processing_time: str | None
     writer = df.writeStream.outputMode("append").format("memory").queryName(query_name)
     if checkpoint_dir:
         writer = writer.option("checkpointLocation", f"{checkpoint_dir.rstrip('/')}/{query_name}")
-    return _trigger(writer, processing_time, available_now).start()
+    return _start(_trigger(writer, processing_time, available_now), df.sparkSession, partitions)
 
 
 def write_to_console(df: DataFrame, checkpoint_dir: str, query_name: str,

@@ -13,9 +13,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from logsmith.session import build_session
-    ckpt = tempfile.mkdtemp(prefix="logsmith-test-ckpt-")
-    s = build_session("local[4]", app_name="logsmith-tests", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": ckpt})
+    # spark.checkpoint.dir comes from the environment's defaults when set; the
+    # library only creates a temporary one when it is unset
+    s = build_session("local[4]", app_name="logsmith-tests", shuffle_partitions=8)
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
