@@ -126,11 +126,17 @@ def kmeans_input(features: DataFrame) -> DataFrame:
 
 
 def fit_kmeans(features: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 20) -> PipelineModel:
-    """M2-M4: VectorAssembler -> StandardScaler(withMean, withStd) -> KMeans."""
+    """M2-M4: VectorAssembler -> StandardScaler(withMean, withStd) -> KMeans.
+
+    The row solver is used: the block solver fails when the data holds fewer
+    distinct points than ``k`` (a small site, or one dominant client), and on a
+    one-row-per-client table of 9 features the block solver gains nothing.
+    """
     pipeline = Pipeline(stages=[
         VectorAssembler(inputCols=KMEANS_FEATURES, outputCol="features_raw"),
         StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
-        KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="cluster"),
+        KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="cluster",
+               solver="row"),
     ])
     return pipeline.fit(features)
 
@@ -176,10 +182,13 @@ def kmeans_quality(predictions: DataFrame, model: PipelineModel) -> DataFrame:
     """M5 + M13: training cost (inertia) and silhouette, one row."""
     km = model.stages[-1]
     cost = float(km.summary.trainingCost) if km.hasSummary else None
-    silhouette = ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
-                                     metricName="silhouette").evaluate(predictions)
+    # silhouette is undefined for a single cluster (at most k rows are counted here)
+    silhouette = None
+    if cluster_sizes(predictions).count() > 1:
+        silhouette = float(ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
+                                               metricName="silhouette").evaluate(predictions))
     return predictions.sparkSession.createDataFrame(
-        [(int(km.getK()), cost, float(silhouette))], "k int, training_cost double, silhouette double")
+        [(int(km.getK()), cost, silhouette)], "k int, training_cost double, silhouette double")
 
 
 def kmeans_output(scored: DataFrame) -> DataFrame:

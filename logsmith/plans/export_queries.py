@@ -80,3 +80,12 @@ def export_bundle(spark, sf_dir):
     tables["ip_connectivity"] = G.ip_connectivity(edges)
     tables["url_popularity"] = G.url_popularity(edges)
     return sinks.export_bundle(spark, tables, scratch_path(spark, "bundle"))
+
+
+@register("batch_report", "A9 S7 (batch run mode)")
+def batch_report(spark, sf_dir):
+    """The whole batch mode: parse once to the date-partitioned table, every
+    report table from it, exports; returns one status row per export write."""
+    from logsmith.report import run_batch_report
+    from logsmith.sources.fixtures import event_log_lines
+    return run_batch_report(spark, event_log_lines(spark, sf_dir), scratch_path(spark, "batch-report"))

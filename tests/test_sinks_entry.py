@@ -58,3 +58,20 @@ def test_every_oracle_text_runs_in_duckdb():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     for name, sql in E.oracle_sql().items():
         con.execute(sql).fetchall()
+
+
+def test_cli_batch_and_stream(spark, tmpdir_fresh):
+    from logsmith.__main__ import parse_args, run
+    from logsmith.sources.text import write_log_text
+    data = os.path.join(tmpdir_fresh, "raw")
+    write_log_text(event_log_lines(spark, SF_SMALL).coalesce(2), data)
+    out = os.path.join(tmpdir_fresh, "out")
+    run(spark, parse_args(["--mode", "all", "--data", data, "--output", out, "--stream-seconds", "0",
+                           "--export-metrics"]))
+    assert os.path.isdir(os.path.join(out, "logs"))
+    assert any(n.startswith("date=") for n in os.listdir(os.path.join(out, "logs")))
+    assert os.path.isfile(os.path.join(out, "metrics", "csv", "access_per_hour.csv"))
+    assert spark.read.parquet(os.path.join(out, "stream", "live_logs")).count() == \
+        spark.read.parquet(os.path.join(out, "logs")).count()
+    text = spark.read.text(os.path.join(out, "metrics_text")).collect()
+    assert any(r.value.startswith("log_requests_total{status_category=") for r in text)
