@@ -23,6 +23,8 @@ HEADLINE = [
     "kmeans_anomalies", "graph_edges", "ip_connectivity", "url_popularity", "high_error_edges",
     "communities", "connected_components", "metrics_snapshot", "response_size_histogram",
     "alert_error_rate", "stream_window_metrics",
+    # the whole batch mode: parse once, every report table, all exports
+    "batch_report",
 ]
 
 

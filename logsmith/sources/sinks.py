@@ -1,7 +1,7 @@
 """Batch sinks and exports.
 
 * Parquet / JSON lines / CSV writers, overwrite by default.
-* A single-file CSV export (``coalesce(1)``) only behind a row-count check;
+* A single-file CSV export (``coalesce(1)``) only behind a size check (stored bytes or rows);
   past the limit the table is written as a normal multi-part CSV directory.
   The part file is renamed through the Hadoop FileSystem API, so the export
   works on HDFS / object stores as well as on local disk.
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SINGLE_FILE_MAX_ROWS = 1_000_000
+SINGLE_FILE_MAX_BYTES = 256 * 1024 * 1024
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
@@ -49,15 +50,25 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def write_single_csv(df: DataFrame, out_file: str, max_rows: int = SINGLE_FILE_MAX_ROWS) -> str:
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` according to the file system (no Spark job)."""
+    p, fs = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
+def write_single_csv(df: DataFrame, out_file: str, max_rows: int = SINGLE_FILE_MAX_ROWS,
+                     source_bytes: int | None = None, max_bytes: int = SINGLE_FILE_MAX_BYTES) -> str:
     """One CSV file with a header at ``out_file`` (a result-sized table).
 
-    The table is counted first; above ``max_rows`` it is written as a
-    multi-part directory at ``out_file`` instead of being funnelled through
-    one task.  Returns ``"file"`` or ``"directory"``.
+    The size is checked first: ``source_bytes`` (the stored size of the table
+    being copied, when known) against ``max_bytes``, otherwise a row count
+    against ``max_rows``.  A table past the limit is written as a multi-part
+    directory at ``out_file`` instead of being funnelled through one task.
+    Returns ``"file"`` or ``"directory"``.
     """
     spark = df.sparkSession
-    if df.count() > max_rows:
+    too_big = source_bytes > max_bytes if source_bytes is not None else df.count() > max_rows
+    if too_big:
         write_csv(df, out_file)
         return "directory"
     tmp = out_file.rstrip("/") + "._tmp"
@@ -129,7 +140,7 @@ def export_bundle(spark: SparkSession, tables: dict[str, DataFrame], out_dir: st
                 if fmt == "json":
                     write_json(saved, path)
                 elif fmt == "csv":
-                    write_single_csv(saved, path)
+                    write_single_csv(saved, path, source_bytes=stored_bytes(spark, pq))
                 else:
                     raise ValueError(f"unknown format {fmt}")
                 results.append(ExportResult(name, fmt, True, "", path))
