@@ -147,6 +147,17 @@ def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     return spark.createDataFrame(rows, PROGRESS_SCHEMA)
 
 
+def monitor_query(spark: SparkSession, query: StreamingQuery, duration_seconds: float = 60.0,
+                  interval_seconds: float = 10.0) -> DataFrame:
+    """Watch a running query for ``duration_seconds`` (or until it stops),
+    then return its progress reports as a table (see ``progress_table``)."""
+    import time
+    deadline = time.monotonic() + duration_seconds
+    while query.isActive and time.monotonic() < deadline:
+        query.awaitTermination(min(interval_seconds, max(0.0, deadline - time.monotonic())))
+    return progress_table(spark, query)
+
+
 def stop_all_queries(spark: SparkSession) -> int:
     """Stop every active query of the session; returns how many were stopped."""
     active = list(spark.streams.active)

@@ -106,3 +106,17 @@ def test_community_samples_top_k(spark):
     samples = G.community_samples(comm, top_communities=2, per_community=3).collect()
     assert len({r.label for r in samples}) == 2
     assert all(1 <= r.member_rank <= 3 for r in samples)
+
+
+def test_component_constant_across_edges(spark):
+    from pyspark.sql import functions as F
+    from logsmith.operators.parsing import parse_logs
+    from logsmith.sources.fixtures import event_log_lines
+    logs = parse_logs(event_log_lines(spark, "/root/testdata/sf0.001"))
+    g = G.build_graph(logs)
+    comp = G.connected_components(g)
+    ip_c = comp.filter("type = 'ip'").select(F.col("id").alias("src"), F.col("component").alias("cs"))
+    url_c = comp.filter("type = 'url'").select(F.col("id").alias("dst"), F.col("component").alias("cd"))
+    joined = g.edges.join(ip_c, "src").join(url_c, "dst")
+    assert joined.count() == g.edges.count()
+    assert joined.filter(F.col("cs") != F.col("cd")).count() == 0

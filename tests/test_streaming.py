@@ -115,3 +115,14 @@ def test_console_sink(spark, tmpdir_fresh, capfd):
     q = S.write_to_console(parsed, os.path.join(tmpdir_fresh, "ckpt"), "console_out", available_now=True)
     S.run_to_completion(q, 300)
     assert sum(p["numInputRows"] for p in q.recentProgress) == 3
+
+
+def test_monitor_query_returns_progress(spark, tmpdir_fresh):
+    src = os.path.join(tmpdir_fresh, "src")
+    os.makedirs(src)
+    feed(src, [[line(5, 1, m) for m in range(5)], [line(5, 2, m) for m in range(5)]])
+    parsed = S.parsed_log_stream(spark, src).drop("processing_time")
+    q = S.write_to_parquet(parsed, os.path.join(tmpdir_fresh, "out"), os.path.join(tmpdir_fresh, "ckpt"),
+                           "monitored", available_now=True)
+    table = S.monitor_query(spark, q, duration_seconds=120, interval_seconds=1)
+    assert sum(r.num_input_rows for r in table.collect()) == 10
