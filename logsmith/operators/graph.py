@@ -10,6 +10,9 @@ Scale notes:
 
 * Degrees and per-vertex sums are one ``groupBy`` on the edge table, which is
   itself a partial aggregation of the logs by (ip, url).
+* The iterative jobs first number the vertices in key order (one sort) and
+  rewrite the adjacency over those 64-bit ids, so every round shuffles pairs
+  of longs, not URL strings; keys come back with one join at the end.
 * Each label-propagation step is: neighbour labels by a join of the
   undirected adjacency with the label table, a ``groupBy(vertex, label)``
   count, and a ``min(struct(-count, label))`` per vertex.  Both aggregations
@@ -135,26 +138,32 @@ def vertex_key(type_col: Column, id_col: Column) -> Column:
     return F.concat(type_col, F.lit(":"), id_col)
 
 
-def _adjacency(edges: DataFrame) -> DataFrame:
-    """Undirected adjacency ``(v, n)`` over vertex keys, each edge in both directions."""
-    e = edges.select(vertex_key(F.lit("ip"), F.col("src")).alias("a"),
-                     vertex_key(F.lit("url"), F.col("dst")).alias("b"))
-    return (e.select(F.col("a").alias("v"), F.col("b").alias("n"))
-            .unionByName(e.select(F.col("b").alias("v"), F.col("a").alias("n"))))
-
-
 def _keyed_vertices(vertices: DataFrame) -> DataFrame:
-    return vertices.select("id", "type", vertex_key(F.col("type"), F.col("id")).alias("v"))
+    return vertices.select("id", "type", vertex_key(F.col("type"), F.col("id")).alias("key"))
 
 
-def _materialised(g: AccessGraph) -> tuple[DataFrame, DataFrame]:
-    """Adjacency and keyed vertices written once to the checkpoint directory.
+def _indexed(g: AccessGraph) -> tuple[DataFrame, DataFrame]:
+    """Vertices numbered in key order, and the undirected adjacency over the numbers.
 
-    Every round joins against them; without this each round would re-derive
-    the graph from the raw logs.  Reliable checkpoints survive executor loss.
+    A global sort by key followed by ``monotonically_increasing_id`` gives ids
+    that increase with the key, so "smallest label" and "smallest member" mean
+    the same with ids as with keys.  Rounds then shuffle pairs of longs instead
+    of URL strings.  Both tables are written once as reliable checkpoints (the
+    ids must not be recomputed, and every round reads them).
     """
     ensure_checkpoint_dir(g.edges.sparkSession)
-    return _adjacency(g.edges).checkpoint(eager=True), _keyed_vertices(g.vertices).checkpoint(eager=True)
+    kv = (_keyed_vertices(g.vertices).orderBy("key")
+          .withColumn("vid", F.monotonically_increasing_id())
+          .checkpoint(eager=True))
+    ids = kv.select("key", "vid")
+    e = (g.edges.select(vertex_key(F.lit("ip"), F.col("src")).alias("a"),
+                        vertex_key(F.lit("url"), F.col("dst")).alias("b"))
+         .join(ids.select(F.col("key").alias("a"), F.col("vid").alias("va")), on="a")
+         .join(ids.select(F.col("key").alias("b"), F.col("vid").alias("vb")), on="b"))
+    adj = (e.select(F.col("va").alias("v"), F.col("vb").alias("n"))
+           .unionByName(e.select(F.col("vb").alias("v"), F.col("va").alias("n")))
+           .checkpoint(eager=True))
+    return kv, adj
 
 
 def _cut_lineage(df: DataFrame, step: int, every: int) -> DataFrame:
@@ -164,6 +173,15 @@ def _cut_lineage(df: DataFrame, step: int, every: int) -> DataFrame:
     return df
 
 
+def _with_keys(kv: DataFrame, labels: DataFrame, out_col: str) -> DataFrame:
+    """``(id, type, <out_col>)`` with the label id turned back into its vertex key."""
+    keys = kv.select(F.col("vid").alias("lid"), F.col("key").alias(out_col))
+    return (kv.select("id", "type", "vid")
+            .join(labels.select(F.col("v").alias("vid"), F.col("l").alias("lid")), on="vid")
+            .join(keys, on="lid")
+            .select("id", "type", out_col))
+
+
 def label_propagation(g: AccessGraph, max_iter: int = 5, checkpoint_every: int = 2) -> DataFrame:
     """Synchronous label propagation, ``max_iter`` steps.
 
@@ -172,18 +190,18 @@ def label_propagation(g: AccessGraph, max_iter: int = 5, checkpoint_every: int =
     directions), the smallest label on ties; a vertex without neighbours keeps
     its label.  Returns ``(id, type, label)``.
     """
-    adj, kv = _materialised(g)
-    labels = kv.select("v", F.col("v").alias("label"))
+    kv, adj = _indexed(g)
+    labels = kv.select(F.col("vid").alias("v"), F.col("vid").alias("l"))
     for step in range(1, max_iter + 1):
-        nbr = labels.select(F.col("v").alias("n"), F.col("label").alias("nlabel"))
-        votes = adj.join(nbr, on="n").groupBy("v", "nlabel").agg(F.count(F.lit(1)).alias("cnt"))
+        nbr = labels.select(F.col("v").alias("n"), F.col("l").alias("nl"))
+        votes = adj.join(nbr, on="n").groupBy("v", "nl").agg(F.count(F.lit(1)).alias("cnt"))
         best = (votes.groupBy("v")
-                .agg(F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("nlabel").alias("l"))).alias("b"))
-                .select("v", F.col("b.l").alias("new_label")))
+                .agg(F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("nl").alias("l"))).alias("b"))
+                .select("v", F.col("b.l").alias("new_l")))
         labels = (labels.join(best, on="v", how="left")
-                  .select("v", F.coalesce("new_label", "label").alias("label")))
+                  .select("v", F.coalesce("new_l", "l").alias("l")))
         labels = _cut_lineage(labels, step, checkpoint_every)
-    return kv.join(labels, on="v").select("id", "type", "label")
+    return _with_keys(kv, labels, "label")
 
 
 def community_sizes(communities: DataFrame) -> DataFrame:
@@ -213,18 +231,17 @@ def community_samples(communities: DataFrame, top_communities: int = 5, per_comm
 def connected_components(g: AccessGraph, max_rounds: int = 100, checkpoint_every: int = 1) -> DataFrame:
     """Undirected components; the component id is the smallest member key.
 
-    Minimum-label propagation plus pointer jumping, until a round changes no
-    label (or ``max_rounds``; a warning column is not needed because the loop
-    raises if it has not converged).
+    Minimum-label propagation plus pointer jumping (each vertex also takes the
+    label of its label), until a round changes no label; raises if that takes
+    more than ``max_rounds``.
     """
-    adj, kv = _materialised(g)
-    comp = kv.select("v", F.col("v").alias("c"))
+    kv, adj = _indexed(g)
+    comp = kv.select(F.col("vid").alias("v"), F.col("vid").alias("c"))
     for step in range(1, max_rounds + 1):
         nbr_min = (adj.join(comp.select(F.col("v").alias("n"), F.col("c").alias("nc")), on="n")
                    .groupBy("v").agg(F.min("nc").alias("nc")))
         stepped = (comp.join(nbr_min, on="v", how="left")
                    .select("v", F.least("c", F.coalesce("nc", "c")).alias("c")))
-        # pointer jumping: also take the label of the current label
         jumped = (stepped.join(stepped.select(F.col("v").alias("c"), F.col("c").alias("cc")), on="c", how="left")
                   .select("v", F.least("c", F.coalesce("cc", "c")).alias("c")))
         jumped = _cut_lineage(jumped, step, checkpoint_every)
@@ -232,7 +249,7 @@ def connected_components(g: AccessGraph, max_rounds: int = 100, checkpoint_every
                    .filter(F.col("c") != F.col("old")).limit(1).count())
         comp = jumped
         if changed == 0:
-            return kv.join(comp, on="v").select("id", "type", F.col("c").alias("component"))
+            return _with_keys(kv, comp.select("v", F.col("c").alias("l")), "component")
     raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
 
 
