@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logsmith.functions.logline import minute_of
+from logsmith.operators.common import one_row_broadcast
 
 # Metric names and the response-size histogram bounds with
 # their exposition labels (bounds are inclusive upper limits).
@@ -69,11 +69,14 @@ def metrics_snapshot(logs: DataFrame, anomalies: DataFrame | None = None) -> Dat
 
 
 def latest_minute_requests(logs: DataFrame) -> DataFrame:
-    """Requests in the most recent minute that has traffic (one row ``v``)."""
-    per_minute = (logs.filter(F.col("timestamp").isNotNull())
-                  .groupBy(minute_of(F.col("timestamp")).alias("minute"))
-                  .agg(F.count(F.lit(1)).alias("n")))
-    return per_minute.agg(F.max_by("n", "minute").alias("v"))
+    """Requests in the latest full minute, the minute before the one holding
+    the newest timestamp (that one may still be filling); one row ``v``, 0 when
+    that minute had no traffic."""
+    stamped = logs.filter(F.col("timestamp").isNotNull())
+    last = stamped.agg((F.date_trunc("minute", F.max("timestamp")) - F.expr("INTERVAL 1 MINUTE")).alias("full"))
+    return (stamped.select(F.date_trunc("minute", F.col("timestamp")).alias("m"))
+            .crossJoin(one_row_broadcast(last))
+            .agg(F.count(F.when(F.col("m") == F.col("full"), 1)).alias("v")))
 
 
 def response_size_histogram(logs: DataFrame) -> DataFrame:

@@ -18,8 +18,10 @@ snapshot AS (
   UNION ALL SELECT 'log_errors_total', 'counter', 'status_code', CAST(status AS VARCHAR), CAST(count(*) AS DOUBLE)
             FROM logs WHERE is_error = 1 GROUP BY status
   UNION ALL SELECT 'log_bytes_transferred_total', 'counter', '', '', CAST(coalesce(sum(bytes), 0) AS DOUBLE) FROM logs
-  UNION ALL SELECT 'log_requests_per_minute', 'gauge', '', '', CAST(arg_max(n, minute) AS DOUBLE)
-            FROM (SELECT minute, count(*) AS n FROM logs WHERE "timestamp" IS NOT NULL GROUP BY minute)
+  UNION ALL SELECT 'log_requests_per_minute', 'gauge', '', '',
+            CAST(count(*) FILTER (WHERE date_trunc('minute', "timestamp") =
+                 (SELECT date_trunc('minute', max("timestamp")) - INTERVAL 1 MINUTE FROM logs)) AS DOUBLE)
+            FROM logs WHERE "timestamp" IS NOT NULL
   UNION ALL SELECT 'log_anomalous_ips', 'gauge', '', '', CAST(coalesce(sum(is_anomaly), 0) AS DOUBLE) FROM flagged)"""
 
 

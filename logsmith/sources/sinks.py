@@ -115,23 +115,30 @@ BUNDLE_SCHEMA = "name string, format string, ok boolean, error string, path stri
 
 
 def export_bundle(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
-                  formats: tuple[str, ...] = ("parquet", "json", "csv")) -> DataFrame:
+                  formats: tuple[str, ...] = ("parquet", "json", "csv"),
+                  order: dict | None = None) -> DataFrame:
     """Every table to Parquet, JSON and CSV; one failure does not stop the rest.
 
     Each table is computed once: written to Parquet first, and the JSON and CSV
-    copies are written from that Parquet copy.  Returns one status row per write.
+    copies are written from that Parquet copy.  ``order`` maps a table name to
+    sort columns; the sort is applied to each copy (a multi-file read does not
+    keep row order).  Returns one status row per write.
     """
+    order = order or {}
     out_dir = out_dir.rstrip("/")
     results: list[ExportResult] = []
     for name, df in tables.items():
         pq = f"{out_dir}/parquet/{name}"
+        sort = order.get(name)
         try:
-            write_parquet(df, pq)
+            write_parquet(df.orderBy(*sort) if sort else df, pq)
             results.append(ExportResult(name, "parquet", True, "", pq))
         except Exception as e:  # noqa: BLE001 - reported as a status row
             results.append(ExportResult(name, "parquet", False, str(e)[:500], pq))
             continue
         saved = spark.read.parquet(pq)
+        if sort:
+            saved = saved.orderBy(*sort)
         for fmt in formats:
             if fmt == "parquet":
                 continue

@@ -75,3 +75,25 @@ def test_cli_batch_and_stream(spark, tmpdir_fresh):
         spark.read.parquet(os.path.join(out, "logs")).count()
     text = spark.read.text(os.path.join(out, "metrics_text")).collect()
     assert any(r.value.startswith("log_requests_total{status_category=") for r in text)
+
+
+def test_exported_csv_is_in_presentation_order(spark, tmpdir_fresh):
+    import csv
+    from logsmith.report import presented
+    logs = parse_logs(event_log_lines(spark, "/root/testdata/sf0.01"))
+    f = os.path.join(tmpdir_fresh, "hourly.csv")
+    sinks.write_single_csv(presented({"access_per_hour": kpis.access_per_hour(logs)})["access_per_hour"], f)
+    with open(f) as fh:
+        rows = [(r["date"], int(r["hour"])) for r in csv.DictReader(fh)]
+    assert rows == sorted(rows) and len(rows) == 720
+
+
+def test_bundle_csv_keeps_order(spark, tmpdir_fresh):
+    import csv
+    from logsmith.report import PRESENTATION
+    logs = parse_logs(event_log_lines(spark, "/root/testdata/sf0.01")).repartition(7)
+    sinks.export_bundle(spark, {"access_per_minute": kpis.access_per_minute(logs)}, tmpdir_fresh,
+                        order=PRESENTATION)
+    with open(os.path.join(tmpdir_fresh, "csv", "access_per_minute.csv")) as fh:
+        minutes = [r["minute"] for r in csv.DictReader(fh)]
+    assert minutes == sorted(minutes) and len(minutes) > 1000
