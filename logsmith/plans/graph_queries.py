@@ -101,7 +101,8 @@ def community_sizes(spark, sf_dir):
 
 @register("community_samples", "G8", with_logs("""
 SELECT label, size, member_rank, id, type FROM (
-  SELECT c.label, t.size, row_number() OVER (PARTITION BY c.label ORDER BY c.type, c.id) AS member_rank,
+  SELECT c.label, t.size,
+         CAST(row_number() OVER (PARTITION BY c.label ORDER BY c.type, c.id) AS INTEGER) AS member_rank,
          c.id, c.type
   FROM communities c JOIN (SELECT label, size FROM csize ORDER BY size DESC, label ASC LIMIT 5) t
        ON c.label = t.label)

@@ -35,6 +35,14 @@ def write_logs_table(logs: DataFrame, path: str, mode: str = "overwrite", cluste
     return path
 
 
+LOGS_SCHEMA = ("ip string, timestamp timestamp, method string, url string, protocol string, status int, "
+               "bytes bigint, hour int, day_of_week int, date string, is_error int, status_category string")
+
+
 def read_logs_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read the table back with the column order of ``parse_logs``."""
-    return spark.read.parquet(path).select(*[F.col(c) for c in LOG_COLUMNS])
+    """Read the table back with the column order and types of ``parse_logs``.
+
+    The schema is given, so no footer is read for inference and the ``date``
+    partition column stays a string (inference would make it a DATE).
+    """
+    return spark.read.schema(LOGS_SCHEMA).parquet(path).select(*[F.col(c) for c in LOG_COLUMNS])
