@@ -25,9 +25,6 @@ RESPONSE_SIZE = "log_response_size_bytes"
 SIZE_BUCKETS = [(100.0, "100.0"), (1000.0, "1000.0"), (10000.0, "10000.0"),
                 (100000.0, "100000.0"), (1000000.0, "1e+06"), (float("inf"), "+Inf")]
 
-METRIC_SCHEMA = ["name", "kind", "label_key", "label_value", "value"]
-
-
 def _row(df: DataFrame, name: str, kind: str, label_key: str, label_value, value) -> DataFrame:
     return df.select(F.lit(name).alias("name"), F.lit(kind).alias("kind"),
                      F.lit(label_key).alias("label_key"),

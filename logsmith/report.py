@@ -11,7 +11,6 @@ computed once (Parquet) and copied to JSON/CSV from that copy.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from logsmith.operators import anomaly as A
 from logsmith.operators import graph as G
@@ -24,35 +23,30 @@ from logsmith.streaming import stream as S
 
 
 # Presentation order of the exported tables (the reference returns its tables
-# sorted this way); a key breaks ties so files are reproducible.  Sorting is a
-# distributed range sort of result-sized tables.
+# sorted this way; ``-`` marks descending); a key breaks ties so files are
+# reproducible.  Sorting is a distributed range sort of result-sized tables.
 PRESENTATION = {
-    "access_per_hour": [F.asc("date"), F.asc("hour")],
-    "access_per_minute": [F.asc("minute")],
-    "top_urls": [F.desc("hit_count"), F.asc("url")],
-    "top_ips": [F.desc("request_count"), F.asc("ip")],
-    "http_status": [F.asc("status"), F.asc("status_category")],
-    "errors": [F.desc("error_count"), F.asc("status"), F.asc("url")],
-    "traffic_volume": [F.asc("window_start")],
-    "peaks": [F.desc("access_count"), F.asc("minute")],
-    "suspicious_ips": [F.desc("anomaly_score"), F.asc("ip")],
-    "suspicious_ips_zscore": [F.desc("anomaly_score"), F.asc("ip")],
-    "ip_connectivity": [F.desc("urls_visited"), F.asc("ip")],
-    "url_popularity": [F.desc("unique_visitors"), F.asc("url")],
-    "community_sizes": [F.desc("size"), F.asc("label")],
-    "high_error_edges": [F.desc("error_count"), F.asc("src"), F.asc("dst")],
-    "error_ips": [F.desc("total_errors"), F.asc("src")],
-    "anomalous_top_urls": [F.desc("count"), F.asc("url")],
-    "anomalous_by_hour": [F.asc("hour")],
-    "alert_error_rate": [F.asc("minute")],
+    "access_per_hour": ["date", "hour"],
+    "access_per_minute": ["minute"],
+    "top_urls": ["-hit_count", "url"],
+    "top_ips": ["-request_count", "ip"],
+    "http_status": ["status", "status_category"],
+    "errors": ["-error_count", "status", "url"],
+    "traffic_volume": ["window_start"],
+    "peaks": ["-access_count", "minute"],
+    "suspicious_ips": ["-anomaly_score", "ip"],
+    "suspicious_ips_zscore": ["-anomaly_score", "ip"],
+    "ip_connectivity": ["-urls_visited", "ip"],
+    "url_popularity": ["-unique_visitors", "url"],
+    "community_sizes": ["-size", "label"],
+    "high_error_edges": ["-error_count", "src", "dst"],
+    "error_ips": ["-total_errors", "src"],
+    "anomalous_top_urls": ["-count", "url"],
+    "anomalous_by_hour": ["hour"],
+    "alert_error_rate": ["minute"],
 }
 
 
-def presented(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: (df.orderBy(*PRESENTATION[name]) if name in PRESENTATION else df)
-            for name, df in tables.items()}
-
-
 def run_batch_report(spark: SparkSession, lines: DataFrame, output_dir: str, k: int = 5,
                      lpa_steps: int = 5) -> DataFrame:
     """Parse, KPIs, anomaly scoring, graph analysis and exports; returns the export status table."""

@@ -15,7 +15,6 @@ Every job in the library assumes three things about its session:
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -85,15 +84,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a scratch table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or path.startswith("/") or "://" not in path
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists_local(path: str) -> bool:
-    return os.path.exists(local_fs_path(path))

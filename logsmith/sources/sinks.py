@@ -102,6 +102,11 @@ def latest_version(spark: SparkSession, base: str, fmt: str = "parquet") -> Data
     return all_runs.join(F.broadcast(latest), on="run_id", how="left_semi")
 
 
+def sort_columns(spec: list[str]) -> list:
+    """``["-count", "url"]`` -> ``[desc(count), asc(url)]``."""
+    return [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in spec]
+
+
 @dataclass(frozen=True)
 class ExportResult:
     name: str
@@ -121,15 +126,15 @@ def export_bundle(spark: SparkSession, tables: dict[str, DataFrame], out_dir: st
 
     Each table is computed once: written to Parquet first, and the JSON and CSV
     copies are written from that Parquet copy.  ``order`` maps a table name to
-    sort columns; the sort is applied to each copy (a multi-file read does not
-    keep row order).  Returns one status row per write.
+    column names (``-name`` for descending); the sort is applied to each copy
+    (a multi-file read does not keep row order).  Returns one status row per write.
     """
     order = order or {}
     out_dir = out_dir.rstrip("/")
     results: list[ExportResult] = []
     for name, df in tables.items():
         pq = f"{out_dir}/parquet/{name}"
-        sort = order.get(name)
+        sort = sort_columns(order[name]) if name in order else None
         try:
             write_parquet(df.orderBy(*sort) if sort else df, pq)
             results.append(ExportResult(name, "parquet", True, "", pq))

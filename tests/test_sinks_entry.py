@@ -79,10 +79,11 @@ def test_cli_batch_and_stream(spark, tmpdir_fresh):
 
 def test_exported_csv_is_in_presentation_order(spark, tmpdir_fresh):
     import csv
-    from logsmith.report import presented
+    from logsmith.report import PRESENTATION
     logs = parse_logs(event_log_lines(spark, "/root/testdata/sf0.01"))
     f = os.path.join(tmpdir_fresh, "hourly.csv")
-    sinks.write_single_csv(presented({"access_per_hour": kpis.access_per_hour(logs)})["access_per_hour"], f)
+    hourly = kpis.access_per_hour(logs).orderBy(*sinks.sort_columns(PRESENTATION["access_per_hour"]))
+    sinks.write_single_csv(hourly, f)
     with open(f) as fh:
         rows = [(r["date"], int(r["hour"])) for r in csv.DictReader(fh)]
     assert rows == sorted(rows) and len(rows) == 720
@@ -97,3 +98,12 @@ def test_bundle_csv_keeps_order(spark, tmpdir_fresh):
     with open(os.path.join(tmpdir_fresh, "csv", "access_per_minute.csv")) as fh:
         minutes = [r["minute"] for r in csv.DictReader(fh)]
     assert minutes == sorted(minutes) and len(minutes) > 1000
+
+
+def test_modules_import_without_a_session():
+    import subprocess
+    import sys
+    code = ("import sys; sys.path.insert(0, %r); import logsmith.report, logsmith.__main__; "
+            "import __spark_entry__ as E; assert len(E.queries()) == len(set(E.queries()))" % os.path.dirname(
+                os.path.dirname(os.path.abspath(__file__))))
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=300)
