@@ -113,3 +113,34 @@ def test_profile_and_filter(spark):
     assert prof["status"].null_count == logs.filter(F.col("status").isNull()).count()
     f = parsing.filter_logs(logs, start="2024-01-05 00:00:00", end="2024-01-06 00:00:00", status=200)
     assert f.filter((F.col("status") != 200) | (F.col("date") != "2024-01-05")).count() == 0
+
+
+_host = st.one_of(
+    st.tuples(*[st.integers(0, 255)] * 4).map(lambda t: ".".join(map(str, t))),
+    st.from_regex(r"[a-z][a-z0-9\-]{0,10}\.(com|org|net)", fullmatch=True))
+_path = st.from_regex(r"/[A-Za-z0-9_./~%\-]{0,20}", fullmatch=True)
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(
+    _host,
+    st.datetimes(min_value=dt.datetime(1990, 1, 1), max_value=dt.datetime(2030, 12, 31)),
+    st.integers(-12, 14),
+    st.sampled_from(["GET", "POST", "HEAD", "PUT"]),
+    _path,
+    st.sampled_from(["HTTP/1.0", "HTTP/1.1", ""]),
+    st.one_of(st.none(), st.integers(100, 599)),
+    st.one_of(st.none(), st.integers(0, 10**12))), min_size=1, max_size=15))
+def test_format_then_parse_round_trip(spark, rows):
+    lines, expected = [], []
+    for host, when, off_h, method, path, proto, status, size in rows:
+        when = when.replace(microsecond=0)
+        zone = f"{'+' if off_h >= 0 else '-'}{abs(off_h):02d}00"
+        request = f"{method} {path}" + (f" {proto}" if proto else "")
+        lines.append(f'{host} - - [{when.strftime("%d/%b/%Y:%H:%M:%S")} {zone}] "{request}" '
+                     f'{"-" if status is None else status} {"-" if size is None else size}')
+        utc = when - dt.timedelta(hours=off_h)
+        expected.append((host, utc, method, path, proto, status, 0 if size is None else size))
+    got = [(r.ip, r.timestamp.replace(tzinfo=None), r.method, r.url, r.protocol, r.status, r.bytes)
+           for r in parsing.parse_logs(lines_df(spark, lines)).collect()]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
