@@ -65,8 +65,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, setting one only if unset.
 
     Order: the directory already set on the context, then the
-    ``spark.checkpoint.dir`` setting, and only then a fresh local temporary
-    folder (tests and single-machine runs).
+    ``spark.checkpoint.dir`` setting, and only then -- in local mode (tests,
+    one machine) -- a fresh temporary folder.  On a cluster a machine-local
+    folder would not be visible to the executors, so an unset directory is an
+    error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -75,6 +77,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) for this cluster")
         configured = tempfile.mkdtemp(prefix="logsmith-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

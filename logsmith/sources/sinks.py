@@ -9,7 +9,8 @@
   moving the previous files to an archive folder; the latest version is
   ``max(run_id)``, read with partition pruning.
 * A bundle export materialises each table once (Parquet), then writes JSON
-  and CSV from that copy, and reports each write's outcome as a row.
+  and CSV from that copy (sorted for presentation), and reports each write's
+  outcome as a row.
 """
 
 from __future__ import annotations
@@ -121,28 +122,35 @@ BUNDLE_SCHEMA = "name string, format string, ok boolean, error string, path stri
 
 def export_bundle(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
                   formats: tuple[str, ...] = ("parquet", "json", "csv"),
-                  order: dict | None = None) -> DataFrame:
+                  order: dict | None = None, max_bytes: int = SINGLE_FILE_MAX_BYTES) -> DataFrame:
     """Every table to Parquet, JSON and CSV; one failure does not stop the rest.
 
     Each table is computed once: written to Parquet first, and the JSON and CSV
     copies are written from that Parquet copy.  ``order`` maps a table name to
-    column names (``-name`` for descending); the sort is applied to each copy
-    (a multi-file read does not keep row order).  Returns one status row per write.
+    column names (``-name`` for descending) for the copies.  A copy whose stored
+    Parquet size is within ``max_bytes`` is one file sorted in one task (no
+    shuffle, no sampling job); a larger one is range-sorted across the cluster
+    and written as a directory.  Returns one status row per write.
     """
     order = order or {}
     out_dir = out_dir.rstrip("/")
     results: list[ExportResult] = []
     for name, df in tables.items():
         pq = f"{out_dir}/parquet/{name}"
-        sort = sort_columns(order[name]) if name in order else None
         try:
-            write_parquet(df.orderBy(*sort) if sort else df, pq)
+            write_parquet(df, pq)
             results.append(ExportResult(name, "parquet", True, "", pq))
         except Exception as e:  # noqa: BLE001 - reported as a status row
             results.append(ExportResult(name, "parquet", False, str(e)[:500], pq))
             continue
         saved = spark.read.parquet(pq)
-        if sort:
+        small = stored_bytes(spark, pq) <= max_bytes
+        sort = sort_columns(order[name]) if name in order else None
+        if small:
+            saved = saved.coalesce(1)
+            if sort:
+                saved = saved.sortWithinPartitions(*sort)
+        elif sort:
             saved = saved.orderBy(*sort)
         for fmt in formats:
             if fmt == "parquet":
@@ -152,7 +160,10 @@ def export_bundle(spark: SparkSession, tables: dict[str, DataFrame], out_dir: st
                 if fmt == "json":
                     write_json(saved, path)
                 elif fmt == "csv":
-                    write_single_csv(saved, path, source_bytes=stored_bytes(spark, pq))
+                    if small:
+                        write_single_csv(saved, path, source_bytes=0)
+                    else:
+                        write_csv(saved, path)
                 else:
                     raise ValueError(f"unknown format {fmt}")
                 results.append(ExportResult(name, fmt, True, "", path))
