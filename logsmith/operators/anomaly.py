@@ -13,8 +13,8 @@ Scale notes:
   table, broadcast on a size bounded by k.  Nothing is collected to the driver
   except the fitted K-Means model (k centres) and its scalar summaries.
 * Flagged clients are applied to the logs with a left-semi join (no driver
-  list); AQE turns it into a broadcast join at runtime when the flagged set
-  measures small, and splits a hot client's partition otherwise.
+  list): broadcast below a counted bound, salted above it, so a hot client
+  is never joined in a single task.
 """
 
 from __future__ import annotations
@@ -90,10 +90,25 @@ def suspicious_ips(anomalies: DataFrame, score_col: str = "anomaly_score", top_n
             .limit(top_n))
 
 
-def anomalous_requests(logs: DataFrame, anomalies: DataFrame) -> DataFrame:
-    """The log rows of flagged clients (left-semi join, no driver-side ip list)."""
-    flagged = anomalies.filter(F.col("is_anomaly") == 1).select("ip")
-    return logs.join(flagged, on="ip", how="left_semi")
+def anomalous_requests(logs: DataFrame, anomalies: DataFrame, max_broadcast_rows: int = 1_000_000,
+                       salt_buckets: int = 64) -> DataFrame:
+    """The log rows of flagged clients (left-semi join, no driver-side ip list).
+
+    The flagged set is written once (reliable checkpoint) and counted.  Up to
+    ``max_broadcast_rows`` clients it is broadcast (a proven bound).  Past it,
+    the join is salted: each log row gets a salt from a hash of its contents,
+    each flagged client is repeated for every salt, and the join runs on
+    (ip, salt), so a client holding a third of all rows is spread over
+    ``salt_buckets`` tasks instead of one.
+    """
+    flagged = anomalies.filter(F.col("is_anomaly") == 1).select("ip").checkpoint(eager=True)
+    if flagged.count() <= max_broadcast_rows:
+        return logs.join(F.broadcast(flagged), on="ip", how="left_semi")
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in logs.columns]), F.lit(salt_buckets))
+    salted_flags = flagged.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    return (logs.withColumn("_salt", salt)
+            .join(salted_flags, on=["ip", "_salt"], how="left_semi")
+            .drop("_salt"))
 
 
 def anomalous_top_urls(requests: DataFrame, top_n: int = 10) -> DataFrame:

@@ -182,13 +182,17 @@ def _with_keys(kv: DataFrame, labels: DataFrame, out_col: str) -> DataFrame:
             .select("id", "type", out_col))
 
 
-def label_propagation(g: AccessGraph, max_iter: int = 5, checkpoint_every: int = 2) -> DataFrame:
+def label_propagation(g: AccessGraph, max_iter: int = 5, checkpoint_every: int = 1) -> DataFrame:
     """Synchronous label propagation, ``max_iter`` steps.
 
     Every vertex starts with its own key as label; at each step it takes the
     label most frequent among its neighbours (each edge counted once, both
     directions), the smallest label on ties; a vertex without neighbours keeps
     its label.  Returns ``(id, type, label)``.
+
+    The label table is checkpointed every round by default: both inputs of the
+    next round's join are then plain scans, so AQE can split the partition of a
+    hub vertex on the adjacency side.
     """
     kv, adj = _indexed(g)
     labels = kv.select(F.col("vid").alias("v"), F.col("vid").alias("l"))
