@@ -20,7 +20,9 @@ Scale notes:
   fetches) never lands whole in one task; AQE splits the skewed join side.
 * Connected components: minimum-label propagation with pointer jumping
   (each vertex also takes the label of its label), until no label changes;
-  one count per round checks convergence.  Lineage is cut with reliable
+  one count per round checks convergence.  Joins keyed by a label (the jump,
+  and turning label ids back into keys) are salted: a giant component is one
+  label shared by most vertices.  Lineage is cut with reliable
   checkpoints in the session's checkpoint directory.
 * The top-k tables (community samples, neighbours) use ``row_number() <= k``,
   which Spark plans with a partial per-partition group limit before the shuffle.
@@ -173,13 +175,31 @@ def _cut_lineage(df: DataFrame, step: int, every: int) -> DataFrame:
     return df
 
 
+LABEL_SALT = 32
+
+
+def _join_on_label(rows: DataFrame, label_col: str, per_label: DataFrame, salt_by: str,
+                   buckets: int = LABEL_SALT) -> DataFrame:
+    """Join ``rows`` to ``per_label`` (one row per label value) on ``label_col``.
+
+    Most vertices of a giant community or component share one label, so a plain
+    join would send them all to one task.  ``rows`` get a salt from their own
+    unique ``salt_by`` id, the per-label table is repeated for every salt, and
+    the join runs on (label, salt).  The repeated side has one row per distinct
+    label, not per vertex.
+    """
+    salted_rows = rows.withColumn("_salt", F.pmod(F.col(salt_by), F.lit(buckets)))
+    salted_table = per_label.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return salted_rows.join(salted_table, on=[label_col, "_salt"]).drop("_salt")
+
+
 def _with_keys(kv: DataFrame, labels: DataFrame, out_col: str) -> DataFrame:
     """``(id, type, <out_col>)`` with the label id turned back into its vertex key."""
-    keys = kv.select(F.col("vid").alias("lid"), F.col("key").alias(out_col))
-    return (kv.select("id", "type", "vid")
-            .join(labels.select(F.col("v").alias("vid"), F.col("l").alias("lid")), on="vid")
-            .join(keys, on="lid")
-            .select("id", "type", out_col))
+    labelled = kv.select("id", "type", "vid").join(
+        labels.select(F.col("v").alias("vid"), F.col("l").alias("lid")), on="vid")
+    label_keys = (labels.select(F.col("l").alias("lid")).distinct()
+                  .join(kv.select(F.col("vid").alias("lid"), F.col("key").alias(out_col)), on="lid"))
+    return _join_on_label(labelled, "lid", label_keys, salt_by="vid").select("id", "type", out_col)
 
 
 def label_propagation(g: AccessGraph, max_iter: int = 5, checkpoint_every: int = 1) -> DataFrame:
