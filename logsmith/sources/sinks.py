@@ -15,6 +15,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,8 +90,14 @@ def read_single_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
-def write_version(df: DataFrame, base: str, run_id: str, fmt: str = "parquet") -> str:
-    """Append this run as partition ``run_id=<run_id>`` of ``base``."""
+def new_run_id() -> str:
+    """Run id in the archive naming of the reference: UTC ``YYYYmmdd_HHMMSS``."""
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
+
+
+def write_version(df: DataFrame, base: str, run_id: str | None = None, fmt: str = "parquet") -> str:
+    """Append this run as partition ``run_id=<run_id>`` of ``base`` (default: now)."""
+    run_id = run_id or new_run_id()
     (df.withColumn("run_id", F.lit(run_id)).write.mode("append")
      .partitionBy("run_id").format(fmt).save(base))
     return base
