@@ -31,6 +31,7 @@ def run(spark, args: argparse.Namespace) -> None:
     from logsmith.operators import metrics
     from logsmith.operators.parsing import parse_logs
     from logsmith.report import run_batch_report, start_live_stream
+    from logsmith.sources.logstore import read_logs_table
     from logsmith.sources.text import read_log_text
     from logsmith.streaming.stream import run_to_completion, stop_all_queries
 
@@ -49,7 +50,9 @@ def run(spark, args: argparse.Namespace) -> None:
             time.sleep(args.stream_seconds)
             stop_all_queries(spark)
     if args.export_metrics:
-        logs = parse_logs(read_log_text(spark, args.data))
+        # reuse the parsed table of the batch mode; parse only when it was not run
+        logs = (read_logs_table(spark, f"{out}/logs") if args.mode in ("batch", "all")
+                else parse_logs(read_log_text(spark, args.data)))
         snap = metrics.metrics_snapshot(logs, A.zscore_anomalies(A.client_features(logs)))
         snap.write.mode("overwrite").parquet(f"{out}/metrics_table")
         metrics.metrics_text(snap, metrics.response_size_histogram(logs)).coalesce(1) \

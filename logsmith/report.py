@@ -15,10 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from logsmith.operators import anomaly as A
 from logsmith.operators import graph as G
 from logsmith.operators import kpis, metrics, panels
-from logsmith.operators.parsing import parse_logs, parse_rejects
 from logsmith.session import apply_defaults
 from logsmith.sources import sinks
-from logsmith.sources.logstore import read_logs_table, write_logs_table
+from logsmith.sources.logstore import parse_and_store, read_logs_table
 from logsmith.streaming import stream as S
 
 
@@ -52,11 +51,11 @@ def run_batch_report(spark: SparkSession, lines: DataFrame, output_dir: str, k:
     """Parse, KPIs, anomaly scoring, graph analysis and exports; returns the export status table."""
     apply_defaults(spark)
     out = output_dir.rstrip("/")
-    write_logs_table(parse_logs(lines), f"{out}/logs")
+    rejects = parse_and_store(lines, f"{out}/logs")     # the only pass over the raw text
     logs = read_logs_table(spark, f"{out}/logs")
 
     tables = kpis.all_kpis(logs)
-    tables["parse_rejects"] = parse_rejects(lines)
+    tables["parse_rejects"] = rejects
 
     features = A.client_features(logs).checkpoint(eager=True)
     zs = A.zscore_anomalies(features)

@@ -8,10 +8,10 @@ filters on ``status`` / ``ip`` / ``timestamp`` reach the Parquet reader
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from logsmith.operators.parsing import LOG_COLUMNS
+from logsmith.operators.parsing import LOG_COLUMNS, parse_logs
 
 
 def write_logs_table(logs: DataFrame, path: str, mode: str = "overwrite", cluster: bool = False,
@@ -46,3 +46,19 @@ def read_logs_table(spark: SparkSession, path: str) -> DataFrame:
     partition column stays a string (inference would make it a DATE).
     """
     return spark.read.schema(LOGS_SCHEMA).parquet(path).select(*[F.col(c) for c in LOG_COLUMNS])
+
+
+def parse_and_store(lines: DataFrame, path: str, cluster: bool = False) -> DataFrame:
+    """Parse raw lines once into the logs table and return the reject counts.
+
+    Line and accepted-row counts are observed metrics of the same job that
+    writes the table (``DataFrame.observe``), so the raw text is read exactly
+    once; the returned ``(accepted, line_count)`` table is built from those two
+    numbers.
+    """
+    seen, kept = Observation("lines"), Observation("accepted")
+    logs = parse_logs(lines.observe(seen, F.count(F.lit(1)).alias("n")))
+    write_logs_table(logs.observe(kept, F.count(F.lit(1)).alias("n")), path, cluster=cluster)
+    total, accepted = int(seen.get["n"]), int(kept.get["n"])
+    return lines.sparkSession.createDataFrame(
+        [(True, accepted), (False, total - accepted)], "accepted boolean, line_count long")

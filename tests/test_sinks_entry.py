@@ -107,3 +107,13 @@ def test_modules_import_without_a_session():
             "import __spark_entry__ as E; assert len(E.queries()) == len(set(E.queries()))" % os.path.dirname(
                 os.path.dirname(os.path.abspath(__file__))))
     subprocess.run([sys.executable, "-c", code], check=True, timeout=300)
+
+
+def test_parse_and_store_counts_rejects_in_the_same_pass(spark, tmpdir_fresh):
+    from logsmith.operators.parsing import parse_rejects
+    from logsmith.sources.logstore import parse_and_store, read_logs_table
+    lines = event_log_lines(spark, SF_SMALL)
+    path = os.path.join(tmpdir_fresh, "logs")
+    got = {r.accepted: r.line_count for r in parse_and_store(lines, path).collect()}
+    want = {r.accepted: r.line_count for r in parse_rejects(lines).collect()}
+    assert got == want and read_logs_table(spark, path).count() == want[True]
