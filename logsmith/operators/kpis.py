@@ -24,7 +24,23 @@ def access_per_hour(logs: DataFrame) -> DataFrame:
                  F.avg("bytes").alias("avg_bytes")))
 
 
-def per_minute_counts(logs: DataFrame) -> DataFrame:
+def minute_rollup(logs: DataFrame) -> DataFrame:
+    """Requests and bytes per (minute, status, status_category, is_error).
+
+    Several reports (status distribution, peak minutes, metric counters, the
+    error-rate alert) only need these counts; a batch run builds this small
+    table once (minutes x status codes rows) instead of scanning the logs for
+    each of them.  Rows with a NULL timestamp form the NULL minute.
+    """
+    return (logs.groupBy(F.date_trunc("minute", F.col("timestamp")).alias("minute_ts"),
+                         "status", "status_category", "is_error")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes_sum")))
+
+
+def per_minute_counts(logs: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
+    if rollup is not None:
+        return (rollup.groupBy(L.minute_of(F.col("minute_ts")).alias("minute"))
+                .agg(F.sum("n").alias("access_count")))
     return (logs.withColumn("minute", L.minute_of(F.col("timestamp")))
             .groupBy("minute").agg(F.count(F.lit(1)).alias("access_count")))
 
@@ -67,8 +83,10 @@ def top_ips(logs: DataFrame, top_n: int = 20) -> DataFrame:
     return ip_activity(logs).orderBy(F.desc("request_count"), F.asc("ip")).limit(top_n)
 
 
-def http_status(logs: DataFrame) -> DataFrame:
-    """By (status, status_category)."""
+def http_status(logs: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
+    """By (status, status_category); from ``minute_rollup`` when given."""
+    if rollup is not None:
+        return rollup.groupBy("status", "status_category").agg(F.sum("n").alias("count"))
     return logs.groupBy("status", "status_category").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -96,31 +114,32 @@ def traffic_volume(logs: DataFrame, window: str = "10 minutes") -> DataFrame:
                     "request_count", "total_bytes", "unique_ips", "avg_bytes"))
 
 
-def peaks(logs: DataFrame, threshold_percentile: float = 0.95, exact: bool = True) -> DataFrame:
+def peaks(logs: DataFrame, threshold_percentile: float = 0.95, exact: bool = True,
+          rollup: DataFrame | None = None) -> DataFrame:
     """Minutes whose request count is strictly above the percentile of all minutes.
 
     The threshold is a one-row aggregate over the per-minute table (one row per
     minute of the time range, not per log line) joined back by a broadcast of
     that single row; nothing goes through the driver.
     """
-    per_minute = per_minute_counts(logs)
+    per_minute = per_minute_counts(logs, rollup)
     thr = percentile_threshold(per_minute, "access_count", threshold_percentile, exact)
     return (per_minute.crossJoin(one_row_broadcast(thr))
             .filter(F.col("access_count") > F.col("threshold"))
             .drop("threshold"))
 
 
-def all_kpis(logs: DataFrame) -> dict[str, DataFrame]:
+def all_kpis(logs: DataFrame, rollup: DataFrame | None = None) -> dict[str, DataFrame]:
     """Every KPI table, lazily (nothing runs until a sink or action)."""
     return {
         "access_per_hour": access_per_hour(logs),
         "access_per_minute": access_per_minute(logs),
         "top_urls": top_urls(logs),
         "top_ips": top_ips(logs),
-        "http_status": http_status(logs),
+        "http_status": http_status(logs, rollup),
         "errors": errors(logs),
         "traffic_volume": traffic_volume(logs),
-        "peaks": peaks(logs),
+        "peaks": peaks(logs, rollup=rollup),
     }
 
 

@@ -32,7 +32,8 @@ def _row(df: DataFrame, name: str, kind: str, label_key: str, label_value, value
                      value.cast("double").alias("value"))
 
 
-def metrics_snapshot(logs: DataFrame, anomalies: DataFrame | None = None) -> DataFrame:
+def metrics_snapshot(logs: DataFrame, anomalies: DataFrame | None = None,
+                     rollup: DataFrame | None = None) -> DataFrame:
     """X1-X4, X6, X7 as rows.
 
     Three aggregates feed all metrics: one over (status_category, status,
@@ -41,8 +42,12 @@ def metrics_snapshot(logs: DataFrame, anomalies: DataFrame | None = None) -> Dat
     input, one row per ip) for the distinct-client gauge and the anomaly count.
     Each branch below reuses one of these, so Spark reuses their shuffles.
     """
-    base = (logs.groupBy("status_category", "status", "is_error")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")))
+    if rollup is not None:
+        base = (rollup.groupBy("status_category", "status", "is_error")
+                .agg(F.sum("n").alias("n"), F.sum("bytes_sum").alias("b")))
+    else:
+        base = (logs.groupBy("status_category", "status", "is_error")
+                .agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")))
     if anomalies is not None:
         clients = anomalies.agg(F.count(F.lit(1)).alias("clients"),
                                 F.coalesce(F.sum("is_anomaly"), F.lit(0)).alias("flagged"))
@@ -55,7 +60,7 @@ def metrics_snapshot(logs: DataFrame, anomalies: DataFrame | None = None) -> Dat
         _row(base.filter(F.col("is_error") == 1).groupBy("status").agg(F.sum("n").alias("v")),
              ERRORS_TOTAL, "counter", "status_code", F.col("status"), F.col("v")),
         _row(base.agg(F.coalesce(F.sum("b"), F.lit(0)).alias("v")), BYTES_TOTAL, "counter", "", None, F.col("v")),
-        _row(latest_minute_requests(logs), REQUESTS_PER_MINUTE, "gauge", "", None, F.col("v")),
+        _row(latest_minute_requests(logs, rollup), REQUESTS_PER_MINUTE, "gauge", "", None, F.col("v")),
     ]
     if anomalies is not None:
         parts.append(_row(clients, ANOMALOUS_IPS, "gauge", "", None, F.col("flagged")))
@@ -65,10 +70,16 @@ def metrics_snapshot(logs: DataFrame, anomalies: DataFrame | None = None) -> Dat
     return out
 
 
-def latest_minute_requests(logs: DataFrame) -> DataFrame:
+def latest_minute_requests(logs: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
     """Requests in the latest full minute, the minute before the one holding
     the newest timestamp (that one may still be filling); one row ``v``, 0 when
     that minute had no traffic."""
+    if rollup is not None:
+        stamped = rollup.filter(F.col("minute_ts").isNotNull())
+        last = stamped.agg((F.max("minute_ts") - F.expr("INTERVAL 1 MINUTE")).alias("full"))
+        return (stamped.crossJoin(one_row_broadcast(last))
+                .agg(F.coalesce(F.sum(F.when(F.col("minute_ts") == F.col("full"), F.col("n"))), F.lit(0))
+                     .alias("v")))
     stamped = logs.filter(F.col("timestamp").isNotNull())
     last = stamped.agg((F.date_trunc("minute", F.max("timestamp")) - F.expr("INTERVAL 1 MINUTE")).alias("full"))
     return (stamped.select(F.date_trunc("minute", F.col("timestamp")).alias("m"))

@@ -81,15 +81,20 @@ def _sustained(per_minute: DataFrame, breach_col: str, for_minutes: int) -> Data
             .drop("supports"))
 
 
-def _per_minute(logs: DataFrame) -> DataFrame:
+def _per_minute(logs: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
+    if rollup is not None:
+        return (rollup.filter(F.col("minute_ts").isNotNull()).groupBy("minute_ts")
+                .agg(F.sum("n").alias("request_count"),
+                     F.sum(F.col("n") * F.col("is_error")).alias("error_count")))
     return (logs.filter(F.col("timestamp").isNotNull())
             .groupBy(F.date_trunc("minute", F.col("timestamp")).alias("minute_ts"))
             .agg(F.count(F.lit(1)).alias("request_count"), F.sum("is_error").alias("error_count")))
 
 
-def alert_error_rate(logs: DataFrame, max_error_rate: float = 0.10, for_minutes: int = 5) -> DataFrame:
+def alert_error_rate(logs: DataFrame, max_error_rate: float = 0.10, for_minutes: int = 5,
+                     rollup: DataFrame | None = None) -> DataFrame:
     """Error rate above ``max_error_rate`` for ``for_minutes`` consecutive minutes."""
-    pm = _per_minute(logs).withColumn("error_rate", F.col("error_count") / F.col("request_count"))
+    pm = _per_minute(logs, rollup).withColumn("error_rate", F.col("error_count") / F.col("request_count"))
     pm = pm.withColumn("breach", F.col("error_rate") > max_error_rate)
     return (_sustained(pm, "breach", for_minutes)
             .select(minute_of(F.col("minute_ts")).alias("minute"), "request_count", "error_count",

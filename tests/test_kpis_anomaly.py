@@ -93,3 +93,16 @@ def test_sustained_alert(spark):
     lines += ['h - - [01/Jul/1995:00:07:01 +0000] "GET /a HTTP/1.0" 200 1']
     out = {r.minute: r.firing for r in panels.alert_error_rate(parse_logs(lines_df(spark, lines))).collect()}
     assert [out[f"1995-07-01 00:0{m}"] for m in (0, 1, 2, 3, 4, 5, 7)] == [0, 0, 0, 0, 1, 1, 0]
+
+
+def test_rollup_paths_equal_direct_paths(spark):
+    logs = _logs(spark)
+    r = kpis.minute_rollup(logs)
+
+    def same(a, b):
+        return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert same(kpis.http_status(logs), kpis.http_status(logs, r))
+    assert same(kpis.peaks(logs), kpis.peaks(logs, rollup=r))
+    assert same(panels.alert_error_rate(logs), panels.alert_error_rate(logs, rollup=r))
+    z = A.zscore_anomalies(A.client_features(logs))
+    assert same(metrics.metrics_snapshot(logs, z), metrics.metrics_snapshot(logs, z, r))
