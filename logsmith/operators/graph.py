@@ -52,6 +52,13 @@ def graph_vertices(logs: DataFrame) -> DataFrame:
     return ips.unionByName(urls)
 
 
+def vertices_from_edges(edges: DataFrame) -> DataFrame:
+    """G1 from the edge table: distinct sources and destinations (no scan of the logs)."""
+    ips = edges.select(F.col("src").alias("id")).distinct().withColumn("type", F.lit("ip"))
+    urls = edges.select(F.col("dst").alias("id")).distinct().withColumn("type", F.lit("url"))
+    return ips.unionByName(urls)
+
+
 def graph_edges(logs: DataFrame) -> DataFrame:
     """One edge per (ip, url) with request count, bytes and errors."""
     return (logs.groupBy("ip", "url")

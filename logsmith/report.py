@@ -57,7 +57,10 @@ def run_batch_report(spark: SparkSession, lines: DataFrame, output_dir: str, k:
     # per-minute x status counts, built once; status, peaks, counters and the
     # error-rate alert read it instead of the logs table
     rollup = kpis.minute_rollup(logs).checkpoint(eager=True)
-    tables = kpis.all_kpis(logs, rollup)
+    # one edge per (ip, url), built once: top urls/ips, the vertex list and every
+    # graph table are re-aggregations of it
+    edges = G.graph_edges(logs).checkpoint(eager=True)
+    tables = kpis.all_kpis(logs, rollup, edges)
     tables["parse_rejects"] = rejects
 
     features = A.client_features(logs).checkpoint(eager=True)
@@ -72,8 +75,7 @@ def run_batch_report(spark: SparkSession, lines: DataFrame, output_dir: str, k:
     tables["anomalous_top_urls"] = A.anomalous_top_urls(flagged_logs)
     tables["anomalous_by_hour"] = A.anomalous_by_hour(flagged_logs)
 
-    edges = G.graph_edges(logs).checkpoint(eager=True)
-    g = G.AccessGraph(G.graph_vertices(logs), edges)
+    g = G.AccessGraph(G.vertices_from_edges(edges), edges)
     communities = G.label_propagation(g, max_iter=lpa_steps).checkpoint(eager=True)
     tables["ip_connectivity"] = G.ip_connectivity(edges)
     tables["url_popularity"] = G.url_popularity(edges)

@@ -106,3 +106,14 @@ def test_rollup_paths_equal_direct_paths(spark):
     assert same(panels.alert_error_rate(logs), panels.alert_error_rate(logs, rollup=r))
     z = A.zscore_anomalies(A.client_features(logs))
     assert same(metrics.metrics_snapshot(logs, z), metrics.metrics_snapshot(logs, z, r))
+
+
+def test_edge_paths_equal_direct_paths(spark):
+    logs = _logs(spark)
+    e = G.graph_edges(logs)
+
+    def same(a, b):
+        return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert same(kpis.top_urls(logs, top_n=50), kpis.top_urls(logs, top_n=50, edges=e))
+    assert same(kpis.top_ips(logs, top_n=50), kpis.top_ips(logs, top_n=50, edges=e))
+    assert same(G.graph_vertices(logs), G.vertices_from_edges(e))
