@@ -5,7 +5,7 @@ from __future__ import annotations
 from logsmith.operators import anomaly as A
 from logsmith.operators import graph as G
 from logsmith.operators import kpis
-from logsmith.plans import graph_queries, kpi_queries  # noqa: F401 - oracle text reused below
+from logsmith.plans import kpi_queries
 from logsmith.plans.anomaly_queries import EDGES_CTE
 from logsmith.plans.oracle import with_logs
 from logsmith.plans.registry import logs_table, register
