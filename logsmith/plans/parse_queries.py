@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from logsmith.operators import parsing
 from logsmith.plans.oracle import with_fields, with_lines, with_logs
