@@ -144,3 +144,17 @@ def test_format_then_parse_round_trip(spark, rows):
     got = [(r.ip, r.timestamp.replace(tzinfo=None), r.method, r.url, r.protocol, r.status, r.bytes)
            for r in parsing.parse_logs(lines_df(spark, lines)).collect()]
     assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
+def test_latin1_bytes_in_a_log_file(spark, tmpdir_fresh):
+    import os
+    from logsmith.sources.text import read_log_text
+    path = os.path.join(tmpdir_fresh, "latin1.log")
+    with open(path, "wb") as f:
+        f.write(b'h\xe9.com - - [01/Jul/1995:00:00:01 -0400] "GET /caf\xe9 HTTP/1.0" 200 12\n')
+        f.write(b'ok.com - - [01/Jul/1995:00:00:02 -0400] "GET /a HTTP/1.0" 200 1\n')
+    rows = parsing.parse_logs(read_log_text(spark, path)).collect()
+    # invalid UTF-8 bytes decode as U+FFFD; the line is kept and parsed
+    assert len(rows) == 2
+    odd = [r for r in rows if r.ip != "ok.com"][0]
+    assert odd.url == "/caf�" and odd.bytes == 12
