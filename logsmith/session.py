@@ -41,6 +41,9 @@ def build_session(master: str | None = None, app_name: str = "logsmith",
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")
+    # iterative jobs checkpoint every round; delete checkpoint files once no
+    # DataFrame refers to them, so long sessions do not fill the shared folder
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions is not None:
