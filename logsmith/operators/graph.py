@@ -231,7 +231,8 @@ def label_propagation(g: AccessGraph, max_iter: int = 5, checkpoint_every: int =
                 .select("v", F.col("b.l").alias("new_l")))
         labels = (labels.join(best, on="v", how="left")
                   .select("v", F.coalesce("new_l", "l").alias("l")))
-        labels = _cut_lineage(labels, step, checkpoint_every)
+        if step < max_iter:   # the last round's labels are read once, right below
+            labels = _cut_lineage(labels, step, checkpoint_every)
     return _with_keys(kv, labels, "label")
 
 
