@@ -15,8 +15,31 @@ from logsmith.functions import logline as L
 from logsmith.operators.common import one_row_broadcast, percentile_threshold
 
 
-def access_per_hour(logs: DataFrame) -> DataFrame:
-    """A1: by (date, hour)."""
+def minute_client_rollup(logs: DataFrame) -> DataFrame:
+    """Requests and bytes per (minute, ip).
+
+    The per-hour, per-minute and 10-minute tables all count distinct clients
+    over whole minutes; from this table they are exact re-aggregations (a
+    client appears once per minute, the average is a bytes sum over a non-NULL
+    count), so a batch run scans the logs once for all three.
+    """
+    return (logs.groupBy(F.date_trunc("minute", F.col("timestamp")).alias("minute_ts"), "ip")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes_sum"),
+                 F.count("bytes").alias("bytes_cnt")))
+
+
+def _client_rollup_aggs() -> list:
+    return [F.sum("n").alias("access_count"), F.countDistinct("ip").alias("unique_ips"),
+            F.sum("bytes_sum").alias("total_bytes"),
+            (F.sum("bytes_sum") / F.sum("bytes_cnt")).alias("avg_bytes")]
+
+
+def access_per_hour(logs: DataFrame, clients: DataFrame | None = None) -> DataFrame:
+    """A1: by (date, hour); from ``minute_client_rollup`` when given."""
+    if clients is not None:
+        return (clients.groupBy(F.date_format("minute_ts", "yyyy-MM-dd").alias("date"),
+                                F.hour("minute_ts").alias("hour"))
+                .agg(*_client_rollup_aggs()))
     return (logs.groupBy("date", "hour")
             .agg(F.count(F.lit(1)).alias("access_count"),
                  F.countDistinct("ip").alias("unique_ips"),
@@ -45,8 +68,12 @@ def per_minute_counts(logs: DataFrame, rollup: DataFrame | None = None) -> DataF
             .groupBy("minute").agg(F.count(F.lit(1)).alias("access_count")))
 
 
-def access_per_minute(logs: DataFrame) -> DataFrame:
-    """A2: by ``yyyy-MM-dd HH:mm``."""
+def access_per_minute(logs: DataFrame, clients: DataFrame | None = None) -> DataFrame:
+    """A2: by ``yyyy-MM-dd HH:mm``; from ``minute_client_rollup`` when given
+    (there each row is one client in one minute)."""
+    if clients is not None:
+        return (clients.groupBy(L.minute_of(F.col("minute_ts")).alias("minute"))
+                .agg(F.sum("n").alias("access_count"), F.count(F.lit(1)).alias("unique_ips")))
     return (logs.withColumn("minute", L.minute_of(F.col("timestamp")))
             .groupBy("minute")
             .agg(F.count(F.lit(1)).alias("access_count"),
@@ -119,8 +146,17 @@ def errors(logs: DataFrame) -> DataFrame:
                  F.countDistinct("ip").alias("affected_ips")))
 
 
-def traffic_volume(logs: DataFrame, window: str = "10 minutes") -> DataFrame:
-    """Tumbling windows on the timestamp (rows with NULL timestamp have no window)."""
+def traffic_volume(logs: DataFrame, window: str = "10 minutes", clients: DataFrame | None = None) -> DataFrame:
+    """Tumbling windows on the timestamp (rows with NULL timestamp have no window).
+
+    From ``minute_client_rollup`` when given: whole-minute windows hold whole minutes.
+    """
+    if clients is not None:
+        agg = _client_rollup_aggs()
+        return (clients.groupBy(F.window("minute_ts", window).alias("w"))
+                .agg(agg[0].alias("request_count"), agg[2], agg[1], agg[3])
+                .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                        "request_count", "total_bytes", "unique_ips", "avg_bytes"))
     return (logs.groupBy(F.window("timestamp", window).alias("w"))
             .agg(F.count(F.lit(1)).alias("request_count"),
                  F.sum("bytes").alias("total_bytes"),
@@ -146,19 +182,20 @@ def peaks(logs: DataFrame, threshold_percentile: float = 0.95, exact: bool = Tru
 
 
 def all_kpis(logs: DataFrame, rollup: DataFrame | None = None,
-             edges: DataFrame | None = None) -> dict[str, DataFrame]:
+             edges: DataFrame | None = None, clients: DataFrame | None = None) -> dict[str, DataFrame]:
     """Every KPI table, lazily (nothing runs until a sink or action).
 
-    ``rollup`` (``minute_rollup``) and ``edges`` (``graph.graph_edges``) are
-    optional shared inputs a batch run builds once."""
+    ``rollup`` (``minute_rollup``), ``edges`` (``graph.graph_edges``) and
+    ``clients`` (``minute_client_rollup``) are optional shared inputs a batch
+    run builds once."""
     return {
-        "access_per_hour": access_per_hour(logs),
-        "access_per_minute": access_per_minute(logs),
+        "access_per_hour": access_per_hour(logs, clients),
+        "access_per_minute": access_per_minute(logs, clients),
         "top_urls": top_urls(logs, edges=edges),
         "top_ips": top_ips(logs, edges=edges),
         "http_status": http_status(logs, rollup),
         "errors": errors(logs),
-        "traffic_volume": traffic_volume(logs),
+        "traffic_volume": traffic_volume(logs, clients=clients),
         "peaks": peaks(logs, rollup=rollup),
     }
 

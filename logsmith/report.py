@@ -60,7 +60,9 @@ def run_batch_report(spark: SparkSession, lines: DataFrame, output_dir: str, k:
     # one edge per (ip, url), built once: top urls/ips, the vertex list and every
     # graph table are re-aggregations of it
     edges = G.graph_edges(logs).checkpoint(eager=True)
-    tables = kpis.all_kpis(logs, rollup, edges)
+    # requests per (minute, client): the hourly, per-minute and 10-minute tables
+    clients = kpis.minute_client_rollup(logs).checkpoint(eager=True)
+    tables = kpis.all_kpis(logs, rollup, edges, clients)
     tables["parse_rejects"] = rejects
 
     features = A.client_features(logs).checkpoint(eager=True)

@@ -117,3 +117,16 @@ def test_edge_paths_equal_direct_paths(spark):
     assert same(kpis.top_urls(logs, top_n=50), kpis.top_urls(logs, top_n=50, edges=e))
     assert same(kpis.top_ips(logs, top_n=50), kpis.top_ips(logs, top_n=50, edges=e))
     assert same(G.graph_vertices(logs), G.vertices_from_edges(e))
+
+
+def test_client_rollup_paths_equal_direct_paths(spark):
+    from logsmith.operators.common import round_doubles
+    logs = _logs(spark)
+    c = kpis.minute_client_rollup(logs)
+
+    def same(a, b):
+        a, b = round_doubles(a), round_doubles(b)
+        return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert same(kpis.access_per_hour(logs), kpis.access_per_hour(logs, c))
+    assert same(kpis.access_per_minute(logs), kpis.access_per_minute(logs, c))
+    assert same(kpis.traffic_volume(logs), kpis.traffic_volume(logs, clients=c))
