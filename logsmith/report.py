@@ -2,9 +2,10 @@
 
 Batch: the raw lines are parsed once into the date-partitioned logs table;
 every later table reads that Parquet table (column pruning, pushed filters).
-Small derived tables that several steps reuse (client features, graph edges)
-are written once as reliable checkpoints, so no step re-derives them from the
-raw text and a lost executor does not send them back to it.  Every export is
+Small derived tables that several steps reuse (client features, the (ip, url)
+edges, the minute x status and minute x client rollups) are written once as
+reliable checkpoints: several reports are re-aggregations of them instead of
+scans of the logs, and a lost executor does not send any step back to the raw text.  Every export is
 computed once (Parquet) and copied to JSON/CSV from that copy.
 """
 
