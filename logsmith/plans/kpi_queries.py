@@ -136,3 +136,16 @@ def sql_top_urls(spark, sf_dir):
 SELECT status, url, count(*) AS error_count FROM logs WHERE status >= 400 GROUP BY status, url"""))
 def sql_errors(spark, sf_dir):
     return kpis.sql_over_view(logs_table(spark, sf_dir), kpis.SQL_ERRORS)
+
+
+# The dashboard's status panel query, as documented, over a view of the KPI table.
+PANEL_STATUS_SQL = "SELECT status_category, count FROM {view}"
+
+
+@register("sql_over_view", "S12 A10 (dashboard SQL over a KPI view)", with_logs("""
+SELECT status_category, count FROM (
+  SELECT status, status_category, count(*) AS count FROM logs GROUP BY status, status_category)"""))
+def sql_over_view(spark, sf_dir):
+    """A KPI table registered as a view and queried with the dashboard's SQL text."""
+    return kpis.sql_over_view(kpis.http_status(logs_table(spark, sf_dir)), PANEL_STATUS_SQL,
+                              view_name="http_status")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from logsmith.plans.oracle import with_logs
 from logsmith.plans.registry import register
 from logsmith.session import scratch_path
-from logsmith.sources.fixtures import event_log_lines
+from logsmith.sources.fixtures import event_line, event_log_lines, read_table, spread
 from logsmith.sources.text import write_log_text
 from logsmith.streaming import stream as S
 
@@ -111,3 +111,40 @@ def stream_progress(spark, sf_dir):
     parsed = S.parsed_log_stream(spark, _feed(spark, sf_dir), max_files_per_trigger=1)
     q, _ = _run_parquet(spark, parsed.select(*STREAM_COLUMNS), "stream_progress")
     return S.progress_table(spark, q)
+
+
+LATE_FROM = "2024-01-10 00:00:00"   # rows before this instant are delivered last
+
+
+@register("stream_late_drops", "T5 T6", with_logs(WINDOW_SQL.replace(
+    'FROM logs CROSS JOIN range(6) AS t(k) WHERE "timestamp" IS NOT NULL',
+    f'FROM logs CROSS JOIN range(6) AS t(k) WHERE "timestamp" >= TIMESTAMP \'{LATE_FROM}\'').replace(
+    'SELECT max("timestamp") FROM logs', 'SELECT max("timestamp") FROM logs WHERE "timestamp" IS NOT NULL')))
+def stream_late_drops(spark, sf_dir):
+    """Late delivery: the later days arrive first, the earlier days after a restart.
+
+    The first run processes the first delivery and moves the watermark past it;
+    the second delivery is written afterwards into the same folder and processed
+    by the restarted query (same checkpoint), 20 days behind the watermark, so
+    all of its rows are dropped.  The sink then holds the first delivery's windows.
+    """
+    ev = spread(read_table(spark, sf_dir, "events"), f"{sf_dir.rstrip('/')}/events.parquet", "event_id")
+    line = event_line(*[F.col(c) for c in ["event_id", "ts", "user_id", "event_type", "value", "props"]])
+    cut = F.lit(LATE_FROM).cast("timestamp_ntz")
+    src = scratch_path(spark, "late-src")
+    out, ckpt = scratch_path(spark, "late-out"), scratch_path(spark, "late-ckpt")
+    name = f"late_{uuid.uuid4().hex[:8]}"
+
+    def run():
+        parsed = S.parsed_log_stream(spark, src, max_files_per_trigger=None)
+        S.run_to_completion(S.write_to_parquet(S.window_metrics(parsed), out, ckpt, name, available_now=True,
+                                               partitions=spark.sparkContext.defaultParallelism))
+
+    write_log_text(ev.filter(F.col("ts") >= cut).select(line.alias("value")), src)
+    run()
+    write_log_text(ev.filter(~(F.col("ts") >= cut) | F.col("ts").isNull()).select(line.alias("value")), src,
+                   mode="append")
+    run()
+    return spark.read.parquet(out).select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        "request_count", "total_bytes", "error_count")
