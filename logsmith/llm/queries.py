@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsmith.llm.common import read_table
+from logsmith.llm.common import crc_of_id, read_table
 from logsmith.session import apply_defaults
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,14 @@ def query(name: str, oracle: str | None = None):
     return wrap
 
 
+@query("op2_substring_dedup")
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its text after the cut, the words removed and their spans."""
+    from logsmith.llm.substring_dedup import remove_repeats
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select("doc_id", "removed_words", "removed_spans", "text")
+
+
 @query("op3_url_filters")
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logsmith.llm.url_filter import judge_urls
@@ -44,3 +52,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix_plan(read_table(spark, sf_dir, "documents"))
     return plan.select(F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"), "*").select(
         "doc_id", "size", "source_size", "target", "taken", "source", "shards")
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logsmith.llm.language_crf import FOLDS, HELD_OUT, predict_languages, train_language_model
+    docs = read_table(spark, sf_dir, "documents")
+    held = docs.select("doc_id", "text", (F.pmod(crc_of_id(), F.lit(FOLDS)) == HELD_OUT).alias("held_out"))
+    return predict_languages(held, train_language_model(docs), keep=["doc_id", "held_out"])

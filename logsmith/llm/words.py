@@ -41,7 +41,14 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_tables: dict[str, np.ndarray] = {}
+class _Tables(dict):
+    """A cache that is empty again after it has travelled to a task."""
+
+    def __reduce__(self):
+        return _Tables, ()
+
+
+_tables = _Tables()
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -51,54 +58,70 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _tables["up"][:n], _tables["down"][:n]
 
 
-def _hash_piece(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and 64-bit hashes of the words in one piece of bytes."""
-    folded = _FOLD[data]
-    edge = np.diff(np.concatenate(([1], _SPACE[folded].view(np.int8), [1])))
-    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    if not len(starts):
-        return starts, ends, np.empty(0, np.uint64)
-    up, down = _power_tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_VALUE[folded] * down[: len(data)], out=total[1:])
-    return starts, ends, mix((total[ends] - total[starts]) * up[starts] + (ends - starts).astype(np.uint64))
-
-
-def word_hashes(texts: list[str | None], spans: bool = False):
-    """Hashes of all words of all texts, and where each text's words begin.
-
-    Returns (hashes, offsets) with text i's words at hashes[offsets[i]:offsets[i + 1]];
-    with ``spans`` also the byte start and end of each word inside its own text.
-    A null text has no words.
-    """
+def _encoded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """All texts as one byte stream with a line feed after each, and where each begins."""
     raw = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
-    joined = b"\n".join(raw)
     begins = np.zeros(len(raw) + 1, dtype=np.int64)
     np.cumsum([len(r) + 1 for r in raw], out=begins[1:])
-    data = np.frombuffer(joined, dtype=np.uint8)
-    parts, at = [], 0
+    return np.frombuffer(b"\n".join(raw), dtype=np.uint8), begins
+
+
+def _cuts(data: np.ndarray):
+    """Bounds of pieces of about PIECE_BYTES that end after white space: no word is cut."""
+    at = 0
     while at < len(data):
-        end = at + PIECE_BYTES
-        if end >= len(data):
-            end = len(data)
-        else:  # cut after white space: the last one before the limit, or else the next one after it
+        end = min(at + PIECE_BYTES, len(data))
+        if end < len(data):
             space = np.flatnonzero(_SPACE[data[at:end]])
             if len(space):
                 end = at + int(space[-1]) + 1
-            else:
-                step = end
-                while step < len(data):
-                    found = np.flatnonzero(_SPACE[data[step:step + PIECE_BYTES]])
+            else:  # one very long word: on to the next white space
+                while end < len(data):
+                    found = np.flatnonzero(_SPACE[data[end:end + PIECE_BYTES]])
                     if len(found):
-                        step += int(found[0]) + 1
+                        end += int(found[0]) + 1
                         break
-                    step += PIECE_BYTES
-                end = min(step, len(data))
-        s, e, h = _hash_piece(data[at:end])
-        parts.append((s + at, e + at, h))
+                    end = min(end + PIECE_BYTES, len(data))
+        yield at, end
         at = end
-    if not parts:
-        parts = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64))]
+
+
+def word_pieces(texts: list[str | None]):
+    """(pieces, begins): a generator of (at, folded bytes, word starts, word ends) over the
+    stream of all texts, A-Z lower-cased and white space as 0x20, and where each text begins
+    in the stream.  Starts and ends are inside the piece."""
+    data, begins = _encoded(texts)
+
+    def pieces():
+        for at, end in _cuts(data):
+            folded = _FOLD[data[at:end]]
+            space = _SPACE[folded]
+            folded[space] = 0x20
+            edge = np.diff(np.concatenate(([1], space.view(np.int8), [1])))
+            yield at, folded, np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    return pieces(), begins
+
+
+def _hash_words(folded: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    up, down = _power_tables(len(folded) + 1)
+    total = np.zeros(len(folded) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE_VALUE[folded] * down[: len(folded)], out=total[1:])
+    return mix((total[ends] - total[starts]) * up[starts] + (ends - starts).astype(np.uint64))
+
+
+def word_hashes(texts: list[str | None], spans: bool = False):
+    """Hashes of all words of all texts, and where each text's words begin.
+
+    Returns (hashes, offsets) with text i's words at hashes[offsets[i]:offsets[i + 1]];
+    with ``spans`` also the byte start and end of each word inside its own text.
+    A null text has no words.
+    """
+    pieces, begins = word_pieces(texts)
+    empty = np.empty(0, np.int64)
+    parts = [(empty, empty, np.empty(0, np.uint64))]
+    parts += [(s + at, e + at, _hash_words(folded, s, e)) for at, folded, s, e in pieces]
     starts, ends, hashes = (np.concatenate(p) for p in zip(*parts))
     offsets = np.searchsorted(starts, begins)
     if not spans:
@@ -107,6 +130,71 @@ def word_hashes(texts: list[str | None], spans: bool = False):
     return hashes, offsets, starts - base, ends - base
 
 
+def distinct_words(texts: list[str | None]):
+    """(folded, starts, ends, inverse, offsets): a padded stream of the batch's distinct words,
+    where each lies in it, and for every word of every text the number of its distinct word."""
+    pieces, begins = word_pieces(texts)
+    streams, hashes, starts, ends, base = [], [], [], [], 0
+    for at, folded, s, e in pieces:
+        streams.append(folded)
+        hashes.append(_hash_words(folded, s, e))
+        starts.append(s + at)
+        ends.append(e + at)
+    if not hashes:
+        none = np.empty(0, np.int64)
+        return np.empty(0, np.uint8), none, none, none, np.zeros(len(begins), np.int64)
+    stream, starts, ends = np.concatenate(streams), np.concatenate(starts), np.concatenate(ends)
+    _, first, inverse = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    size = ends[first] - starts[first]
+    new_ends = np.cumsum(size + 1)
+    new_starts = new_ends - size  # one blank before each word
+    out = np.full(int(new_ends[-1]) + 1 if len(size) else 1, 0x20, dtype=np.uint8)
+    run = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    out[np.repeat(new_starts, size) + run] = stream[np.repeat(starts[first], size) + run]
+    return out, new_starts, new_ends, inverse, np.searchsorted(starts, begins)
+
+
+def words_and_lines(texts: list[str | None]):
+    """(hashes, offsets, lines): as word_hashes, with the number of each word's line; lines of
+    different texts differ."""
+    data, _ = _encoded(texts)
+    hashes, offsets, starts, _ends = word_hashes(texts, spans=True)
+    raw = np.zeros(len(texts) + 1, dtype=np.int64)
+    np.cumsum([0 if t is None else len(t.encode("utf-8", "surrogatepass")) for t in texts], out=raw[1:])
+    begins = raw[:-1] + np.arange(len(texts))
+    feeds = np.flatnonzero(data == 0x0A)
+    return hashes, offsets, np.searchsorted(feeds, starts + np.repeat(begins, np.diff(offsets)))
+
+
+def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
+    """``pick`` (np.minimum or np.maximum) over each run of ``width`` values, by doubling."""
+    have, out = 1, values
+    while have * 2 <= width:
+        out = pick(out[:-have], out[have:])
+        have *= 2
+    rest = width - have
+    return pick(out[:-rest], out[rest:]) if rest else out
+
+
+def ngram_slots(folded: np.ndarray, n: int, bits: int) -> np.ndarray:
+    """Hash slot of the n bytes (n <= 8) that begin at each place of a padded piece."""
+    value = np.zeros(len(folded) - n + 1, dtype=np.uint64)
+    for i in range(n):
+        value = (value << np.uint64(8)) | folded[i:len(folded) - n + 1 + i]
+    return ((value + np.uint64(n)) * np.uint64(_BASE)) >> np.uint64(64 - bits)
+
+
+def word_sums(values: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Sums of values[first:first + count] for growing, disjoint runs; an empty run sums to 0."""
+    some = count > 0
+    out = np.zeros((len(first), *values.shape[1:]), dtype=values.dtype)
+    if some.any():
+        bounds = np.stack([first[some], first[some] + count[some]], axis=1).ravel()
+        padded = np.concatenate([values, np.zeros((1, *values.shape[1:]), values.dtype)])
+        out[some] = np.add.reduceat(padded, bounds, axis=0)[::2]
+    return out
+
+
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
