@@ -46,6 +46,12 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(read_table(spark, sf_dir, "documents"))
 
 
+@query("op5_sentencepiece")
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logsmith.llm.sentencepiece_wfst import encode_documents
+    return encode_documents(read_table(spark, sf_dir, "documents"))
+
+
 @query("op6_mixing")
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logsmith.llm.mixing import mix_plan

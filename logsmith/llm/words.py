@@ -111,6 +111,21 @@ def _hash_words(folded: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix((total[ends] - total[starts]) * up[starts] + (ends - starts).astype(np.uint64))
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of growing, disjoint spans of a byte stream, case kept, a piece at a time."""
+    out = np.empty(len(starts), np.uint64)
+    group = starts // PIECE_BYTES
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [len(starts)])) if len(starts) else [0]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        base, end = int(starts[a]), int(ends[b - 1])
+        up, down = _power_tables(end - base + 1)
+        total = np.zeros(end - base + 1, dtype=np.uint64)
+        np.cumsum(_BYTE_VALUE[data[base:end]] * down[:end - base], out=total[1:])
+        s, e = starts[a:b] - base, ends[a:b] - base
+        out[a:b] = mix((total[e] - total[s]) * up[s] + (e - s).astype(np.uint64))
+    return out
+
+
 def word_hashes(texts: list[str | None], spans: bool = False):
     """Hashes of all words of all texts, and where each text's words begin.
 
