@@ -13,14 +13,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Slots of the repeat filter; as bits 16 MB when broadcast, at any corpus size.  Far beyond
+#: Slots of the repeat filter; as bits 32 MB when broadcast, at any corpus size.  Far beyond
 #: that many keys it lets most keys pass, which costs time and changes no result.
-FILTER_BITS = 27
+FILTER_BITS = 28
 #: Counters of the frequency sketch; as byte levels 4 MB when broadcast.
 LEVEL_BITS = 22
 PARTS = 64
 #: Tasks whose sketches are merged first.
 FAN_IN = 64
+#: Keys that a task gathers before it merges them.
+BUFFERED = 2_000_000
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -52,18 +54,24 @@ def _rows(slots: np.ndarray, counts: np.ndarray, width: int) -> pa.RecordBatch:
 
 def _tally(extract, bits: int, most: int):
     """mapInArrow function: counts of the slots (top bits) of the keys that ``extract`` finds in a batch."""
+    def merged(held, fresh):
+        slots, counts = np.unique((np.concatenate(fresh) >> np.uint64(64 - bits)).astype(np.int64), return_counts=True)
+        both = np.concatenate([held[0], slots])
+        order = np.argsort(both, kind="stable")
+        both, weights = both[order], np.concatenate([held[1], counts])[order]
+        starts = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1])))
+        return both[starts], np.minimum(np.add.reduceat(weights, starts), most)
+
     def run(batches):
-        held_slots, held_counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        held, fresh, waiting = (np.empty(0, np.int64), np.empty(0, np.int64)), [], 0
         for batch in batches:
-            keys = extract(batch)
-            slots, counts = np.unique((keys >> np.uint64(64 - bits)).astype(np.int64), return_counts=True)
-            both = np.concatenate([held_slots, slots])
-            order = np.argsort(both, kind="stable")
-            both, weights = both[order], np.concatenate([held_counts, counts])[order]
-            if len(both):
-                starts = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1])))
-                held_slots, held_counts = both[starts], np.minimum(np.add.reduceat(weights, starts), most)
-        yield _rows(held_slots, held_counts, (1 << bits) // PARTS)
+            fresh.append(extract(batch))
+            waiting += len(fresh[-1])
+            if waiting > BUFFERED:
+                held, fresh, waiting = merged(held, fresh), [], 0
+        if waiting:
+            held = merged(held, fresh)
+        yield _rows(*held, (1 << bits) // PARTS)
     return run
 
 
