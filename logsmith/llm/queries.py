@@ -26,6 +26,15 @@ def query(name: str, oracle: str | None = None):
     return wrap
 
 
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logsmith.llm.toxicity import FOLDS, HELD_OUT, score_documents, train_toxicity_model
+    docs = read_table(spark, sf_dir, "documents")
+    model = train_toxicity_model(docs, read_table(spark, sf_dir, "labels"))
+    held = docs.select("doc_id", "text", (F.pmod(crc_of_id(), F.lit(FOLDS)) == HELD_OUT).alias("held_out"))
+    return score_documents(held, model, keep=["doc_id", "held_out"])
+
+
 @query("op2_substring_dedup")
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its text after the cut, the words removed and their spans."""
@@ -66,3 +75,21 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held = docs.select("doc_id", "text", (F.pmod(crc_of_id(), F.lit(FOLDS)) == HELD_OUT).alias("held_out"))
     return predict_languages(held, train_language_model(docs), keep=["doc_id", "held_out"])
+
+
+@query("op8_fingerprints")
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logsmith.llm.fingerprint import fingerprints_with_next
+    return fingerprints_with_next(read_table(spark, sf_dir, "documents"))
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logsmith.llm.quality_kn import classify_quality
+    return classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query("op10_nearest_neighbours")
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logsmith.llm.cross_polytope import nearest_neighbours
+    return nearest_neighbours(read_table(spark, sf_dir, "embeddings"))

@@ -169,6 +169,18 @@ def distinct_words(texts: list[str | None]):
     return out, new_starts, new_ends, inverse, np.searchsorted(starts, begins)
 
 
+def distinct_words_as_text(texts: list[str | None]):
+    """(words, hashes, inverse, offsets): distinct words of a batch as strings, case kept."""
+    data, begins = _encoded(texts)
+    space = _SPACE[data]
+    edge = np.diff(np.concatenate(([1], space.view(np.int8), [1])))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    hashes, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    stream = data.tobytes()
+    words = [stream[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+    return words, hashes, inverse, np.searchsorted(starts, begins)
+
+
 def words_and_lines(texts: list[str | None]):
     """(hashes, offsets, lines): as word_hashes, with the number of each word's line; lines of
     different texts differ."""
