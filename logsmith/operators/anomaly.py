@@ -13,8 +13,8 @@ Scale notes:
   table, broadcast on a size bounded by k.  Nothing is collected to the driver
   except the fitted K-Means model (k centres) and its scalar summaries.
 * Flagged clients are applied to the logs with a left-semi join (no driver
-  list): broadcast below a counted bound, salted above it, so a hot client
-  is never joined in a single task.
+  list) against a stored table; adaptive execution picks broadcast by bytes or
+  splits a hot client.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsmith.operators.common import one_row_broadcast, percentile_threshold, safe_ratio
+from logsmith.operators.common import one_row_broadcast, percentile_threshold, safe_ratio, total_bytes
+from logsmith.scratch import stored
 
 # K-Means inputs, in order (the reference leaves out
 # active_days and urls_per_request).
@@ -46,7 +47,7 @@ def client_features(logs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("request_count"),
         F.countDistinct("url").alias("unique_urls"),
         F.countDistinct("date").alias("active_days"),
-        F.sum("bytes").alias("total_bytes"),
+        total_bytes("bytes").alias("total_bytes"),
         F.avg("bytes").alias("avg_bytes"),
         F.sum("is_error").alias("error_count"),
         F.coalesce(F.bit_count(hour_mask), F.lit(0)).cast("bigint").alias("active_hours"))
@@ -90,25 +91,15 @@ def suspicious_ips(anomalies: DataFrame, score_col: str = "anomaly_score", top_n
             .limit(top_n))
 
 
-def anomalous_requests(logs: DataFrame, anomalies: DataFrame, max_broadcast_rows: int = 1_000_000,
-                       salt_buckets: int = 64) -> DataFrame:
+def anomalous_requests(logs: DataFrame, anomalies: DataFrame) -> DataFrame:
     """The log rows of flagged clients (left-semi join, no driver-side ip list).
 
-    The flagged set is written once (reliable checkpoint) and counted.  Up to
-    ``max_broadcast_rows`` clients it is broadcast (a proven bound).  Past it,
-    the join is salted: each log row gets a salt from a hash of its contents,
-    each flagged client is repeated for every salt, and the join runs on
-    (ip, salt), so a client holding a third of all rows is spread over
-    ``salt_buckets`` tasks instead of one.
+    The flagged set is stored as a scratch table, so both join sides are plain scans:
+    adaptive execution broadcasts it when its bytes are below the session's threshold, and
+    otherwise splits the log rows of a client that holds a large part of them.
     """
-    flagged = anomalies.filter(F.col("is_anomaly") == 1).select("ip").checkpoint(eager=True)
-    if flagged.count() <= max_broadcast_rows:
-        return logs.join(F.broadcast(flagged), on="ip", how="left_semi")
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in logs.columns]), F.lit(salt_buckets))
-    salted_flags = flagged.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return (logs.withColumn("_salt", salt)
-            .join(salted_flags, on=["ip", "_salt"], how="left_semi")
-            .drop("_salt"))
+    flagged = stored(anomalies.filter(F.col("is_anomaly") == 1).select("ip").distinct(), "flagged")
+    return logs.join(flagged, on="ip", how="left_semi")
 
 
 def anomalous_top_urls(requests: DataFrame, top_n: int = 10) -> DataFrame:
@@ -127,17 +118,20 @@ def anomalous_error_codes(requests: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------------------- K-Means
 
-def kmeans_input(features: DataFrame) -> DataFrame:
-    """Feature rows in a fixed layout: hash-partitioned by ip over the cluster's
-    cores, sorted inside each partition.
+#: Partitions of the K-Means input; a fixed layout, as seeding samples per partition.
+KMEANS_PARTITIONS = 32
 
-    K-Means|| seeding samples per partition, so a fixed layout makes the fit
-    repeatable.  NULL ratios (a client whose every timestamp failed to parse)
-    enter the vector as 0.0; VectorAssembler would otherwise fail or drop the row.
+
+def kmeans_input(features: DataFrame, partitions: int = KMEANS_PARTITIONS) -> DataFrame:
+    """Feature rows in a fixed layout: hash-partitioned by ip, sorted inside each partition.
+
+    K-Means|| seeding samples per partition, so a layout that follows ``partitions`` and
+    not the machine makes the fit repeatable; raise it with the number of clients.  NULL
+    features (sizes or times that do not parse, or byte sums that do not fit) enter the
+    vector as 0; VectorAssembler would otherwise fail.
     """
-    n = features.sparkSession.sparkContext.defaultParallelism
-    filled = features.fillna(0.0, subset=["requests_per_day"])
-    return filled.repartition(n, "ip").sortWithinPartitions("ip")
+    filled = features.fillna(0, subset=KMEANS_FEATURES)
+    return filled.repartition(partitions, "ip").sortWithinPartitions("ip")
 
 
 def fit_kmeans(features: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 20) -> PipelineModel:
@@ -215,11 +209,12 @@ def kmeans_output(scored: DataFrame) -> DataFrame:
 
 def rule_labels(features: DataFrame, edges: DataFrame,
                 max_requests_per_day: float = 10000, max_error_rate: float = 0.5,
-                max_unique_urls: int = 500, max_edge_error_rate: float = 0.5) -> DataFrame:
+                max_unique_urls: int = 500, max_edge_error_rate: float = 0.5,
+                max_out_degree: int = 500) -> DataFrame:
     """The documented rule labels, one row per client.
 
     scraper: more than ``max_requests_per_day`` requests a day or an out-degree
-    (distinct urls) above ``max_unique_urls``; attacker: error rate above
+    (distinct urls) above ``max_out_degree``; attacker: error rate above
     ``max_error_rate``; bot: more than ``max_unique_urls`` distinct urls;
     attack_edge: at least one (ip, url) edge with an error rate above
     ``max_edge_error_rate``.  The rules overlap, so ``labels`` lists every one
@@ -230,7 +225,8 @@ def rule_labels(features: DataFrame, edges: DataFrame,
               .withColumnRenamed("src", "ip"))
     out = features.join(attack, on="ip", how="left").fillna(0, subset=["attack_edges"])
     many_urls = F.col("unique_urls") > max_unique_urls
-    scraper = F.coalesce(F.col("requests_per_day") > max_requests_per_day, F.lit(False)) | many_urls
+    scraper = F.coalesce(F.col("requests_per_day") > max_requests_per_day, F.lit(False)) | (
+        F.col("unique_urls") > max_out_degree)
     attacker = F.coalesce(F.col("error_rate") > max_error_rate, F.lit(False))
     has_attack = F.col("attack_edges") > 0
     tags = F.concat_ws(",", *[F.when(c, F.lit(name)) for c, name in [

@@ -53,6 +53,15 @@ def ntz_timestamps(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def total_bytes(column: str | Column) -> Column:
+    """Sum of byte counts as bigint, NULL when the true sum does not fit (never an overflow error).
+
+    Summed as decimal, so that one absurd size in one line cannot stop a job or a stream.
+    """
+    col = F.col(column) if isinstance(column, str) else column
+    return F.sum(col.cast("decimal(38,0)")).try_cast("bigint")
+
+
 def safe_ratio(num: Column, den: Column) -> Column:
     """``num / den`` as double, NULL when ``den`` is 0 or NULL (never throws under ANSI)."""
     return F.try_divide(num.cast("double"), den.cast("double"))

@@ -18,12 +18,10 @@ Scale notes:
   count, and a ``min(struct(-count, label))`` per vertex.  Both aggregations
   combine partially before the shuffle, so a hub URL (a logo every client
   fetches) never lands whole in one task; AQE splits the skewed join side.
-* Connected components: minimum-label propagation with pointer jumping
-  (each vertex also takes the label of its label), until no label changes;
-  one count per round checks convergence.  Joins keyed by a label (the jump,
-  and turning label ids back into keys) are salted: a giant component is one
-  label shared by most vertices.  Lineage is cut with reliable
-  checkpoints in the session's checkpoint directory.
+* Connected components: alternating large-star and small-star steps until
+  every component is a star.  Tables are stored as Parquet between steps, so
+  both sides of each join are scans and AQE can split a hub.  Turning label ids
+  back into keys splits only labels that are counted to be large.
 * The top-k tables (community samples, neighbours) use ``row_number() <= k``,
   which Spark plans with a partial per-partition group limit before the shuffle.
 """
@@ -36,7 +34,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logsmith.functions.logline import looks_like_ip
-from logsmith.session import ensure_checkpoint_dir
+from logsmith.operators.common import total_bytes
+from logsmith.operators.components import connected_components as components
+from logsmith.scratch import stored
 
 
 @dataclass(frozen=True)
@@ -63,15 +63,16 @@ def graph_edges(logs: DataFrame) -> DataFrame:
     """One edge per (ip, url) with request count, bytes and errors."""
     return (logs.groupBy("ip", "url")
             .agg(F.count(F.lit(1)).alias("weight"),
-                 F.sum("bytes").alias("total_bytes"),
+                 total_bytes("bytes").alias("total_bytes"),
                  F.sum("is_error").alias("error_count"))
             .select(F.col("ip").alias("src"), F.col("url").alias("dst"),
                     "weight", "total_bytes", "error_count"))
 
 
 def build_graph(logs: DataFrame) -> AccessGraph:
-    """G3."""
-    return AccessGraph(graph_vertices(logs), graph_edges(logs))
+    """One edge table, and the vertices as its distinct ends (one scan of the logs)."""
+    edges = graph_edges(logs)
+    return AccessGraph(vertices_from_edges(edges), edges)
 
 
 def graph_stats(g: AccessGraph) -> DataFrame:
@@ -93,7 +94,7 @@ def ip_connectivity(edges: DataFrame) -> DataFrame:
             .groupBy("src")
             .agg(F.count(F.lit(1)).alias("urls_visited"),
                  F.sum("weight").alias("total_requests"),
-                 F.sum("total_bytes").alias("total_bytes"),
+                 total_bytes("total_bytes").alias("total_bytes"),
                  F.sum("error_count").alias("total_errors"))
             .withColumnRenamed("src", "ip"))
 
@@ -104,7 +105,7 @@ def url_popularity(edges: DataFrame) -> DataFrame:
             .groupBy("dst")
             .agg(F.count(F.lit(1)).alias("unique_visitors"),
                  F.sum("weight").alias("total_hits"),
-                 F.sum("total_bytes").alias("total_bytes"))
+                 total_bytes("total_bytes").alias("total_bytes"))
             .withColumnRenamed("dst", "url"))
 
 
@@ -157,47 +158,42 @@ def _indexed(g: AccessGraph) -> tuple[DataFrame, DataFrame]:
     A global sort by key followed by ``monotonically_increasing_id`` gives ids
     that increase with the key, so "smallest label" and "smallest member" mean
     the same with ids as with keys.  Rounds then shuffle pairs of longs instead
-    of URL strings.  Both tables are written once as reliable checkpoints (the
-    ids must not be recomputed, and every round reads them).
+    of URL strings.  Both tables are stored once (the ids must not be
+    recomputed, and every round reads them).
     """
-    ensure_checkpoint_dir(g.edges.sparkSession)
-    kv = (_keyed_vertices(g.vertices).orderBy("key")
-          .withColumn("vid", F.monotonically_increasing_id())
-          .checkpoint(eager=True))
+    kv = stored(_keyed_vertices(g.vertices).orderBy("key")
+                .withColumn("vid", F.monotonically_increasing_id()), "graph-vertices")
     ids = kv.select("key", "vid")
     e = (g.edges.select(vertex_key(F.lit("ip"), F.col("src")).alias("a"),
                         vertex_key(F.lit("url"), F.col("dst")).alias("b"))
          .join(ids.select(F.col("key").alias("a"), F.col("vid").alias("va")), on="a")
          .join(ids.select(F.col("key").alias("b"), F.col("vid").alias("vb")), on="b"))
+    e = stored(e.select("va", "vb"), "graph-edges")
     adj = (e.select(F.col("va").alias("v"), F.col("vb").alias("n"))
-           .unionByName(e.select(F.col("vb").alias("v"), F.col("va").alias("n")))
-           .checkpoint(eager=True))
+           .unionByName(e.select(F.col("vb").alias("v"), F.col("va").alias("n"))))
     return kv, adj
 
 
-def _cut_lineage(df: DataFrame, step: int, every: int) -> DataFrame:
-    if every and step % every == 0:
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    return df
-
-
-LABEL_SALT = 32
+#: Rows of one label that a single join key may hold; a label with more is split.
+LABEL_ROWS = 100_000
 
 
 def _join_on_label(rows: DataFrame, label_col: str, per_label: DataFrame, salt_by: str,
-                   buckets: int = LABEL_SALT) -> DataFrame:
+                   label_rows: int = LABEL_ROWS) -> DataFrame:
     """Join ``rows`` to ``per_label`` (one row per label value) on ``label_col``.
 
-    Most vertices of a giant community or component share one label, so a plain
-    join would send them all to one task.  ``rows`` get a salt from their own
-    unique ``salt_by`` id, the per-label table is repeated for every salt, and
-    the join runs on (label, salt).  The repeated side has one row per distinct
-    label, not per vertex.
+    Most vertices of a giant community or component share one label, so a plain join would
+    send them all to one task.  Labels are counted first: one with more than ``label_rows``
+    rows is split into that many parts by a salt from its rows' unique ``salt_by`` id, and
+    only such a label's row is repeated, once per part.
     """
-    salted_rows = rows.withColumn("_salt", F.pmod(F.col(salt_by), F.lit(buckets)))
-    salted_table = per_label.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return salted_rows.join(salted_table, on=[label_col, "_salt"]).drop("_salt")
+    parts = rows.groupBy(label_col).agg(F.ceil(F.count(F.lit(1)) / label_rows).cast("int").alias("_parts"))
+    table = stored(per_label.join(parts, label_col).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))), "label-keys")
+    split = table.where("_parts > 1 AND _salt = 0").select(label_col, "_parts")
+    salted = rows.join(split, label_col, "left").withColumn(
+        "_salt", F.pmod(F.col(salt_by), F.coalesce("_parts", F.lit(1))).cast("int")).drop("_parts")
+    return salted.join(table.drop("_parts"), on=[label_col, "_salt"]).drop("_salt")
 
 
 def _with_keys(kv: DataFrame, labels: DataFrame, out_col: str) -> DataFrame:
@@ -209,7 +205,7 @@ def _with_keys(kv: DataFrame, labels: DataFrame, out_col: str) -> DataFrame:
     return _join_on_label(labelled, "lid", label_keys, salt_by="vid").select("id", "type", out_col)
 
 
-def label_propagation(g: AccessGraph, max_iter: int = 5, checkpoint_every: int = 1) -> DataFrame:
+def label_propagation(g: AccessGraph, max_iter: int = 5) -> DataFrame:
     """Synchronous label propagation, ``max_iter`` steps.
 
     Every vertex starts with its own key as label; at each step it takes the
@@ -217,9 +213,9 @@ def label_propagation(g: AccessGraph, max_iter: int = 5, checkpoint_every: int =
     directions), the smallest label on ties; a vertex without neighbours keeps
     its label.  Returns ``(id, type, label)``.
 
-    The label table is checkpointed every round by default: both inputs of the
-    next round's join are then plain scans, so AQE can split the partition of a
-    hub vertex on the adjacency side.
+    The label table is stored every round: both inputs of the next round's join
+    are then plain scans, so AQE can split the partition of a hub vertex on the
+    adjacency side.
     """
     kv, adj = _indexed(g)
     labels = kv.select(F.col("vid").alias("v"), F.col("vid").alias("l"))
@@ -232,7 +228,7 @@ def label_propagation(g: AccessGraph, max_iter: int = 5, checkpoint_every: int =
         labels = (labels.join(best, on="v", how="left")
                   .select("v", F.coalesce("new_l", "l").alias("l")))
         if step < max_iter:   # the last round's labels are read once, right below
-            labels = _cut_lineage(labels, step, checkpoint_every)
+            labels = stored(labels, "labels")
     return _with_keys(kv, labels, "label")
 
 
@@ -260,29 +256,17 @@ def community_samples(communities: DataFrame, top_communities: int = 5, per_comm
             .select("label", "size", "member_rank", "id", "type"))
 
 
-def connected_components(g: AccessGraph, max_rounds: int = 100, checkpoint_every: int = 1) -> DataFrame:
+def connected_components(g: AccessGraph) -> DataFrame:
     """Undirected components; the component id is the smallest member key.
 
-    Minimum-label propagation plus pointer jumping (each vertex also takes the
-    label of its label), until a round changes no label; raises if that takes
-    more than ``max_rounds``.
+    Large-star / small-star steps over the vertex numbers (``operators.components``) until
+    every component is a star; no cap on rounds.  A vertex without edges is its own component.
     """
     kv, adj = _indexed(g)
-    comp = kv.select(F.col("vid").alias("v"), F.col("vid").alias("c"))
-    for step in range(1, max_rounds + 1):
-        nbr_min = (adj.join(comp.select(F.col("v").alias("n"), F.col("c").alias("nc")), on="n")
-                   .groupBy("v").agg(F.min("nc").alias("nc")))
-        stepped = (comp.join(nbr_min, on="v", how="left")
-                   .select("v", F.least("c", F.coalesce("nc", "c")).alias("c")))
-        jumped = (stepped.join(stepped.select(F.col("v").alias("c"), F.col("c").alias("cc")), on="c", how="left")
-                  .select("v", F.least("c", F.coalesce("cc", "c")).alias("c")))
-        jumped = _cut_lineage(jumped, step, checkpoint_every)
-        changed = (jumped.join(comp.select("v", F.col("c").alias("old")), on="v")
-                   .filter(F.col("c") != F.col("old")).limit(1).count())
-        comp = jumped
-        if changed == 0:
-            return _with_keys(kv, comp.select("v", F.col("c").alias("l")), "component")
-    raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
+    parts = components(adj, "v", "n")
+    labels = stored(kv.select("vid").join(parts, kv["vid"] == parts["node"], "left")
+                    .select(F.col("vid").alias("v"), F.coalesce("component", "vid").alias("l")), "component-labels")
+    return _with_keys(kv, labels, "component")
 
 
 def component_sizes(components: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logsmith.functions import logline as L
-from logsmith.operators.common import one_row_broadcast, percentile_threshold
+from logsmith.operators.common import one_row_broadcast, percentile_threshold, total_bytes
 
 
 def minute_client_rollup(logs: DataFrame) -> DataFrame:
@@ -24,14 +24,14 @@ def minute_client_rollup(logs: DataFrame) -> DataFrame:
     count), so a batch run scans the logs once for all three.
     """
     return (logs.groupBy(F.date_trunc("minute", F.col("timestamp")).alias("minute_ts"), "ip")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes_sum"),
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bytes").cast("decimal(38,0)")).alias("bytes_sum"),
                  F.count("bytes").alias("bytes_cnt")))
 
 
 def _client_rollup_aggs() -> list:
     return [F.sum("n").alias("access_count"), F.countDistinct("ip").alias("unique_ips"),
-            F.sum("bytes_sum").alias("total_bytes"),
-            (F.sum("bytes_sum") / F.sum("bytes_cnt")).alias("avg_bytes")]
+            total_bytes("bytes_sum").alias("total_bytes"),
+            (F.sum("bytes_sum").cast("double") / F.sum("bytes_cnt")).alias("avg_bytes")]
 
 
 def access_per_hour(logs: DataFrame, clients: DataFrame | None = None) -> DataFrame:
@@ -43,7 +43,7 @@ def access_per_hour(logs: DataFrame, clients: DataFrame | None = None) -> DataFr
     return (logs.groupBy("date", "hour")
             .agg(F.count(F.lit(1)).alias("access_count"),
                  F.countDistinct("ip").alias("unique_ips"),
-                 F.sum("bytes").alias("total_bytes"),
+                 total_bytes("bytes").alias("total_bytes"),
                  F.avg("bytes").alias("avg_bytes")))
 
 
@@ -57,7 +57,7 @@ def minute_rollup(logs: DataFrame) -> DataFrame:
     """
     return (logs.groupBy(F.date_trunc("minute", F.col("timestamp")).alias("minute_ts"),
                          "status", "status_category", "is_error")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes_sum")))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bytes").cast("decimal(38,0)")).alias("bytes_sum")))
 
 
 def per_minute_counts(logs: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
@@ -90,12 +90,12 @@ def top_urls(logs: DataFrame, top_n: int = 20, edges: DataFrame | None = None) -
     if edges is not None:
         per_url = (edges.groupBy(F.col("dst").alias("url"))
                    .agg(F.sum("weight").alias("hit_count"), F.count(F.lit(1)).alias("unique_visitors"),
-                        F.sum("total_bytes").alias("total_bytes")))
+                        total_bytes("total_bytes").alias("total_bytes")))
     else:
         per_url = (logs.groupBy("url")
                    .agg(F.count(F.lit(1)).alias("hit_count"),
                         F.countDistinct("ip").alias("unique_visitors"),
-                        F.sum("bytes").alias("total_bytes")))
+                        total_bytes("bytes").alias("total_bytes")))
     return per_url.orderBy(F.desc("hit_count"), F.asc("url")).limit(top_n)
 
 
@@ -109,12 +109,12 @@ def ip_activity(logs: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     if edges is not None:
         per_ip = (edges.groupBy(F.col("src").alias("ip"))
                   .agg(F.sum("weight").alias("request_count"), F.count(F.lit(1)).alias("unique_urls"),
-                       F.sum("total_bytes").alias("total_bytes"), F.sum("error_count").alias("error_count")))
+                       total_bytes("total_bytes").alias("total_bytes"), F.sum("error_count").alias("error_count")))
     else:
         per_ip = (logs.groupBy("ip")
                   .agg(F.count(F.lit(1)).alias("request_count"),
                        F.countDistinct("url").alias("unique_urls"),
-                       F.sum("bytes").alias("total_bytes"),
+                       total_bytes("bytes").alias("total_bytes"),
                        F.sum("is_error").alias("error_count")))
     return (per_ip
             .withColumn("error_rate",
@@ -133,8 +133,10 @@ def http_status(logs: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
     return logs.groupBy("status", "status_category").agg(F.count(F.lit(1)).alias("count"))
 
 
-def http_status_summary(logs: DataFrame) -> DataFrame:
-    """By status_category."""
+def http_status_summary(logs: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
+    """By status_category; from ``minute_rollup`` when given."""
+    if rollup is not None:
+        return rollup.groupBy("status_category").agg(F.sum("n").alias("count"))
     return logs.groupBy("status_category").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -159,7 +161,7 @@ def traffic_volume(logs: DataFrame, window: str = "10 minutes", clients: DataFra
                         "request_count", "total_bytes", "unique_ips", "avg_bytes"))
     return (logs.groupBy(F.window("timestamp", window).alias("w"))
             .agg(F.count(F.lit(1)).alias("request_count"),
-                 F.sum("bytes").alias("total_bytes"),
+                 total_bytes("bytes").alias("total_bytes"),
                  F.countDistinct("ip").alias("unique_ips"),
                  F.avg("bytes").alias("avg_bytes"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
@@ -214,7 +216,7 @@ def global_totals(logs: DataFrame) -> DataFrame:
     """Total requests, distinct ips, total bytes."""
     return logs.agg(F.count(F.lit(1)).alias("total_requests"),
                     F.countDistinct("ip").alias("unique_ips"),
-                    F.sum("bytes").alias("total_bytes"))
+                    total_bytes("bytes").alias("total_bytes"))
 
 
 # A10: the documented SQL forms, run through Spark SQL over the ``logs`` view.

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logsmith.operators.common import one_row_broadcast
+from logsmith.operators.common import one_row_broadcast, total_bytes
 
 # Metric names and the response-size histogram bounds with
 # their exposition labels (bounds are inclusive upper limits).
@@ -47,7 +47,7 @@ def metrics_snapshot(logs: DataFrame, anomalies: DataFrame | None = None,
                 .agg(F.sum("n").alias("n"), F.sum("bytes_sum").alias("b")))
     else:
         base = (logs.groupBy("status_category", "status", "is_error")
-                .agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")))
+                .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bytes").cast("decimal(38,0)")).alias("b")))
     if anomalies is not None:
         clients = anomalies.agg(F.count(F.lit(1)).alias("clients"),
                                 F.coalesce(F.sum("is_anomaly"), F.lit(0)).alias("flagged"))
@@ -94,7 +94,7 @@ def response_size_histogram(logs: DataFrame) -> DataFrame:
     One aggregation pass; the reference observed only the first 1,000 rows.
     """
     obs = logs.filter(F.col("bytes").isNotNull() & (F.col("bytes") != 0))
-    aggs = [F.count(F.lit(1)).alias("__count"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("__sum")]
+    aggs = [F.count(F.lit(1)).alias("__count"), F.coalesce(F.sum(F.col("bytes").cast("decimal(38,0)")), F.lit(0)).alias("__sum")]
     for i, (bound, _) in enumerate(SIZE_BUCKETS):
         cond = F.lit(True) if bound == float("inf") else (F.col("bytes") <= bound)
         aggs.append(F.count(F.when(cond, 1)).alias(f"__b{i}"))

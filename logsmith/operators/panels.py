@@ -37,12 +37,9 @@ def status_share(logs: DataFrame) -> DataFrame:
             .drop("total"))
 
 
-def score_histogram(scores: DataFrame, score_col: str = "max_z_score", width: float = 0.5,
-                    max_bucket: int = 20) -> DataFrame:
-    """D3: histogram of anomaly scores in buckets of ``width``; the last bucket is open-ended."""
-    # ``least`` skips NULLs, so a NULL score is kept NULL explicitly.
-    bucket = F.when(F.col(score_col).isNotNull(),
-                    F.least(F.floor(F.col(score_col) / width), F.lit(max_bucket)).cast("int"))
+def score_histogram(scores: DataFrame, score_col: str = "max_z_score", width: float = 0.5) -> DataFrame:
+    """D3: histogram of anomaly scores in buckets of ``width``; a NULL score has the NULL bucket."""
+    bucket = F.floor(F.col(score_col) / width).cast("int")
     return (scores.groupBy(bucket.alias("bucket"))
             .agg(F.count(F.lit(1)).alias("count"))
             .withColumn("bucket_start", F.col("bucket") * F.lit(width)))

@@ -127,14 +127,22 @@ def describe_columns(df: DataFrame, columns: list[str], digits: int = 6) -> Data
 
 def filter_logs(logs: DataFrame, start: str | None = None, end: str | None = None,
                 ip: str | None = None, status: int | None = None) -> DataFrame:
-    """The dashboard filters (time range ``[start, end)``, ip, status), all optional."""
+    """The dashboard filters (time range ``[start, end)``, ip, status), all optional.
+
+    ``start`` and ``end`` are anything Spark reads as a timestamp, with an offset or without
+    (then UTC).
+    """
     cond = F.lit(True)
-    # The ``date`` bounds are implied by the time range (``date`` is the UTC day
-    # of ``timestamp``); they let a date-partitioned table skip whole days.
+    # The ``date`` bounds are implied by the time range (``date`` is the UTC day of
+    # ``timestamp``), taken from the instant; they fold to literals and let a
+    # date-partitioned table skip whole days.
+    def day(bound):
+        return F.date_format(F.to_timestamp(F.lit(bound)), "yyyy-MM-dd")
+
     if start is not None:
-        cond = cond & (F.col("timestamp") >= F.to_timestamp(F.lit(start))) & (F.col("date") >= start[:10])
+        cond = cond & (F.col("timestamp") >= F.to_timestamp(F.lit(start))) & (F.col("date") >= day(start))
     if end is not None:
-        cond = cond & (F.col("timestamp") < F.to_timestamp(F.lit(end))) & (F.col("date") <= end[:10])
+        cond = cond & (F.col("timestamp") < F.to_timestamp(F.lit(end))) & (F.col("date") <= day(end))
     if ip is not None:
         cond = cond & (F.col("ip") == ip)
     if status is not None:

@@ -7,6 +7,7 @@ from logsmith.operators import graph as G
 from logsmith.operators import kpis
 from logsmith.plans import kpi_queries
 from logsmith.plans.anomaly_queries import EDGES_CTE
+from logsmith.plans.graph_queries import VERTICES_CTE
 from logsmith.plans.oracle import with_logs
 from logsmith.plans.registry import logs_table, register
 from logsmith.session import scratch_path
@@ -56,30 +57,57 @@ EDGES_SCHEMA = "src string, dst string, weight long, total_bytes long, error_cou
 def graph_export_roundtrip(spark, sf_dir):
     g = G.build_graph(logs_table(spark, sf_dir))
     _, e = sinks.export_graph(g.vertices, g.edges, scratch_path(spark, "graph"))
-    return spark.read.option("header", True).schema(EDGES_SCHEMA).csv(e)
+    return sinks.read_csv(spark, e, EDGES_SCHEMA)
+
+
+@register("graph_vertices_roundtrip", "S8", with_logs("SELECT id, type FROM vertices", VERTICES_CTE))
+def graph_vertices_roundtrip(spark, sf_dir):
+    g = G.build_graph(logs_table(spark, sf_dir))
+    v, _ = sinks.export_graph(g.vertices, g.edges, scratch_path(spark, "graph"))
+    return sinks.read_csv(spark, v, "id string, type string")
 
 
 @register("export_versions", "S6", with_logs(
     "SELECT 'run-0002' AS run_id, * FROM (" + ACCESS_PER_HOUR_SQL + ")"))
 def export_versions(spark, sf_dir):
-    """Two runs appended as partitions; the latest one is read back."""
+    """Two runs as partitions, the second written twice as a retry does; the latest is read back."""
     base = scratch_path(spark, "versions")
     table = kpis.access_per_hour(logs_table(spark, sf_dir))
     sinks.write_version(table, base, "run-0001")
     sinks.write_version(table, base, "run-0002")
+    sinks.write_version(table, base, "run-0002")
     return sinks.latest_version(spark, base)
 
 
-@register("export_bundle", "S7")
+def _exported_rows(spark, status):
+    """name, format, ok and the rows read back of each write of an export (its path differs by run).
+
+    The status table has a row per write, a few dozen."""
+    out = []
+    for r in status.collect():
+        rows = spark.read.csv(r.path, header=True) if r.format == "csv" else spark.read.format(r.format).load(r.path)
+        out.append((r.name, r.format, r.ok, rows.count()))
+    return spark.createDataFrame(out, "name string, format string, ok boolean, row_count long")
+
+
+_KPI_COUNTS = """
+SELECT k.kpi AS name, f.format, true AS ok, k.row_count
+FROM (SELECT 'access_per_hour' AS kpi, (SELECT count(*) FROM (SELECT DISTINCT date, hour FROM logs)) AS row_count
+      UNION ALL SELECT 'http_status', (SELECT count(*) FROM (SELECT DISTINCT status, status_category FROM logs))
+      UNION ALL SELECT 'errors', (SELECT count(*) FROM (SELECT DISTINCT status, url FROM logs WHERE status >= 400))
+      UNION ALL SELECT 'url_popularity', (SELECT count(*) FROM (SELECT DISTINCT url FROM logs))) k
+CROSS JOIN (SELECT unnest(['parquet', 'json', 'csv']) AS format) f"""
+
+
+@register("export_bundle", "S7", with_logs(_KPI_COUNTS))
 def export_bundle(spark, sf_dir):
+    """Four tables in three formats under a run id; the rows of each copy are read back."""
     logs = logs_table(spark, sf_dir)
-    tables = kpis.all_kpis(logs)
-    edges = G.graph_edges(logs)
-    tables["suspicious_ips"] = A.suspicious_ips(A.zscore_anomalies(A.client_features(logs)),
-                                                score_col="max_z_score")
-    tables["ip_connectivity"] = G.ip_connectivity(edges)
-    tables["url_popularity"] = G.url_popularity(edges)
-    return sinks.export_bundle(spark, tables, scratch_path(spark, "bundle"))
+    tables = {"access_per_hour": kpis.access_per_hour(logs), "http_status": kpis.http_status(logs),
+              "errors": kpis.errors(logs), "url_popularity": G.url_popularity(G.graph_edges(logs))}
+    status = sinks.export_bundle(spark, tables, scratch_path(spark, "bundle"), run_id="run-0001",
+                                 single_file=frozenset({"http_status"}))
+    return _exported_rows(spark, status)
 
 
 @register("batch_report", "A9 S7 (batch run mode)")

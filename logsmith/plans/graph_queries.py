@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from logsmith.operators import graph as G
 from logsmith.plans.anomaly_queries import EDGES_CTE
 from logsmith.plans.oracle import with_logs
@@ -152,3 +154,41 @@ SELECT dst AS url, weight AS visit_count, total_bytes, error_count FROM edges
 WHERE src = '{NEIGHBOR_IP}' ORDER BY visit_count DESC, url ASC LIMIT 20""", EDGES_CTE))
 def ip_neighbors(spark, sf_dir):
     return G.ip_neighbors(graph_of(spark, sf_dir).edges, NEIGHBOR_IP)
+
+
+# Many components: clients and urls of the whole table are split into 40 sites by client, and
+# half the urls of a site are its own, so that the sites do not touch.
+SITES = 40
+SITE_CTES = f"""slogs AS (
+  SELECT 's' || CAST(site AS VARCHAR) || '-' || ip AS ip, '/s' || CAST(site AS VARCHAR) || url AS url, bytes, is_error
+  FROM (SELECT *, (length(ip) * 7 + CAST(ascii(substr(ip, length(ip), 1)) AS BIGINT) * 3
+                   + CAST(ascii(substr(ip, length(ip) - 1, 1)) AS BIGINT) * 11) % {SITES} AS site FROM logs)),
+edges AS (
+  SELECT ip AS src, url AS dst, count(*) AS weight, CAST(sum(bytes) AS BIGINT) AS total_bytes,
+         CAST(sum(is_error) AS BIGINT) AS error_count
+  FROM slogs GROUP BY ip, url),
+vertices AS (SELECT DISTINCT src AS id, 'ip' AS type FROM edges UNION ALL SELECT DISTINCT dst AS id, 'url' AS type FROM edges)"""
+SITE_GRAPH_CTES = SITE_CTES + GRAPH_CTES[GRAPH_CTES.index(",\nadj AS"):]
+
+
+def site_graph(spark, sf_dir) -> G.AccessGraph:
+    logs = logs_table(spark, sf_dir)
+    at = lambda back: F.ascii(F.substring("ip", -back, 1)).cast("long")
+    site = ((F.length("ip") * 7 + at(1) * 3 + F.ascii(F.expr("substring(ip, length(ip) - 1, 1)")).cast("long") * 11)
+            % SITES).cast("string")
+    return G.build_graph(logs.withColumn("_site", site)
+                         .withColumn("ip", F.concat(F.lit("s"), "_site", F.lit("-"), "ip"))
+                         .withColumn("url", F.concat(F.lit("/s"), "_site", "url")))
+
+
+@register("communities_multi", "G6", with_logs(
+    "SELECT id, type, label FROM communities", SITE_GRAPH_CTES + ",\n" + _lpa_ctes(LPA_STEPS)))
+def communities_multi(spark, sf_dir):
+    return G.label_propagation(site_graph(spark, sf_dir), max_iter=LPA_STEPS)
+
+
+@register("connected_components_multi", "G9", with_logs(
+    "SELECT id, type, component FROM components",
+    SITE_GRAPH_CTES + CC_CTES[CC_CTES.index(",\nreach(v, r)"):]))
+def connected_components_multi(spark, sf_dir):
+    return G.connected_components(site_graph(spark, sf_dir))

@@ -98,7 +98,7 @@ def panel_status_share(spark, sf_dir):
     return D.status_share(logs_table(spark, sf_dir))
 
 
-_BUCKET = "CASE WHEN max_z_score IS NULL THEN NULL ELSE CAST(least(floor(max_z_score / 0.5), 20) AS INTEGER) END"
+_BUCKET = "CASE WHEN max_z_score IS NULL THEN NULL ELSE CAST(floor(max_z_score / 0.5) AS INTEGER) END"
 
 
 @register("panel_score_histogram", "D3", with_logs(f"""

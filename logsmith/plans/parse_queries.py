@@ -90,6 +90,17 @@ def filter_logs(spark, sf_dir):
                                status=FILTER_STATUS)
 
 
+OFFSET_START, OFFSET_END = "2024-1-8 00:00:00+09:00", "2024-01-14 23:00:00-05:00"
+
+
+@register("filter_logs_offset", "P13", with_logs(
+    f"SELECT {LOG_SELECT} FROM logs WHERE \"timestamp\" >= TIMESTAMP '2024-01-07 15:00:00' "
+    "AND \"timestamp\" < TIMESTAMP '2024-01-15 04:00:00'"))
+def filter_logs_offset(spark, sf_dir):
+    """Bounds with offsets and a one-digit month."""
+    return parsing.filter_logs(logs_table(spark, sf_dir), start=OFFSET_START, end=OFFSET_END)
+
+
 @register("stored_logs_filter", "P13 S3 (date-partitioned logs table)", with_logs(
     f"SELECT {LOG_SELECT} FROM logs WHERE \"timestamp\" >= TIMESTAMP '{FILTER_START}' "
     f"AND \"timestamp\" < TIMESTAMP '{FILTER_END}' AND status = {FILTER_STATUS}"))

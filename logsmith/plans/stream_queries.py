@@ -128,7 +128,7 @@ def stream_late_drops(spark, sf_dir):
     by the restarted query (same checkpoint), 20 days behind the watermark, so
     all of its rows are dropped.  The sink then holds the first delivery's windows.
     """
-    ev = spread(read_table(spark, sf_dir, "events"), f"{sf_dir.rstrip('/')}/events.parquet", "event_id")
+    ev = spread(read_table(spark, sf_dir, "events"), "event_id")
     line = event_line(*[F.col(c) for c in ["event_id", "ts", "user_id", "event_type", "value", "props"]])
     cut = F.lit(LATE_FROM).cast("timestamp_ntz")
     src = scratch_path(spark, "late-src")

@@ -2,9 +2,9 @@
 
 Batch: the raw lines are parsed once into the date-partitioned logs table;
 every later table reads that Parquet table (column pruning, pushed filters).
-Small derived tables that several steps reuse (client features, the (ip, url)
+Derived tables that several steps reuse (client features, the (ip, url)
 edges, the minute x status and minute x client rollups) are written once as
-reliable checkpoints: several reports are re-aggregations of them instead of
+Parquet scratch tables: several reports are re-aggregations of them instead of
 scans of the logs, and a lost executor does not send any step back to the raw text.  Every export is
 computed once (Parquet) and copied to JSON/CSV from that copy.
 """
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logsmith.operators import anomaly as A
 from logsmith.operators import graph as G
 from logsmith.operators import kpis, metrics, panels
+from logsmith.scratch import stored
 from logsmith.session import apply_defaults
 from logsmith.sources import sinks
 from logsmith.sources.logstore import parse_and_store, read_logs_table
@@ -47,52 +48,70 @@ PRESENTATION = {
 }
 
 
+#: Tables with a number of rows bounded by construction: their CSV copy is one file.
+SMALL_TABLES = frozenset({"top_urls", "top_ips", "http_status", "suspicious_ips", "suspicious_ips_zscore",
+                          "kmeans_quality", "anomalous_top_urls", "anomalous_by_hour", "anomalous_error_codes",
+                          "status_summary", "parse_rejects", "metrics", "response_size_histogram",
+                          "panel_overview", "community_samples"})
+
+
 def run_batch_report(spark: SparkSession, lines: DataFrame, output_dir: str, k: int = 5,
-                     lpa_steps: int = 5) -> DataFrame:
-    """Parse, KPIs, anomaly scoring, graph analysis and exports; returns the export status table."""
+                     lpa_steps: int = 5, run_id: str | None = None) -> DataFrame:
+    """Parse, KPIs, anomaly scoring, graph analysis and exports; returns the export status table.
+
+    The exports of a run go under ``metrics/run_id=<run_id>`` (default: the time), so earlier
+    runs stay.  KPIs are exported before any model is fitted.
+    """
     apply_defaults(spark)
     out = output_dir.rstrip("/")
+    run_id = run_id or sinks.new_run_id()
     rejects = parse_and_store(lines, f"{out}/logs")     # the only pass over the raw text
     logs = read_logs_table(spark, f"{out}/logs")
 
+    def export(tables: dict[str, DataFrame]) -> DataFrame:
+        return sinks.export_bundle(spark, tables, f"{out}/metrics", order=PRESENTATION,
+                                   single_file=SMALL_TABLES, run_id=run_id)
+
     # per-minute x status counts, built once; status, peaks, counters and the
     # error-rate alert read it instead of the logs table
-    rollup = kpis.minute_rollup(logs).checkpoint(eager=True)
+    rollup = stored(kpis.minute_rollup(logs), "report-rollup")
     # one edge per (ip, url), built once: top urls/ips, the vertex list and every
     # graph table are re-aggregations of it
-    edges = G.graph_edges(logs).checkpoint(eager=True)
+    edges = stored(G.graph_edges(logs), "report-edges")
     # requests per (minute, client): the hourly, per-minute and 10-minute tables
-    clients = kpis.minute_client_rollup(logs).checkpoint(eager=True)
+    clients = stored(kpis.minute_client_rollup(logs), "report-clients")
     tables = kpis.all_kpis(logs, rollup, edges, clients)
+    tables["status_summary"] = kpis.http_status_summary(logs, rollup)
     tables["parse_rejects"] = rejects
+    status = export(tables)
 
-    features = A.client_features(logs).checkpoint(eager=True)
+    features = stored(A.client_features(logs), "report-features")
     zs = A.zscore_anomalies(features)
-    km_in = A.kmeans_input(features).checkpoint(eager=True)
+    km_in = stored(A.kmeans_input(features), "report-kmeans")
     model = A.fit_kmeans(km_in, k=k)
     km = A.kmeans_anomalies(model.transform(km_in))
-    tables["suspicious_ips"] = A.suspicious_ips(km)
-    tables["suspicious_ips_zscore"] = A.suspicious_ips(zs, score_col="max_z_score")
-    tables["kmeans_quality"] = A.kmeans_quality(model.transform(km_in), model)
-    flagged_logs = A.anomalous_requests(logs, zs)
-    tables["anomalous_top_urls"] = A.anomalous_top_urls(flagged_logs)
-    tables["anomalous_by_hour"] = A.anomalous_by_hour(flagged_logs)
-
+    flagged_logs = A.anomalous_requests(logs, km)
     g = G.AccessGraph(G.vertices_from_edges(edges), edges)
-    communities = G.label_propagation(g, max_iter=lpa_steps).checkpoint(eager=True)
-    tables["ip_connectivity"] = G.ip_connectivity(edges)
-    tables["url_popularity"] = G.url_popularity(edges)
-    tables["community_sizes"] = G.community_sizes(communities)
-    tables["high_error_edges"] = G.high_error_edges(edges)
-    tables["error_ips"] = G.error_ips(edges)
-    tables["rule_labels"] = A.rule_labels(features, edges)
-
-    tables["metrics"] = metrics.metrics_snapshot(logs, zs, rollup)
-    tables["response_size_histogram"] = metrics.response_size_histogram(logs)
-    tables["panel_overview"] = panels.overview(logs)
-    tables["alert_error_rate"] = panels.alert_error_rate(logs, rollup=rollup)
-
-    status = sinks.export_bundle(spark, tables, f"{out}/metrics", order=PRESENTATION)
+    communities = stored(G.label_propagation(g, max_iter=lpa_steps), "report-communities")
+    status = status.unionByName(export({
+        "suspicious_ips": A.suspicious_ips(km),
+        "suspicious_ips_zscore": A.suspicious_ips(zs, score_col="max_z_score"),
+        "kmeans_quality": A.kmeans_quality(model.transform(km_in), model),
+        "anomalous_top_urls": A.anomalous_top_urls(flagged_logs),
+        "anomalous_by_hour": A.anomalous_by_hour(flagged_logs),
+        "anomalous_error_codes": A.anomalous_error_codes(flagged_logs),
+        "ip_connectivity": G.ip_connectivity(edges),
+        "url_popularity": G.url_popularity(edges),
+        "community_sizes": G.community_sizes(communities),
+        "community_samples": G.community_samples(communities),
+        "high_error_edges": G.high_error_edges(edges),
+        "error_ips": G.error_ips(edges),
+        "rule_labels": A.rule_labels(features, edges),
+        "metrics": metrics.metrics_snapshot(logs, A.kmeans_output(km), rollup),
+        "response_size_histogram": metrics.response_size_histogram(logs),
+        "panel_overview": panels.overview(logs),
+        "alert_error_rate": panels.alert_error_rate(logs, rollup=rollup),
+    }))
     sinks.export_graph(g.vertices, edges, out)
     return status
 
@@ -101,7 +120,11 @@ def start_live_stream(spark: SparkSession, source_dir: str, output_dir: str,
                       max_files_per_trigger: int | None = 1, processing_time: str | None = S.TRIGGER,
                       available_now: bool = False, state_partitions: int | None = None) -> dict:
     """The streaming mode: parsed rows and window metrics to Parquet, per-minute
-    series to the memory table ``live_minutes``; returns the started queries."""
+    series to the memory table ``live_minutes``; returns the started queries.
+
+    Started again on the same output, the Parquet queries go on from their checkpoints.  The
+    memory table cannot be recovered: it has no checkpoint and is rebuilt from the source.
+    """
     apply_defaults(spark)
     out = output_dir.rstrip("/")
     parsed = S.parsed_log_stream(spark, source_dir, max_files_per_trigger)
@@ -113,5 +136,5 @@ def start_live_stream(spark: SparkSession, source_dir: str, output_dir: str,
                                              "streaming_metrics", processing_time, available_now,
                                              partitions=state_partitions),
         "live_minutes": S.write_to_memory(S.minute_counts(parsed), "live_minutes", processing_time,
-                                          available_now, checkpoint_dir=ckpt, partitions=state_partitions),
+                                          available_now, partitions=state_partitions),
     }

@@ -57,28 +57,22 @@ def event_line(event_id: Column, ts: Column, user_id: Column, event_type: Column
     return F.when(event_id % 101 == 0, F.concat(F.lit("junk "), event_id.cast("string"))).otherwise(line)
 
 
-_SCAN_PARTITIONS: dict[str, int] = {}
+#: Ranges of event ids that the lines are built in, whatever the cluster or the file.
+FIXTURE_RANGES = 16
 
 
-def spread(df: DataFrame, key: str, order_col: str) -> DataFrame:
-    """Range-partition a scan that has fewer partitions than the cluster has cores.
+def spread(df: DataFrame, order_col: str) -> DataFrame:
+    """The fixture's rows in FIXTURE_RANGES ranges of ``order_col``.
 
-    The driver's tables are single Parquet files with one row group, which scan
-    as one task; the per-line work after them (building and parsing lines) is
-    CPU-bound, so it is spread first.  Ranges of ``order_col`` (increasing with
-    time) keep each task's rows contiguous in time, as splits of time-ordered
-    log files are, so a date-partitioned write makes few files per task.  A scan
-    of many files is left as it is.  The scan's partition count is planned once
-    per path and remembered.
+    The driver's tables are single files with one row group, which scan as one task.  Ranges
+    (event ids rise with time) keep each task's rows contiguous in time, as splits of
+    time-ordered log files are.  Only the fixture does this; log files are read as they are.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if key not in _SCAN_PARTITIONS:
-        _SCAN_PARTITIONS[key] = df.rdd.getNumPartitions()
-    return df.repartitionByRange(target, order_col) if _SCAN_PARTITIONS[key] < target else df
+    return df.repartitionByRange(FIXTURE_RANGES, order_col)
 
 
 def event_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ``value: string`` row per event, like ``spark.read.text`` gives."""
-    ev = spread(read_table(spark, sf_dir, "events"), f"{sf_dir.rstrip('/')}/events.parquet", "event_id")
+    ev = spread(read_table(spark, sf_dir, "events"), "event_id")
     return ev.select(event_line(F.col("event_id"), F.col("ts"), F.col("user_id"), F.col("event_type"),
                                 F.col("value"), F.col("props")).alias("value"))

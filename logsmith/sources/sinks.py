@@ -1,13 +1,14 @@
 """Batch sinks and exports.
 
 * Parquet / JSON lines / CSV writers, overwrite by default.
-* A single-file CSV export (``coalesce(1)``) only behind a size check (stored bytes or rows);
-  past the limit the table is written as a normal multi-part CSV directory.
-  The part file is renamed through the Hadoop FileSystem API, so the export
-  works on HDFS / object stores as well as on local disk.
-* Versioned exports: each run appends a ``run_id=<id>`` partition instead of
-  moving the previous files to an archive folder; the latest version is
-  ``max(run_id)``, read with partition pruning.
+* A single-file CSV export (``coalesce(1)``) for tables that the caller knows to
+  be small by construction (a top-k, a status table); everything else is a
+  directory, at any size.  The part file is renamed through the Hadoop
+  FileSystem API, so it works on HDFS / object stores as well as on local disk.
+* CSV tells NULL (``\\N``) from the empty string on both sides.
+* Versioned exports: each run overwrites its own ``run_id=<id>`` partition
+  instead of moving the previous files to an archive folder; the latest version
+  is found by listing the folders and read with a literal partition filter.
 * A bundle export materialises each table once (Parquet), then writes JSON
   and CSV from that copy (sorted for presentation), and reports each write's
   outcome as a row.
@@ -21,8 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SINGLE_FILE_MAX_ROWS = 1_000_000
-SINGLE_FILE_MAX_BYTES = 256 * 1024 * 1024
+CSV_OPTIONS = {"header": "true", "nullValue": "\\N", "emptyValue": ""}
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
@@ -42,52 +42,42 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
     return path
 
 
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Read back what ``write_csv`` or ``write_single_csv`` wrote."""
+    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes under ``path`` according to the file system (no Spark job)."""
-    p, fs = _fs(spark, path)
-    return int(fs.getContentSummary(p).getLength())
-
-
-def write_single_csv(df: DataFrame, out_file: str, max_rows: int = SINGLE_FILE_MAX_ROWS,
-                     source_bytes: int | None = None, max_bytes: int = SINGLE_FILE_MAX_BYTES) -> str:
-    """One CSV file with a header at ``out_file`` (a result-sized table).
+def write_single_csv(df: DataFrame, out_file: str) -> str:
+    """One CSV file with a header at ``out_file``, written by one task.
 
-    The size is checked first: ``source_bytes`` (the stored size of the table
-    being copied, when known) against ``max_bytes``, otherwise a row count
-    against ``max_rows``.  A table past the limit is written as a multi-part
-    directory at ``out_file`` instead of being funnelled through one task.
-    Returns ``"file"`` or ``"directory"``.
+    For tables bounded by construction: calling it says that ``df`` is one.  An existing file
+    is replaced only once the new one is complete.
     """
     spark = df.sparkSession
-    too_big = source_bytes > max_bytes if source_bytes is not None else df.count() > max_rows
-    if too_big:
-        write_csv(df, out_file)
-        return "directory"
     tmp = out_file.rstrip("/") + "._tmp"
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(tmp)
+    df.coalesce(1).write.mode("overwrite").options(**CSV_OPTIONS).csv(tmp)
     tmp_path, fs = _fs(spark, tmp)
     parts = [s.getPath() for s in fs.listStatus(tmp_path) if s.getPath().getName().startswith("part-")]
     target, _ = _fs(spark, out_file)
     if fs.exists(target):
         fs.delete(target, True)
-    if parts:
-        fs.rename(parts[0], target)
+    if not parts or not fs.rename(parts[0], target):
+        raise OSError(f"could not move the file under {tmp} to {out_file}; the data is still there")
     fs.delete(tmp_path, True)
-    return "file"
+    return out_file
 
 
-def read_single_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.option("header", True).schema(schema).csv(path)
+read_single_csv = read_csv
 
 
 def new_run_id() -> str:
@@ -96,18 +86,26 @@ def new_run_id() -> str:
 
 
 def write_version(df: DataFrame, base: str, run_id: str | None = None, fmt: str = "parquet") -> str:
-    """Append this run as partition ``run_id=<run_id>`` of ``base`` (default: now)."""
+    """Write this run as partition ``run_id=<run_id>`` of ``base`` (default: now).
+
+    Only that partition is overwritten, so a retry under the same id does not repeat rows.
+    """
     run_id = run_id or new_run_id()
-    (df.withColumn("run_id", F.lit(run_id)).write.mode("append")
-     .partitionBy("run_id").format(fmt).save(base))
+    df.write.mode("overwrite").format(fmt).save(f"{base.rstrip('/')}/run_id={run_id}")
     return base
 
 
+def run_ids(spark: SparkSession, base: str) -> list[str]:
+    """Ids of the runs under ``base``, by listing its folders."""
+    path, fs = _fs(spark, base)
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    return sorted(n.removeprefix("run_id=") for n in names if n.startswith("run_id="))
+
+
 def latest_version(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
-    """The rows of the newest run (``max(run_id)``); the filter prunes partitions."""
-    all_runs = spark.read.format(fmt).load(base)
-    latest = all_runs.agg(F.max("run_id").alias("run_id"))
-    return all_runs.join(F.broadcast(latest), on="run_id", how="left_semi")
+    """The rows of the newest run (``max(run_id)``); the literal filter prunes all other folders."""
+    all_runs = spark.read.format(fmt).option("basePath", base).load(base)
+    return all_runs.filter(F.col("run_id") == F.lit(run_ids(spark, base)[-1]))
 
 
 def sort_columns(spec: list[str]) -> list:
@@ -129,18 +127,19 @@ BUNDLE_SCHEMA = "name string, format string, ok boolean, error string, path stri
 
 def export_bundle(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
                   formats: tuple[str, ...] = ("parquet", "json", "csv"),
-                  order: dict | None = None, max_bytes: int = SINGLE_FILE_MAX_BYTES) -> DataFrame:
+                  order: dict | None = None, single_file: frozenset[str] = frozenset(),
+                  run_id: str | None = None) -> DataFrame:
     """Every table to Parquet, JSON and CSV; one failure does not stop the rest.
 
-    Each table is computed once: written to Parquet first, and the JSON and CSV
-    copies are written from that Parquet copy.  ``order`` maps a table name to
-    column names (``-name`` for descending) for the copies.  A copy whose stored
-    Parquet size is within ``max_bytes`` is one file sorted in one task (no
-    shuffle, no sampling job); a larger one is range-sorted across the cluster
-    and written as a directory.  Returns one status row per write.
+    Each table is computed once: written to Parquet first, and the JSON and CSV copies are
+    written from that Parquet copy.  ``order`` maps a table name to column names (``-name``
+    for descending) for the copies.  Copies are directories, range-sorted across the cluster;
+    ``single_file`` names tables bounded by construction, whose CSV is one file.  With
+    ``run_id`` everything goes under ``run_id=<run_id>``, so earlier exports stay.  Returns
+    one status row per write, also for copies that were not tried because the table failed.
     """
     order = order or {}
-    out_dir = out_dir.rstrip("/")
+    out_dir = out_dir.rstrip("/") + (f"/run_id={run_id}" if run_id else "")
     results: list[ExportResult] = []
     for name, df in tables.items():
         pq = f"{out_dir}/parquet/{name}"
@@ -148,15 +147,14 @@ def export_bundle(spark: SparkSession, tables: dict[str, DataFrame], out_dir: st
             write_parquet(df, pq)
             results.append(ExportResult(name, "parquet", True, "", pq))
         except Exception as e:  # noqa: BLE001 - reported as a status row
-            results.append(ExportResult(name, "parquet", False, str(e)[:500], pq))
+            results += [ExportResult(name, f, False, str(e)[:500], pq if f == "parquet" else f"{out_dir}/{f}/{name}.{f}")
+                        for f in ("parquet", *(f for f in formats if f != "parquet"))]
             continue
         saved = spark.read.parquet(pq)
-        small = stored_bytes(spark, pq) <= max_bytes
         sort = sort_columns(order[name]) if name in order else None
-        if small:
+        if name in single_file:
             saved = saved.coalesce(1)
-            if sort:
-                saved = saved.sortWithinPartitions(*sort)
+            saved = saved.sortWithinPartitions(*sort) if sort else saved
         elif sort:
             saved = saved.orderBy(*sort)
         for fmt in formats:
@@ -167,10 +165,7 @@ def export_bundle(spark: SparkSession, tables: dict[str, DataFrame], out_dir: st
                 if fmt == "json":
                     write_json(saved, path)
                 elif fmt == "csv":
-                    if small:
-                        write_single_csv(saved, path, source_bytes=0)
-                    else:
-                        write_csv(saved, path)
+                    (write_single_csv if name in single_file else write_csv)(saved, path)
                 else:
                     raise ValueError(f"unknown format {fmt}")
                 results.append(ExportResult(name, fmt, True, "", path))

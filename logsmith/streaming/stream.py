@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logsmith.functions.logline import minute_of
+from logsmith.operators.common import total_bytes
 from logsmith.operators.parsing import parse_stream
 from logsmith.sources.text import read_log_stream
 
@@ -42,7 +43,7 @@ def window_metrics(parsed: DataFrame, watermark: str = WATERMARK, window: str =
             .groupBy(F.window("timestamp", window, slide))
             .agg(F.count(F.lit(1)).alias("request_count"),
                  F.approx_count_distinct("ip").alias("unique_ips"),
-                 F.sum("bytes").alias("total_bytes"),
+                 total_bytes("bytes").alias("total_bytes"),
                  F.sum("is_error").alias("error_count")))
 
 

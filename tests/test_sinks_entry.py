@@ -11,33 +11,44 @@ from logsmith.sources import sinks
 from logsmith.sources.fixtures import event_log_lines
 
 
-def test_single_csv_and_fallback(spark, tmpdir_fresh):
+def test_single_csv_and_directory(spark, tmpdir_fresh):
     logs = parse_logs(event_log_lines(spark, SF_SMALL))
     table = kpis.http_status_summary(logs)
     f = os.path.join(tmpdir_fresh, "summary.csv")
-    assert sinks.write_single_csv(table, f) == "file"
+    assert sinks.write_single_csv(table, f) == f
     assert os.path.isfile(f)
     with open(f) as fh:
         assert fh.readline().strip() == "status_category,count"
-    d = os.path.join(tmpdir_fresh, "big.csv")
-    assert sinks.write_single_csv(table, d, max_rows=1) == "directory"
+    d = os.path.join(tmpdir_fresh, "any.csv")
+    sinks.write_csv(table, d)
     assert os.path.isdir(d)
 
 
+def test_csv_tells_null_from_empty(spark, tmpdir_fresh):
+    table = spark.createDataFrame([("", 1), (None, 2), ("a\"b\\c", 3)], "url string, n int")
+    f = os.path.join(tmpdir_fresh, "urls.csv")
+    sinks.write_single_csv(table, f)
+    assert sorted(sinks.read_csv(spark, f, "url string, n int").collect(), key=lambda r: r.n) == table.collect()
+
+
 def test_versions_latest(spark, tmpdir_fresh):
     base = os.path.join(tmpdir_fresh, "versions")
     a = spark.createDataFrame([(1,), (2,)], "x int")
     b = spark.createDataFrame([(3,)], "x int")
     sinks.write_version(a, base, "20240101_000000")
     sinks.write_version(b, base, "20240102_000000")
-    assert [r.x for r in sinks.latest_version(spark, base).collect()] == [3]
+    sinks.write_version(b, base, "20240102_000000")   # a retry of the same run
+    latest = sinks.latest_version(spark, base)
+    assert [r.x for r in latest.collect()] == [3]
+    assert "run_id" in latest._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1][:80]
 
 
 def test_bundle_reports_each_write(spark, tmpdir_fresh):
     logs = parse_logs(event_log_lines(spark, SF_SMALL))
     tables = {"http_status": kpis.http_status(logs), "peaks": kpis.peaks(logs)}
-    status = sinks.export_bundle(spark, tables, tmpdir_fresh).collect()
+    status = sinks.export_bundle(spark, tables, tmpdir_fresh, single_file=frozenset({"http_status"})).collect()
     assert len(status) == 6 and all(r.ok for r in status)
+    assert os.path.isdir(os.path.join(tmpdir_fresh, "csv", "peaks.csv"))
     assert os.path.isfile(os.path.join(tmpdir_fresh, "csv", "http_status.csv"))
 
 
@@ -54,7 +65,7 @@ def test_entry_and_contract(spark):
 def test_every_oracle_text_runs_in_duckdb():
     import __spark_entry__ as E
     con = duckdb.connect()
-    for t in ("events",):
+    for t in ("events", "documents", "pages", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     for name, sql in E.oracle_sql().items():
         con.execute(sql).fetchall()
