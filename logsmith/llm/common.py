@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsmith.session import scratch_path
+from logsmith.operators.components import connected_components
+from logsmith.scratch import stored
+
+__all__ = ["WORD_PATTERN", "connected_components", "crc_of_id", "read_table", "small_arrow_batches", "stored"]
 
 #: White space that parts words: 0x20 and 0x09-0x0D.  Everything else is part of a word.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -17,18 +18,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
-
-    Cuts lineage with a replicated copy that survives a lost executor, lets later reads
-    prune columns, and gives joins plain scans on both sides, so that adaptive execution
-    can split a hot key.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def small_arrow_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Bound the rows of one Arrow batch: texts can be very long."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
@@ -39,43 +28,3 @@ def crc_of_id(column: str | Column = "doc_id") -> Column:
     """crc32 of the id as text; a null id counts as the empty text."""
     col = F.col(column) if isinstance(column, str) else column
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary"))
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
-def _fingerprint(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
-    return row[0], row[1] or 0
-
-
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """Components of an undirected graph: rows (node, component), component the smallest node.
-
-    ``edges`` holds pairs of longs; loops and repeats are allowed, rows with a null end are
-    ignored, and only nodes with an edge to another node are returned.  Alternating
-    large-star and small-star steps run until the edge set stands still, with no cap on
-    rounds.  Every minimum is a partial aggregation and every join has stored tables on both
-    sides, so a hub or a giant component is split by the adaptive skew join; nothing is
-    collected.  An empty graph gives no rows.
-    """
-    e = stored(edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-               .where(F.col(a).isNotNull() & F.col(b).isNotNull()).where("a < b").distinct(), "cc-edges")
-    state = _fingerprint(e)
-    while state[0]:
-        both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = stored(both.groupBy("a").agg(F.min("b").alias("low")), "cc-low")
-        large = e.join(low, "a").select(F.least("a", "low").alias("a"), "b").where("a < b").distinct()
-        large = stored(large, "cc-large")
-        low = stored(large.groupBy("b").agg(F.min("a").alias("low")), "cc-low")
-        small = large.join(low, "b").select("a", "b", "low")
-        e = stored(small.select(F.col("low").alias("a"), "b")
-                   .union(small.where("low < a").select(F.col("low").alias("a"), F.col("a").alias("b")))
-                   .distinct(), "cc-edges")
-        new = _fingerprint(e)
-        if new == state:
-            break
-        state = new
-    return e.select(F.col("b").alias("node"), F.col("a").alias("component")).union(
-        e.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
