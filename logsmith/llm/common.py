@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from logsmith.operators.components import connected_components
 from logsmith.scratch import stored
 
-__all__ = ["WORD_PATTERN", "connected_components", "crc_of_id", "read_table", "small_arrow_batches", "stored"]
+__all__ = ["WORD_PATTERN", "connected_components", "crc_of_id", "read_table", "small_arrow_batches", "stored",
+           "text_chars"]
 
 #: White space that parts words: 0x20 and 0x09-0x0D.  Everything else is part of a word.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -28,3 +29,8 @@ def crc_of_id(column: str | Column = "doc_id") -> Column:
     """crc32 of the id as text; a null id counts as the empty text."""
     col = F.col(column) if isinstance(column, str) else column
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary"))
+
+
+def text_chars(texts: DataFrame) -> int:
+    """Characters in all texts."""
+    return texts.agg(F.sum(F.char_length("text"))).first()[0] or 0

@@ -13,9 +13,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Slots of the repeat filter; as bits 32 MB when broadcast, at any corpus size.  Far beyond
-#: that many keys it lets most keys pass, which costs time and changes no result.
-FILTER_BITS = 28
+#: Slots of the repeat filter: about two for each key expected, up to 2**28, 32 MB as bits.  Far
+#: beyond that many keys it lets most keys pass, which costs time and changes no result.
+FILTER_BITS_LEAST, FILTER_BITS_MOST = 20, 28
 #: Counters of the frequency sketch; as byte levels 4 MB when broadcast.
 LEVEL_BITS = 22
 PARTS = 64
@@ -100,20 +100,24 @@ def _sketch(df: DataFrame, extract, bits: int, most: int, finish) -> dict[int, b
     return {r["part"]: bytes(r["value"]) for r in rows}
 
 
-def repeat_filter(df: DataFrame, extract) -> np.ndarray:
-    """A bit per slot: set where keys (uint64 arrays from ``extract(batch)``) fall at least twice."""
-    parts = _sketch(df, extract, FILTER_BITS, 2, lambda part, total: pd.DataFrame(
+def repeat_filter(df: DataFrame, extract, expected: int) -> np.ndarray:
+    """A bit per slot: set where keys (uint64 arrays from ``extract(batch)``) fall at least twice.
+
+    ``expected`` is about how many keys there are.
+    """
+    bits = min(max(int(expected).bit_length() + 1, FILTER_BITS_LEAST), FILTER_BITS_MOST)
+    parts = _sketch(df, extract, bits, 2, lambda part, total: pd.DataFrame(
         {"part": [part], "value": [np.packbits(total >= 2).tobytes()]}))
-    width = (1 << FILTER_BITS) // PARTS // 8
-    bits = np.zeros(PARTS * width, dtype=np.uint8)
+    width = (1 << bits) // PARTS // 8
+    out = np.zeros(PARTS * width, dtype=np.uint8)
     for part, value in parts.items():
-        bits[part * width:(part + 1) * width] = np.frombuffer(value, np.uint8)
-    return bits
+        out[part * width:(part + 1) * width] = np.frombuffer(value, np.uint8)
+    return out
 
 
 def may_repeat(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Whether each key may occur twice: never false for one that does."""
-    slots = (keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    slots = (keys >> np.uint64(64 - (len(bits) * 8).bit_length() + 1)).astype(np.int64)
     return (bits[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1 == 1
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsmith.llm.common import connected_components, small_arrow_batches, stored
+from logsmith.llm.common import connected_components, small_arrow_batches, stored, text_chars
 from logsmith.llm.sketches import may_repeat, repeat_filter
 from logsmith.llm.words import mix, shingle_hashes, sliding, word_hashes, words_and_lines
 
@@ -239,7 +239,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     small_arrow_batches(spark, 1000)
-    bits = spark.sparkContext.broadcast(repeat_filter(docs.select("text"), _values))
+    texts = docs.select("text")
+    bits = spark.sparkContext.broadcast(repeat_filter(texts, _values, text_chars(texts) // 40))
     keyed = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), _doc_key().alias("doc_key")).alias("id"),
                         "text")
     shared = stored(keyed.mapInArrow(_shared_units(bits), _SHARED_SCHEMA), "repeat-shared")
