@@ -39,6 +39,8 @@ BANDS, ROWS = 10, 3
 EXCERPT_WORDS = 20
 GAP = MIN_WORDS - EXCERPT_WORDS - SHINGLE_WORDS + 2  # so that a shared run of MIN_WORDS holds a shared excerpt
 
+EXCERPT, PARAGRAPH = 0, 1
+
 _rng = np.random.default_rng(75)
 _MULTIPLY = _rng.integers(1, 2 ** 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 _ADD = _rng.integers(0, 2 ** 63, BANDS * ROWS, dtype=np.uint64)
@@ -104,74 +106,48 @@ def _values(batch: pa.RecordBatch) -> np.ndarray:
 
 
 _UNIT_TYPE = pa.list_(pa.struct([("value", pa.int64()), ("place", pa.int32())]))
-_PARA_TYPE = pa.list_(pa.struct([("place", pa.int32()), ("n_words", pa.int32()), ("bands", pa.list_(pa.int64())),
-                                 ("shingles", pa.list_(pa.int64()))]))
 
 
 def _shared_units(shared):
+    """Per document: (value, kind, place) of its units whose value may occur twice."""
     def run(batches):
         bits = shared.value
         for batch in batches:
-            words, offsets, at, value, first, end, bands = _units(batch.column(1).to_pylist())
-            kept = may_repeat(bits, value)
-            at, value = at[kept], value[kept].astype(np.int64)
-            open_bands = may_repeat(bits, bands.ravel()).reshape(bands.shape)
-            excerpt_rows = [[] for _ in range(len(offsets) - 1)]
-            owner = np.searchsorted(offsets, at, side="right") - 1
-            for d, v, p in zip(owner.tolist(), value.tolist(), (at - offsets[owner]).tolist()):
-                excerpt_rows[d].append({"value": v, "place": p})
-            paragraph_rows = [[] for _ in range(len(offsets) - 1)]
-            for i in np.flatnonzero(open_bands.any(axis=1)):
-                d = int(np.searchsorted(offsets, first[i], side="right") - 1)
-                shingles = np.unique(shingle_hashes(words[first[i]:end[i]], SHINGLE_WORDS))
-                paragraph_rows[d].append({
-                    "place": int(first[i] - offsets[d]), "n_words": int(end[i] - first[i]),
-                    "bands": bands[i][open_bands[i]].astype(np.int64).tolist(),
-                    "shingles": shingles.astype(np.int64).tolist()})
-            some = [i for i, (e, p) in enumerate(zip(excerpt_rows, paragraph_rows)) if e or p]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(some, pa.int64())),
-                 pa.array([excerpt_rows[i] for i in some], _UNIT_TYPE),
-                 pa.array([paragraph_rows[i] for i in some], _PARA_TYPE)],
-                names=["id", "excerpts", "paragraphs"])
+            _, offsets, at, value, first, _, bands = _units(batch.column(1).to_pylist())
+            n = len(bands)
+            values = np.concatenate([value, bands.ravel()])
+            words = np.concatenate([at, np.repeat(first, BANDS)])
+            kinds = np.concatenate([np.full(len(at), EXCERPT), np.full(n * BANDS, PARAGRAPH)])
+            kept = np.flatnonzero(may_repeat(bits, values)) if len(values) else np.empty(0, np.int64)
+            owner = np.searchsorted(offsets, words[kept], side="right") - 1
+            order = np.argsort(owner, kind="stable")
+            kept, owner = kept[order], owner[order]
+            bounds = np.searchsorted(owner, np.arange(len(offsets)))
+            units = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.StructArray.from_arrays(
+                [pa.array(values[kept].astype(np.int64)), pa.array(kinds[kept].astype(np.int32)),
+                 pa.array((words[kept] - offsets[owner]).astype(np.int32))], names=["value", "kind", "place"]))
+            some = pa.array(np.flatnonzero(np.diff(bounds)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(some), units.take(some)], names=["id", "units"])
     return run
 
 
-_SHARED_SCHEMA = ("id struct<doc_id:long,doc_key:long>, excerpts array<struct<value:long,place:int>>, "
-                  "paragraphs array<struct<place:int,n_words:int,bands:array<long>,shingles:array<long>>>")
+_SHARED_SCHEMA = "id struct<doc_id:long,doc_key:long>, units array<struct<value:long,kind:int,place:int>>"
 
 
-def _lowest_pairs(units: DataFrame, name: str) -> DataFrame:
-    """(value, unit) -> pairs (unit, low) with the lowest unit of the same value.
+def _collisions(shared: DataFrame) -> DataFrame:
+    """(doc_key, low_key, seeds): for each pair of documents the places where units of the first
+    share a value with the lowest unit of that value, in the second.
 
     The minimum is partial before its shuffle; both sides of the join are stored scans, so a
     value that holds a third of all rows is split by the adaptive skew join.
     """
-    units = stored(units, f"{name}-units")
-    low = stored(units.groupBy("value").agg(F.min("unit").alias("low"), F.count(F.lit(1)).alias("n"))
-                 .where("n > 1").select("value", "low"), f"{name}-low")
-    return units.join(low, "value").where("unit != low").select("unit", "low")
-
-
-def _paragraph_removals(shared: DataFrame) -> DataFrame:
-    """(doc_key, first, end) of the paragraphs that repeat a lower one of their component."""
-    rows = stored(shared.select("id", F.explode("paragraphs").alias("p")).select(
-        F.struct("id.doc_id", "id.doc_key", "p.place").alias("unit"), "p.n_words", "p.bands", "p.shingles")
-        .withColumn("node", F.xxhash64("unit.doc_key", "unit.place")).dropDuplicates(["node"]), "paragraphs")
-    banded = rows.select(F.explode("bands").alias("value"), F.struct("unit", "node").alias("unit"))
-    pairs = stored(_lowest_pairs(banded, "paragraph-bands").select(
-        F.col("low.node").alias("a"), F.col("unit.node").alias("b")).distinct(), "paragraph-pairs")
-    sets = rows.select("node", "shingles")
-    both = F.size(F.array_intersect("s", "t"))
-    links = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), "a")
-             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("t")), "b")
-             .where(both >= SIMILARITY * (F.size("s") + F.size("t") - both)).select("a", "b"))
-    parts = stored(rows.select("unit", "n_words", "node").join(connected_components(links), "node")
-                   .select("unit", "n_words", "component"), "paragraph-parts")
-    keepers = parts.groupBy("component").agg(F.min("unit").alias("keeper"))
-    return (parts.join(stored(keepers, "paragraph-keepers"), "component").where("unit != keeper")
-            .select("unit.doc_key", F.col("unit.place").alias("first"),
-                    (F.col("unit.place") + F.col("n_words")).alias("end")))
+    units = stored(shared.select("id", F.explode("units").alias("u")).select(
+        "u.value", "u.kind", F.struct("id.doc_id", "id.doc_key", "u.place").alias("unit")), "repeat-units")
+    low = stored(units.groupBy("value", "kind").agg(F.min("unit").alias("low"), F.max("unit").alias("high"))
+                 .where("low != high").select("value", "kind", "low"), "repeat-low")
+    met = units.join(low, ["value", "kind"]).where("unit != low")
+    return met.groupBy(F.col("unit.doc_key").alias("doc_key"), F.col("low.doc_key").alias("low_key")).agg(
+        F.collect_set(F.struct("kind", F.col("unit.place").alias("place"), F.col("low.place").alias("low"))).alias("seeds"))
 
 
 def common_runs(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], same: bool = False) -> list[tuple[int, int]]:
@@ -192,40 +168,53 @@ def common_runs(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], same
     return runs
 
 
-def _extend(batches):
-    """(doc_key, low_key, seeds, text, low_text) -> (doc_key, first, end)."""
+def _lines_at(words: np.ndarray, lines: np.ndarray, place: int) -> tuple[int, int]:
+    """First and end word of the line that begins at a word."""
+    return place, int(np.searchsorted(lines, lines[place], side="right"))
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the shingle sets of two word sequences reach SIMILARITY."""
+    s, t = (np.unique(shingle_hashes(x, SHINGLE_WORDS)) for x in (a, b))
+    both = len(np.intersect1d(s, t, assume_unique=True))
+    return both >= SIMILARITY * (len(s) + len(t) - both)
+
+
+_VERIFIED = {"kind": pa.int32(), "doc_key": pa.int64(), "first": pa.int32(), "end": pa.int32(),
+             "low_key": pa.int64(), "low_first": pa.int32(), "low_end": pa.int32()}
+
+
+def _verify(batches):
+    """(doc_key, low_key, seeds, text, low_text) -> runs of excerpts and pairs of similar paragraphs."""
     for batch in batches:
-        keys, lows = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        seeds = batch.column(2).to_pylist()
-        words, offsets = word_hashes(batch.column(3).to_pylist() + batch.column(4).to_pylist())
-        out = {"doc_key": [], "first": [], "end": []}
-        n = len(keys)
+        keys, lows, seeds = (batch.column(i).to_pylist() for i in range(3))
+        words, offsets, lines = words_and_lines(batch.column(3).to_pylist() + batch.column(4).to_pylist())
+        n, out = len(keys), []
         for i in range(n):
-            a, b = words[offsets[i]:offsets[i + 1]], words[offsets[n + i]:offsets[n + i + 1]]
-            for s, e in common_runs(a, b, [(x["place"], x["low"]) for x in seeds[i]], keys[i] == lows[i]):
-                for name, value in zip(out, (keys[i], s, e)):
-                    out[name].append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(out["doc_key"], pa.int64()), pa.array(out["first"], pa.int32()),
-                                          pa.array(out["end"], pa.int32())], names=list(out))
-
-
-def _excerpt_removals(shared: DataFrame, docs: DataFrame) -> DataFrame:
-    """(doc_key, first, end) of the runs that also stand in a lower place."""
-    units = shared.select("id", F.explode("excerpts").alias("x")).select(
-        "x.value", F.struct("id.doc_id", "id.doc_key", "x.place").alias("unit"))
-    pairs = stored(_lowest_pairs(units, "excerpts").groupBy(
-        F.col("unit.doc_key").alias("doc_key"), F.col("low.doc_key").alias("low_key")).agg(
-        F.collect_set(F.struct(F.col("unit.place").alias("place"), F.col("low.place").alias("low"))).alias("seeds")),
-        "excerpt-pairs")
-    wanted = stored(pairs.select(F.col("doc_key").alias("key")).union(pairs.select("low_key")).distinct(),
-                    "excerpt-docs")
-    # rows of one key have one text: repeated rows are left out after the fetch
-    texts = stored(docs.select(_doc_key().alias("key"), "text").join(wanted, "key").dropDuplicates(["key"]),
-                   "excerpt-texts")
-    return (pairs.join(texts.select(F.col("key").alias("doc_key"), "text"), "doc_key")
-            .join(texts.select(F.col("key").alias("low_key"), F.col("text").alias("low_text")), "low_key")
-            .select("doc_key", "low_key", "seeds", "text", "low_text")
-            .mapInArrow(_extend, "doc_key long, first int, end int"))
+            x, y = slice(offsets[i], offsets[i + 1]), slice(offsets[n + i], offsets[n + i + 1])
+            a, b = words[x], words[y]
+            runs = [(u["place"], u["low"]) for u in seeds[i] if u["kind"] == EXCERPT]
+            out += [(EXCERPT, keys[i], s, e, lows[i], 0, 0) for s, e in common_runs(a, b, runs, keys[i] == lows[i])]
+            for u in seeds[i]:
+                if u["kind"] == PARAGRAPH:
+                    (s, e), (t, f) = _lines_at(a, lines[x], u["place"]), _lines_at(b, lines[y], u["low"])
+                    if similar(a[s:e], b[t:f]):
+                        out.append((PARAGRAPH, keys[i], s, e, lows[i], t, f))
+        columns = zip(*out) if out else [[]] * len(_VERIFIED)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _VERIFIED.values())], names=list(_VERIFIED))
+
+
+def _paragraph_removals(links: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_key, first, end) of the paragraphs that repeat a lower one of their component."""
+    node = lambda key, first: F.xxhash64(key, first)
+    ends = links.select("doc_key", "first", "end").union(links.select("low_key", "low_first", "low_end")).distinct()
+    ends = ends.withColumn("node", node("doc_key", "first")).join(ids, "doc_key")
+    parts = connected_components(links.select(node("low_key", "low_first").alias("a"), node("doc_key", "first").alias("b")))
+    parts = stored(ends.join(parts, "node").select(
+        F.struct("doc_id", "doc_key", "first").alias("unit"), "end", "component"), "paragraph-parts")
+    keepers = stored(parts.groupBy("component").agg(F.min("unit").alias("keeper")), "paragraph-keepers")
+    return (parts.join(keepers, "component").where("unit != keeper")
+            .select("unit.doc_key", "unit.first", "end"))
 
 
 def _doc_key():
@@ -244,7 +233,17 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     keyed = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), _doc_key().alias("doc_key")).alias("id"),
                         "text")
     shared = stored(keyed.mapInArrow(_shared_units(bits), _SHARED_SCHEMA), "repeat-shared")
-    spans = _paragraph_removals(shared).unionByName(_excerpt_removals(shared, docs))
+    pairs = stored(_collisions(shared), "repeat-pairs")
+    # one row per key, as repeated rows have one text; both joins read the same shuffle of it
+    by_key = docs.select(_doc_key().alias("key"), "text").dropDuplicates(["key"])
+    verified = stored(pairs.join(by_key.select(F.col("key").alias("doc_key"), "text"), "doc_key")
+                      .join(by_key.select(F.col("key").alias("low_key"), F.col("text").alias("low_text")), "low_key")
+                      .select("doc_key", "low_key", "seeds", "text", "low_text")
+                      .mapInArrow(_verify, "kind int, doc_key long, first int, end int, low_key long, low_first int, "
+                                           "low_end int"), "repeat-verified")
+    ids = shared.select("id.doc_id", "id.doc_key").distinct()
+    spans = _paragraph_removals(verified.where(F.col("kind") == PARAGRAPH), ids).unionByName(
+        verified.where(F.col("kind") == EXCERPT).select("doc_key", "first", "end"))
     return stored(spans.groupBy("doc_key").agg(F.array_sort(F.collect_set(F.struct("first", "end"))).alias("spans")),
                   "repeat-spans")
 
