@@ -32,6 +32,8 @@ ROUNDS = 3
 SEED = 14
 #: Points that one task compares with one group of queries of the same bucket.
 BLOCK = 4096
+#: Groups that the buckets of a table are handled in.
+GROUPS = 16
 #: Points in the sample that bounds scores from below.
 SAMPLE = 2048
 SLACK = 1e-9
@@ -131,20 +133,18 @@ def _stacked(column, dim: int) -> np.ndarray:
 
 def _floors(sample: dict, longest: dict):
     """mapInPandas function: each query with a score that TOP of its candidates reach, as far as
-    the sampled points among its candidates tell."""
+    the sampled points among its candidates tell.  ``sample``: per dim points and their buckets."""
     def run(batches):
         signs = {dim: rotations(dim) for dim in sample}
-        axes = {dim: [nearest_axes(rotated(lifted(points, longest[dim], False), s), 1)[:, 0] for s in signs[dim]]
-                for dim, points in sample.items()}
         for pdf in batches:
             floor = np.full(len(pdf), -np.inf)
-            for dim, points in sample.items():
+            for dim, (points, axes) in sample.items():
                 rows = np.flatnonzero(pdf["dim"].to_numpy() == dim)
                 if not len(rows) or len(points) <= TOP:
                     continue
                 q = _stacked(pdf["vec"].iloc[rows], dim)
                 up, met = lifted(q, 1.0, True), np.zeros((len(q), len(points)), dtype=bool)
-                for s, own in zip(signs[dim], axes[dim]):
+                for s, own in zip(signs[dim], axes):
                     probed = np.zeros((len(q), 2 * s.shape[1]), dtype=bool)
                     np.put_along_axis(probed, nearest_axes(rotated(up, s), PROBES), True, axis=1)
                     met |= probed[:, own]
@@ -155,19 +155,22 @@ def _floors(sample: dict, longest: dict):
 
 
 def _rank_block(points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-    """Candidates of one block of queries in one block of a bucket's points."""
-    empty = pd.DataFrame({"query": np.empty(0, np.int64), "point": np.empty(0, np.int64), "score": np.empty(0)})
-    if not len(points) or not len(queries):
-        return empty
-    dim = len(points["vec"].iloc[0])
-    p, q = _stacked(points["vec"], dim), _stacked(queries["vec"], dim)
-    scores = q @ p.T
-    floor = queries["floor"].to_numpy()
-    if len(p) > TOP + 1:
-        floor = np.maximum(floor, np.partition(scores, -TOP - 1, axis=1)[:, -TOP - 1] - SLACK)
-    i, j = np.nonzero(scores >= floor[:, None])
-    return pd.DataFrame({"query": queries["point"].to_numpy()[i], "point": points["point"].to_numpy()[j],
-                         "score": _exact(q[i], p[j])})
+    """Candidates of one block of queries in one block of points of a group of buckets."""
+    out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    if len(points) and len(queries):
+        dim = len(points["vec"].iloc[0])
+        all_p, all_q = _stacked(points["vec"], dim), _stacked(queries["vec"], dim)
+        p_ids, q_ids, floors = (x.to_numpy() for x in (points["point"], queries["point"], queries["floor"]))
+        p_axis, q_axis = points["axis"].to_numpy(), queries["axis"].to_numpy()
+        for axis in np.intersect1d(p_axis, q_axis):
+            pi, qi = np.flatnonzero(p_axis == axis), np.flatnonzero(q_axis == axis)
+            p, q, floor = all_p[pi], all_q[qi], floors[qi]
+            scores = q @ p.T
+            if len(p) > TOP + 1:
+                floor = np.maximum(floor, np.partition(scores, -TOP - 1, axis=1)[:, -TOP - 1] - SLACK)
+            i, j = np.nonzero(scores >= floor[:, None])
+            out.append((q_ids[qi[i]], p_ids[pi[j]], _exact(q[i], p[j])))
+    return pd.DataFrame({n: np.concatenate(c) for n, c in zip(("query", "point", "score"), zip(*out))})
 
 
 def nearest_neighbours(embeddings: DataFrame, query_step: int = QUERY_STEP) -> DataFrame:
@@ -193,7 +196,11 @@ def nearest_neighbours(embeddings: DataFrame, query_step: int = QUERY_STEP) -> D
     # one row per dim: the longest vector
     longest = {r["dim"]: r["longest"] for r in rows.groupBy("dim").agg(F.max("length").alias("longest")).collect()}
     sampled = points.select("dim", "vec").orderBy(F.xxhash64("key", F.lit(SEED))).limit(SAMPLE).collect()
-    sample = {d: np.array([r["vec"] for r in sampled if r["dim"] == d]) for d in {r["dim"] for r in sampled}}
+    sample = {}
+    for d in sorted({r["dim"] for r in sampled}):
+        some = np.array([r["vec"] for r in sampled if r["dim"] == d])
+        up = lifted(some, longest[d], False)
+        sample[d] = some, np.stack([nearest_axes(rotated(up, s), 1)[:, 0] for s in rotations(d)])
 
     hashed = (points.select("point", "dim", "vec").mapInArrow(_codes(longest, 1, False), "point long, dim int, tab int, axis int"))
     searched = stored(asked.select("key", "vec", "dim").distinct().join(points.select("key", "vec", "point"), ["key", "vec"])
@@ -202,16 +209,18 @@ def nearest_neighbours(embeddings: DataFrame, query_step: int = QUERY_STEP) -> D
     probed = searched.select("point", "dim", "vec").mapInArrow(_codes(longest, PROBES, True), "point long, dim int, tab int, axis int")
     hashed, probed = stored(hashed, "ann-hashed"), stored(probed, "ann-probed")
 
-    # at most TABLES * 2 * width rows per dim: how many blocks each bucket's two sides have
-    bucket = ["dim", "tab", "axis"]
+    # a few buckets of a table go together; TABLES * GROUPS rows per dim tell how many blocks each side has
+    bucket = ["dim", "tab", "slot"]
+    slot = F.pmod("axis", F.lit(GROUPS))
+    hashed, probed = hashed.withColumn("slot", slot), probed.withColumn("slot", slot)
     blocks = (hashed.groupBy(bucket).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("p_blocks"))
               .join(probed.groupBy(bucket).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("q_blocks")), bucket))
     blocks = stored(blocks, "ann-blocks")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     place = lambda n: F.pmod(F.xxhash64("point"), F.col(n)).cast("int")
-    left = (hashed.join(F.broadcast(blocks), bucket).select(*bucket, "point", place("p_blocks").alias("p"), spread("q_blocks").alias("q"))
+    left = (hashed.join(F.broadcast(blocks), bucket).select(*bucket, "axis", "point", place("p_blocks").alias("p"), spread("q_blocks").alias("q"))
             .join(points.select("point", "vec"), "point"))
-    right = (probed.join(F.broadcast(blocks), bucket).select(*bucket, "point", place("q_blocks").alias("q"), spread("p_blocks").alias("p"))
+    right = (probed.join(F.broadcast(blocks), bucket).select(*bucket, "axis", "point", place("q_blocks").alias("q"), spread("p_blocks").alias("p"))
              .join(searched.select("point", "vec", "floor"), "point"))
     group = [*bucket, "p", "q"]
     found = (left.groupBy(group).cogroup(right.groupBy(group))
