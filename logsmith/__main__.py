@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import argparse
 import sys
-import time
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
@@ -26,37 +25,48 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     return ap.parse_args(argv)
 
 
-def run(spark, args: argparse.Namespace) -> None:
+def run(spark, args: argparse.Namespace) -> int:
+    """Returns how many exports and streaming queries failed."""
     from logsmith.operators import anomaly as A
     from logsmith.operators import metrics
     from logsmith.operators.parsing import parse_logs
     from logsmith.report import run_batch_report, start_live_stream
     from logsmith.sources.logstore import read_logs_table
     from logsmith.sources.text import read_log_text
-    from logsmith.streaming.stream import run_to_completion, stop_all_queries
+    from logsmith.streaming.stream import monitor_query, stop_all_queries
 
     out = args.output.rstrip("/")
+    failures = 0
     if args.mode in ("batch", "all"):
         status = run_batch_report(spark, read_log_text(spark, args.data), out, k=args.k_clusters)
         failed = status.filter("NOT ok").count()
+        failures += failed
         print(f"batch report written to {out}; {failed} export(s) failed")
     if args.mode in ("streaming", "all"):
         once = args.stream_seconds <= 0
         queries = start_live_stream(spark, args.stream_dir or args.data, f"{out}/stream", available_now=once)
         if once:
             for q in queries.values():
-                run_to_completion(q)
+                q.processAllAvailable()
         else:
-            time.sleep(args.stream_seconds)
-            stop_all_queries(spark)
+            # the watch ends early if the query does
+            monitor_query(spark, queries["live_logs"], args.stream_seconds)
+        for name, q in queries.items():
+            if q.exception() is not None:
+                failures += 1
+                print(f"streaming query {name} failed: {q.exception()}")
+        stop_all_queries(spark)
     if args.export_metrics:
         # reuse the parsed table of the batch mode; parse only when it was not run
         logs = (read_logs_table(spark, f"{out}/logs") if args.mode in ("batch", "all")
                 else parse_logs(read_log_text(spark, args.data)))
-        snap = metrics.metrics_snapshot(logs, A.zscore_anomalies(A.client_features(logs)))
+        features = A.kmeans_input(A.client_features(logs))
+        flagged = A.kmeans_anomalies(A.fit_kmeans(features, k=args.k_clusters).transform(features))
+        snap = metrics.metrics_snapshot(logs, A.kmeans_output(flagged))
         snap.write.mode("overwrite").parquet(f"{out}/metrics_table")
         metrics.metrics_text(snap, metrics.response_size_histogram(logs)).coalesce(1) \
             .write.mode("overwrite").text(f"{out}/metrics_text")
+    return failures
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -64,10 +74,10 @@ def main(argv: list[str] | None = None) -> int:
     args = parse_args(argv)
     spark = build_session(app_name="logsmith")
     try:
-        run(spark, args)
+        failures = run(spark, args)
     finally:
         spark.stop()
-    return 0
+    return 1 if failures else 0
 
 
 if __name__ == "__main__":

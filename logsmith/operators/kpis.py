@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from logsmith.functions import logline as L
 from logsmith.operators.common import one_row_broadcast, percentile_threshold, total_bytes
+from logsmith.scratch import stored
 
 
 def minute_client_rollup(logs: DataFrame) -> DataFrame:
@@ -183,6 +184,15 @@ def peaks(logs: DataFrame, threshold_percentile: float = 0.95, exact: bool = Tru
             .drop("threshold"))
 
 
+def shared_tables(logs: DataFrame) -> dict[str, DataFrame]:
+    """The three tables that the KPIs re-aggregate, stored: one scan of the logs for each."""
+    edges = logs.groupBy("ip", "url").agg(
+        F.count(F.lit(1)).alias("weight"), total_bytes("bytes").alias("total_bytes"),
+        F.sum("is_error").alias("error_count")).withColumnsRenamed({"ip": "src", "url": "dst"})
+    return {"rollup": stored(minute_rollup(logs), "kpi-rollup"), "edges": stored(edges, "kpi-edges"),
+            "clients": stored(minute_client_rollup(logs), "kpi-clients")}
+
+
 def all_kpis(logs: DataFrame, rollup: DataFrame | None = None,
              edges: DataFrame | None = None, clients: DataFrame | None = None) -> dict[str, DataFrame]:
     """Every KPI table, lazily (nothing runs until a sink or action).

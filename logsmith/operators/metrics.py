@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logsmith.operators.common import one_row_broadcast, total_bytes
+from logsmith.operators.common import one_row_broadcast
+from logsmith.operators.kpis import minute_rollup
+from logsmith.scratch import stored
 
 # Metric names and the response-size histogram bounds with
 # their exposition labels (bounds are inclusive upper limits).
@@ -36,23 +38,20 @@ def metrics_snapshot(logs: DataFrame, anomalies: DataFrame | None = None,
                      rollup: DataFrame | None = None) -> DataFrame:
     """X1-X4, X6, X7 as rows.
 
-    Three aggregates feed all metrics: one over (status_category, status,
-    is_error) for the request, error and byte counters; one per minute for the
-    requests-per-minute gauge; and the per-client table (the anomaly scores'
-    input, one row per ip) for the distinct-client gauge and the anomaly count.
-    Each branch below reuses one of these, so Spark reuses their shuffles.
+    The logs are scanned twice at most: for the minute rollup (stored here unless given),
+    which all counters and the requests-per-minute gauge re-aggregate, and for the clients
+    (not when ``anomalies``, one row per ip, is a stored table).
     """
-    if rollup is not None:
-        base = (rollup.groupBy("status_category", "status", "is_error")
-                .agg(F.sum("n").alias("n"), F.sum("bytes_sum").alias("b")))
-    else:
-        base = (logs.groupBy("status_category", "status", "is_error")
-                .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bytes").cast("decimal(38,0)")).alias("b")))
+    if rollup is None:
+        rollup = stored(minute_rollup(logs), "metrics-rollup")
+    base = (rollup.groupBy("status_category", "status", "is_error")
+            .agg(F.sum("n").alias("n"), F.sum("bytes_sum").alias("b")))
     if anomalies is not None:
         clients = anomalies.agg(F.count(F.lit(1)).alias("clients"),
                                 F.coalesce(F.sum("is_anomaly"), F.lit(0)).alias("flagged"))
     else:
         clients = logs.agg(F.countDistinct("ip").alias("clients"))
+    clients = stored(clients, "metrics-clients")
     parts = [
         _row(base.groupBy("status_category").agg(F.sum("n").alias("v")),
              REQUESTS_TOTAL, "counter", "status_category", F.col("status_category"), F.col("v")),

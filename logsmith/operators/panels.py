@@ -14,15 +14,19 @@ from pyspark.sql import functions as F
 
 from logsmith.functions.logline import minute_of
 from logsmith.operators.common import one_row_broadcast, percentile_threshold
+from logsmith.scratch import stored
 
 
 def overview(logs: DataFrame) -> DataFrame:
     """Totals of the overview dashboard, one row."""
-    per_minute = logs.groupBy(minute_of(F.col("timestamp")).alias("minute")).agg(F.count(F.lit(1)).alias("n"))
-    totals = logs.agg(F.count(F.lit(1)).alias("total_requests"),
-                      F.countDistinct("ip").alias("unique_ips"),
-                      F.sum("is_error").alias("error_count"))
-    minutes = per_minute.filter(F.col("minute").isNotNull()).agg(
+    # one scan: requests per (minute, client), re-aggregated three ways
+    cells = stored(logs.groupBy(minute_of(F.col("timestamp")).alias("minute"), "ip").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("is_error").alias("errors")), "overview-cells")
+    totals = cells.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_requests"),
+                       F.countDistinct("ip").alias("unique_ips"),
+                       F.sum("errors").alias("error_count"))
+    per_minute = cells.filter(F.col("minute").isNotNull()).groupBy("minute").agg(F.sum("n").alias("n"))
+    minutes = per_minute.agg(
         F.count(F.lit(1)).alias("active_minutes"), F.avg("n").alias("avg_requests_per_minute"))
     return (totals.crossJoin(minutes)
             .withColumn("error_rate", F.try_divide(F.col("error_count").cast("double"), F.col("total_requests"))))
@@ -51,15 +55,20 @@ def error_heatmap(logs: DataFrame) -> DataFrame:
             .groupBy("hour", "status").agg(F.count(F.lit(1)).alias("count")))
 
 
-def ip_url_heatmap(logs: DataFrame, edges: DataFrame, top_ips: int = 10, top_urls: int = 10) -> DataFrame:
+def ip_url_heatmap(edges: DataFrame, top_ips: int = 10, top_urls: int = 10) -> DataFrame:
     """Edge weights between the busiest clients and the most hit urls.
 
-    Both top-k sets have at most k rows, so both semi-joins broadcast them.
+    Requests of a client or url are the summed weights of its edges, so the logs are scanned
+    once, for the edge table.  Both top-k sets have at most k rows, so both semi-joins
+    broadcast them.
     """
-    ips = (logs.groupBy("ip").agg(F.count(F.lit(1)).alias("n"))
-           .orderBy(F.desc("n"), F.asc("ip")).limit(top_ips).select(F.col("ip").alias("src")))
-    urls = (logs.groupBy("url").agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("n"), F.asc("url")).limit(top_urls).select(F.col("url").alias("dst")))
+    edges = stored(edges.select("src", "dst", "weight"), "heatmap-edges")
+
+    def top(key: str, k: int) -> DataFrame:
+        return (edges.groupBy(key).agg(F.sum("weight").alias("n"))
+                .orderBy(F.desc("n"), F.asc(key)).limit(k).select(key))
+
+    ips, urls = top("src", top_ips), top("dst", top_urls)
     return (edges.join(F.broadcast(ips), on="src", how="left_semi")
             .join(F.broadcast(urls), on="dst", how="left_semi")
             .select("src", "dst", "weight"))

@@ -208,3 +208,26 @@ attack AS (SELECT src AS ip, count(*) AS attack_edges FROM edges
 def rule_labels(spark, sf_dir):
     logs = logs_table(spark, sf_dir)
     return A.rule_labels(A.client_features(logs), G.graph_edges(logs))
+
+
+@register("kmeans_invariants", "M4 M6 M7 M8 M12", with_logs("""
+SELECT count(DISTINCT ip) AS clients, count(DISTINCT ip) AS clients_in_clusters, CAST(0 AS BIGINT) AS not_nearest,
+       CAST(0 AS BIGINT) AS wrong_scores, CAST(0 AS BIGINT) AS wrong_flags
+FROM logs"""))
+def kmeans_invariants(spark, sf_dir):
+    """What holds for any clustering: sizes add up to the clients, each client is at its
+    nearest centre, a score is one over a size, and flags follow the exact percentile."""
+    model, pred = _fitted(spark, sf_dir)
+    scored = A.centroid_distance(A.kmeans_anomalies(pred), model)
+    centres = [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]   # k rows
+    away = [F.sqrt(F.aggregate(F.zip_with(vector_to_array("features"), F.array(*map(F.lit, c)), lambda a, b: (a - b) * (a - b)),
+                               F.lit(0.0), lambda s, x: s + x)) for c in centres]
+    threshold = scored.agg(F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY anomaly_score)").alias("t"))
+    checked = scored.withColumn("least", F.least(*away) if len(away) > 1 else away[0]).crossJoin(F.broadcast(threshold))
+    bad = lambda c: F.sum(c.cast("long"))
+    return checked.agg(
+        F.count(F.lit(1)).alias("clients"),
+        F.round(F.sum(F.lit(1.0) / F.col("cluster_size") * F.col("cluster_size"))).cast("long").alias("clients_in_clusters"),
+        bad(F.col("centroid_distance") > F.col("least") + 1e-9).alias("not_nearest"),
+        bad(F.abs(F.col("anomaly_score") * F.col("cluster_size") - 1) > 1e-12).alias("wrong_scores"),
+        bad(F.col("is_anomaly") != (F.col("anomaly_score") > F.col("t")).cast("int")).alias("wrong_flags"))

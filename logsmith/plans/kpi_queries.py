@@ -108,7 +108,8 @@ _KPI_COUNT_SQL = "\nUNION ALL\n".join(
 
 @register("kpi_row_counts", "A9", with_logs(_KPI_COUNT_SQL, PER_MINUTE_CTE))
 def kpi_row_counts(spark, sf_dir):
-    return kpis.kpi_row_counts(kpis.all_kpis(logs_table(spark, sf_dir)))
+    logs = logs_table(spark, sf_dir)
+    return kpis.kpi_row_counts(kpis.all_kpis(logs, **kpis.shared_tables(logs)))
 
 
 @register("global_totals", "A11", with_logs("""

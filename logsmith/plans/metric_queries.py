@@ -119,8 +119,7 @@ SELECT src, dst, weight FROM edges
 WHERE src IN (SELECT ip FROM logs GROUP BY ip ORDER BY count(*) DESC, ip ASC LIMIT 10)
   AND dst IN (SELECT url FROM logs GROUP BY url ORDER BY count(*) DESC, url ASC LIMIT 10)""", EDGES_CTE))
 def panel_ip_url_heatmap(spark, sf_dir):
-    logs = logs_table(spark, sf_dir)
-    return D.ip_url_heatmap(logs, G.graph_edges(logs))
+    return D.ip_url_heatmap(G.graph_edges(logs_table(spark, sf_dir)))
 
 
 PM_CTE = """pm AS (

@@ -13,7 +13,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from logsmith.plans.oracle import with_logs
+from logsmith.plans.oracle import with_lines, with_logs
 from logsmith.plans.registry import register
 from logsmith.session import scratch_path
 from logsmith.sources.fixtures import event_line, event_log_lines, read_table, spread
@@ -105,12 +105,14 @@ def stream_requests_per_second(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("request_count")))
 
 
-@register("stream_progress", "T4 T5 T7", shape=True)
+@register("stream_progress", "T4 T5 T7", with_lines("""
+SELECT CAST(count(*) AS BIGINT) AS num_input_rows, CAST(0 AS BIGINT) AS rows_dropped_by_watermark FROM lines"""))
 def stream_progress(spark, sf_dir):
-    """One file per micro-batch (the reference's rate limit); the progress reports as a table."""
+    """One file per micro-batch (the reference's rate limit); totals of the progress reports."""
     parsed = S.parsed_log_stream(spark, _feed(spark, sf_dir), max_files_per_trigger=1)
     q, _ = _run_parquet(spark, parsed.select(*STREAM_COLUMNS), "stream_progress")
-    return S.progress_table(spark, q)
+    return S.progress_table(spark, q).agg(F.sum("num_input_rows").alias("num_input_rows"),
+                                          F.sum("rows_dropped_by_watermark").alias("rows_dropped_by_watermark"))
 
 
 LATE_FROM = "2024-01-10 00:00:00"   # rows before this instant are delivered last

@@ -105,6 +105,30 @@ def test_memory_sink_and_stop_all(spark, tmpdir_fresh):
     rows = spark.sql(f"SELECT sum(request_count) AS n FROM {name}").first().n
     assert rows is not None and rows > 0
     assert S.stop_all_queries(spark) == 0
+    running = S.write_to_memory(S.minute_counts(parsed), f"run_{uuid.uuid4().hex[:6]}")
+    assert running.isActive and S.stop_all_queries(spark) == 1 and not running.isActive
+
+
+def test_live_mode_starts_again_on_its_output(spark, tmpdir_fresh):
+    from logsmith.report import start_live_stream
+    src, out = os.path.join(tmpdir_fresh, "src"), os.path.join(tmpdir_fresh, "out")
+    os.makedirs(src)
+    for day in (3, 4):
+        with open(os.path.join(src, f"day_{day}.txt"), "w") as f:
+            f.write("\n".join(line(day, 1, m) for m in range(20)) + "\n")
+        queries = start_live_stream(spark, src, out, available_now=True)
+        for q in queries.values():
+            S.run_to_completion(q, 300)
+    assert spark.read.parquet(f"{out}/live_logs").count() == 40
+
+
+def test_one_absurd_size_does_not_stop_the_windows(spark, tmpdir_fresh):
+    src = os.path.join(tmpdir_fresh, "src")
+    os.makedirs(src)
+    big = [line(3, 1, m).rsplit(" ", 1)[0] + " 9223372036854775807" for m in range(3)]
+    feed(src, [big, [line(3, 2, m) for m in range(30)]])
+    q = S.write_to_memory(S.window_metrics(S.parsed_log_stream(spark, src)), f"big_{uuid.uuid4().hex[:6]}", available_now=True)
+    S.run_to_completion(q, 300)
 
 
 def test_console_sink(spark, tmpdir_fresh, capfd):
