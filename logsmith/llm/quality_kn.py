@@ -31,8 +31,8 @@ from logsmith.llm.words import distinct_words_as_text
 ORDER = 5
 BEGIN, END = "\x02", "\x03"
 QUANTILE = 0.995
-BLOCK_CHARS = 16_000_000
-FLUSH_GRAMS = 400_000
+BLOCK_CHARS = 32_000_000
+FLUSH_WORDS = 300_000
 FLUSH_CHARS = 8_000_000
 
 
@@ -43,19 +43,22 @@ def word_grams(word: str) -> list[str]:
 
 
 def _count_grams(batches):
-    held: dict[str, int] = {}
+    held: dict[str, int] = {}  # words; their n-grams are counted once per flush
 
     def rows():
-        return pa.RecordBatch.from_pydict({"gram": pa.array(held.keys(), pa.string()),
-                                           "n": pa.array(held.values(), pa.int64())})
+        grams: dict[str, int] = {}
+        for word, n in held.items():
+            for gram in word_grams(word):
+                grams[gram] = grams.get(gram, 0) + n
+        return pa.RecordBatch.from_pydict({"gram": pa.array(grams.keys(), pa.string()),
+                                           "n": pa.array(grams.values(), pa.int64())})
     for batch in batches:
         words, _, inverse, _ = distinct_words_as_text(batch.column(0).to_pylist())
         for word, n in zip(words, np.bincount(inverse, minlength=len(words)).tolist()):
-            for gram in word_grams(word):
-                held[gram] = held.get(gram, 0) + n
-            if len(held) > FLUSH_GRAMS:
-                yield rows()
-                held.clear()
+            held[word] = held.get(word, 0) + n
+        if len(held) > FLUSH_WORDS:
+            yield rows()
+            held.clear()
     if held:
         yield rows()
 
@@ -128,28 +131,27 @@ def gram_probabilities(grams: DataFrame, model: dict) -> DataFrame:
 
 def _block_grams(batches):
     """(block, text) -> (block, grams): distinct n-grams of each block in this task, packed."""
-    held: dict[int, set] = {}
+    held: dict[int, set] = {}  # distinct words of each block; their n-grams are made once per flush
 
     def rows():
-        return pa.RecordBatch.from_pydict({
-            "block": pa.array(held.keys(), pa.int64()),
-            "grams": pa.array([pa.compress("\n".join(sorted(g)).encode("utf-8", "surrogatepass"), codec="zstd", asbytes=True) for g in held.values()], pa.binary()),
-            "size": pa.array([sum(len(x.encode("utf-8", "surrogatepass")) + 1 for x in g) - 1 for g in held.values()], pa.int64())})
-    size = 0
+        out = {"block": [], "grams": [], "size": []}
+        for block, words in held.items():
+            grams = sorted({g for w in words for g in word_grams(w)})
+            data = "\n".join(grams).encode("utf-8", "surrogatepass")
+            out["block"].append(block)
+            out["grams"].append(pa.compress(data, codec="zstd", asbytes=True) if data else b"")
+            out["size"].append(len(data))
+        types = (pa.int64(), pa.binary(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], names=list(out))
     for batch in batches:
-        blocks, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         by_block: dict[int, list] = {}
-        for b, t in zip(blocks, texts):
+        for b, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             by_block.setdefault(b, []).append(t)
-            size += len(t)
         for b, group in by_block.items():
-            words, *_ = distinct_words_as_text(group)
-            seen = held.setdefault(b, set())
-            for word in words:
-                seen.update(word_grams(word))
-        if size > FLUSH_CHARS:
+            held.setdefault(b, set()).update(distinct_words_as_text(group)[0])
+        if sum(map(len, held.values())) > FLUSH_WORDS:
             yield rows()
-            held, size = {}, 0
+            held = {}
     if held:
         yield rows()
 
@@ -157,8 +159,9 @@ def _block_grams(batches):
 def _merge_grams(pdf: pd.DataFrame) -> pd.DataFrame:
     grams: set[str] = set()
     for data, size in zip(pdf["grams"], pdf["size"]):
-        grams.update(pa.decompress(data, size, codec="zstd", asbytes=True).decode("utf-8", "surrogatepass").split("\n"))
-    return pd.DataFrame({"block": pdf["block"].iloc[0], "gram": sorted(grams)})
+        if size:
+            grams.update(pa.decompress(data, size, codec="zstd", asbytes=True).decode("utf-8", "surrogatepass").split("\n"))
+    return pd.DataFrame({"block": np.full(len(grams), pdf["block"].iloc[0]), "gram": sorted(grams)})
 
 
 def _payloads(batches):
@@ -187,21 +190,25 @@ def _payloads(batches):
         yield rows()
 
 
-def score_words(words: list[str], logp: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
-    """Log probability and number of symbols of each word."""
-    sums = np.fromiter((sum(map(logp.__getitem__, word_grams(w))) for w in words), float, len(words))
-    return sums, np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
+def word_logp(word: str, logp: dict[str, float]) -> float:
+    """Log probability of a word; it has one symbol more than characters."""
+    return sum(map(logp.__getitem__, word_grams(word)))
 
 
 def _score_block(payloads: pa.Table, grams: pa.Table) -> pa.Table:
     logp = dict(zip(grams.column("gram").to_pylist(), np.log(grams.column("p").to_numpy()).tolist()))
+    known: dict[str, float] = {}
     kept, total, symbols = [], [], []
     for rows, sizes, data in zip(*(payloads.column(c).to_pylist() for c in ("rows", "sizes", "data"))):
         stream = pa.decompress(data, sum(sizes), codec="zstd", asbytes=True) if sum(sizes) else b""
         ends = np.cumsum(sizes).tolist()
         texts = [stream[e - s:e].decode("utf-8", "surrogatepass") for s, e in zip(sizes, ends)]
         words, _, inverse, offsets = distinct_words_as_text(texts)
-        sums, count = score_words(words, logp)
+        for w in words:
+            if w not in known:
+                known[w] = word_logp(w, logp)
+        sums = np.fromiter(map(known.__getitem__, words), float, len(words))
+        count = np.fromiter(map(len, words), np.int64, len(words)) + 1
         upto, n_upto = np.concatenate(([0.0], np.cumsum(sums[inverse]))), np.concatenate(([0], np.cumsum(count[inverse])))
         kept += rows
         total += (upto[offsets[1:]] - upto[offsets[:-1]]).tolist()
