@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CSV_OPTIONS = {"header": "true", "nullValue": "\\N", "emptyValue": ""}
+CSV_OPTIONS = {"header": "true", "nullValue": "\\N"}   # empty strings are written as ""
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
@@ -48,7 +48,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Read back what ``write_csv`` or ``write_single_csv`` wrote."""
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    return spark.read.options(emptyValue="", **CSV_OPTIONS).schema(schema).csv(path)
 
 
 def _fs(spark: SparkSession, path: str):

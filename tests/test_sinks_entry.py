@@ -77,11 +77,15 @@ def test_cli_batch_and_stream(spark, tmpdir_fresh):
     data = os.path.join(tmpdir_fresh, "raw")
     write_log_text(event_log_lines(spark, SF_SMALL).coalesce(2), data)
     out = os.path.join(tmpdir_fresh, "out")
-    run(spark, parse_args(["--mode", "all", "--data", data, "--output", out, "--stream-seconds", "0",
-                           "--export-metrics"]))
+    failed = run(spark, parse_args(["--mode", "all", "--data", data, "--output", out, "--stream-seconds", "0",
+                                    "--export-metrics"]))
+    assert failed == 0
     assert os.path.isdir(os.path.join(out, "logs"))
     assert any(n.startswith("date=") for n in os.listdir(os.path.join(out, "logs")))
-    assert os.path.isfile(os.path.join(out, "metrics", "csv", "access_per_hour.csv"))
+    [run_dir] = os.listdir(os.path.join(out, "metrics"))
+    assert run_dir.startswith("run_id=")
+    assert os.path.isdir(os.path.join(out, "metrics", run_dir, "csv", "access_per_hour.csv"))
+    assert os.path.isfile(os.path.join(out, "metrics", run_dir, "csv", "http_status.csv"))
     assert spark.read.parquet(os.path.join(out, "stream", "live_logs")).count() == \
         spark.read.parquet(os.path.join(out, "logs")).count()
     text = spark.read.text(os.path.join(out, "metrics_text")).collect()
