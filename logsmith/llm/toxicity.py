@@ -35,7 +35,7 @@ SAMPLE_DOCS = 1000
 SLOT_BITS, DIM = 17, 4
 NGRAMS = (3, 4, 5)
 PASSAGE_WORDS = 40
-ROUNDS, STEPS, RATE, DECAY, FLOOR = 5, 10, 1.0, 1e-7, 0.3
+ROUNDS, STEPS, RATE, DECAY, FLOOR = 6, 15, 0.3, 1e-7, 0.15
 
 
 def _parts(folded: np.ndarray, starts: np.ndarray, ends: np.ndarray):
@@ -76,15 +76,23 @@ class _Rows:
         self.count = np.diff(bounds)
         self.scale = 1.0 / np.maximum(self.count, 1) if places is None else np.full(len(self.count), 1.0 / places)
 
-    def mean(self, values, rows):
+    def _at(self, rows):
+        """The chosen rows' items, or all of them for None."""
+        if rows is None:
+            return slice(None), self.bounds[:-1], self.count, self.scale
         count = self.count[rows]
-        at = np.arange(count.sum()) + np.repeat(self.bounds[rows] - (np.cumsum(count) - count), count)
-        return word_sums(values[self.items[at]], np.cumsum(count) - count, count) * self.scale[rows][:, None], at, count
+        first = np.cumsum(count) - count
+        return np.arange(count.sum()) + np.repeat(self.bounds[rows] - first, count), first, count, self.scale[rows]
 
-    def back(self, grad, rows, at, count, size):
-        spread = np.repeat(grad * self.scale[rows][:, None], count, axis=0)
-        used = self.items[at]
-        return np.stack([np.bincount(used, spread[:, j], minlength=size) for j in range(grad.shape[1])], axis=1)
+    def mean(self, values, rows=None):
+        at, first, count, scale = self._at(rows)
+        return word_sums(values[self.items[at]], first, count) * scale[:, None]
+
+    def back(self, grad, size, rows=None):
+        at, _, count, scale = self._at(rows)
+        used, scaled = self.items[at], grad * scale[:, None]
+        return np.stack([np.bincount(used, np.repeat(scaled[:, j], count), minlength=size)
+                         for j in range(grad.shape[1])], axis=1).astype(np.float32)
 
 
 def fit_toxicity(texts: list[str | None], labels: list[int], seed: int = 5) -> dict:
@@ -93,29 +101,27 @@ def fit_toxicity(texts: list[str | None], labels: list[int], seed: int = 5) -> d
     folded, starts, ends, inverse, offsets = distinct_words(texts)
     rows, cols = [], []
     for slots, first, count in _parts(folded, starts, ends):
-        rows.append(np.repeat(np.arange(len(starts)), count))
+        rows.append(np.repeat(np.arange(len(starts), dtype=np.int32), count))
         run = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        cols.append(slots[np.repeat(first, count) + run].astype(np.int64))
+        cols.append(slots[np.repeat(first, count) + run].astype(np.int32))
     rows, cols = np.concatenate(rows), np.concatenate(cols)
     order = np.argsort(rows, kind="stable")
     words = _Rows(cols[order], np.searchsorted(rows[order], np.arange(len(starts) + 1)))
+    del rows, cols, order, run
     bounds, owner = _passages(offsets)
     passages = _Rows(*_bags(inverse, bounds), PASSAGE_WORDS)
     y = np.array(labels)[owner]
 
     size = 1 << SLOT_BITS
-    embed = rng.normal(0, 0.01, (size, DIM))
+    embed = rng.normal(0, 0.01, (size, DIM)).astype(np.float32)
     out, bias = rng.normal(0, 0.1, (DIM, 2)), np.zeros(2)
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (embed, out, bias)]
     tops = [[0.0] for _ in state]
     step = 0
-    everything = np.arange(len(starts))
     for round_ in range(ROUNDS):
         # the passage of each text that the model finds most toxic speaks for it
-        vectors, at, count = words.mean(embed, everything)
         if round_:
-            doc, _, _ = passages.mean(vectors, np.arange(len(owner)))
-            margin = doc @ (out[:, 1] - out[:, 0])
+            margin = passages.mean(words.mean(embed)) @ (out[:, 1] - out[:, 0])
             worst = np.lexsort((-margin, owner))
             chosen = worst[np.concatenate(([True], owner[worst][1:] != owner[worst][:-1]))]
         else:
@@ -124,14 +130,13 @@ def fit_toxicity(texts: list[str | None], labels: list[int], seed: int = 5) -> d
         weight = np.where(y[chosen] == 1, 0.5 / max(1, (y[chosen] == 1).sum()), 0.5 / max(1, (y[chosen] == 0).sum()))
         for _ in range(STEPS):
             step += 1
-            vectors, at, count = words.mean(embed, everything)
-            doc, d_at, d_count = passages.mean(vectors, chosen)
+            doc = passages.mean(words.mean(embed), chosen)
             logits = doc @ out + bias
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             d = (p - gold) * weight[:, None]
-            d_vectors = passages.back(d @ out.T, chosen, d_at, d_count, len(starts))
-            grads = (words.back(d_vectors, everything, at, count, size) + DECAY * embed, doc.T @ d + DECAY * out, d.sum(axis=0))
+            d_vectors = passages.back(d @ out.T, len(starts), chosen)
+            grads = (words.back(d_vectors, size) + DECAY * embed, doc.T @ d + DECAY * out, d.sum(axis=0))
             for x, g, (m, v), top in zip((embed, out, bias), grads, state, tops):
                 top[0] = max(top[0], float(np.abs(g).max()))
                 m += 0.1 * (g - m)
