@@ -35,7 +35,7 @@ SAMPLE_DOCS = 1000
 SLOT_BITS, DIM = 17, 4
 NGRAMS = (3, 4, 5)
 PASSAGE_WORDS = 40
-ROUNDS, STEPS, RATE, DECAY, FLOOR = 6, 15, 0.3, 1e-7, 0.15
+ROUNDS, STEPS, RATE, DECAY, FLOOR = 6, 15, 0.3, 1e-7, 0.05
 
 
 def _parts(folded: np.ndarray, starts: np.ndarray, ends: np.ndarray):
