@@ -19,7 +19,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_arrow_batches(spark: SparkSession, rows: int = 2000) -> None:
+def small_arrow_batches(spark: SparkSession, rows: int = 400) -> None:
     """Bound the rows of one Arrow batch: texts can be very long."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -269,7 +269,7 @@ def predict_languages(docs: DataFrame, model: dict | None, keep: list[str],
     their result, an empty table gives no rows.  A kept column named like a result column is
     left out.
     """
-    small_arrow_batches(docs.sparkSession, 1000)
+    small_arrow_batches(docs.sparkSession)
     kept = [c for c in keep if c not in names]
     fields = docs.select(*kept).schema.fields
     shared = docs.sparkSession.sparkContext.broadcast(model)

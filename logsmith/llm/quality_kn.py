@@ -77,7 +77,7 @@ def _discount(counts: DataFrame) -> list[float]:
 def train_ngram_model(texts: DataFrame) -> dict:
     """Sharded tables of the model: per order (gram, p), and (context, backoff); and the base
     probability of a symbol.  ``texts`` has a column text.  Counts cover all of it."""
-    small_arrow_batches(texts.sparkSession, 1000)
+    small_arrow_batches(texts.sparkSession)
     raw = stored(texts.where("text IS NOT NULL").select("text").mapInArrow(_count_grams, "gram string, n long")
                  .groupBy("gram").agg(F.sum("n").alias("c")), "kn-raw")
     symbols = F.char_length("gram")
@@ -222,7 +222,7 @@ def document_perplexities(docs: DataFrame, model: dict, keep: list[str]) -> Data
 
     A text without words has 0 symbols and a null perplexity.
     """
-    small_arrow_batches(docs.sparkSession, 1000)
+    small_arrow_batches(docs.sparkSession)
     chars = docs.agg(F.sum(F.char_length("text"))).first()[0] or 0
     blocks = int(chars // BLOCK_CHARS) + 1
     text = F.coalesce("text", F.lit(""))

@@ -22,7 +22,7 @@ PARTS = 64
 #: Tasks whose sketches are merged first.
 FAN_IN = 64
 #: Keys that a task gathers before it merges them.
-BUFFERED = 2_000_000
+BUFFERED = 500_000
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -42,7 +42,7 @@ def _rows(slots: np.ndarray, counts: np.ndarray, width: int) -> pa.RecordBatch:
     """One row per part: sorted slots as gaps, and their counts."""
     team = TaskContext.get().partitionId() // FAN_IN if TaskContext.get() else 0
     out = {"part": [], "team": [], "n": [], "slots": [], "counts": []}
-    cuts = np.searchsorted(slots, np.arange(PARTS + 1, dtype=np.int64) * width)
+    cuts = np.searchsorted(slots, (np.arange(PARTS + 1, dtype=np.int64) * width).clip(max=2 ** 31 - 1).astype(np.int32))
     for part, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
         if a < b:
             gaps = np.diff(slots[a:b] - part * width, prepend=0).astype(np.int32)
@@ -55,17 +55,18 @@ def _rows(slots: np.ndarray, counts: np.ndarray, width: int) -> pa.RecordBatch:
 def _tally(extract, bits: int, most: int):
     """mapInArrow function: counts of the slots (top bits) of the keys that ``extract`` finds in a batch."""
     def merged(held, fresh):
-        slots, counts = np.unique((np.concatenate(fresh) >> np.uint64(64 - bits)).astype(np.int64), return_counts=True)
+        slots, counts = np.unique(np.concatenate(fresh), return_counts=True)
         both = np.concatenate([held[0], slots])
+        weights = np.concatenate([held[1], np.minimum(counts, most).astype(np.int64)])
         order = np.argsort(both, kind="stable")
-        both, weights = both[order], np.concatenate([held[1], counts])[order]
+        both, weights = both[order], weights[order]
         starts = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1])))
         return both[starts], np.minimum(np.add.reduceat(weights, starts), most)
 
     def run(batches):
-        held, fresh, waiting = (np.empty(0, np.int64), np.empty(0, np.int64)), [], 0
+        held, fresh, waiting = (np.empty(0, np.int32), np.empty(0, np.int64)), [], 0
         for batch in batches:
-            fresh.append(extract(batch))
+            fresh.append((extract(batch) >> np.uint64(64 - bits)).astype(np.int32))
             waiting += len(fresh[-1])
             if waiting > BUFFERED:
                 held, fresh, waiting = merged(held, fresh), [], 0
@@ -78,10 +79,11 @@ def _tally(extract, bits: int, most: int):
 def _merge(bits: int, most: int, finish):
     """applyInPandas function: the sum of the sketches of a group, ``finish``ed as a row."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros((1 << bits) // PARTS, dtype=np.int64)
+        total = np.zeros((1 << bits) // PARTS, dtype=np.uint8 if most < 128 else np.int64)
         for n, slots, counts in zip(pdf["n"], pdf["slots"], pdf["counts"]):
-            total[np.cumsum(_unpacked(slots, n, np.int32))] += _unpacked(counts, n, np.uint32)
-        return finish(int(pdf["part"].iloc[0]), np.minimum(total, most))
+            at = np.cumsum(_unpacked(slots, n, np.int32), dtype=np.int32)
+            total[at] = np.minimum(total[at] + _unpacked(counts, n, np.uint32), most)
+        return finish(int(pdf["part"].iloc[0]), total)
     return run
 
 

@@ -192,7 +192,7 @@ def score_documents(docs: DataFrame, model: dict | None, keep: list[str]) -> Dat
     text scores 0 when there is no model.  Rows are independent: repeated rows repeat their
     result, an empty table gives no rows.  Kept columns named like the results are left out.
     """
-    small_arrow_batches(docs.sparkSession, 1000)
+    small_arrow_batches(docs.sparkSession)
     kept = [c for c in keep if c not in ("score", "predicted")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
