@@ -238,3 +238,15 @@ def rule_labels(features: DataFrame, edges: DataFrame,
         many_urls.cast("int").alias("is_bot"),
         has_attack.cast("int").alias("has_attack_edge"),
         F.when(tags == "", F.lit("normal")).otherwise(tags).alias("labels"))
+
+
+def isolated_clients(components: DataFrame, max_size: int = 3) -> DataFrame:
+    """Clients in a small isolated component of the client-to-URL graph (scanner-like).
+
+    ``components`` is ``graph.connected_components``; a component counts as small with at most
+    ``max_size`` vertices.
+    """
+    sizes = components.groupBy("component").agg(F.count(F.lit(1)).alias("component_size"))
+    small = stored(sizes.where(F.col("component_size") <= max_size), "small-components")
+    return (components.where("type = 'ip'").join(small, "component")
+            .select(F.col("id").alias("ip"), "component", "component_size", F.lit("isolated").alias("label")))

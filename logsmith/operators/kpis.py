@@ -230,6 +230,7 @@ def global_totals(logs: DataFrame) -> DataFrame:
 
 
 # A10: the documented SQL forms, run through Spark SQL over the ``logs`` view.
+# users' documented queries must stay as they are.
 SQL_ACCESS_PER_HOUR = """
 SELECT date, hour, COUNT(*) AS access_count, COUNT(DISTINCT ip) AS unique_ips
 FROM {view}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from logsmith.operators import anomaly as A
 from logsmith.operators import graph as G
 from logsmith.plans.anomaly_queries import EDGES_CTE
 from logsmith.plans.oracle import with_logs
@@ -192,3 +193,12 @@ def communities_multi(spark, sf_dir):
     SITE_GRAPH_CTES + CC_CTES[CC_CTES.index(",\nreach(v, r)"):]))
 def connected_components_multi(spark, sf_dir):
     return G.connected_components(site_graph(spark, sf_dir))
+
+
+@register("isolated_clients", "M14", with_logs("""
+SELECT c.id AS ip, c.component, t.component_size, 'isolated' AS label
+FROM components c JOIN (SELECT component, count(*) AS component_size FROM components GROUP BY component) t
+     ON c.component = t.component
+WHERE c.type = 'ip' AND t.component_size <= 120""", SITE_GRAPH_CTES + CC_CTES[CC_CTES.index(",\nreach(v, r)"):]))
+def isolated_clients(spark, sf_dir):
+    return A.isolated_clients(G.connected_components(site_graph(spark, sf_dir)), max_size=120)

@@ -120,3 +120,13 @@ def test_component_constant_across_edges(spark):
     joined = g.edges.join(ip_c, "src").join(url_c, "dst")
     assert joined.count() == g.edges.count()
     assert joined.filter(F.col("cs") != F.col("cd")).count() == 0
+
+
+def test_components_of_a_long_chain_and_a_hub(spark):
+    from logsmith.operators.components import connected_components
+    chain = [(i, i + 1) for i in range(2000)]
+    hub = [(5000, 5001 + i) for i in range(500)]
+    df = spark.createDataFrame(chain[::-1] + hub + [(7, 7), (9000, 9000)], "a long, b long").repartition(5)
+    got = {r.node: r.component for r in connected_components(df).collect()}
+    assert got == {i: 0 for i in range(2001)} | {5000 + i: 5000 for i in range(501)}
+    assert connected_components(df.limit(0)).collect() == []

@@ -11,6 +11,7 @@ from logsmith.functions import logline as L
 from logsmith.operators import parsing
 from logsmith.sources.fixtures import event_log_lines
 
+# Fixed value: the documented sample line and the fields it must give.
 REF_LINE = '199.72.81.55 - - [01/Jul/1995:00:00:01 -0400] "GET /history/apollo/ HTTP/1.0" 200 6245'
 PREFIX = 'h.com - - [01/Jul/1995:00:00:01 -0400] '
 
