@@ -123,6 +123,29 @@ def may_repeat(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1 == 1
 
 
+def holding(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The ``rows`` whose long ``key`` (a hash) may be in the one column of ``keys``; loses none.
+
+    Filters before a shuffle by a bitmap of about 16 slots per key, at most 32 MB; a join has
+    to follow.
+    """
+    bits = min(max(keys.count().bit_length() + 4, FILTER_BITS_LEAST), FILTER_BITS_MOST)
+    parts = _sketch(keys, lambda batch: batch.column(0).to_numpy().view(np.uint64), bits, 1, lambda part, total: pd.DataFrame(
+        {"part": [part], "value": [np.packbits(total >= 1).tobytes()]}))
+    width = (1 << bits) // PARTS // 8
+    held = np.zeros(PARTS * width, dtype=np.uint8)
+    for part, value in parts.items():
+        held[part * width:(part + 1) * width] = np.frombuffer(value, np.uint8)
+    shared, at = rows.sparkSession.sparkContext.broadcast(held), rows.columns.index(key)
+
+    def keep(batches):
+        for batch in batches:
+            found = may_repeat(shared.value, batch.column(at).to_numpy().view(np.uint64))
+            yield batch.filter(pa.array(found))
+
+    return rows.mapInArrow(keep, rows.schema)
+
+
 def _levels(part: int, total: np.ndarray) -> pd.DataFrame:
     levels = np.zeros(len(total), dtype=np.uint8)
     some = total > 0
