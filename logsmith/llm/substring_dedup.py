@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logsmith.llm.common import connected_components, small_arrow_batches, stored, text_chars
-from logsmith.llm.sketches import may_repeat, repeat_filter
+from logsmith.llm.sketches import holding, may_repeat, repeat_filter
 from logsmith.llm.words import mix, shingle_hashes, sliding, word_hashes, words_and_lines
 
 MIN_WORDS = 50
@@ -235,7 +235,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     shared = stored(keyed.mapInArrow(_shared_units(bits), _SHARED_SCHEMA), "repeat-shared")
     pairs = stored(_collisions(shared), "repeat-pairs")
     # one row per key, as repeated rows have one text; both joins read the same shuffle of it
-    by_key = docs.select(_doc_key().alias("key"), "text").dropDuplicates(["key"])
+    wanted = pairs.select(F.col("doc_key").alias("key")).union(pairs.select("low_key")).distinct()
+    by_key = holding(docs.select(_doc_key().alias("key"), "text"), "key", stored(wanted, "repeat-wanted")).dropDuplicates(["key"])
     verified = stored(pairs.join(by_key.select(F.col("key").alias("doc_key"), "text"), "doc_key")
                       .join(by_key.select(F.col("key").alias("low_key"), F.col("text").alias("low_text")), "low_key")
                       .select("doc_key", "low_key", "seeds", "text", "low_text")
