@@ -43,7 +43,57 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs).select("doc_id", "removed_words", "removed_spans", "text")
 
 
-@query("op3_url_filters")
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _address_sql(url: str) -> str:
+    """A url without its fragment, scheme and host in lower case."""
+    bare, head = f"regexp_extract({url}, '(?s)^([^#]*)', 1)", f"regexp_extract({url}, '(?s)^([^#]*?://[^/?#]*)', 1)"
+    return f"(translate({head}, '{_UPPER}', '{_LOWER}') || substr({bare}, length({head}) + 1))"
+
+
+def _rule_sql(host: str, path: str, what: str) -> str:
+    from logsmith.llm.url_filter import RULES
+    whens = [f"WHEN ({host} = '{h}' OR ends_with({host}, '.{h}')) AND starts_with({path}, '{p}') THEN '{h + p if what == 'rule' else action}'"
+             for action, h, p in sorted(RULES, key=lambda r: -len(r[1] + r[2]))]
+    return f"CASE {' '.join(whens)} END"
+
+
+def _host_sql(url: str) -> str:
+    return f"translate(regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}')"
+
+
+def _path_sql(url: str) -> str:
+    return f"regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+
+
+URL_FILTER_SQL = f"""
+WITH RECURSIVE tags AS (
+  SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) AS tag FROM pages WHERE url IS NOT NULL),
+targets AS (
+  SELECT url, regexp_extract(tag, '(?is)\\bhref\\s*=\\s*["'']?([^"''>\\s]+)', 1) AS target FROM tags
+  WHERE regexp_matches(tag, '(?is)^<link') AND regexp_matches(tag, '(?is)\\brel\\s*=\\s*["'']?canonical\\b')
+  UNION
+  SELECT url, regexp_extract(tag, '(?is)\\burl\\s*=\\s*''?([^"''>\\s]+)', 1) AS target FROM tags
+  WHERE regexp_matches(tag, '(?is)^<meta') AND regexp_matches(tag, '(?is)\\bhttp-equiv\\s*=\\s*["'']?refresh\\b')),
+links AS (
+  SELECT DISTINCT {_address_sql('url')} AS a, {_address_sql("replace(target, '&amp;', '&')")} AS b
+  FROM targets WHERE contains(target, '://')),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, a FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+aliases AS (
+  SELECT a, CASE WHEN bool_or({_rule_sql(_host_sql('b'), _path_sql('b'), 'action')} = 'allow') THEN 'allow'
+                 WHEN bool_or({_rule_sql(_host_sql('b'), _path_sql('b'), 'action')} = 'block') THEN 'block' END AS verdict
+  FROM reach GROUP BY a),
+judged AS (
+  SELECT page_id, coalesce({_host_sql('url')}, '') AS host, coalesce({_path_sql('url')}, '') AS path,
+         {_address_sql('url')} AS address FROM pages)
+SELECT page_id, host, path, {_rule_sql('host', 'path', 'rule')} AS rule,
+       coalesce({_rule_sql('host', 'path', 'action')}, aliases.verdict, 'allow') AS verdict
+FROM judged LEFT JOIN aliases ON judged.address = aliases.a"""
+
+
+@query("op3_url_filters", URL_FILTER_SQL)
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logsmith.llm.url_filter import judge_urls
     return judge_urls(read_table(spark, sf_dir, "pages"))
