@@ -1,8 +1,10 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney n-gram model.
 
-The model reads characters inside words: a word is the symbols ^ c1 .. cn $, and each symbol
-after ^ is predicted from up to ORDER - 1 before it.  It is trained on trusted text, all
-documents labelled of good quality.
+Two models are trained on trusted text, all documents labelled of good quality.  The word model
+predicts each word from the word before it (at the beginning of a text, from a mark); what its
+discounts set aside goes to the words' continuation counts, and from there to the character
+model, which so gives unknown words their probability.  The character model reads inside words: a word is the symbols
+^ c1 .. cn $, and each symbol after ^ is predicted from up to ORDER - 1 before it.
 
 * Counts: tasks add up the n-grams of their own texts; the sums are sharded by n-gram.  Lower
   orders use continuation counts, except for n-grams that begin with ^.
@@ -13,6 +15,10 @@ documents labelled of good quality.
   distinct n-grams are joined with the sharded model, with backoff for those the model lacks,
   and the log probabilities go back to the block, where every document's are summed.  Nothing
   is broadcast, and no document's n-grams travel one by one.
+* Word pairs and words travel as 64-bit hashes; a bitmap keeps those that the model lacks out of
+  the joins, and counts, not probabilities, go back to the block.  There a trusted document's own
+  pairs are taken out of the counts before it is scored: a model that has read a document knows
+  its pairs by heart, and the thresholds would reject text that is as good but was not read.
 * Thresholds: a document is kept up to the QUANTILE of the perplexities of trusted documents
   of its language.
 """
@@ -22,11 +28,13 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsmith.llm.common import small_arrow_batches, stored
-from logsmith.llm.words import distinct_words_as_text
+from logsmith.llm.sketches import holding
+from logsmith.llm.words import distinct_words_as_text, mix
 
 ORDER = 5
 BEGIN, END = "\x02", "\x03"
@@ -34,6 +42,9 @@ QUANTILE = 0.995
 BLOCK_CHARS = 32_000_000
 FLUSH_WORDS = 300_000
 FLUSH_CHARS = 8_000_000
+#: Stands for the word before the first one of a text.
+START = np.uint64(0)
+_STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
 def word_grams(word: str) -> list[str]:
@@ -105,6 +116,48 @@ def train_ngram_model(texts: DataFrame) -> dict:
     return {"p": probabilities, "backoff": backoffs, "base": base}
 
 
+def word_pairs(words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the word before, the key of both) for each word of each text, words as hashes."""
+    before = np.concatenate(([START], words[:-1])) if len(words) else words
+    before[offsets[:-1][np.diff(offsets) > 0]] = START
+    return before, mix(before * _STEP + words)
+
+
+def _count_pairs(batches):
+    for batch in batches:
+        _, hashes, inverse, offsets = distinct_words_as_text(batch.column(0).to_pylist())
+        words = hashes[inverse]
+        before, keys = word_pairs(words, offsets)
+        keys, first, n = np.unique(keys, return_index=True, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (keys, before[first], words[first], n)],
+                                         names=["key", "before", "word", "n"])
+
+
+def _cut(column: Column, discounts: list[float]) -> Column:
+    return F.when(column == 1, discounts[0]).when(column == 2, discounts[1]).otherwise(discounts[2])
+
+
+def train_word_model(texts: DataFrame) -> dict:
+    """The sharded counts of pairs of words, and the discounts.  ``texts`` has a column text.
+
+    ``counts`` has a row for each pair (key, c) and for each word (key, total, taken, follows): how
+    often it is followed, how much of that its pairs' discounts take, and after how many different words it stands.
+    """
+    small_arrow_batches(texts.sparkSession)
+    pairs = stored(texts.where("text IS NOT NULL").select("text")
+                   .mapInArrow(_count_pairs, "key long, before long, word long, n long")
+                   .groupBy("key", "before", "word").agg(F.sum("n").alias("c")), "kn-pairs")
+    of_pairs = _discount(pairs)
+    after = pairs.groupBy(F.col("before").alias("key")).agg(
+        F.sum("c").alias("total"), F.sum(_cut(F.col("c"), of_pairs)).alias("taken"))
+    follows = stored(pairs.groupBy(F.col("word").alias("key")).agg(F.count(F.lit(1)).alias("c")), "kn-follows")
+    of_words = _discount(follows)
+    sums = follows.agg(F.sum("c").alias("n"), F.sum(_cut(F.col("c"), of_words)).alias("taken")).first()
+    words = after.join(follows.withColumnRenamed("c", "follows"), "key", "full")
+    counts = stored(pairs.select("key", "c").unionByName(words, allowMissingColumns=True), "kn-word-counts")
+    return {"counts": counts, "of_pairs": of_pairs, "of_words": of_words, "n": sums["n"] or 0, "taken": sums["taken"] or 0.0}
+
+
 def gram_probabilities(grams: DataFrame, model: dict) -> DataFrame:
     """(gram, p) for distinct n-grams of any order up to ORDER, seen or not."""
     symbols = F.char_length("gram")
@@ -156,6 +209,18 @@ def _block_grams(batches):
         yield rows()
 
 
+def _block_keys(batches):
+    """(block, text) -> (block, key): distinct pairs and words of each block in a batch."""
+    for batch in batches:
+        by_block: dict[int, list] = {}
+        for b, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            by_block.setdefault(b, []).append(t)
+        for b, group in by_block.items():
+            _, hashes, inverse, offsets = distinct_words_as_text(group)
+            keys = np.concatenate([[START], hashes, np.unique(word_pairs(hashes[inverse], offsets)[1])]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), b)), pa.array(keys)], names=["block", "key"])
+
+
 def _merge_grams(pdf: pd.DataFrame) -> pd.DataFrame:
     grams: set[str] = set()
     for data, size in zip(pdf["grams"], pdf["size"]):
@@ -195,32 +260,113 @@ def word_logp(word: str, logp: dict[str, float]) -> float:
     return sum(map(logp.__getitem__, word_grams(word)))
 
 
-def _score_block(payloads: pa.Table, grams: pa.Table) -> pa.Table:
-    logp = dict(zip(grams.column("gram").to_pylist(), np.log(grams.column("p").to_numpy()).tolist()))
-    known: dict[str, float] = {}
-    kept, total, symbols = [], [], []
-    for rows, sizes, data in zip(*(payloads.column(c).to_pylist() for c in ("rows", "sizes", "data"))):
-        stream = pa.decompress(data, sum(sizes), codec="zstd", asbytes=True) if sum(sizes) else b""
-        ends = np.cumsum(sizes).tolist()
-        texts = [stream[e - s:e].decode("utf-8", "surrogatepass") for s, e in zip(sizes, ends)]
-        words, _, inverse, offsets = distinct_words_as_text(texts)
-        for w in words:
-            if w not in known:
-                known[w] = word_logp(w, logp)
-        sums = np.fromiter(map(known.__getitem__, words), float, len(words))
-        count = np.fromiter(map(len, words), np.int64, len(words)) + 1
-        upto, n_upto = np.concatenate(([0.0], np.cumsum(sums[inverse]))), np.concatenate(([0], np.cumsum(count[inverse])))
-        kept += rows
-        total += (upto[offsets[1:]] - upto[offsets[:-1]]).tolist()
-        symbols += (n_upto[offsets[1:]] - n_upto[offsets[:-1]]).tolist()
-    return pa.table({"row": pa.array(kept, payloads.schema.field("rows").type.value_type),
-                     "logp": pa.array(total, pa.float64()), "n_symbols": pa.array(symbols, pa.int64())})
-
-
-def document_perplexities(docs: DataFrame, model: dict, keep: list[str]) -> DataFrame:
+def _group_sums(group: np.ndarray, key: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the number of its (group, key), and the sum of ``values`` (columns) for each number."""
+    order = np.lexsort((key, group))
+    g, k = group[order], key[order]
+    new = np.concatenate(([True], (g[1:] != g[:-1]) | (k[1:] != k[:-1])))
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return number, np.add.reduceat(values[order], np.flatnonzero(new), axis=0)
+
+
+def word_model_logp(words: np.ndarray, offsets: np.ndarray, spelled: np.ndarray, trusted: np.ndarray,
+                    model: dict, counts: tuple) -> np.ndarray:
+    """Log probability of each word of all texts.
+
+    ``spelled`` is that under the character model, ``counts`` the looked-up (sorted keys, c, total,
+    taken, follows).  The pairs of a trusted text are taken out of the counts for that text.
+    """
+    if not len(words):
+        return np.empty(0)
+
+    def look(keys: np.ndarray, *columns: int) -> list[np.ndarray]:
+        if not len(counts[0]):
+            return [np.zeros(len(keys)) for _ in columns]
+        at = np.minimum(np.searchsorted(counts[0], keys), len(counts[0]) - 1)
+        found = counts[0][at] == keys
+        return [np.where(found, counts[i][at], 0.0) for i in columns]
+
+    def cut(n: np.ndarray, discounts: list[float]) -> np.ndarray:
+        return np.array([0.0, *discounts])[np.clip(n, 0, 3).astype(np.int64)]
+
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    before, keys = word_pairs(words, offsets)
+    (c,), (total, taken), (follows,) = look(keys, 1), look(before, 2, 3), look(words, 4)
+    all_pairs, all_taken = np.full(len(words), float(model["n"])), np.full(len(words), model["taken"])
+    own = np.flatnonzero(trusted[text])
+    if len(own):
+        # once per different pair of a text: its count there, and what is left without it
+        t = text[own]
+        pair, n = _group_sums(t, keys[own], np.ones((len(own), 1)))
+        one = np.unique(pair, return_index=True)[1]
+        full = c[own][one]
+        rest = np.maximum(full - n[:, 0], 0)
+        gone = ((rest == 0) & (full > 0)).astype(float)
+        lost = np.zeros((len(own), 4))  # at one place of each pair, so that sums count it once
+        lost[one, 0] = full - rest
+        lost[one, 1] = cut(full, model["of_pairs"]) - cut(rest, model["of_pairs"])
+        context, sums = _group_sums(t, before[own], lost[:, :2])
+        total[own] -= sums[context, 0]
+        taken[own] = np.maximum(taken[own] - sums[context, 1], 0)
+        lost[one, 2] = gone
+        word, sums = _group_sums(t, words[own], lost[:, 2:3])
+        less = np.maximum(follows[own] - sums[word, 0], 0)
+        some = np.unique(word, return_index=True)[1]
+        lost[some, 3] = (cut(follows[own], model["of_words"]) - cut(less, model["of_words"]))[some]
+        all_pairs[own] -= np.bincount(t, lost[:, 2])[t]
+        all_taken[own] = np.maximum(all_taken[own] - np.bincount(t, lost[:, 3])[t], 0)
+        follows[own], c[own] = less, rest[pair]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        known = np.log(follows - cut(follows, model["of_words"])) - np.log(all_pairs)
+        single = np.where(all_pairs > 0, np.logaddexp(known, np.log(all_taken) - np.log(all_pairs) + spelled), spelled)
+        known = np.log(c - cut(c, model["of_pairs"])) - np.log(total)
+        return np.where(total > 0, np.logaddexp(known, np.log(taken) - np.log(total) + single), single)
+
+
+def _scorer(model: dict | None):
+    """applyInArrow function: the documents of a block, with the looked-up n-grams, pairs and words of
+    the block.  ``model`` is the word model without its table; without one, words stand alone."""
+    def run(payloads: pa.Table, looked_up: pa.Table) -> pa.Table:
+        is_gram = looked_up.column("gram").is_valid()
+        grams, others = looked_up.filter(is_gram), looked_up.filter(pc.invert(is_gram))
+        logp = dict(zip(grams.column("gram").to_pylist(), np.log(grams.column("p").to_numpy()).tolist()))
+        counts = (others.column("key").to_numpy(), *(others.column(x).fill_null(0).to_numpy().astype(float)
+                                                     for x in ("c", "total", "taken", "follows")))
+        order = np.argsort(counts[0].astype(np.uint64))
+        counts = (counts[0].astype(np.uint64)[order], *(x[order] for x in counts[1:]))
+        known: dict[str, float] = {}
+        kept, total, symbols = [], [], []
+        for rows, sizes, data in zip(*(payloads.column(c).to_pylist() for c in ("rows", "sizes", "data"))):
+            stream = pa.decompress(data, sum(sizes), codec="zstd", asbytes=True) if sum(sizes) else b""
+            ends = np.cumsum(sizes).tolist()
+            texts = [stream[e - s:e].decode("utf-8", "surrogatepass") for s, e in zip(sizes, ends)]
+            words, hashes, inverse, offsets = distinct_words_as_text(texts)
+            for w in words:
+                if w not in known:
+                    known[w] = word_logp(w, logp)
+            each = np.fromiter(map(known.__getitem__, words), float, len(words))[inverse]
+            if model is not None:
+                trusted = np.array([r["trusted"] for r in rows], dtype=bool)
+                each = word_model_logp(hashes[inverse], offsets, each, trusted, model, counts)
+            count = np.fromiter(map(len, words), np.int64, len(words)) + 1
+            upto, n_upto = np.concatenate(([0.0], np.cumsum(each))), np.concatenate(([0], np.cumsum(count[inverse])))
+            kept += rows
+            total += (upto[offsets[1:]] - upto[offsets[:-1]]).tolist()
+            symbols += (n_upto[offsets[1:]] - n_upto[offsets[:-1]]).tolist()
+        return pa.table({"row": pa.array(kept, payloads.schema.field("rows").type.value_type),
+                         "logp": pa.array(total, pa.float64()), "n_symbols": pa.array(symbols, pa.int64())})
+    return run
+
+
+_COUNTS = {"key": "long", "c": "long", "total": "long", "taken": "double", "follows": "long"}
+
+
+def document_perplexities(docs: DataFrame, model: dict, keep: list[str], words: dict | None = None) -> DataFrame:
     """The ``keep`` columns (not text) of every row, with n_symbols and perplexity.
 
-    A text without words has 0 symbols and a null perplexity.
+    With a word model ``words`` its probabilities count, and ``keep`` has a column trusted: whether
+    the model has read the row; without one, those of the character model alone.  A text without words has 0 symbols and a null perplexity.
     """
     small_arrow_batches(docs.sparkSession)
     chars = docs.agg(F.sum(F.char_length("text"))).first()[0] or 0
@@ -230,11 +376,18 @@ def document_perplexities(docs: DataFrame, model: dict, keep: list[str]) -> Data
     pairs = stored(placed.select("block", "text").mapInArrow(_block_grams, "block long, grams binary, size long")
                    .groupBy("block").applyInPandas(_merge_grams, "block long, gram string"), "kn-block-grams")
     scores = gram_probabilities(stored(pairs.select("gram").distinct(), "kn-grams"), model)
-    looked_up = pairs.join(stored(scores, "kn-scores"), "gram")
+    looked_up = pairs.join(stored(scores, "kn-scores"), "gram").select(
+        "block", "gram", "p", *(F.lit(None).cast(t).alias(c) for c, t in _COUNTS.items()))
+    if words is not None:
+        keys = holding(placed.select("block", "text").mapInArrow(_block_keys, "block long, key long"), "key", words["counts"].select("key"))
+        counts = stored(keys.distinct(), "kn-block-keys").join(words["counts"], "key").select(
+            "block", F.lit(None).cast("string").alias("gram"), F.lit(None).cast("double").alias("p"), *_COUNTS)
+        looked_up = looked_up.unionByName(counts)
+        words = {k: v for k, v in words.items() if k != "counts"}
     row_type = placed.schema["row"].dataType.simpleString()
     payloads = placed.mapInArrow(_payloads, f"block long, rows array<{row_type}>, sizes array<long>, data binary")
     scored = (payloads.groupBy("block").cogroup(looked_up.groupBy("block"))
-              .applyInArrow(_score_block, f"row {row_type}, logp double, n_symbols long"))
+              .applyInArrow(_scorer(words), f"row {row_type}, logp double, n_symbols long"))
     return scored.select("row.*", "n_symbols", F.when(F.col("n_symbols") > 0, F.exp(-F.col("logp") / F.col("n_symbols"))).alias("perplexity"))
 
 
@@ -249,9 +402,12 @@ def classify_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANT
     """
     trusted_ids = labels.where("quality = 1").select("doc_id").distinct()
     base = docs.select("doc_id", "lang", "text")
-    model = train_ngram_model(base.join(trusted_ids, "doc_id", "left_semi"))
-    scored = stored(document_perplexities(base, model, ["doc_id", "lang"]), "kn-documents")
-    trusted = (scored.join(trusted_ids, "doc_id", "left_semi").where("perplexity IS NOT NULL")
+    read = base.join(trusted_ids, "doc_id", "left_semi")
+    model, words = train_ngram_model(read), train_word_model(read)
+    marked = base.join(trusted_ids.withColumn("trusted", F.lit(True)), "doc_id", "left").withColumn(
+        "trusted", F.coalesce("trusted", F.lit(False)))
+    scored = stored(document_perplexities(marked, model, ["doc_id", "lang", "trusted"], words), "kn-documents")
+    trusted = (scored.where("trusted AND perplexity IS NOT NULL")
                .groupBy("lang", (F.ceil(F.col("perplexity") * 100) / 100).alias("value")).agg(F.count(F.lit(1)).alias("n")))
     at = lambda: F.percentile("value", F.lit(quantile), F.col("n"))
     trusted = stored(trusted, "kn-trusted")

@@ -79,3 +79,59 @@ def test_edge_cases(spark):
     none = K.classify_quality(edge_docs(spark), labels.limit(0)).collect()
     assert all(r.keep == (r.n_symbols > 0) for r in none)
     assert K.classify_quality(empty_docs(spark), labels).collect() == []
+
+
+def sentences(seed, n):
+    """Texts in which every word calls for one of two next words."""
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(60)]
+    vocabulary = sorted(set(vocabulary))
+    after = {w: rng.sample(vocabulary, 2) for w in vocabulary}
+    texts = []
+    for _ in range(n):
+        words = [rng.choice(vocabulary)]
+        while len(words) < 120:
+            words.append(rng.choice(after[words[-1]]))
+        texts.append(words)
+    return texts
+
+
+def test_repeated_and_shuffled_words_are_dropped(spark):
+    texts = sentences(3, 140)
+    rng = random.Random(8)
+    rows = [(i, " ".join(t), "en") for i, t in enumerate(texts)]
+    rows += [(200 + i, " ".join(w for w in t[:12] for _ in range(10)), "en") for i, t in enumerate(texts[100:120])]
+    rows += [(300 + i, " ".join(rng.sample(t, len(t))), "en") for i, t in enumerate(texts[120:])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, 1) for i in range(100)], "doc_id long, quality int")
+    got = {r.doc_id: r.keep for r in K.classify_quality(docs, labels).collect()}
+    assert sum(got[i] for i in range(140)) >= 136
+    assert not any(got[i] for i in got if i >= 200)
+
+
+def test_trusted_texts_are_scored_without_their_own_pairs(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["ab", "ba", "abc", "c", "cab", "bb"]) + rng.choice(["", "a", "q"])
+                      for _ in range(rng.randrange(1, 30))) for _ in range(40)]
+    trusted = set(range(25))
+    docs = spark.createDataFrame([(i, t, i in trusted) for i, t in enumerate(texts)], "doc_id long, text string, trusted boolean")
+    read = docs.where("trusted")
+    model, words = K.train_ngram_model(read), K.train_word_model(read)
+    spell = brute_force([texts[i] for i in sorted(trusted)])
+    pairs_of = lambda t: list(zip([None] + t.split(), t.split()))
+    for r in K.document_perplexities(docs.repartition(3), model, ["doc_id", "trusted"], words).collect():
+        pairs = Counter(x for i in trusted if i != r.doc_id for x in pairs_of(texts[i]))
+        follows = Counter(w for _, w in pairs)
+        cut = lambda n, d: d[min(n, 3) - 1] if n else 0.0
+        logp = 0.0
+        for v, w in pairs_of(texts[r.doc_id]):
+            p = math.exp(sum(math.log(spell(g)) for g in K.word_grams(w)))
+            n = sum(follows.values())
+            p = (follows[w] - cut(follows[w], words["of_words"]) + sum(cut(x, words["of_words"]) for x in follows.values()) * p) / n
+            same = {b: c for (a, b), c in pairs.items() if a == v}
+            if same:
+                own = same.get(w, 0)
+                p = (own - cut(own, words["of_pairs"]) + sum(cut(x, words["of_pairs"]) for x in same.values()) * p) / sum(same.values())
+            logp += math.log(p)
+        expected = math.exp(-logp / r.n_symbols)
+        assert abs(r.perplexity - expected) < 1e-6 * expected
