@@ -10,8 +10,11 @@ Units of a text that can repeat elsewhere:
   spliced into other paragraphs.  Any run of MIN_WORDS words that two texts share holds a
   shared excerpt.
 
-Units that collide in a value are paired with the lowest one (doc_id, then place), never
-with each other, so a passage in n documents costs n pairs.  Colliding paragraphs are
+Units that collide in a value are first paired with the lowest one (doc_id, then place), so a
+passage in n documents costs n pairs.  Where that fails, a second round follows.  Paragraphs of
+one value in different components are paired with each other.  For an excerpt whose lowest
+holder shares too little with another one, all holders give the MIN_WORDS-word windows around
+it, and a window's lowest holder keeps it: that is n rows for n holders, too.  Colliding paragraphs are
 verified by exact Jaccard similarity and grouped into connected components: the lowest of a
 component stays, the others are removals.  Colliding excerpts are verified on the texts and
 extended word by word to the whole run both texts share; runs of MIN_WORDS words or more are
@@ -134,9 +137,8 @@ def _shared_units(shared):
 _SHARED_SCHEMA = "id struct<doc_id:long,doc_key:long>, units array<struct<value:long,kind:int,place:int>>"
 
 
-def _collisions(shared: DataFrame) -> DataFrame:
-    """(doc_key, low_key, seeds): for each pair of documents the places where units of the first
-    share a value with the lowest unit of that value, in the second.
+def _colliding(shared: DataFrame) -> DataFrame:
+    """(value, kind, unit, low): the units of values that occur twice, with the lowest of each.
 
     The minimum is partial before its shuffle; both sides of the join are stored scans, so a
     value that holds a third of all rows is split by the adaptive skew join.
@@ -145,11 +147,75 @@ def _collisions(shared: DataFrame) -> DataFrame:
         "u.value", "u.kind", F.struct("id.doc_id", "id.doc_key", "u.place").alias("unit")), "repeat-units")
     low = stored(units.groupBy("value", "kind").agg(F.min("unit").alias("low"), F.max("unit").alias("high"))
                  .where("low != high").select("value", "kind", "low"), "repeat-low")
-    met = units.join(low, ["value", "kind"]).where("unit != low")
+    return units.join(low, ["value", "kind"])
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    """(value, kind, unit, low) -> (doc_key, low_key, seeds): for each pair of documents the places
+    where units of the first share a value with units of the second."""
     return met.groupBy(F.col("unit.doc_key").alias("doc_key"), F.col("low.doc_key").alias("low_key")).agg(
         F.collect_set(F.struct("kind", F.col("unit.place").alias("place"), F.col("low.place").alias("low"))).alias("seeds"))
 
 
+def _crossing(colliding: DataFrame, links: DataFrame) -> DataFrame:
+    """(value, kind, unit, low): paragraphs that share a value and are in different components of ``links``.
+
+    All pairs with the lowest of a value have been verified before.
+    """
+    parts = stored(connected_components(links.select(_node("low_key", "low_first").alias("a"), _node("doc_key", "first").alias("b"))),
+                   "paragraph-star-parts")
+    units = (colliding.where(F.col("kind") == PARAGRAPH).withColumn("node", _node("unit.doc_key", "unit.place"))
+             .join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")))
+    units = stored(units.select("value", "unit", "low", "part"), "paragraph-units")
+    several = units.groupBy("value").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a != b").select("value")
+    some = stored(units.where("unit != low").join(several, "value", "left_semi").select("value", "unit", "part"), "paragraph-open")
+    lower = some.select("value", F.col("unit").alias("low"), F.col("part").alias("low_part"))
+    return some.join(lower, "value").where("low < unit AND low_part != part").select(
+        "value", F.lit(PARAGRAPH).alias("kind"), "unit", "low")
+
+
+def _node(key: str, first: str):
+    return F.xxhash64(key, first)
+
+
+def _windows(batches):
+    """(doc_id, doc_key, places, text) -> (window, unit): the MIN_WORDS-word windows around excerpts."""
+    for batch in batches:
+        ids, keys, places = (batch.column(i).to_pylist() for i in range(3))
+        words, offsets, _ = words_and_lines(batch.column(3).to_pylist())
+        for i, at in enumerate(places):
+            own = words[offsets[i]:offsets[i + 1]]
+            if len(own) < MIN_WORDS:
+                continue
+            firsts = np.unique(np.add.outer(np.array(at), np.arange(EXCERPT_WORDS - MIN_WORDS, 1)))
+            firsts = firsts[(firsts >= 0) & (firsts + MIN_WORDS <= len(own))]
+            n = len(firsts)
+            unit = pa.StructArray.from_arrays([pa.array([ids[i]] * n, pa.int64()), pa.array([keys[i]] * n, pa.int64()),
+                                               pa.array(firsts.astype(np.int32))], names=["doc_id", "doc_key", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes(own, MIN_WORDS)[firsts].astype(np.int64)), unit],
+                                             names=["window", "unit"])
+
+
+def _window_removals(colliding: DataFrame, runs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_key, first, end): repeated windows around the excerpts that some holder does not share
+    with the lowest one for MIN_WORDS words.  ``runs`` are the runs that are shared with lowest ones."""
+    holders = colliding.where(F.col("kind") == EXCERPT)
+    runs = runs.select(F.col("doc_key").alias("of"), "first", "end")
+    missed = holders.where("unit != low").join(
+        runs, (F.col("unit.doc_key") == F.col("of")) & (F.col("first") <= F.col("unit.place"))
+        & (F.col("unit.place") + EXCERPT_WORDS <= F.col("end")), "left_anti")
+    missed = stored(missed.select("value").distinct(), "repeat-missed")
+    places = stored(holders.join(missed, "value", "left_semi").groupBy("unit.doc_id", "unit.doc_key").agg(
+        F.collect_set("unit.place").alias("places")), "repeat-places")
+    windows = stored(places.join(_texts(docs, places.select(F.col("doc_key").alias("key")).distinct()), F.col("doc_key") == F.col("key"))
+                     .select("doc_id", "doc_key", "places", "text")
+                     .mapInArrow(_windows, "window long, unit struct<doc_id:long,doc_key:long,place:int>"), "repeat-windows")
+    low = stored(windows.groupBy("window").agg(F.min("unit").alias("low"), F.max("unit").alias("high"))
+                 .where("low != high").select("window", "low"), "repeat-window-low")
+    return windows.join(low, "window").where("unit != low").select(
+        "unit.doc_key", F.col("unit.place").alias("first"), (F.col("unit.place") + MIN_WORDS).alias("end"))
+
+
 def common_runs(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], same: bool = False) -> list[tuple[int, int]]:
     """Maximal runs of ``a``, of MIN_WORDS words or more, equal to words of ``b`` at a seed's offset."""
     runs = []
@@ -206,10 +272,9 @@ def _verify(batches):
 
 def _paragraph_removals(links: DataFrame, ids: DataFrame) -> DataFrame:
     """(doc_key, first, end) of the paragraphs that repeat a lower one of their component."""
-    node = lambda key, first: F.xxhash64(key, first)
     ends = links.select("doc_key", "first", "end").union(links.select("low_key", "low_first", "low_end")).distinct()
-    ends = ends.withColumn("node", node("doc_key", "first")).join(ids, "doc_key")
-    parts = connected_components(links.select(node("low_key", "low_first").alias("a"), node("doc_key", "first").alias("b")))
+    ends = ends.withColumn("node", _node("doc_key", "first")).join(ids, "doc_key")
+    parts = connected_components(links.select(_node("low_key", "low_first").alias("a"), _node("doc_key", "first").alias("b")))
     parts = stored(ends.join(parts, "node").select(
         F.struct("doc_id", "doc_key", "first").alias("unit"), "end", "component"), "paragraph-parts")
     keepers = stored(parts.groupBy("component").agg(F.min("unit").alias("keeper")), "paragraph-keepers")
@@ -221,6 +286,22 @@ def _doc_key():
     return F.xxhash64("doc_id", "text")
 
 
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key, text) of the wanted keys: one row per key, as repeated rows have one text."""
+    return holding(docs.select(_doc_key().alias("key"), "text"), "key", stored(wanted, "repeat-wanted")).dropDuplicates(["key"])
+
+
+def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Runs of excerpts and pairs of similar paragraphs, from the texts of the pairs of documents."""
+    # both joins read the same shuffle of the texts
+    by_key = _texts(docs, pairs.select(F.col("doc_key").alias("key")).union(pairs.select("low_key")).distinct())
+    return stored(pairs.join(by_key.select(F.col("key").alias("doc_key"), "text"), "doc_key")
+                  .join(by_key.select(F.col("key").alias("low_key"), F.col("text").alias("low_text")), "low_key")
+                  .select("doc_key", "low_key", "seeds", "text", "low_text")
+                  .mapInArrow(_verify, "kind int, doc_key long, first int, end int, low_key long, low_first int, "
+                                       "low_end int"), "repeat-verified")
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_key, spans): word spans [first, end) to cut, for the documents that have any.
 
@@ -233,18 +314,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     keyed = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), _doc_key().alias("doc_key")).alias("id"),
                         "text")
     shared = stored(keyed.mapInArrow(_shared_units(bits), _SHARED_SCHEMA), "repeat-shared")
-    pairs = stored(_collisions(shared), "repeat-pairs")
-    # one row per key, as repeated rows have one text; both joins read the same shuffle of it
-    wanted = pairs.select(F.col("doc_key").alias("key")).union(pairs.select("low_key")).distinct()
-    by_key = holding(docs.select(_doc_key().alias("key"), "text"), "key", stored(wanted, "repeat-wanted")).dropDuplicates(["key"])
-    verified = stored(pairs.join(by_key.select(F.col("key").alias("doc_key"), "text"), "doc_key")
-                      .join(by_key.select(F.col("key").alias("low_key"), F.col("text").alias("low_text")), "low_key")
-                      .select("doc_key", "low_key", "seeds", "text", "low_text")
-                      .mapInArrow(_verify, "kind int, doc_key long, first int, end int, low_key long, low_first int, "
-                                           "low_end int"), "repeat-verified")
+    colliding = stored(_colliding(shared), "repeat-colliding")
+    verified = _verified(stored(_pairs(colliding.where("unit != low")), "repeat-pairs"), docs)
+    links, runs = (verified.where(F.col("kind") == kind) for kind in (PARAGRAPH, EXCERPT))
+    crossing = stored(_pairs(_crossing(colliding, links)), "repeat-crossing")
+    links = links.unionByName(_verified(crossing, docs))
     ids = shared.select("id.doc_id", "id.doc_key").distinct()
-    spans = _paragraph_removals(verified.where(F.col("kind") == PARAGRAPH), ids).unionByName(
-        verified.where(F.col("kind") == EXCERPT).select("doc_key", "first", "end"))
+    spans = _paragraph_removals(links, ids).unionByName(runs.select("doc_key", "first", "end")).unionByName(
+        _window_removals(colliding, runs, docs))
     return stored(spans.groupBy("doc_key").agg(F.array_sort(F.collect_set(F.struct("first", "end"))).alias("spans")),
                   "repeat-spans")
 

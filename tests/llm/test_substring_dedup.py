@@ -68,3 +68,32 @@ def test_edge_cases(spark):
     assert len(same) == 3 and len(set(same)) == 1
     assert by_id[9][0].text == "" and by_id[9][0].removed_words == 80
     assert remove_repeats(empty_docs(spark)).collect() == []
+
+
+def test_passages_that_the_lowest_holder_shares_too_little_of(spark):
+    rng = random.Random(12)
+    passages, rows = [], []
+    for k in range(20):
+        passage = words(rng, 51, 10**6)
+        passages.append(passage)
+        for i, part in enumerate([passage[:49], passage, passage, passage]):
+            rows.append((4 * k + i, " ".join(words(rng, 60, 10**6) + part + words(rng, 60, 10**6))))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in remove_repeats(df).collect()}
+    for k, passage in enumerate(passages):
+        assert [tuple(passage) in windows(got[4 * k + i].text, 51) for i in range(4)] == [False, True, False, False]
+        assert [got[4 * k + i].removed_words for i in range(4)] == [0, 0, 51, 51]
+
+
+def test_near_paragraphs_whose_lowest_partner_is_not_similar(spark):
+    rng = random.Random(13)
+    rows = []
+    for k in range(6):
+        base = words(rng, 120, 10**6)
+        middle = list(base)
+        middle[60] = "changed"                                            # J = 111 / 121 with the base
+        lows = [[w if j < 88 else words(rng, 1, 10**6)[0] for j, w in enumerate(base)] for _ in range(30)]  # J about 0.57
+        rows += [" ".join(t) for t in [*lows, base, middle]]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.removed_words for r in remove_repeats(df).collect()}
+    assert all(got[32 * k + 31] == 120 for k in range(6))
