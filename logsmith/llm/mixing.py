@@ -4,8 +4,8 @@
 1. Sizes are word counts.  Target words per source come from its weight, never above
    ``max_epochs`` times its size; the excess is reshared by weight (water filling).
 2. Each source's documents fall into blocks by hash.  A target is whole passes over the
-   source (epochs) plus whole blocks in a permuted order plus single documents of the next
-   blocks that fit into what is left, largest first.
+   source (epochs) plus, through all blocks in a permuted order, the documents that still fit
+   into what is left; those of the block that what is left ends in go largest first.
 3. The drawn blocks of all sources are dealt to output shards by a binary tree.  At each
    node every drawn block goes left with the probability places left / blocks left
    (selection sampling), which makes the counts per source exactly multivariate
@@ -28,8 +28,6 @@ MAX_EPOCHS = 3
 SHARDS = 16
 #: Blocks over all sources, whatever the corpus size; a block then holds that share of the words.
 BLOCKS = 1 << 17
-#: Blocks of a source, from the one its target ends in, whose documents may fill the rest.
-FILL_BLOCKS = 16
 SEED = 20_011
 
 
@@ -122,6 +120,47 @@ def split_quotas(quotas: DataFrame, shards: int = SHARDS) -> DataFrame:
     return level.select(F.col("first").alias("shard"), F.inline("quotas"))
 
 
+def _fill(ranked: DataFrame, items: DataFrame, rests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents that fill each source's rest: (source_no, block, limit), blocks whose documents
+    of up to ``limit`` words are taken, and (source_no, block, content), single documents of others.
+
+    ``ranked`` has the blocks with their rank, ``items`` the documents with their words.  A round
+    takes all documents that may fit, block by block, up to the block that goes beyond the room,
+    there the largest first, and goes on behind that block with the room left, until no document
+    of a later block fits.  What was passed over is larger than the room, which only shrinks.
+    """
+    items = stored(items.join(ranked, ["source_no", "block"]).where("words > 0"), "mix-items")
+    state = stored(rests.select("source_no", F.col("rest").alias("room"), F.lit(0).cast("long").alias("after")), "mix-room")
+    limits = stored(items.select("source_no", "block", F.lit(0.0).alias("limit")).limit(0), "mix-limits")
+    singles = stored(items.select("source_no", "block", "content").limit(0), "mix-singles")
+    by_rank = Window.partitionBy("source_no").orderBy("rank")
+    while True:
+        may_fit = items.join(state, "source_no").where("rank > after AND words <= room")
+        blocks = (may_fit.groupBy("source_no", "block", "rank", "room").agg(F.sum("words").alias("block_size"))
+                  .withColumn("upto", F.sum("block_size").over(by_rank.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+                  .withColumn("boundary", F.min(F.when(F.col("upto") > F.col("room"), F.col("rank"))).over(
+                      Window.partitionBy("source_no"))))
+        blocks = stored(blocks, "mix-fill-blocks")
+        if blocks.isEmpty():
+            return limits, singles
+        limits = limits.union(blocks.where("boundary IS NULL OR rank < boundary").select(
+            "source_no", "block", F.col("room").alias("limit")))
+        ends = blocks.where("rank = boundary").select(
+            "source_no", "block", F.col("rank").alias("after"), (F.col("room") - (F.col("upto") - F.col("block_size"))).alias("left"))
+        fits = F.aggregate(
+            F.array_sort(F.collect_list(F.struct((-F.col("words")).alias("minus"), "content"))),
+            F.struct(F.max("left").alias("room"), F.array().cast("array<bigint>").alias("chosen")),
+            lambda s, d: F.when(s["room"] + d["minus"] >= 0, F.struct(
+                (s["room"] + d["minus"]).alias("room"),
+                F.concat(s["chosen"], F.array(d["content"])).alias("chosen"))).otherwise(s))
+        fitted = (items.drop("rank").join(ends, ["source_no", "block"]).where("words <= left")
+                  .groupBy("source_no").agg(fits.alias("fitted")))
+        state = stored(ends.join(fitted, "source_no", "left").select(
+            "source_no", "block", F.coalesce("fitted.room", "left").alias("room"), "after", "fitted.chosen"), "mix-room")
+        singles = singles.union(state.select("source_no", "block", F.explode("chosen").alias("content")))
+        state = state.select("source_no", "room", "after")
+
+
 def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
              shards: int = SHARDS, blocks: int = BLOCKS) -> DataFrame:
     """How often, and into which shards, each document goes.
@@ -152,23 +191,19 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
     placed = units.join(targets, units["source"].eqNullSafe(targets["source"])).drop(targets["source"])
     placed = placed.withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "content"), F.col("blocks")))
     words = F.col("size") * F.col("copies")
-    # blocks of a source in permuted order, with the words before each
+    # blocks of a source in permuted order
     order = Window.partitionBy("source_no").orderBy(F.xxhash64(F.lit(SEED + 1), "source_no", "block"), "block")
-    summed = (placed.groupBy("source_no", "block", "epochs", "rest").agg(F.sum(words).alias("block_size"))
-              .withColumn("rank", F.row_number().over(order).cast("long"))
-              .withColumn("before", F.sum("block_size").over(
-                  order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("block_size"))
-              .withColumn("missing", F.greatest(F.col("rest") - F.col("before"), F.lit(0.0)))
-              .withColumn("boundary", F.min(F.when(F.col("block_size") > F.col("missing"), F.col("rank"))).over(
-                  Window.partitionBy("source_no")))
-              .withColumn("room", F.max(F.when(F.col("rank") == F.col("boundary"), F.col("missing"))).over(
-                  Window.partitionBy("source_no")))
-              .withColumn("whole", (F.col("missing") > 0) & (F.col("boundary").isNull() | (F.col("rank") < F.col("boundary"))))
-              .withColumn("fill", (F.coalesce("room", F.lit(0.0)) > 0) & (F.col("rank") >= F.col("boundary"))
-                          & (F.col("rank") < F.col("boundary") + FILL_BLOCKS)))
+    ranked = (placed.groupBy("source_no", "block", "epochs").agg(F.count(F.lit(1)).alias("rows"))
+              .withColumn("rank", F.row_number().over(order).cast("long")).drop("rows"))
+    ranked = stored(ranked, "mix-ranked")
+    limits, singles = _fill(ranked.select("source_no", "block", "rank"), placed.select("source_no", "block", "content", words.alias("words")),
+                            targets.select("source_no", "rest"))
     # draws of a block: its epochs, and one more if it is drawn whole or in part for the rest
-    drawn = summed.withColumn("draws", F.col("epochs") + (
-        F.col("whole") | F.coalesce("fill", F.lit(False))).cast("long"))
+    last = limits.unionByName(singles.select("source_no", "block", F.lit(0.0).alias("limit")).distinct())
+    drawn = ranked.join(last, ["source_no", "block"], "left").withColumn(
+        "draws", F.col("epochs") + F.col("limit").isNotNull().cast("long"))
+    upto_rank = Window.partitionBy("source_no").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    drawn = drawn.withColumn("last_rank", F.count("limit").over(upto_rank))
     drawn = stored(drawn.withColumn("passed", F.count(F.lit(1)).over(Window.partitionBy("source_no"))), "mix-blocks")
 
     quotas = drawn.groupBy("source_no").agg(F.sum("draws").cast("long").alias("n"))
@@ -176,30 +211,20 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
     leaves = (split_quotas(quotas, shards).where("n > 0")
               .withColumn("upto", F.sum("n").over(leaf_order)))
     runs = leaves.groupBy("source_no").agg(F.array_sort(F.collect_list(F.struct("upto", "shard"))).alias("runs"))
-    # draw number of a block in pass e: e whole passes before it, then its rank
+    # draw number of a block in pass e: e whole passes before it, then its rank among the pass's blocks
     def shard_of(e: Column) -> Column:
-        return F.filter("runs", lambda r: r["upto"] >= e * F.col("passed") + F.col("rank"))[0]["shard"]
+        rank = F.when(e < F.col("epochs"), F.col("rank")).otherwise(F.col("last_rank"))
+        return F.filter("runs", lambda r: r["upto"] >= e * F.col("passed") + rank)[0]["shard"]
 
     dealt = drawn.join(runs, "source_no", "left").withColumn("block_shards", F.when(
         F.col("draws") > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.col("draws") - 1), shard_of))
         .otherwise(F.array().cast("array<int>")))
-    dealt = stored(dealt.select("source_no", "block", "epochs", "room", "whole", "fill", "block_shards"), "mix-dealt")
-
-    # what is left of the rest: documents of the fill blocks by falling size, while they fit
-    last = placed.join(dealt.where("fill").select("source_no", "block", "room"), ["source_no", "block"])
-    fits = F.aggregate(
-        F.array_sort(F.collect_list(F.struct((-words).alias("minus"), "content"))),
-        F.struct(F.max("room").alias("room"), F.array().cast("array<bigint>").alias("chosen")),
-        lambda s, d: F.when((d["minus"] < 0) & (s["room"] + d["minus"] >= 0), F.struct(
-            (s["room"] + d["minus"]).alias("room"),
-            F.concat(s["chosen"], F.array(d["content"])).alias("chosen"))).otherwise(s))
-    chosen = stored(last.groupBy("source_no").agg(fits.alias("fitted"))
-                    .select(F.explode("fitted.chosen").alias("content"), F.lit(True).alias("fills")), "mix-fill")
-
-    out = (placed.join(dealt, ["source_no", "block"]).drop(dealt["epochs"])
-           .join(chosen, "content", "left"))
+    dealt = stored(dealt.select("source_no", "block", "limit", "block_shards"), "mix-dealt")
+    chosen = singles.select("content", F.lit(True).alias("fills"))
+
+    out = placed.join(dealt, ["source_no", "block"]).join(chosen, "content", "left")
     draws = F.when(F.col("size") == 0, 0).otherwise(F.col("epochs") + (
-        F.col("whole") | F.coalesce("fills", F.lit(False))).cast("long"))
+        F.coalesce(words <= F.col("limit"), F.lit(False)) | F.coalesce("fills", F.lit(False))).cast("long"))
     return out.withColumn("draws", draws.cast("int")).select(
         "doc_id", "content", "size", "source", "source_size", "target",
         (F.col("size") * F.col("draws")).alias("taken"),

@@ -81,3 +81,21 @@ def test_edge_cases(spark):
     assert mix_plan(empty_docs(spark)).collect() == [] and mix_documents(empty_docs(spark)).collect() == []
     blank = spark.createDataFrame([(1, None, "s"), (2, "", "s")], "doc_id long, text string, source string")
     assert [(r.target, r.taken) for r in mix_plan(blank).collect()] == [(0.0, 0)] * 2
+
+
+def test_later_documents_fill_behind_a_long_one(spark):
+    rng = random.Random(6)
+    rows, n = [], 0
+    for s in ("a", "b", "c", "d"):
+        for _ in range(400):
+            rows.append((n, " ".join(words(rng, rng.randrange(1, 60))), s))
+            n += 1
+        rows.append((n, "w " * 9_000, s))
+        n += 1
+    plan = mix_plan(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)).collect()
+    for s in ("a", "b", "c", "d"):
+        own = [r for r in plan if r.source == s]
+        epochs = int(own[0].target // own[0].source_size)
+        room = own[0].target - sum(r.taken for r in own)
+        # no document that was left out fits into what is left
+        assert 0 <= room < min((r.size for r in own if len(r.shards) == epochs), default=10**9)
