@@ -7,8 +7,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -24,7 +22,3 @@ def spark():
 @pytest.fixture()
 def tmpdir_fresh():
     return tempfile.mkdtemp(prefix="logsmith-test-")
-
-
-def lines_df(spark, lines):
-    return spark.createDataFrame([(x,) for x in lines], "value string")

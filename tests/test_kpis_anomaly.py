@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import lines_df
+from helpers import lines_df
 from logsmith.operators import anomaly as A
 from logsmith.operators import graph as G
 from logsmith.operators import kpis, metrics, panels

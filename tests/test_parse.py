@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, lines_df
+from helpers import SF_SMALL, lines_df
 from logsmith.functions import logline as L
 from logsmith.operators import parsing
 from logsmith.sources.fixtures import event_log_lines

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import lines_df
+from helpers import lines_df
 from logsmith.operators.parsing import parse_logs
 from logsmith.streaming import stream as S
 
