@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logsmith.operators.components import connected_components
 from logsmith.scratch import stored
 
-__all__ = ["WORD_PATTERN", "connected_components", "crc_of_id", "read_table", "small_arrow_batches", "stored",
+__all__ = ["WORD_PATTERN", "connected_components", "crc_of_id", "let", "read_table", "small_arrow_batches", "stored",
            "text_chars"]
 
 #: White space that parts words: 0x20 and 0x09-0x0D.  Everything else is part of a word.
@@ -31,6 +33,11 @@ def crc_of_id(column: str | Column = "doc_id") -> Column:
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value computed once (a lambda's outer expressions run for each element)."""
+    return F.transform(F.array(value), body)[0]
+
+
 def text_chars(texts: DataFrame) -> int:
     """Characters in all texts."""
     return texts.agg(F.sum(F.char_length("text"))).first()[0] or 0

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsmith.llm.common import crc_of_id, read_table
+from logsmith.llm.common import WORD_PATTERN, crc_of_id, let, read_table
 from logsmith.session import apply_defaults
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,158 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logsmith.llm.cross_polytope import nearest_neighbours
     return nearest_neighbours(read_table(spark, sf_dir, "embeddings"))
+
+
+def _either_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+def _marked_sql(pattern: str) -> str:
+    """A text's pieces between and inside the matches of a pattern, in turn."""
+    quoted = pattern.replace("'", "''")
+    return f"string_split(regexp_replace(body, '{quoted}', chr(1) || '\\0' || chr(1), 'g'), chr(1))"
+
+
+_ASSIGN_SQL = ("(" + "|".join(_either_case(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+               + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+SECRET_SCAN_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS row_no, doc_id, source,
+                     translate(coalesce(text, ''), chr(1), chr(2)) AS body FROM documents),
+parts AS (
+  SELECT row_no, 0 AS kind, {_marked_sql(_ASSIGN_SQL)} AS pieces FROM docs
+  UNION ALL SELECT row_no, 1, {_marked_sql('AKIA[A-Z0-9]+')} FROM docs
+  UNION ALL SELECT row_no, 2, {_marked_sql('[0-9a-f]+')} FROM docs WHERE regexp_matches(body, '[0-9a-f]{{32}}')
+  UNION ALL SELECT row_no, 3, {_marked_sql('[A-Za-z0-9+/_-]{16,}')} FROM docs),
+pieces AS (
+  SELECT row_no, kind, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS no FROM parts WHERE len(pieces) > 1),
+placed AS (
+  SELECT row_no, kind, no, piece,
+         sum(length(piece)) OVER (PARTITION BY row_no, kind ORDER BY no) AS stop FROM pieces),
+found AS (
+  SELECT row_no, kind, stop - length(piece) AS start, stop,
+         CASE WHEN kind = 0 THEN regexp_extract(piece, '{_ASSIGN_SQL.replace("'", "''")}', 2) ELSE piece END AS secret
+  FROM placed WHERE no % 2 = 0),
+spans AS (
+  SELECT *, regexp_matches(secret, '[A-Za-z]') AND regexp_matches(secret, '[0-9]')
+            AND len(list_distinct(string_split(secret, ''))) >= 8 AS looks_live
+  FROM found WHERE length(secret) >= CASE kind WHEN 0 THEN 8 WHEN 1 THEN 16 WHEN 2 THEN 32 ELSE 16 END),
+candidates AS (SELECT * FROM spans WHERE kind < 3 OR looks_live),
+owners AS (
+  SELECT secret, count(DISTINCT coalesce('=' || source, '')) AS owners,
+         count(DISTINCT (coalesce('=' || source, ''), coalesce(CAST(doc_id AS VARCHAR), ''))) AS repositories
+  FROM candidates JOIN docs USING (row_no) GROUP BY secret),
+judged AS (
+  SELECT c.*, owners < 4 AND repositories < 10 AND owners = 1 AND looks_live AS live, owners >= 4 OR repositories >= 10 AS example
+  FROM candidates c JOIN owners USING (secret)),
+shown AS (
+  SELECT DISTINCT row_no, start, kind, stop FROM judged WHERE kind < 3
+  UNION SELECT DISTINCT row_no, stop - length(secret), 3, stop FROM judged WHERE live),
+texts AS (
+  SELECT row_no, string_agg(named, ',' ORDER BY start, kind, stop) FILTER (kind < 3) AS base,
+         string_agg(named, ',' ORDER BY start, kind, stop) AS spans,
+         count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+         count(*) FILTER (kind = 2) AS n_hex, count(*) FILTER (kind = 3) AS n_live
+  FROM (SELECT *, (['assign', 'access', 'hex', 'live'])[kind + 1] || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT)
+               AS named FROM shown) GROUP BY row_no),
+examples AS (SELECT row_no, count(*) AS n_example FROM judged WHERE kind < 3 AND example GROUP BY row_no)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
+       coalesce(n_example, 0) AS n_example
+FROM docs LEFT JOIN texts USING (row_no) LEFT JOIN examples USING (row_no)"""
+
+
+@query("op11_secret_scans", SECRET_SCAN_SQL)
+def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logsmith.llm.secret_scan import scan_secrets, spans_text
+    scanned = scan_secrets(read_table(spark, sf_dir, "documents"))
+
+    def count(test):
+        return F.size(F.filter("findings", test)).cast("long")
+
+    def of_kind(kind):
+        return count(lambda f: f["kind"] == kind).alias(f"n_{kind}")
+    base = F.filter("findings", lambda f: f["kind"] != "live")
+    return scanned.select(
+        "doc_id", of_kind("assign"), of_kind("access"), of_kind("hex"),
+        F.sha2(spans_text(base), 256).alias("base_sha256"), spans_text(F.col("findings")).alias("spans"),
+        of_kind("live"),
+        count(lambda f: (f["kind"] != "live") & (f["verdict"] == "example")).alias("n_example"))
+
+
+def plant_period(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """The text, or for one id in ten its words with a period from a place on (a null id changes nothing)."""
+    h = F.crc32(F.col(doc_id).cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split(F.col(text), WORD_PATTERN.replace("[^", "[", 1)), lambda w: w != "")
+
+    def repeated(all_words: Column) -> Column:
+        n = F.size(all_words)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        return F.array_join(F.transform(all_words, lambda w, i: F.when(i < a, w).otherwise(
+            F.get(all_words, a + (i - a) % p))), " ")
+    planted = let(words, lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise(""))
+    return F.when(h % 10 == 0, planted).otherwise(F.col(text))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logsmith.llm.periodic_runs import collapse_runs
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", plant_period().alias("text"))
+    # exact comparison of length / period; the runs come by start and period, so the first of equals stays
+    best = F.aggregate("runs", F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"), lambda top, r: F.when(
+        top.isNull() | (r["length"] * top["period"] > top["length"] * r["period"]), r).otherwise(top))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = collapse_runs(docs).withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"))
+
+
+FILTER_AUDIT_SQL = """
+WITH read AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+judged AS (
+  SELECT doc_id, part,
+         CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 2 * length(body) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY body) THEN 16 ELSE 0 END AS mask
+  FROM read),
+tags AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
+         FROM labels GROUP BY doc_id),
+counts AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(bad, 0)) AS bad
+  FROM judged LEFT JOIN tags USING (doc_id) GROUP BY part, mask),
+filters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS flag),
+orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.flag, b.flag, c.flag, d.flag, e.flag] AS flags
+  FROM filters a, filters b, filters c, filters d, filters e
+  WHERE a.flag + b.flag + c.flag + d.flag + e.flag = 31 AND a.flag | b.flag | c.flag | d.flag | e.flag = 31),
+steps AS (
+  SELECT filter_order, step, flags[step] AS flag, list_sum(flags[1:step - 1]) AS before
+  FROM (SELECT *, unnest(range(1, 6)) AS step FROM orders)),
+counted AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, flag,
+         sum(CASE WHEN mask & (coalesce(before, 0) | flag) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & coalesce(before, 0) = 0 AND mask & flag > 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & coalesce(before, 0) > 0 AND mask & flag > 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = flag THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & coalesce(before, 0) = 0 AND mask & flag > 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & coalesce(before, 0) = 0 AND mask & flag > 0 THEN bad ELSE 0 END) AS toxic_lost
+  FROM counts, steps GROUP BY part, filter_order, step, flag, before)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, flag) AS BIGINT) AS shapley
+FROM counted"""
+
+
+@query("op13_filter_audit", FILTER_AUDIT_SQL)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logsmith.llm.filter_audit import audit_filters
+    return audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
