@@ -33,7 +33,8 @@ def run(spark, args: argparse.Namespace) -> int:
     from logsmith.report import run_batch_report, start_live_stream
     from logsmith.sources.logstore import read_logs_table
     from logsmith.sources.text import read_log_text
-    from logsmith.streaming.stream import monitor_query, stop_all_queries
+    from logsmith.streaming.progress import logged_progress
+    from logsmith.streaming.stream import stop_all_queries
 
     out = args.output.rstrip("/")
     failures = 0
@@ -44,18 +45,19 @@ def run(spark, args: argparse.Namespace) -> int:
         print(f"batch report written to {out}; {failed} export(s) failed")
     if args.mode in ("streaming", "all"):
         once = args.stream_seconds <= 0
-        queries = start_live_stream(spark, args.stream_dir or args.data, f"{out}/stream", available_now=once)
-        if once:
-            for q in queries.values():
-                q.processAllAvailable()
-        else:
-            # the watch ends early if the query does
-            monitor_query(spark, queries["live_logs"], args.stream_seconds)
-        for name, q in queries.items():
-            if q.exception() is not None:
-                failures += 1
-                print(f"streaming query {name} failed: {q.exception()}")
-        stop_all_queries(spark)
+        with logged_progress(spark, f"{out}/stream/progress"):
+            queries = start_live_stream(spark, args.stream_dir or args.data, f"{out}/stream", available_now=once)
+            if once:
+                for q in queries.values():
+                    q.processAllAvailable()
+            else:
+                # the watch ends early if the query does
+                queries["live_logs"].awaitTermination(args.stream_seconds)
+            for name, q in queries.items():
+                if q.exception() is not None:
+                    failures += 1
+                    print(f"streaming query {name} failed: {q.exception()}")
+            stop_all_queries(spark)
     if args.export_metrics:
         # reuse the parsed table of the batch mode; parse only when it was not run
         logs = (read_logs_table(spark, f"{out}/logs") if args.mode in ("batch", "all")

@@ -7,7 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from helpers import lines_df
+from logsmith.operators.panels import alert_error_rate
 from logsmith.operators.parsing import parse_logs
+from logsmith.streaming import alerts as L
+from logsmith.streaming import progress as P
 from logsmith.streaming import stream as S
 
 
@@ -46,7 +49,7 @@ def test_late_file_is_dropped(spark, tmpdir_fresh):
     starts = {r.start for r in spark.read.parquet(out).select(F.col("window.start").alias("start")).collect()}
     days = {s.day for s in starts}
     assert 10 in days and 1 not in days
-    progress = S.progress_table(spark, q).collect()
+    progress = S.recent_progress(spark, q).collect()
     assert sum(r.rows_dropped_by_watermark for r in progress) > 0
     assert sum(r.num_input_rows for r in progress) == 4
 
@@ -146,7 +149,109 @@ def test_monitor_query_returns_progress(spark, tmpdir_fresh):
     os.makedirs(src)
     feed(src, [[line(5, 1, m) for m in range(5)], [line(5, 2, m) for m in range(5)]])
     parsed = S.parsed_log_stream(spark, src).drop("processing_time")
-    q = S.write_to_parquet(parsed, os.path.join(tmpdir_fresh, "out"), os.path.join(tmpdir_fresh, "ckpt"),
-                           "monitored", available_now=True)
-    table = S.monitor_query(spark, q, duration_seconds=120, interval_seconds=1)
-    assert sum(r.num_input_rows for r in table.collect()) == 10
+    log = os.path.join(tmpdir_fresh, "log")
+    q = S.write_to_parquet(parsed, os.path.join(tmpdir_fresh, "out"), os.path.join(tmpdir_fresh, "ckpt"), "monitored")
+    table = P.monitor_query(spark, q, log, duration_seconds=15, interval_seconds=1)
+    q.stop()
+    # the watch begins after the start, so the first batch may have been reported before
+    assert sum(r.num_input_rows for r in table.collect()) <= 10 and P.read_progress(spark, log).count() == table.count()
+
+
+def test_progress_log_keeps_all_reports_and_a_restart_adds_to_it(spark, tmpdir_fresh):
+    src, out, ckpt, log = (os.path.join(tmpdir_fresh, d) for d in ("src", "out", "ckpt", "log"))
+    os.makedirs(src)
+    feed(src, [[line(1 + i % 28, i % 24, m) for m in range(1 + i % 3)] for i in range(150)])
+
+    def run():
+        with P.logged_progress(spark, log, flush_reports=20) as listener:
+            q = (S.parsed_log_stream(spark, src).writeStream.format("noop").queryName("many").trigger(availableNow=True)
+                 .option("checkpointLocation", ckpt).start())
+            S.run_to_completion(q, 600)
+        return q, listener
+
+    q, _ = run()
+    assert len(q.recentProgress) <= 100 < P.read_progress(spark, log).count() == 150
+    assert len([f for f in os.listdir(log) if f.endswith(".json")]) >= 8          # not one file per report
+    with open(os.path.join(src, "late.txt"), "w") as f:
+        f.write(line(9, 9, 9) + "\n")
+    run()
+    [total] = P.progress_totals(P.read_progress(spark, log)).collect()
+    assert total["name"] == "many" and total.batches == 151
+    assert total.num_input_rows == sum(1 + i % 3 for i in range(150)) + 1
+
+
+def test_progress_rows_wait_for_a_store_that_fails(spark, tmpdir_fresh, monkeypatch):
+    log = P.ProgressLog(spark, os.path.join(tmpdir_fresh, "log"))
+    log._rows = [{"query_id": "a", "batch_id": 0}, {"query_id": "a", "batch_id": 1}]
+    real = P.write_text
+
+    def broken(*args):
+        raise OSError("no store")
+    monkeypatch.setattr(P, "write_text", broken)
+    log._write()
+    assert len(log._rows) == 2
+    monkeypatch.setattr(P, "write_text", real)
+    log.drain()
+    assert log._rows == [] and P.read_progress(spark, log.path).count() == 2
+
+
+def test_sliding_windows_multiply_slots_not_lines(spark, tmpdir_fresh):
+    src = os.path.join(tmpdir_fresh, "src")
+    os.makedirs(src)
+    feed(src, [[line(2, 1, m) for m in range(20)]])
+    static = parse_logs(lines_df(spark, [line(2, 1, m) for m in range(20)]))
+    plan = S.window_metrics(static)._jdf.queryExecution().optimizedPlan().toString()
+    # the only Expand is above the slots' aggregation
+    assert plan.count("Expand") == 1 and plan.index("Expand") < plan.rindex("Aggregate")
+
+
+def test_merged_windows_count_clients_once(spark, tmpdir_fresh):
+    src, out, ckpt = (os.path.join(tmpdir_fresh, d) for d in ("src", "out", "ckpt"))
+    os.makedirs(src)
+    lines = [line(2, h, m, ip=f"10.{c // 250}.0.{c % 250}") for h in (1, 2) for m in range(0, 60, 10) for c in range(900)]
+    feed(src, [lines + [line(3, 1, 0)]])
+    parsed = S.parsed_log_stream(spark, src, max_files_per_trigger=None)
+    S.run_to_completion(S.write_to_parquet(S.window_metrics(parsed), out, ckpt, "merge", available_now=True), 300)
+    windows = spark.read.parquet(out)
+    hours = {r.span_start.hour: r for r in S.merge_windows(windows, "hour").collect()}
+    [day] = S.merge_windows(windows, "day").collect()
+    assert {h: r.request_count for h, r in hours.items()} == {1: 5400, 2: 5400} and day.request_count == 10800
+    for row in (*hours.values(), day):
+        assert abs(row.unique_ips - 900) <= 900 * S.CLIENT_SKETCH_BOUND
+    assert day.total_bytes == 10800 * 100
+
+
+def alert_rows(spark, tmpdir_fresh, lines, rule, for_minutes):
+    src, out, ckpt = (os.path.join(tmpdir_fresh, d) for d in ("src", "out", "ckpt"))
+    os.makedirs(src)
+    feed(src, lines)
+    parsed = S.parsed_log_stream(spark, src)
+    q = S.write_to_parquet(L.live_alerts(parsed, rule, for_minutes), out, ckpt, f"alert_{uuid.uuid4().hex[:6]}",
+                           available_now=True)
+    S.run_to_completion(q, 600)
+    return {r.minute[-5:]: r for r in spark.read.parquet(out).collect()}
+
+
+def test_live_alert_fires_and_is_resolved(spark, tmpdir_fresh):
+    bad, good = (lambda m: line(2, 1, m, status=500)), (lambda m: line(2, 1, m))
+    minutes = [good(0)] + [bad(m) for m in range(1, 8)] + [good(8), good(8)] + [bad(m) for m in range(9, 13)] + [good(13)]
+    minutes += [bad(m) for m in range(20, 26)]                                       # ends in silence
+    rows = alert_rows(spark, tmpdir_fresh, [minutes[:9], minutes[9:], [line(2, 2, 0)]], L.error_rate_above(0.1), 5)
+    assert {m for m, r in rows.items() if r.firing} == {"01:05", "01:06", "01:07", "01:24", "01:25"}
+    assert {(m, r.event) for m, r in rows.items() if r.event} == {
+        ("01:05", "firing"), ("01:08", "resolved"), ("01:24", "firing"), ("01:26", "resolved")}
+    assert rows["01:08"].request_count == 2 and rows["01:26"].request_count == 0 and rows["01:26"].breach == 0
+
+
+def test_live_alert_equals_batch_alert_behind_the_watermark(spark, tmpdir_fresh):
+    import random
+    rng = random.Random(4)
+    lines = [line(2, h, m, status=rng.choice([200, 200, 500])) for h in range(2) for m in range(60)
+             for _ in range(rng.choice([0, 1, 1, 2]))]
+    got = alert_rows(spark, tmpdir_fresh, [lines[:70], lines[70:], [line(2, 3, 0)]], L.error_rate_above(0.4), 2)
+    batch = alert_error_rate(parse_logs(lines_df(spark, lines)), 0.4, 2).collect()
+    assert sum(r.firing for r in batch) > 5
+    for r in batch:
+        live = got[r.minute[-5:]]
+        assert (live.request_count, live.error_count, live.breach, live.firing) == (
+            r.request_count, r.error_count, r.breach, r.firing)
