@@ -8,12 +8,13 @@ read, and the text exposition form is a column expression.  No server.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logsmith.operators.common import one_row_broadcast
 from logsmith.operators.kpis import minute_rollup
 from logsmith.scratch import stored
+from logsmith.sources.runs import read_all_runs
 
 # Metric names and the response-size histogram bounds with
 # their exposition labels (bounds are inclusive upper limits).
@@ -118,11 +119,25 @@ def metrics_running_total(logs: DataFrame, run_col: str = "date") -> DataFrame:
     """
     inc = (logs.groupBy(F.col(run_col).alias("run_id"), "status_category")
            .agg(F.count(F.lit(1)).alias("increment")))
-    w = (Window.partitionBy("status_category").orderBy("run_id")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return inc.select(F.lit(REQUESTS_TOTAL).alias("name"), "run_id",
-                      F.col("status_category").alias("label_value"), "increment",
-                      F.sum("increment").over(w).alias("running_total"))
+    totals = running_totals(inc.withColumnRenamed("status_category", "label_value"), ["label_value"])
+    return totals.select(F.lit(REQUESTS_TOTAL).alias("name"), "run_id", "label_value", "increment", "running_total")
+
+
+def running_totals(increments: DataFrame, keys: list[str]) -> DataFrame:
+    """Per (keys, run_id) the increment and the running total up to that run."""
+    w = Window.partitionBy(*keys).orderBy("run_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return increments.select(*keys, "run_id", "increment", F.sum("increment").over(w).alias("running_total"))
+
+
+def stored_counters(spark: SparkSession, base: str, table: str = "metrics") -> DataFrame:
+    """X8 from stored runs: every counter of the metric tables of the runs under ``base``.
+
+    Each committed run's table gives its increments, so the logs of earlier runs are not read
+    again; a run that was written again counts once, with its new numbers.
+    """
+    runs = read_all_runs(spark, base, table).where(F.col("kind") == "counter")
+    keys = ["name", "label_key", "label_value"]
+    return running_totals(runs.select(*keys, "run_id", F.col("value").alias("increment")), keys)
 
 
 def metrics_text(snapshot: DataFrame, histogram: DataFrame | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from logsmith.operators import anomaly as A
 from logsmith.operators import graph as G
 from logsmith.operators import metrics as X
@@ -9,6 +11,9 @@ from logsmith.operators import panels as D
 from logsmith.plans.anomaly_queries import EDGES_CTE, ZSCORE_CTES
 from logsmith.plans.oracle import with_logs
 from logsmith.plans.registry import logs_table, register
+from logsmith.scratch import stored
+from logsmith.session import scratch_path
+from logsmith.sources.runs import Run
 
 SNAPSHOT_CTE = ZSCORE_CTES + """,
 snapshot AS (
@@ -64,6 +69,33 @@ def metrics_running_total(spark, sf_dir):
     return X.metrics_running_total(logs_table(spark, sf_dir))
 
 
+_RUNS = "CASE WHEN date < '2024-01-11' THEN 'run-0001' WHEN date < '2024-01-21' THEN 'run-0002' ELSE 'run-0003' END"
+
+
+@register("metrics_stored_counters", "X8 (stored runs)", with_logs("""
+SELECT name, label_key, label_value, run_id, increment,
+       sum(increment) OVER (PARTITION BY name, label_key, label_value ORDER BY run_id) AS running_total
+FROM (SELECT 'log_requests_total' AS name, 'status_category' AS label_key, status_category AS label_value, run_id,
+             CAST(count(*) AS DOUBLE) AS increment FROM runs GROUP BY ALL
+      UNION ALL SELECT 'log_errors_total', 'status_code', CAST(status AS VARCHAR), run_id, CAST(count(*) AS DOUBLE)
+      FROM runs WHERE is_error = 1 GROUP BY ALL
+      UNION ALL SELECT 'log_bytes_transferred_total', '', '', run_id, CAST(sum(bytes) AS DOUBLE) FROM runs GROUP BY ALL)""",
+                                                                  f"runs AS (SELECT *, {_RUNS} AS run_id FROM logs)"))
+def metrics_stored_counters(spark, sf_dir):
+    """Three runs store their metric tables; the second is wrong at first and written again."""
+    logs = stored(logs_table(spark, sf_dir).withColumn("run", F.expr(_RUNS)), "metric-runs")
+    base = scratch_path(spark, "metric-runs-base")
+
+    def write(run_id: str, part):
+        with Run(spark, base, run_id) as run:
+            run.write("metrics", X.metrics_snapshot(part.drop("run")))
+    write("run-0001", logs.where("run = 'run-0001'"))
+    write("run-0002", logs)                                # a mistake: all days
+    write("run-0003", logs.where("run = 'run-0003'"))
+    write("run-0002", logs.where("run = 'run-0002'"))
+    return X.stored_counters(spark, base)
+
+
 _NUM = "CAST(CAST(value AS BIGINT) AS VARCHAR)"
 
 

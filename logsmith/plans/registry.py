@@ -42,6 +42,11 @@ def register(name: str, survey_id: str, oracle: str | None = None, shape: bool =
     return wrap
 
 
+def registered_oracles() -> dict[str, str]:
+    """DuckDB texts of the queries registered so far (by the modules imported before)."""
+    return {name: q.oracle for name, q in _REGISTRY.items() if q.oracle}
+
+
 def registry() -> dict[str, NamedQuery]:
     # Importing the query modules fills the registry.
     from logsmith.plans import (  # noqa: F401

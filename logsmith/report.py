@@ -20,6 +20,7 @@ from logsmith.scratch import stored
 from logsmith.session import apply_defaults
 from logsmith.sources import sinks
 from logsmith.sources.logstore import parse_and_store, read_logs_table
+from logsmith.sources.runs import Run
 from logsmith.streaming import stream as S
 
 
@@ -59,18 +60,19 @@ def run_batch_report(spark: SparkSession, lines: DataFrame, output_dir: str, k:
                      lpa_steps: int = 5, run_id: str | None = None) -> DataFrame:
     """Parse, KPIs, anomaly scoring, graph analysis and exports; returns the export status table.
 
-    The exports of a run go under ``metrics/run_id=<run_id>`` (default: the time), so earlier
-    runs stay.  KPIs are exported before any model is fitted.
+    The exports are a run (default id: the time) under ``metrics``: readers see it with its
+    manifest, once all tables were tried, and earlier runs stay.  KPIs are exported before any
+    model is fitted, so their files are there even if a later step fails.
     """
     apply_defaults(spark)
     out = output_dir.rstrip("/")
-    run_id = run_id or sinks.new_run_id()
+    run = Run(spark, f"{out}/metrics", run_id or sinks.new_run_id())
     rejects = parse_and_store(lines, f"{out}/logs")     # the only pass over the raw text
     logs = read_logs_table(spark, f"{out}/logs")
 
     def export(tables: dict[str, DataFrame]) -> DataFrame:
         return sinks.export_bundle(spark, tables, f"{out}/metrics", order=PRESENTATION,
-                                   single_file=SMALL_TABLES, run_id=run_id)
+                                   single_file=SMALL_TABLES, run=run)
 
     # per-minute x status counts, built once; status, peaks, counters and the
     # error-rate alert read it instead of the logs table
@@ -113,6 +115,7 @@ def run_batch_report(spark: SparkSession, lines: DataFrame, output_dir: str, k:
         "alert_error_rate": panels.alert_error_rate(logs, rollup=rollup),
     }))
     sinks.export_graph(g.vertices, edges, out)
+    run.commit()
     return status
 
 

@@ -33,10 +33,15 @@ def write_text(spark: SparkSession, path: str, text: str) -> str:
 
 
 def list_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
-    """(name, bytes) of the visible files in a folder and below, by name; none if it does not exist."""
+    """(name, bytes) of the visible files in a folder and below, by name; none if it does not exist.
+
+    A file has itself only, under the empty name.
+    """
     root, fs = file_system(spark, folder)
     if not fs.exists(root):
         return []
+    if fs.getFileStatus(root).isFile():
+        return [("", fs.getFileStatus(root).getLen())]
     base = fs.makeQualified(root).toString().rstrip("/") + "/"
     found, walk = [], fs.listFiles(root, True)
     while walk.hasNext():

@@ -6,9 +6,8 @@
   directory, at any size.  The part file is renamed through the Hadoop
   FileSystem API, so it works on HDFS / object stores as well as on local disk.
 * CSV tells NULL (``\\N``) from the empty string on both sides.
-* Versioned exports: each run overwrites its own ``run_id=<id>`` partition
-  instead of moving the previous files to an archive folder; the latest version
-  is found by listing the folders and read with a literal partition filter.
+* Versioned exports are runs (``sources/runs.py``): written aside, seen once complete;
+  earlier ones stay instead of being moved to an archive folder.
 * A bundle export materialises each table once (Parquet), then writes JSON
   and CSV from that copy (sorted for presentation), and reports each write's
   outcome as a row.
@@ -19,9 +18,12 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from logsmith.sources.files import file_system
+from logsmith.sources.runs import Run, read_run, run_ids
+
 CSV_OPTIONS = {"header": "true", "nullValue": "\\N"}   # empty strings are written as ""
 
 
@@ -51,12 +53,6 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.options(emptyValue="", **CSV_OPTIONS).schema(schema).csv(path)
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def write_single_csv(df: DataFrame, out_file: str) -> str:
     """One CSV file with a header at ``out_file``, written by one task.
 
@@ -66,9 +62,9 @@ def write_single_csv(df: DataFrame, out_file: str) -> str:
     spark = df.sparkSession
     tmp = out_file.rstrip("/") + "._tmp"
     df.coalesce(1).write.mode("overwrite").options(**CSV_OPTIONS).csv(tmp)
-    tmp_path, fs = _fs(spark, tmp)
+    tmp_path, fs = file_system(spark, tmp)
     parts = [s.getPath() for s in fs.listStatus(tmp_path) if s.getPath().getName().startswith("part-")]
-    target, _ = _fs(spark, out_file)
+    target, _ = file_system(spark, out_file)
     if fs.exists(target):
         fs.delete(target, True)
     if not parts or not fs.rename(parts[0], target):
@@ -85,27 +81,25 @@ def new_run_id() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
 
 
+#: Name of the one table of a run that ``write_version`` makes.
+VERSION_TABLE = "data"
+
+
 def write_version(df: DataFrame, base: str, run_id: str | None = None, fmt: str = "parquet") -> str:
-    """Write this run as partition ``run_id=<run_id>`` of ``base`` (default: now).
+    """Write ``df`` as a run of ``base`` (default id: now).
 
-    Only that partition is overwritten, so a retry under the same id does not repeat rows.
+    A retry under the same id replaces the run in one step once it is complete.
     """
-    run_id = run_id or new_run_id()
-    df.write.mode("overwrite").format(fmt).save(f"{base.rstrip('/')}/run_id={run_id}")
+    with Run(df.sparkSession, base, run_id or new_run_id()) as run:
+        run.write(VERSION_TABLE, df, fmt)
     return base
 
 
-def run_ids(spark: SparkSession, base: str) -> list[str]:
-    """Ids of the runs under ``base``, by listing its folders."""
-    path, fs = _fs(spark, base)
-    names = [s.getPath().getName() for s in fs.listStatus(path)]
-    return sorted(n.removeprefix("run_id=") for n in names if n.startswith("run_id="))
-
-
 def latest_version(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
-    """The rows of the newest run (``max(run_id)``); the literal filter prunes all other folders."""
-    all_runs = spark.read.format(fmt).option("basePath", base).load(base)
-    return all_runs.filter(F.col("run_id") == F.lit(run_ids(spark, base)[-1]))
+    """The rows of the newest complete run with its ``run_id``; no other run's files are read."""
+    newest = run_ids(spark, base)[-1:]
+    rows = read_run(spark, base, VERSION_TABLE, newest[0] if newest else None, fmt)
+    return rows.select("*", F.lit(newest[0]).alias("run_id"))
 
 
 def sort_columns(spec: list[str]) -> list:
@@ -128,23 +122,27 @@ BUNDLE_SCHEMA = "name string, format string, ok boolean, error string, path stri
 def export_bundle(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
                   formats: tuple[str, ...] = ("parquet", "json", "csv"),
                   order: dict | None = None, single_file: frozenset[str] = frozenset(),
-                  run_id: str | None = None) -> DataFrame:
+                  run: Run | None = None) -> DataFrame:
     """Every table to Parquet, JSON and CSV; one failure does not stop the rest.
 
     Each table is computed once: written to Parquet first, and the JSON and CSV copies are
     written from that Parquet copy.  ``order`` maps a table name to column names (``-name``
     for descending) for the copies.  Copies are directories, range-sorted across the cluster;
-    ``single_file`` names tables bounded by construction, whose CSV is one file.  With
-    ``run_id`` everything goes under ``run_id=<run_id>``, so earlier exports stay.  Returns
-    one status row per write, also for copies that were not tried because the table failed.
+    ``single_file`` names tables bounded by construction, whose CSV is one file.  With a
+    ``run`` everything goes into its attempt folder and every write that succeeds into its
+    manifest; the caller commits it (``out_dir`` is then not used).  Returns one status row per
+    write, also for copies that were not tried because the table failed.
     """
     order = order or {}
-    out_dir = out_dir.rstrip("/") + (f"/run_id={run_id}" if run_id else "")
+    out_dir = run.folder if run else out_dir.rstrip("/")
     results: list[ExportResult] = []
     for name, df in tables.items():
         pq = f"{out_dir}/parquet/{name}"
+        seen = Observation()
         try:
-            write_parquet(df, pq)
+            write_parquet(df.observe(seen, F.count(F.lit(1)).alias("n")), pq)
+            if run:
+                run.add(name, pq, "parquet", seen.get["n"], df.schema.json())
             results.append(ExportResult(name, "parquet", True, "", pq))
         except Exception as e:  # noqa: BLE001 - reported as a status row
             results += [ExportResult(name, f, False, str(e)[:500], pq if f == "parquet" else f"{out_dir}/{f}/{name}.{f}")
@@ -168,6 +166,8 @@ def export_bundle(spark: SparkSession, tables: dict[str, DataFrame], out_dir: st
                     (write_single_csv if name in single_file else write_csv)(saved, path)
                 else:
                     raise ValueError(f"unknown format {fmt}")
+                if run:
+                    run.add(name, path, fmt, seen.get["n"], df.schema.json())
                 results.append(ExportResult(name, fmt, True, "", path))
             except Exception as e:  # noqa: BLE001
                 results.append(ExportResult(name, fmt, False, str(e)[:500], path))

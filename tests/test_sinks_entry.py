@@ -10,6 +10,8 @@ from logsmith.operators import kpis
 from logsmith.operators.parsing import parse_logs
 from logsmith.sources import sinks
 from logsmith.sources.fixtures import event_log_lines
+from logsmith.sources.runs import read_run, run_ids
+from logsmith.streaming.progress import read_progress
 
 
 def test_single_csv_and_directory(spark, tmpdir_fresh):
@@ -41,7 +43,10 @@ def test_versions_latest(spark, tmpdir_fresh):
     sinks.write_version(b, base, "20240102_000000")   # a retry of the same run
     latest = sinks.latest_version(spark, base)
     assert [r.x for r in latest.collect()] == [3]
-    assert "run_id" in latest._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1][:80]
+    assert [r.run_id for r in latest.collect()] == ["20240102_000000"]
+    # of the three attempts only the newest one's files are read
+    assert {f.split("/attempts/")[1].split("/")[0] for f in latest.inputFiles()} == {
+        max(n for n in os.listdir(os.path.join(base, "attempts")) if n.startswith("20240102"))}
 
 
 def test_bundle_reports_each_write(spark, tmpdir_fresh):
@@ -83,10 +88,12 @@ def test_cli_batch_and_stream(spark, tmpdir_fresh):
     assert failed == 0
     assert os.path.isdir(os.path.join(out, "logs"))
     assert any(n.startswith("date=") for n in os.listdir(os.path.join(out, "logs")))
-    [run_dir] = os.listdir(os.path.join(out, "metrics"))
-    assert run_dir.startswith("run_id=")
-    assert os.path.isdir(os.path.join(out, "metrics", run_dir, "csv", "access_per_hour.csv"))
-    assert os.path.isfile(os.path.join(out, "metrics", run_dir, "csv", "http_status.csv"))
+    [attempt] = os.listdir(os.path.join(out, "metrics", "attempts"))
+    assert os.path.isdir(os.path.join(out, "metrics", "attempts", attempt, "csv", "access_per_hour.csv"))
+    assert os.path.isfile(os.path.join(out, "metrics", "attempts", attempt, "csv", "http_status.csv"))
+    assert len(run_ids(spark, os.path.join(out, "metrics"))) == 1
+    assert read_run(spark, os.path.join(out, "metrics"), "http_status").count() > 0
+    assert read_progress(spark, os.path.join(out, "stream", "progress")).count() > 0
     assert spark.read.parquet(os.path.join(out, "stream", "live_logs")).count() == \
         spark.read.parquet(os.path.join(out, "logs")).count()
     text = spark.read.text(os.path.join(out, "metrics_text")).collect()
