@@ -21,14 +21,29 @@ def percentile_threshold(df: DataFrame, column: str, p: float, exact: bool = Tru
     ``exact`` uses ``percentile_disc``, whose aggregation buffer is a map from
     distinct value to frequency (merged partially on the map side), so memory
     grows with the number of distinct values, not with rows.  That is the right
-    tool for counts and cluster scores; ``exact=False`` uses ``percentile_approx``
-    (relative error 1/100, fixed-size sketch) for columns with many distinct values.
+    tool for counts and cluster scores; ``exact=False`` uses a KLL sketch (rank
+    error RANK_ERROR, fixed size, mergeable) for columns with many distinct values.
     """
     if exact:
-        expr = F.expr(f"percentile_disc({float(p)}) WITHIN GROUP (ORDER BY `{column}`)")
-    else:
-        expr = F.percentile_approx(F.col(column), float(p), 100)
-    return df.agg(expr.cast("double").alias("threshold"))
+        return df.agg(F.expr(f"percentile_disc({float(p)}) WITHIN GROUP (ORDER BY `{column}`)")
+                      .cast("double").alias("threshold"))
+    return df.agg(rank_sketch(column).alias("sketch")).select(quantile_of_sketch(F.col("sketch"), p).alias("threshold"))
+
+
+#: Size parameter of rank sketches, and the rank error that they keep (with far more than 99 %
+#: of certainty: at this size the error is about 0.4 % with 99 %).
+RANK_SKETCH_K = 800
+RANK_ERROR = 0.01
+
+
+def rank_sketch(column: str) -> Column:
+    """Aggregate: a mergeable KLL sketch of the ranks of a numeric column (NULLs are left out)."""
+    return F.kll_sketch_agg_double(F.col(column).cast("double"), RANK_SKETCH_K)
+
+
+def quantile_of_sketch(sketch: Column, p: float) -> Column:
+    """The p-th quantile, NULL for a sketch of no values."""
+    return F.when(F.kll_sketch_get_n_double(sketch) > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(float(p))))
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -178,8 +178,12 @@ def peaks(logs: DataFrame, threshold_percentile: float = 0.95, exact: bool = Tru
     that single row; nothing goes through the driver.
     """
     per_minute = per_minute_counts(logs, rollup)
-    thr = percentile_threshold(per_minute, "access_count", threshold_percentile, exact)
-    return (per_minute.crossJoin(one_row_broadcast(thr))
+    return peaks_above(per_minute, percentile_threshold(per_minute, "access_count", threshold_percentile, exact))
+
+
+def peaks_above(per_minute: DataFrame, threshold: DataFrame) -> DataFrame:
+    """The minutes strictly above a one-row ``threshold``."""
+    return (per_minute.crossJoin(one_row_broadcast(threshold))
             .filter(F.col("access_count") > F.col("threshold"))
             .drop("threshold"))
 

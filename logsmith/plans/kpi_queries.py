@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from logsmith.operators import kpis
+from pyspark.sql import functions as F
+
+from logsmith.operators import kpis, summaries
+from logsmith.operators.common import RANK_ERROR, one_row_broadcast
 from logsmith.plans.oracle import with_logs
 from logsmith.plans.registry import logs_table, register
+from logsmith.scratch import stored
 
 
 @register("access_per_hour", "A1", with_logs("""
@@ -22,10 +26,13 @@ def access_per_minute(spark, sf_dir):
     return kpis.access_per_minute(logs_table(spark, sf_dir))
 
 
-@register("top_urls", "A3", with_logs("""
+TOP_URLS_SQL = """
 SELECT url, count(*) AS hit_count, count(DISTINCT ip) AS unique_visitors,
        CAST(sum(bytes) AS BIGINT) AS total_bytes
-FROM logs GROUP BY url ORDER BY hit_count DESC, url ASC LIMIT 20"""))
+FROM logs GROUP BY url ORDER BY hit_count DESC, url ASC LIMIT 20"""
+
+
+@register("top_urls", "A3", with_logs(TOP_URLS_SQL))
 def top_urls(spark, sf_dir):
     return kpis.top_urls(logs_table(spark, sf_dir))
 
@@ -86,9 +93,64 @@ def peaks(spark, sf_dir):
     return kpis.peaks(logs_table(spark, sf_dir))
 
 
-@register("peaks_approx", "A8 (approximate mode)")
+@register("peaks_approx", "A8 (approximate mode)", with_logs("""
+SELECT count(*) AS minutes, true AS rank_within_error, true AS peaks_follow_threshold FROM per_minute""", PER_MINUTE_CTE))
 def peaks_approx(spark, sf_dir):
-    return kpis.peaks(logs_table(spark, sf_dir), exact=False)
+    """The percentile from merged hourly sketches: its true rank, and the peaks that follow from it."""
+    per_minute = stored(kpis.per_minute_counts(logs_table(spark, sf_dir)), "peaks-minutes")
+    hourly = stored(summaries.hourly_rank_sketches(per_minute), "peaks-sketches")
+    threshold = stored(summaries.merged_threshold(hourly, 0.95), "peaks-threshold")
+    found = kpis.peaks_above(per_minute, threshold).agg(F.count(F.lit(1)).alias("peaks"))
+    ranks = per_minute.crossJoin(one_row_broadcast(threshold)).agg(
+        F.count(F.lit(1)).alias("minutes"), F.avg((F.col("access_count") < F.col("threshold")).cast("double")).alias("below"),
+        F.avg((F.col("access_count") <= F.col("threshold")).cast("double")).alias("up_to"),
+        F.sum((F.col("access_count") > F.col("threshold")).cast("long")).alias("above"))
+    return ranks.crossJoin(one_row_broadcast(found)).select(
+        "minutes", ((F.col("below") <= 0.95 + RANK_ERROR) & (F.col("up_to") >= 0.95 - RANK_ERROR)).alias("rank_within_error"),
+        (F.col("peaks") == F.col("above")).alias("peaks_follow_threshold"))
+
+
+#: Capacities that make the summaries of the test log cut at every level.
+_SMALL = {"hour": 10, "day": 40, None: 100}
+
+
+def _merged_summary(logs, key: str, capacities: dict):
+    hourly = stored(summaries.item_summaries(logs, key, "hour", capacities["hour"]), "hitters-hourly")
+    daily = stored(summaries.merge_summaries(hourly, "day", capacities["day"]), "hitters-daily")
+    return stored(summaries.merge_summaries(daily, None, capacities[None]), "hitters-all")
+
+
+_LARGE = {"hour": 1000, "day": 1000, None: 1000}
+
+
+@register("heavy_hitter_urls", "A3 (long ranges)", with_logs(TOP_URLS_SQL))
+def heavy_hitter_urls(spark, sf_dir):
+    """The top urls through hourly summaries merged to days and to the whole range, then one scan of candidates."""
+    logs = stored(logs_table(spark, sf_dir), "hitters-logs")
+    return summaries.exact_top(logs, _merged_summary(logs, "url", _LARGE), "url", 20, kpis.top_urls)
+
+
+@register("heavy_hitter_ips", "A4 (long ranges)", with_logs(
+    f"SELECT * FROM ({IP_ACTIVITY_SQL}) ORDER BY request_count DESC, ip ASC LIMIT 20"))
+def heavy_hitter_ips(spark, sf_dir):
+    logs = stored(logs_table(spark, sf_dir), "hitters-logs")
+    return summaries.exact_top(logs, _merged_summary(logs, "ip", _SMALL), "ip", 20, kpis.top_ips)
+
+
+@register("heavy_hitter_bounds", "A3 (long ranges)", with_logs("""
+SELECT least(count(DISTINCT url), 100) AS kept, CAST(0 AS BIGINT) AS outside_bounds, CAST(0 AS BIGINT) AS missed_too_large
+FROM logs"""))
+def heavy_hitter_bounds(spark, sf_dir):
+    """Summaries that were cut at every level: every item's exact count is inside its bounds."""
+    logs = stored(logs_table(spark, sf_dir), "hitters-logs")
+    summary = _merged_summary(logs, "url", _SMALL)
+    exact = logs.groupBy(F.col("url").alias("item")).agg(F.count(F.lit(1)).alias("exact"))
+    missed = summary.agg(F.max("missed").alias("bound"))
+    checked = exact.join(summary, "item", "left").crossJoin(one_row_broadcast(missed))
+    outside = (F.col("exact") < F.col("n")) | (F.col("exact") > F.col("n") + F.col("error"))
+    return checked.agg(
+        F.count("n").alias("kept"), F.sum(F.when(F.col("n").isNotNull() & outside, 1).otherwise(0)).alias("outside_bounds"),
+        F.sum(F.when(F.col("n").isNull() & (F.col("exact") > F.col("bound")), 1).otherwise(0)).alias("missed_too_large"))
 
 
 _KPI_COUNT_SQL = "\nUNION ALL\n".join(
