@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from logsmith.operators import anomaly as A
 from logsmith.operators import graph as G
+from logsmith.operators import lloyd as L
 from logsmith.operators.parsing import describe_columns
 from logsmith.plans.oracle import with_logs
 from logsmith.plans.parse_queries import LOG_SELECT, _describe_sql
 from logsmith.plans.registry import logs_table, register
+from logsmith.scratch import stored
 
 FEATURES_CTE = """feat AS (
   SELECT ip, count(*) AS request_count, count(DISTINCT url) AS unique_urls,
@@ -144,40 +146,98 @@ def scaled_features(spark, sf_dir):
     return pred.select("ip", *[arr[i].alias(f"scaled_{c}") for i, c in enumerate(A.KMEANS_FEATURES)])
 
 
-@register("kmeans_clusters", "M4")
+STEPS, CLUSTERS = 20, 5
+
+
+def _lloyd_ctes() -> str:
+    """K-Means as DuckDB text: farthest-first seeds and STEPS Lloyd steps, one table each."""
+    columns = A.KMEANS_FEATURES
+    value = {c: f"coalesce(CAST({c} AS DOUBLE), 0.0)" for c in columns}
+    ctes = [FEATURES_CTE,
+            "kst AS (SELECT " + ", ".join(f"avg({v}) AS m_{c}, stddev_samp({v}) AS s_{c}" for c, v in value.items()) + " FROM feat)",
+            "pts AS MATERIALIZED (SELECT ip, [" + ", ".join(
+                f"CASE WHEN s_{c} > 0 THEN round(({v} - m_{c}) / s_{c}, {L.PLACES}) ELSE 0.0 END + 0.0" for c, v in value.items())
+            + "] AS x FROM feat, kst)",
+            "seed_1 AS MATERIALIZED (SELECT x FROM pts ORDER BY ip LIMIT 1)",
+            "far_1 AS MATERIALIZED (SELECT ip, p.x, list_distance(p.x, s.x) AS d FROM pts p, seed_1 s)"]
+    for i in range(2, CLUSTERS + 1):
+        ctes += [f"seed_{i} AS MATERIALIZED (SELECT x FROM far_{i - 1} ORDER BY d DESC, ip LIMIT 1)",
+                 f"far_{i} AS MATERIALIZED (SELECT ip, f.x, least(d, list_distance(f.x, s.x)) AS d FROM far_{i - 1} f, seed_{i} s)"]
+    ctes.append("cen_0 AS MATERIALIZED (" + " UNION ALL ".join(
+        f"SELECT {i - 1} AS no, x FROM seed_{i}" for i in range(1, CLUSTERS + 1)) + ")")
+    for i in range(STEPS + 1):
+        ctes.append(f"""asg_{i} AS MATERIALIZED (SELECT ip, x, no, d FROM (
+  SELECT p.ip, p.x, c.no, list_distance(p.x, c.x) AS d,
+         row_number() OVER (PARTITION BY p.ip ORDER BY list_distance(p.x, c.x), c.no) AS place
+  FROM pts p, cen_{i} c) WHERE place = 1)""")
+        if i < STEPS:
+            ctes.append(f"""cen_{i + 1} AS MATERIALIZED (SELECT c.no, coalesce(m.x, c.x) AS x FROM cen_{i} c LEFT JOIN (
+  SELECT no, list(v ORDER BY j) AS x FROM (
+    SELECT no, j, avg(x[j]) AS v FROM asg_{i}, range(1, {len(columns) + 1}) AS t(j) GROUP BY no, j) GROUP BY no) m USING (no))""")
+    ctes.append(f"""clustered AS MATERIALIZED (
+  SELECT ip, x, CAST(no AS INTEGER) AS cluster, d AS centroid_distance,
+         count(*) OVER (PARTITION BY no) AS cluster_size FROM asg_{STEPS})""")
+    ctes.append("""scored AS MATERIALIZED (
+  SELECT *, 1.0 / cluster_size AS anomaly_score,
+         CASE WHEN 1.0 / cluster_size > (SELECT percentile_disc(0.95) WITHIN GROUP (ORDER BY 1.0 / cluster_size) FROM clustered)
+              THEN 1 ELSE 0 END AS is_anomaly FROM clustered)""")
+    ctes.append(f"""moments AS MATERIALIZED (
+  SELECT no, n, q, s FROM (SELECT cluster AS no, count(*) AS n, sum(list_inner_product(x, x)) AS q FROM clustered GROUP BY 1)
+  JOIN (SELECT no, list(v ORDER BY j) AS s FROM (SELECT cluster AS no, j, sum(x[j]) AS v
+        FROM clustered, range(1, {len(columns) + 1}) AS t(j) GROUP BY ALL) GROUP BY no) USING (no))""")
+    return ",\n".join(ctes)
+
+
+LLOYD_CTES = _lloyd_ctes()
+
+
+def _clustered(spark, sf_dir):
+    """Clients with their cluster by deterministic K-Means; the scaled table is stored, as every step reads it."""
+    scaled = stored(L.scaled_features(features_of(spark, sf_dir), A.KMEANS_FEATURES), "kmeans-scaled")
+    return L.fit(scaled, CLUSTERS, STEPS).assign(scaled)
+
+
+@register("kmeans_clusters", "M4", with_logs("SELECT ip, cluster FROM clustered", LLOYD_CTES))
 def kmeans_clusters(spark, sf_dir):
-    model, pred = _fitted(spark, sf_dir)
-    return pred.select("ip", "cluster")
+    return _clustered(spark, sf_dir).select("ip", "cluster")
 
 
-@register("cluster_sizes", "M6")
+@register("cluster_sizes", "M6", with_logs(
+    "SELECT cluster, count(*) AS cluster_size FROM clustered GROUP BY cluster", LLOYD_CTES))
 def cluster_sizes(spark, sf_dir):
-    model, pred = _fitted(spark, sf_dir)
-    return A.cluster_sizes(pred)
+    return A.cluster_sizes(_clustered(spark, sf_dir))
 
 
-@register("kmeans_quality", "M5 M13")
+@register("kmeans_quality", "M5 M13", with_logs(f"""
+SELECT {CLUSTERS} AS k, round((SELECT sum(q - list_inner_product(s, s) / n) FROM moments), 6) AS training_cost,
+       round(avg(CASE WHEN own_n = 1 OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+FROM (SELECT ip, max(n) FILTER (no = cluster) AS own_n, max(away / greatest(n - 1, 1)) FILTER (no = cluster) AS a,
+             min(away / n) FILTER (no <> cluster) AS b
+      FROM (SELECT ip, cluster, no, n, n * list_inner_product(x, x) + q - 2 * list_inner_product(x, s) AS away
+            FROM clustered, moments) GROUP BY ip)""", LLOYD_CTES))
 def kmeans_quality(spark, sf_dir):
-    model, pred = _fitted(spark, sf_dir)
-    return A.kmeans_quality(pred, model)
+    return L.quality(_clustered(spark, sf_dir), CLUSTERS)
 
 
-@register("kmeans_anomalies", "M7 M8")
+@register("kmeans_anomalies", "M7 M8", with_logs(f"""
+SELECT {FEATURE_SELECT}, cluster, cluster_size, round(anomaly_score, 6) AS anomaly_score, is_anomaly
+FROM scored JOIN feat USING (ip)""", LLOYD_CTES))
 def kmeans_anomalies(spark, sf_dir):
-    model, pred = _fitted(spark, sf_dir)
-    return A.kmeans_output(A.kmeans_anomalies(pred))
+    return A.kmeans_anomalies(_clustered(spark, sf_dir)).drop("features", "centroid_distance")
 
 
-@register("suspicious_ips", "M10")
+@register("suspicious_ips", "M10", with_logs("""
+SELECT ip, request_count, unique_urls, error_count, round(error_rate, 6) AS error_rate, total_bytes,
+       round(anomaly_score, 6) AS anomaly_score
+FROM scored JOIN feat USING (ip) WHERE is_anomaly = 1 ORDER BY scored.anomaly_score DESC, ip ASC LIMIT 50""", LLOYD_CTES))
 def suspicious_ips(spark, sf_dir):
-    model, pred = _fitted(spark, sf_dir)
-    return A.suspicious_ips(A.kmeans_anomalies(pred))
+    return A.suspicious_ips(A.kmeans_anomalies(_clustered(spark, sf_dir)))
 
 
-@register("centroid_distance", "M12")
+@register("centroid_distance", "M12", with_logs(
+    "SELECT ip, cluster, round(centroid_distance, 6) AS centroid_distance FROM clustered", LLOYD_CTES))
 def centroid_distance(spark, sf_dir):
-    model, pred = _fitted(spark, sf_dir)
-    return A.centroid_distance(pred, model).select("ip", "cluster", "centroid_distance")
+    return _clustered(spark, sf_dir).select("ip", "cluster", "centroid_distance")
 
 
 # ----------------------------------------------------------------------------- rules
@@ -210,24 +270,35 @@ def rule_labels(spark, sf_dir):
     return A.rule_labels(A.client_features(logs), G.graph_edges(logs))
 
 
-@register("kmeans_invariants", "M4 M6 M7 M8 M12", with_logs("""
-SELECT count(DISTINCT ip) AS clients, count(DISTINCT ip) AS clients_in_clusters, CAST(0 AS BIGINT) AS not_nearest,
-       CAST(0 AS BIGINT) AS wrong_scores, CAST(0 AS BIGINT) AS wrong_flags
+@register("kmeans_invariants", "M4 M5 M6 M7 M8 M12 M13 (library K-Means)", with_logs("""
+SELECT count(DISTINCT ip) AS clients, CAST(0 AS BIGINT) AS not_nearest, CAST(0 AS BIGINT) AS wrong_sizes, true AS sizes_cover_clusters,
+       CAST(0 AS BIGINT) AS wrong_scores, CAST(0 AS BIGINT) AS wrong_flags, true AS cost_agrees, true AS silhouette_agrees
 FROM logs"""))
 def kmeans_invariants(spark, sf_dir):
-    """What holds for any clustering: sizes add up to the clients, each client is at its
-    nearest centre, a score is one over a size, and flags follow the exact percentile."""
+    """What holds for any clustering, here the library's: clients are at their nearest centre, sizes are those of
+    a fresh count, their reciprocals add up to the clusters, flags follow the exact percentile of scores made
+    from the fresh count, and cost and silhouette agree with direct sums and the closed form."""
     model, pred = _fitted(spark, sf_dir)
     scored = A.centroid_distance(A.kmeans_anomalies(pred), model)
     centres = [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]   # k rows
     away = [F.sqrt(F.aggregate(F.zip_with(vector_to_array("features"), F.array(*map(F.lit, c)), lambda a, b: (a - b) * (a - b)),
                                F.lit(0.0), lambda s, x: s + x)) for c in centres]
-    threshold = scored.agg(F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY anomaly_score)").alias("t"))
-    checked = scored.withColumn("least", F.least(*away) if len(away) > 1 else away[0]).crossJoin(F.broadcast(threshold))
+    fresh = stored(pred.groupBy("cluster").agg(F.count(F.lit(1)).alias("fresh_size")), "fresh-sizes")
+    checked = stored(scored.withColumn("least", F.least(*away) if len(away) > 1 else away[0])
+                     .withColumn("features", vector_to_array("features")).drop("features_raw")
+                     .join(F.broadcast(fresh), "cluster").withColumn("score", 1.0 / F.col("fresh_size")), "kmeans-checked")
+    threshold = checked.agg(F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY score)").alias("t"))
+    ours, library = L.quality(checked, len(centres)).first(), A.kmeans_quality(pred, model).first()
+    clusters = fresh.count()
     bad = lambda c: F.sum(c.cast("long"))
-    return checked.agg(
+    close = lambda a, b: abs(a - b) <= 1e-6 * max(1.0, abs(b))
+    return checked.crossJoin(F.broadcast(threshold)).agg(
         F.count(F.lit(1)).alias("clients"),
-        F.round(F.sum(F.lit(1.0) / F.col("cluster_size") * F.col("cluster_size"))).cast("long").alias("clients_in_clusters"),
         bad(F.col("centroid_distance") > F.col("least") + 1e-9).alias("not_nearest"),
-        bad(F.abs(F.col("anomaly_score") * F.col("cluster_size") - 1) > 1e-12).alias("wrong_scores"),
-        bad(F.col("is_anomaly") != (F.col("anomaly_score") > F.col("t")).cast("int")).alias("wrong_flags"))
+        bad(F.col("cluster_size") != F.col("fresh_size")).alias("wrong_sizes"),
+        (F.abs(F.sum(1.0 / F.col("cluster_size")) - clusters) < 1e-6).alias("sizes_cover_clusters"),
+        bad(F.abs(F.col("anomaly_score") - F.col("score")) > 1e-12).alias("wrong_scores"),
+        bad(F.col("is_anomaly") != (F.col("score") > F.col("t")).cast("int")).alias("wrong_flags"),
+        (F.abs(F.sum(F.col("centroid_distance") * F.col("centroid_distance")) - library.training_cost)
+         <= 1e-6 * max(1.0, library.training_cost)).alias("cost_agrees"),
+        F.lit(close(ours.silhouette, library.silhouette)).alias("silhouette_agrees"))

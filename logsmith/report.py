@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logsmith.operators import anomaly as A
 from logsmith.operators import graph as G
 from logsmith.operators import kpis, metrics, panels
+from logsmith.operators import lloyd as L
 from logsmith.scratch import stored
 from logsmith.session import apply_defaults
 from logsmith.sources import sinks
@@ -89,16 +90,16 @@ def run_batch_report(spark: SparkSession, lines: DataFrame, output_dir: str, k:
 
     features = stored(A.client_features(logs), "report-features")
     zs = A.zscore_anomalies(features)
-    km_in = stored(A.kmeans_input(features), "report-kmeans")
-    model = A.fit_kmeans(km_in, k=k)
-    km = A.kmeans_anomalies(model.transform(km_in))
-    flagged_logs = A.anomalous_requests(logs, km)
+    scaled = stored(L.scaled_features(features, A.KMEANS_FEATURES), "report-kmeans")
+    clustered = L.fit(scaled, k).assign(scaled)
+    km = stored(A.kmeans_output(A.kmeans_anomalies(clustered)), "report-clusters")
+    flagged_logs = stored(A.anomalous_requests(logs, km).select("url", "hour", "status", "is_error"), "report-flagged")
     g = G.AccessGraph(G.vertices_from_edges(edges), edges)
     communities = stored(G.label_propagation(g, max_iter=lpa_steps), "report-communities")
     status = status.unionByName(export({
         "suspicious_ips": A.suspicious_ips(km),
         "suspicious_ips_zscore": A.suspicious_ips(zs, score_col="max_z_score"),
-        "kmeans_quality": A.kmeans_quality(model.transform(km_in), model),
+        "kmeans_quality": L.quality(clustered, k),
         "anomalous_top_urls": A.anomalous_top_urls(flagged_logs),
         "anomalous_by_hour": A.anomalous_by_hour(flagged_logs),
         "anomalous_error_codes": A.anomalous_error_codes(flagged_logs),
@@ -109,7 +110,7 @@ def run_batch_report(spark: SparkSession, lines: DataFrame, output_dir: str, k:
         "high_error_edges": G.high_error_edges(edges),
         "error_ips": G.error_ips(edges),
         "rule_labels": A.rule_labels(features, edges),
-        "metrics": metrics.metrics_snapshot(logs, A.kmeans_output(km), rollup),
+        "metrics": metrics.metrics_snapshot(logs, km, rollup),
         "response_size_histogram": metrics.response_size_histogram(logs),
         "panel_overview": panels.overview(logs),
         "alert_error_rate": panels.alert_error_rate(logs, rollup=rollup),
