@@ -12,9 +12,12 @@ copies are never paired.  The join then runs over classes:
 3. Classes that share a prefix shingle are candidates.  First each class is paired with the
    lowest class of its shingle only (a star, so a group of n near copies costs n pairs, not
    n squared); candidates pass length, positional and suffix filters and are verified once,
-   exactly, on whole texts.  Then all pairs of a shingle whose classes are still in different
-   components are enumerated, filtered and verified.  Pairs inside one component cannot
-   change it, so no link that matters is lost.
+   exactly, on whole texts.  What is left are shingles whose classes are in different
+   components.  They go on in rounds: a few classes of each shingle, four times as many in
+   every round, are paired with all its classes of other components, and then leave the
+   shingle, as they have met everyone.  Links found in a round join components, so a group of
+   near copies whose lowest one is unlike the others comes together in the first rounds; pairs
+   inside one component cannot change it and are not formed.  No pair is verified twice.
 4. Components of the verified links carry the smallest document id.
 
 The suffix filter is a histogram of a set over 64 hash buckets: the L1 distance of two
@@ -141,21 +144,26 @@ def _verify(batches):
                                           "b": pa.array([b[i] for i in links], pa.int64())})
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that pass the suffix filter and an exact check of their texts."""
+def _filtered(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes that pass the suffix filter, stored."""
     side = lambda x: classes.select(F.col("sig").alias(x), F.col("histogram").alias(f"h_{x}"),
                                     F.col("n_shingles").alias(f"n_{x}"))
-    pairs = stored(pairs.join(side("a"), "a").join(side("b"), "b")
-                   .where(_suffix_filter(F.col("h_a"), F.col("h_b"), F.col("n_a"), F.col("n_b")))
-                   .select("a", "b"), "ngram-pairs")
-    if pairs.isEmpty():
-        return pairs
-    wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
+    return stored(pairs.join(side("a"), "a").join(side("b"), "b")
+                  .where(_suffix_filter(F.col("h_a"), F.col("h_b"), F.col("n_a"), F.col("n_b")))
+                  .select("a", "b"), "ngram-pairs")
+
+
+def _class_texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(sig, text) of the classes in the one column of ``wanted``, in one pass over the documents."""
     # repeated rows of one id and text would repeat the fetch: one row of an id is enough, as
     # the check drops any text that is not the class's own
     chosen = stored(wanted.join(classes, "sig").select("sig", "doc_key"), "ngram-wanted")
     some = holding(docs.select(_doc_key().alias("doc_key"), "text"), "doc_key", chosen.select("doc_key")).dropDuplicates(["doc_key"])
-    texts = stored(some.join(chosen, "doc_key").select("sig", "text"), "ngram-texts")
+    return stored(some.join(chosen, "doc_key").select("sig", "text"), "ngram-texts")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose texts link, by an exact check; stored."""
     one = lambda x: texts.select(F.col("sig").alias(x), F.col("text").alias(f"text_{x}"))
     with_texts = (pairs.join(one("b"), "b").join(one("a"), "a").select("a", "b", "text_a", "text_b"))
     return stored(with_texts.mapInArrow(_verify, "a long, b long").distinct(), "ngram-links")
@@ -211,30 +219,60 @@ def class_components(rows: DataFrame, docs: DataFrame) -> DataFrame:
             .withColumn("top", F.min("low").over(Window.partitionBy("token")))
             .where("low.sig != top.sig").where(candidates("low.at", "top.at"))
             .select(F.col("top.sig").alias("a"), F.col("low.sig").alias("b")))
-    star = _verified(near.union(tops).distinct(), classes, docs)
-
+    pairs = _filtered(near.union(tops).distinct(), classes)
+    wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
+    if pairs.isEmpty():
+        star = refused = pairs
+    else:
+        star = _verified(pairs, _class_texts(wanted, classes, docs))
+        refused = stored(pairs.join(star, ["a", "b"], "left_anti"), "ngram-refused")
     part = stored(connected_components(star), "ngram-star-parts")
-    labelled = (shared.join(part, shared["sig"] == part["node"], "left")
-                .select("token", "sig", "at", F.coalesce("component", "sig").alias("part")))
-    mixed = (labelled.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q"))
-             .where("p != q").select("token"))
-    open_rows = stored(labelled.join(mixed, "token").distinct(), "ngram-open")
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    rest = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.part") < F.col("y.part"))
-                   & candidates("x.at", "y.at"))
-            .select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b")).distinct())
-    rest = _verified(rest, classes, docs)
-    if rest.isEmpty():
+    open_rows = _open(shared.join(part, shared["sig"] == part["node"], "left")
+                      .select("token", "sig", "at", F.coalesce("component", "sig").alias("part")).distinct())
+    if open_rows.isEmpty():
         return part
-    # links between components of the first round join those components
+    texts = _class_texts(open_rows.select("sig").distinct(), classes, docs)
+    width = 1
+    while not open_rows.isEmpty():
+        # the lowest class of each of ``width`` hash groups of a shingle speaks in this round
+        speakers = stored(open_rows.groupBy("token", F.pmod(F.xxhash64("sig"), F.lit(width)).alias("no")).agg(
+            F.min(F.struct("sig", "part", "at")).alias("s")).select("token", "s"), "ngram-speakers")
+        meet = (open_rows.join(speakers, "token").where(F.col("part") != F.col("s.part")).where(candidates("at", "s.at"))
+                .select(F.least("sig", "s.sig").alias("a"), F.greatest("sig", "s.sig").alias("b")).distinct())
+        pairs = _filtered(meet.join(refused, ["a", "b"], "left_anti"), classes)
+        rest = open_rows.join(speakers.select("token", "s.sig"), ["token", "sig"], "left_anti")
+        if not pairs.isEmpty():
+            links = _verified(pairs, texts)
+            refused = stored(refused.union(pairs.join(links, ["a", "b"], "left_anti")), "ngram-refused")
+            if not links.isEmpty():
+                part, renamed = _joined(part, links)
+                rest = (rest.join(renamed, rest["part"] == renamed["old"], "left")
+                        .select("token", "sig", "at", F.coalesce("new", "part").alias("part")))
+        open_rows = _open(rest)
+        width *= 4
+    return part
+
+
+def _open(rows: DataFrame) -> DataFrame:
+    """The rows (token, sig, at, part) of shingles whose classes are in more than one component."""
+    rows = stored(rows, "ngram-labelled")
+    mixed = (rows.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q"))
+             .where("p != q").select("token"))
+    return stored(rows.join(mixed, "token"), "ngram-open")
+
+
+def _joined(part: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Components (node, component) after further links, and the (old, new) names of those that changed."""
     name = lambda x, y: part.select(F.col("node").alias(x), F.col("component").alias(y))
-    bridges = (rest.join(name("a", "pa"), "a", "left").join(name("b", "pb"), "b", "left")
+    bridges = (links.join(name("a", "pa"), "a", "left").join(name("b", "pb"), "b", "left")
                .select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b")))
-    joined = stored(connected_components(bridges), "ngram-bridges").select(
-        F.col("node").alias("component"), F.col("component").alias("final"))
-    lone = joined.select(F.col("component").alias("node")).join(part, "node", "left_anti")
-    return (part.unionByName(lone.select("node", F.col("node").alias("component"))).join(joined, "component", "left")
-            .select("node", F.coalesce("final", "component").alias("component")))
+    renamed = stored(connected_components(bridges), "ngram-bridges").select(
+        F.col("node").alias("old"), F.col("component").alias("new"))
+    lone = renamed.select(F.col("old").alias("node")).join(part, "node", "left_anti")
+    both = part.unionByName(lone.select("node", F.col("node").alias("component")))
+    after = both.join(renamed, both["component"] == renamed["old"], "left").select(
+        "node", F.coalesce("new", "component").alias("component"))
+    return stored(after, "ngram-parts"), renamed
 
 
 def _components(docs: DataFrame) -> DataFrame:

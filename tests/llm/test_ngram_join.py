@@ -95,3 +95,60 @@ def test_repeated_rows_are_fetched_once(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "stored", counted)
     ngram_join.ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     assert fetched and set(fetched) == {2}
+
+
+def near_copies(n, odd, seed=9):
+    """n copies of one text with one word changed, which link with each other, and ``odd`` with three, which do not."""
+    rng = random.Random(seed)
+    base = words(rng, 80)
+
+    def changed(edits):
+        w = list(base)
+        for at in rng.sample(range(6, 74), edits):
+            w[at] = f"new{rng.randrange(10**9)}"
+        return " ".join(w)
+    texts = [changed(1) for _ in range(n)] + [changed(3) for _ in range(odd)]
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def chain(n, seed=3):
+    """Each text is the one before with one word changed: only neighbours in the chain link."""
+    rng = random.Random(seed)
+    w, texts = words(rng, 60), []
+    for i in range(n):
+        w[(7 * i) % 60] = f"step{i}"
+        texts.append(" ".join(w))
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def joined_with_counts(spark, rows, monkeypatch):
+    from logsmith.llm import ngram_join
+    counts, stored = {}, ngram_join.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        counts.setdefault(name, []).append(out.count() if name in ("ngram-pairs", "ngram-open") else 0)
+        return out
+    with monkeypatch.context() as m:
+        m.setattr(ngram_join, "stored", counted)
+        got = ngram_join.ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    return key((r.doc_id, r.n_shingles, r.component_id) for r in got), counts
+
+
+def test_chained_copies_equal_brute_force(spark, monkeypatch):
+    rows = chain(300) + [(i + 1000, t) for i, t in near_copies(60, 20)]
+    got, counts = joined_with_counts(spark, rows, monkeypatch)
+    assert got == key(brute_force(rows)[0])
+    assert len(counts["ngram-open"]) > 1                      # it took rounds
+
+
+def test_pairs_grow_with_the_copies_not_with_their_square(spark, monkeypatch):
+    pairs = {}
+    for n in (150, 600):
+        rows = near_copies(n, 10)
+        got, counts = joined_with_counts(spark, rows, monkeypatch)
+        assert got == key(brute_force(rows)[0])
+        pairs[n] = sum(counts["ngram-pairs"])
+    assert pairs[600] <= 5 * pairs[150]
