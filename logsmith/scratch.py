@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from logsmith.session import scratch_path
+from logsmith.sources.files import file_system
+
+#: Scratch tables that this driver wrote and has not dropped: (application, path).
+_tables: list[tuple[str, str]] = []
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -15,4 +19,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    _tables.append((df.sparkSession.sparkContext.applicationId, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession, keep: DataFrame) -> int:
+    """Delete this application's scratch tables but those that ``keep`` reads; returns how many.
+
+    For the caller who is done with every result so far that was not written elsewhere, as at
+    the start of a job's next stage.  If ``keep`` reads anything but files (a cached table may
+    still have to be computed), nothing is deleted.  Unread shuffle files go once the driver
+    forgets them.
+    """
+    leaves = keep._jdf.queryExecution().optimizedPlan().collectLeaves()
+    if any(leaves.apply(i).getClass().getSimpleName() != "LogicalRelation" for i in range(leaves.size())):
+        return 0
+    app = spark.sparkContext.applicationId
+    used = " ".join(keep.inputFiles())
+    dropped = 0
+    for entry in [t for t in _tables if t[0] == app and t[1].rsplit("/", 1)[1] not in used]:
+        path, fs = file_system(spark, entry[1])
+        fs.delete(path, True)
+        _tables.remove(entry)
+        dropped += 1
+    spark.sparkContext._jvm.System.gc()
+    return dropped

@@ -172,3 +172,17 @@ def test_two_feeds_share_a_table(spark, tmpdir_fresh):
     assert "PartitionFilters: [isnotnull(date" in plan
     with pytest.raises(ValueError):
         ingest_new_files(spark, "/nowhere", table, ckpt, feed="a-b")
+
+
+def test_drop_scratch_keeps_what_is_read(spark, tmpdir_fresh):
+    from logsmith.scratch import drop_scratch, stored
+    old, used = stored(numbers(spark, 1, 2), "old"), stored(numbers(spark, 3), "used")
+    joined = used.union(used)
+    assert drop_scratch(spark, joined.cache()) == 0              # not computed yet
+    joined.unpersist()
+    written = os.path.join(tmpdir_fresh, "out")
+    old.write.parquet(written)
+    assert drop_scratch(spark, joined) >= 1
+    assert values(joined) == [3, 3] and values(spark.read.parquet(written)) == [1, 2]
+    with pytest.raises(Exception):
+        old.collect()
