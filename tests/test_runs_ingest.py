@@ -177,9 +177,10 @@ def test_two_feeds_share_a_table(spark, tmpdir_fresh):
 def test_drop_scratch_keeps_what_is_read(spark, tmpdir_fresh):
     from logsmith.scratch import drop_scratch, stored
     old, used = stored(numbers(spark, 1, 2), "old"), stored(numbers(spark, 3), "used")
+    lazy = used.union(used).cache()
+    assert drop_scratch(spark, lazy) == 0                        # not computed yet
+    lazy.unpersist()
     joined = used.union(used)
-    assert drop_scratch(spark, joined.cache()) == 0              # not computed yet
-    joined.unpersist()
     written = os.path.join(tmpdir_fresh, "out")
     old.write.parquet(written)
     assert drop_scratch(spark, joined) >= 1
