@@ -10,13 +10,30 @@ from pyspark.sql import functions as F
 from logsmith.operators.components import connected_components
 from logsmith.scratch import stored
 
-__all__ = ["WORD_PATTERN", "connected_components", "crc_of_id", "let", "read_table", "small_arrow_batches", "stored",
+__all__ = ["WORD_PATTERN", "connected_components", "crc_of_id", "let", "merge_components", "read_table", "small_arrow_batches", "stored",
            "text_chars"]
 
 #: White space that parts words: 0x20 and 0x09-0x0D.  Everything else is part of a word.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+def merge_components(part: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Components (node, component) after further links (a, b), and the (old, new) names of those that changed.
+
+    A node that is not in ``part`` is a component of its own.
+    """
+    name = lambda x, y: part.select(F.col("node").alias(x), F.col("component").alias(y))
+    bridges = (links.join(name("a", "pa"), "a", "left").join(name("b", "pb"), "b", "left")
+               .select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b")))
+    renamed = stored(connected_components(bridges), "merged-names").select(
+        F.col("node").alias("old"), F.col("component").alias("new"))
+    lone = renamed.select(F.col("old").alias("node")).join(part, "node", "left_anti")
+    both = part.unionByName(lone.select("node", F.col("node").alias("component")))
+    after = both.join(renamed, both["component"] == renamed["old"], "left").select(
+        "node", F.coalesce("new", "component").alias("component"))
+    return stored(after, "merged-parts"), renamed
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

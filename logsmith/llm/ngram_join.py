@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logsmith.llm.common import connected_components, small_arrow_batches, stored, text_chars
+from logsmith.llm.common import connected_components, merge_components, small_arrow_batches, stored, text_chars
 from logsmith.llm.sketches import LEVEL_BITS, frequency_levels, holding, may_repeat, repeat_filter
 from logsmith.llm.words import all_shingles, mix, shingle_sets, word_hashes
 
@@ -245,7 +245,7 @@ def class_components(rows: DataFrame, docs: DataFrame) -> DataFrame:
             links = _verified(pairs, texts)
             refused = stored(refused.union(pairs.join(links, ["a", "b"], "left_anti")), "ngram-refused")
             if not links.isEmpty():
-                part, renamed = _joined(part, links)
+                part, renamed = merge_components(part, links)
                 rest = (rest.join(renamed, rest["part"] == renamed["old"], "left")
                         .select("token", "sig", "at", F.coalesce("new", "part").alias("part")))
         open_rows = _open(rest)
@@ -261,20 +261,6 @@ def _open(rows: DataFrame) -> DataFrame:
     return stored(rows.join(mixed, "token"), "ngram-open")
 
 
-def _joined(part: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Components (node, component) after further links, and the (old, new) names of those that changed."""
-    name = lambda x, y: part.select(F.col("node").alias(x), F.col("component").alias(y))
-    bridges = (links.join(name("a", "pa"), "a", "left").join(name("b", "pb"), "b", "left")
-               .select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b")))
-    renamed = stored(connected_components(bridges), "ngram-bridges").select(
-        F.col("node").alias("old"), F.col("component").alias("new"))
-    lone = renamed.select(F.col("old").alias("node")).join(part, "node", "left_anti")
-    both = part.unionByName(lone.select("node", F.col("node").alias("component")))
-    after = both.join(renamed, both["component"] == renamed["old"], "left").select(
-        "node", F.coalesce("new", "component").alias("component"))
-    return stored(after, "ngram-parts"), renamed
-
-
 def _components(docs: DataFrame) -> DataFrame:
     """doc_id, doc_key, n_shingles, component_id, class_id of every input row."""
     rows = ngram_classes(docs)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsmith.llm.common import connected_components, small_arrow_batches, stored, text_chars
+from logsmith.llm.common import connected_components, merge_components, small_arrow_batches, stored, text_chars
 from logsmith.llm.sketches import holding, may_repeat, repeat_filter
 from logsmith.llm.words import mix, shingle_hashes, sliding, word_hashes, words_and_lines
 
@@ -157,21 +157,50 @@ def _pairs(met: DataFrame) -> DataFrame:
         F.collect_set(F.struct("kind", F.col("unit.place").alias("place"), F.col("low.place").alias("low"))).alias("seeds"))
 
 
-def _crossing(colliding: DataFrame, links: DataFrame) -> DataFrame:
-    """(value, kind, unit, low): paragraphs that share a value and are in different components of ``links``.
+def _further_links(colliding: DataFrame, links: DataFrame, docs: DataFrame) -> DataFrame:
+    """All links between similar paragraphs that share a value, given those with the lowest of each value.
 
-    All pairs with the lowest of a value have been verified before.
+    Values whose paragraphs are in different components go on in rounds: a few paragraphs of each
+    value, four times as many in every round, meet all its paragraphs of other components and then
+    leave the value.  Links join components on the way, so near copies of a paragraph come together
+    in the first rounds and are not paired with each other.  No pair is verified twice.
     """
-    parts = stored(connected_components(links.select(_node("low_key", "low_first").alias("a"), _node("doc_key", "first").alias("b"))),
-                   "paragraph-star-parts")
-    units = (colliding.where(F.col("kind") == PARAGRAPH).withColumn("node", _node("unit.doc_key", "unit.place"))
-             .join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")))
-    units = stored(units.select("value", "unit", "low", "part"), "paragraph-units")
+    ends = lambda rows: rows.select(_node("low_key", "low_first").alias("a"), _node("doc_key", "first").alias("b"))
+    part = stored(connected_components(ends(links)), "paragraph-star-parts")
+    units = (colliding.where((F.col("kind") == PARAGRAPH) & (F.col("unit") != F.col("low")))
+             .withColumn("node", _node("unit.doc_key", "unit.place")).join(part, "node", "left")
+             .select("value", "unit", "node", F.coalesce("component", "node").alias("part")))
+    rows = _open(units)
+    if rows.isEmpty():
+        return links
+    by_key = stored(_texts(docs, rows.select(F.col("unit.doc_key").alias("key")).distinct()), "paragraph-texts")
+    met, width = None, 1
+    while not rows.isEmpty():
+        speakers = stored(rows.groupBy("value", F.pmod(F.xxhash64("node"), F.lit(width)).alias("no")).agg(
+            F.min(F.struct("unit", "part", "node")).alias("s")).select("value", "s"), "paragraph-speakers")
+        pairs = (rows.join(speakers, "value").where(F.col("part") != F.col("s.part"))
+                 .select("value", F.lit(PARAGRAPH).alias("kind"), F.greatest("unit", "s.unit").alias("unit"),
+                         F.least("unit", "s.unit").alias("low"), F.least("node", "s.node").alias("a"),
+                         F.greatest("node", "s.node").alias("b")).dropDuplicates(["a", "b"]))
+        pairs = stored(pairs if met is None else pairs.join(met, ["a", "b"], "left_anti"), "paragraph-met")
+        met = pairs.select("a", "b") if met is None else met.union(pairs.select("a", "b"))
+        rest = rows.join(speakers.select("value", "s.node"), ["value", "node"], "left_anti")
+        found = _verified(stored(_pairs(pairs), "paragraph-pairs"), by_key)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            part, renamed = merge_components(part, ends(found))
+            rest = (rest.join(renamed, rest["part"] == renamed["old"], "left")
+                    .select("value", "unit", "node", F.coalesce("new", "part").alias("part")))
+        rows = _open(rest.select("value", "unit", "node", "part"))
+        width *= 4
+    return links
+
+
+def _open(units: DataFrame) -> DataFrame:
+    """The rows (value, unit, node, part) of values whose paragraphs are in more than one component."""
+    units = stored(units, "paragraph-units")
     several = units.groupBy("value").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a != b").select("value")
-    some = stored(units.where("unit != low").join(several, "value", "left_semi").select("value", "unit", "part"), "paragraph-open")
-    lower = some.select("value", F.col("unit").alias("low"), F.col("part").alias("low_part"))
-    return some.join(lower, "value").where("low < unit AND low_part != part").select(
-        "value", F.lit(PARAGRAPH).alias("kind"), "unit", "low")
+    return stored(units.join(several, "value", "left_semi"), "paragraph-open")
 
 
 def _node(key: str, first: str):
@@ -291,10 +320,13 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return holding(docs.select(_doc_key().alias("key"), "text"), "key", stored(wanted, "repeat-wanted")).dropDuplicates(["key"])
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _pair_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(key, text) of the documents of pairs; both joins of ``_verified`` read one shuffle of it."""
+    return _texts(docs, pairs.select(F.col("doc_key").alias("key")).union(pairs.select("low_key")).distinct())
+
+
+def _verified(pairs: DataFrame, by_key: DataFrame) -> DataFrame:
     """Runs of excerpts and pairs of similar paragraphs, from the texts of the pairs of documents."""
-    # both joins read the same shuffle of the texts
-    by_key = _texts(docs, pairs.select(F.col("doc_key").alias("key")).union(pairs.select("low_key")).distinct())
     return stored(pairs.join(by_key.select(F.col("key").alias("doc_key"), "text"), "doc_key")
                   .join(by_key.select(F.col("key").alias("low_key"), F.col("text").alias("low_text")), "low_key")
                   .select("doc_key", "low_key", "seeds", "text", "low_text")
@@ -315,10 +347,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                         "text")
     shared = stored(keyed.mapInArrow(_shared_units(bits), _SHARED_SCHEMA), "repeat-shared")
     colliding = stored(_colliding(shared), "repeat-colliding")
-    verified = _verified(stored(_pairs(colliding.where("unit != low")), "repeat-pairs"), docs)
+    pairs = stored(_pairs(colliding.where("unit != low")), "repeat-pairs")
+    verified = _verified(pairs, _pair_texts(pairs, docs))
     links, runs = (verified.where(F.col("kind") == kind) for kind in (PARAGRAPH, EXCERPT))
-    crossing = stored(_pairs(_crossing(colliding, links)), "repeat-crossing")
-    links = links.unionByName(_verified(crossing, docs))
+    links = _further_links(colliding, links, docs)
     ids = shared.select("id.doc_id", "id.doc_key").distinct()
     spans = _paragraph_removals(links, ids).unionByName(runs.select("doc_key", "first", "end")).unionByName(
         _window_removals(colliding, runs, docs))

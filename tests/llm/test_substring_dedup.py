@@ -97,3 +97,34 @@ def test_near_paragraphs_whose_lowest_partner_is_not_similar(spark):
     df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     got = {r.doc_id: r.removed_words for r in remove_repeats(df).collect()}
     assert all(got[32 * k + 31] == 120 for k in range(6))
+
+
+def test_near_paragraphs_whose_lowest_holder_is_unlike_them(spark, monkeypatch):
+    """One paragraph with a few words changed in each document: all but one go, by pairs that grow with their number."""
+    from logsmith.llm import substring_dedup as D
+    pairs = {}
+    for n in (40, 160):
+        rng = random.Random(n)
+        base = [f"w{i}" for i in range(90)]
+
+        def changed(edits):
+            w = list(base)
+            for at in rng.sample(range(90), edits):
+                w[at] = f"new{rng.randrange(10**9)}"
+            return " ".join(w)
+        rows = [(i, changed(4)) for i in range(10)] + [(i + 10, changed(1)) for i in range(n)]
+        seen, plain = [], D.stored
+
+        def counted(df, name):
+            out = plain(df, name)
+            if name in ("paragraph-met", "repeat-pairs"):
+                seen.append(out.count())
+            return out
+        with monkeypatch.context() as m:
+            m.setattr(D, "stored", counted)
+            out = {r.doc_id: r.text for r in D.remove_repeats(
+                spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+        copies = [out[i + 10] for i in range(n)]
+        assert sum(bool(t.strip()) for t in copies) <= 1
+        pairs[n] = sum(seen)
+    assert pairs[160] <= 6 * pairs[40]
