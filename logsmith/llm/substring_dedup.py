@@ -12,7 +12,10 @@ Units of a text that can repeat elsewhere:
 
 Units that collide in a value are first paired with the lowest one (doc_id, then place), so a
 passage in n documents costs n pairs.  Where that fails, a second round follows.  Paragraphs of
-one value in different components are paired with each other.  For an excerpt whose lowest
+one value in different components are paired with each other.  Marks, a bitmap of a paragraph's
+shingles and their number, bound the similarity of a pair from above: narrow ones travel with
+the values, wide ones are looked up for the pairs left.  Pairs whose bound is too low are never
+fetched.  For an excerpt whose lowest
 holder shares too little with another one, all holders give the MIN_WORDS-word windows around
 it, and a window's lowest holder keeps it: that is n rows for n holders, too.  Colliding paragraphs are
 verified by exact Jaccard similarity and grouped into connected components: the lowest of a
@@ -27,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +43,8 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.75
 BANDS, ROWS = 10, 3
 EXCERPT_WORDS = 20
+#: 64-bit words in the narrow and wide bitmaps of a paragraph's shingles.
+NARROW, WIDE = 4, 16
 GAP = MIN_WORDS - EXCERPT_WORDS - SHINGLE_WORDS + 2  # so that a shared run of MIN_WORDS holds a shared excerpt
 
 EXCERPT, PARAGRAPH = 0, 1
@@ -95,6 +100,40 @@ def minhash_bands(words: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.n
     return out
 
 
+def shingle_marks(words: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct shingles, bitmap of WIDE 64-bit words) of each paragraph: a bit for each hashed shingle."""
+    sizes, bitmap = np.zeros(len(first), np.int64), np.zeros((len(first), WIDE), np.uint64)
+    if len(first):
+        places = end - SHINGLE_WORDS + 1 - first
+        owner = np.repeat(np.arange(len(first)), places)
+        at = np.arange(len(owner)) - np.repeat(np.cumsum(places) - places, places) + first[owner]
+        grams = shingle_hashes(words, SHINGLE_WORDS)[at]
+        order = np.lexsort((grams, owner))
+        grams, owner = grams[order], owner[order]
+        new = np.append(True, (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1]))
+        sizes = np.bincount(owner[new], minlength=len(first))
+        slot = mix(grams[new]) % np.uint64(64 * WIDE)
+        np.bitwise_or.at(bitmap, (owner[new], (slot >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (slot & np.uint64(63)))
+    return sizes, bitmap
+
+
+def narrowed(bitmap: np.ndarray) -> np.ndarray:
+    """Wide bitmaps folded to narrow ones."""
+    return np.bitwise_or.reduce(bitmap.reshape(len(bitmap), WIDE // NARROW, NARROW), axis=1)
+
+
+def may_be_similar(x: Column, y: Column, width: int) -> Column:
+    """False only for marks of paragraphs below SIMILARITY.
+
+    A bit of one bitmap that the other lacks stands for a shingle that the other lacks.
+    """
+    def common(a: Column, b: Column) -> Column:
+        lacking = [F.bit_count(a[f"m{i}"].bitwiseAND(F.bitwise_not(b[f"m{i}"]))) for i in range(width)]
+        return a["n"] - sum(lacking[1:], lacking[0])
+    both = F.least(common(x, y), common(y, x))
+    return both >= SIMILARITY * (x["n"] + y["n"] - both)
+
+
 def _units(texts: list[str | None]):
     """Words, offsets, excerpts and paragraphs with bands of a batch."""
     words, offsets, lines = words_and_lines(texts)
@@ -108,15 +147,19 @@ def _values(batch: pa.RecordBatch) -> np.ndarray:
     return np.concatenate([value, bands.ravel()])
 
 
-_UNIT_TYPE = pa.list_(pa.struct([("value", pa.int64()), ("place", pa.int32())]))
+def _marks(sizes: np.ndarray, bitmap: np.ndarray, missing: np.ndarray | None = None) -> pa.StructArray:
+    columns = {"n": sizes} | {f"m{i}": bitmap[:, i] for i in range(bitmap.shape[1])}
+    return pa.StructArray.from_arrays([pa.array(c.astype(np.int64)) for c in columns.values()], names=list(columns),
+                                      mask=None if missing is None else pa.array(missing))
 
 
 def _shared_units(shared):
-    """Per document: (value, kind, place) of its units whose value may occur twice."""
+    """Per document: (value, kind, place, narrow marks) of its units whose value may occur twice, and
+    (place, wide marks) of the paragraphs among them."""
     def run(batches):
         bits = shared.value
         for batch in batches:
-            _, offsets, at, value, first, _, bands = _units(batch.column(1).to_pylist())
+            all_words, offsets, at, value, first, end, bands = _units(batch.column(1).to_pylist())
             n = len(bands)
             values = np.concatenate([value, bands.ravel()])
             words = np.concatenate([at, np.repeat(first, BANDS)])
@@ -126,28 +169,48 @@ def _shared_units(shared):
             order = np.argsort(owner, kind="stable")
             kept, owner = kept[order], owner[order]
             bounds = np.searchsorted(owner, np.arange(len(offsets)))
+            which = np.maximum(kept - len(at), 0) // BANDS
+            some, which = np.unique(which[kinds[kept] == PARAGRAPH], return_inverse=True)
+            sizes, bitmap = shingle_marks(all_words, first[some], end[some])
+            row = np.full(len(kept), len(some))
+            row[kinds[kept] == PARAGRAPH] = which
+            marks = _marks(np.append(sizes, 0)[row], np.append(narrowed(bitmap), np.zeros((1, NARROW), np.uint64), axis=0)[row],
+                           kinds[kept] == EXCERPT)
+            whose = np.searchsorted(offsets, first[some], side="right") - 1
+            wide = pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(whose, np.arange(len(offsets))).astype(np.int32)), pa.StructArray.from_arrays(
+                    [pa.array((first[some] - offsets[whose]).astype(np.int32)), _marks(sizes, bitmap)], names=["place", "marks"]))
             units = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.StructArray.from_arrays(
                 [pa.array(values[kept].astype(np.int64)), pa.array(kinds[kept].astype(np.int32)),
-                 pa.array((words[kept] - offsets[owner]).astype(np.int32))], names=["value", "kind", "place"]))
-            some = pa.array(np.flatnonzero(np.diff(bounds)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(some), units.take(some)], names=["id", "units"])
+                 pa.array((words[kept] - offsets[owner]).astype(np.int32)), marks], names=["value", "kind", "place", "marks"]))
+            held = pa.array(np.flatnonzero(np.diff(bounds)))
+            yield pa.RecordBatch.from_arrays([c.take(held) for c in (batch.column(0), units, wide)], names=["id", "units", "wide"])
     return run
 
 
-_SHARED_SCHEMA = "id struct<doc_id:long,doc_key:long>, units array<struct<value:long,kind:int,place:int>>"
+def _marks_type(width: int) -> str:
+    return f"struct<n:long,{','.join(f'm{i}:long' for i in range(width))}>"
+
+
+_SHARED_SCHEMA = ("id struct<doc_id:long,doc_key:long>, "
+                  f"units array<struct<value:long,kind:int,place:int,marks:{_marks_type(NARROW)}>>, "
+                  f"wide array<struct<place:int,marks:{_marks_type(WIDE)}>>")
 
 
 def _colliding(shared: DataFrame) -> DataFrame:
-    """(value, kind, unit, low): the units of values that occur twice, with the lowest of each.
+    """(value, kind, unit, marks, low, near): the units of values that occur twice, with the lowest of
+    each, and whether the marks let the two be similar (true for excerpts).
 
     The minimum is partial before its shuffle; both sides of the join are stored scans, so a
     value that holds a third of all rows is split by the adaptive skew join.
     """
     units = stored(shared.select("id", F.explode("units").alias("u")).select(
-        "u.value", "u.kind", F.struct("id.doc_id", "id.doc_key", "u.place").alias("unit")), "repeat-units")
-    low = stored(units.groupBy("value", "kind").agg(F.min("unit").alias("low"), F.max("unit").alias("high"))
-                 .where("low != high").select("value", "kind", "low"), "repeat-low")
-    return units.join(low, ["value", "kind"])
+        "u.value", "u.kind", F.struct("id.doc_id", "id.doc_key", "u.place").alias("unit"), "u.marks"), "repeat-units")
+    low = stored(units.groupBy("value", "kind").agg(F.min(F.struct("unit", "marks")).alias("least"), F.max("unit").alias("high"))
+                 .where("least.unit != high").select("value", "kind", "least"), "repeat-low")
+    near = F.coalesce(may_be_similar(F.col("marks"), F.col("least.marks"), NARROW), F.lit(True))
+    return units.join(low, ["value", "kind"]).select(
+        "value", "kind", "unit", "marks", F.col("least.unit").alias("low"), near.alias("near"))
 
 
 def _pairs(met: DataFrame) -> DataFrame:
@@ -157,47 +220,53 @@ def _pairs(met: DataFrame) -> DataFrame:
         F.collect_set(F.struct("kind", F.col("unit.place").alias("place"), F.col("low.place").alias("low"))).alias("seeds"))
 
 
-def _further_links(colliding: DataFrame, links: DataFrame, docs: DataFrame) -> DataFrame:
+def _further_links(colliding: DataFrame, links: DataFrame, docs: DataFrame, wide: DataFrame) -> DataFrame:
     """All links between similar paragraphs that share a value, given those with the lowest of each value.
 
     Values whose paragraphs are in different components go on in rounds: a few paragraphs of each
     value, four times as many in every round, meet all its paragraphs of other components and then
     leave the value.  Links join components on the way, so near copies of a paragraph come together
-    in the first rounds and are not paired with each other.  No pair is verified twice.
+    in the first rounds and are not paired with each other.  No pair is verified twice.  ``wide``:
+    (node, marks) of the paragraphs.
     """
     ends = lambda rows: rows.select(_node("low_key", "low_first").alias("a"), _node("doc_key", "first").alias("b"))
     part = stored(connected_components(ends(links)), "paragraph-star-parts")
     units = (colliding.where((F.col("kind") == PARAGRAPH) & (F.col("unit") != F.col("low")))
              .withColumn("node", _node("unit.doc_key", "unit.place")).join(part, "node", "left")
-             .select("value", "unit", "node", F.coalesce("component", "node").alias("part")))
+             .select("value", "unit", "marks", "node", F.coalesce("component", "node").alias("part")))
     rows = _open(units)
     if rows.isEmpty():
         return links
-    by_key = stored(_texts(docs, rows.select(F.col("unit.doc_key").alias("key")).distinct()), "paragraph-texts")
     met, width = None, 1
     while not rows.isEmpty():
         speakers = stored(rows.groupBy("value", F.pmod(F.xxhash64("node"), F.lit(width)).alias("no")).agg(
-            F.min(F.struct("unit", "part", "node")).alias("s")).select("value", "s"), "paragraph-speakers")
+            F.min(F.struct("unit", "part", "node", "marks")).alias("s")).select("value", "s"), "paragraph-speakers")
         pairs = (rows.join(speakers, "value").where(F.col("part") != F.col("s.part"))
+                 .where(may_be_similar(F.col("marks"), F.col("s.marks"), NARROW))
                  .select("value", F.lit(PARAGRAPH).alias("kind"), F.greatest("unit", "s.unit").alias("unit"),
                          F.least("unit", "s.unit").alias("low"), F.least("node", "s.node").alias("a"),
                          F.greatest("node", "s.node").alias("b")).dropDuplicates(["a", "b"]))
         pairs = stored(pairs if met is None else pairs.join(met, ["a", "b"], "left_anti"), "paragraph-met")
         met = pairs.select("a", "b") if met is None else met.union(pairs.select("a", "b"))
         rest = rows.join(speakers.select("value", "s.node"), ["value", "node"], "left_anti")
-        found = _verified(stored(_pairs(pairs), "paragraph-pairs"), by_key)
-        if not found.isEmpty():
+        alike = (pairs.join(wide.select(F.col("node").alias("a"), F.col("marks").alias("x")), "a")
+                 .join(wide.select(F.col("node").alias("b"), F.col("marks").alias("y")), "b")
+                 .where(may_be_similar(F.col("x"), F.col("y"), WIDE)).select("value", "kind", "unit", "low"))
+        pairs = stored(alike, "paragraph-alike")
+        if not pairs.isEmpty():
+            by_document = stored(_pairs(pairs), "paragraph-pairs")
+            found = _verified(by_document, _pair_texts(by_document, docs))
             links = links.unionByName(found)
             part, renamed = merge_components(part, ends(found))
             rest = (rest.join(renamed, rest["part"] == renamed["old"], "left")
-                    .select("value", "unit", "node", F.coalesce("new", "part").alias("part")))
-        rows = _open(rest.select("value", "unit", "node", "part"))
+                    .select("value", "unit", "marks", "node", F.coalesce("new", "part").alias("part")))
+        rows = _open(rest.select("value", "unit", "marks", "node", "part"))
         width *= 4
     return links
 
 
 def _open(units: DataFrame) -> DataFrame:
-    """The rows (value, unit, node, part) of values whose paragraphs are in more than one component."""
+    """The rows (value, unit, marks, node, part) of values whose paragraphs are in more than one component."""
     units = stored(units, "paragraph-units")
     several = units.groupBy("value").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a != b").select("value")
     return stored(units.join(several, "value", "left_semi"), "paragraph-open")
@@ -347,10 +416,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                         "text")
     shared = stored(keyed.mapInArrow(_shared_units(bits), _SHARED_SCHEMA), "repeat-shared")
     colliding = stored(_colliding(shared), "repeat-colliding")
-    pairs = stored(_pairs(colliding.where("unit != low")), "repeat-pairs")
+    pairs = stored(_pairs(colliding.where("near and unit != low")), "repeat-pairs")
     verified = _verified(pairs, _pair_texts(pairs, docs))
     links, runs = (verified.where(F.col("kind") == kind) for kind in (PARAGRAPH, EXCERPT))
-    links = _further_links(colliding, links, docs)
+    wide = stored(shared.select("id.doc_key", F.explode("wide").alias("w")).select(
+        _node("doc_key", "w.place").alias("node"), "w.marks").dropDuplicates(["node"]), "paragraph-marks")
+    links = _further_links(colliding, links, docs, wide)
     ids = shared.select("id.doc_id", "id.doc_key").distinct()
     spans = _paragraph_removals(links, ids).unionByName(runs.select("doc_key", "first", "end")).unionByName(
         _window_removals(colliding, runs, docs))

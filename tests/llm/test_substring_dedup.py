@@ -1,7 +1,9 @@
 import random
 
+import numpy as np
 from edge import edge_docs, edge_rows, empty_docs, words
 
+from logsmith.llm import substring_dedup as S
 from logsmith.llm.substring_dedup import MIN_WORDS, cut_words, remove_repeats
 
 
@@ -128,3 +130,29 @@ def test_near_paragraphs_whose_lowest_holder_is_unlike_them(spark, monkeypatch):
         assert sum(bool(t.strip()) for t in copies) <= 1
         pairs[n] = sum(seen)
     assert pairs[160] <= 6 * pairs[40]
+
+
+def test_marks_never_refuse_similar_paragraphs(spark):
+    rng = np.random.default_rng(5)
+    common = np.unique(rng.integers(1, 2 ** 63, 4000)).astype(np.uint64)
+    texts, rows = [], []
+    for n in (50, 80, 300, 1500):
+        base = common[:n]
+        for k in (0, 1, n // 60, n // 40, n // 25, n // 8, n):
+            other = base.copy()
+            other[rng.permutation(n)[:k]] = rng.integers(1, 2 ** 63, k).astype(np.uint64)
+            texts.append((base, other))
+    words = np.concatenate([w for pair in texts for w in pair])
+    bounds = np.cumsum([0, *(len(w) for pair in texts for w in pair)])
+    sizes, wide = S.shingle_marks(words, bounds[:-1], bounds[1:])
+    refused = {}
+    for name, bitmap in (("narrow", S.narrowed(wide)), ("wide", wide)):
+        width = bitmap.shape[1]
+        marks = [tuple(int(v) for v in (n, *b.astype(np.int64))) for n, b in zip(sizes, bitmap)]
+        df = spark.createDataFrame([(i, marks[2 * i], marks[2 * i + 1]) for i in range(len(texts))],
+                                   f"i int, x {S._marks_type(width)}, y {S._marks_type(width)}")
+        got = {r.i: r.ok for r in df.select("i", S.may_be_similar(df.x, df.y, width).alias("ok")).collect()}
+        assert all(got[i] for i, (a, b) in enumerate(texts) if S.similar(a, b))
+        refused[name] = sum(not ok for ok in got.values())
+    unlike = sum(not S.similar(a, b) for a, b in texts)
+    assert 0 < refused["narrow"] <= refused["wide"] <= unlike
