@@ -76,9 +76,36 @@ targets AS (
   UNION
   SELECT url, regexp_extract(tag, '(?is)\\burl\\s*=\\s*''?([^"''>\\s]+)', 1) AS target FROM tags
   WHERE regexp_matches(tag, '(?is)^<meta') AND regexp_matches(tag, '(?is)\\bhttp-equiv\\s*=\\s*["'']?refresh\\b')),
+split AS (
+  SELECT url, replace(target, '&amp;', '&') AS t, regexp_extract(url, '(?s)^([^#]*)', 1) AS page,
+         regexp_extract(url, '(?s)^([^#]*?://[^/?#]*)', 1) AS site,
+         regexp_extract(url, '(?s)^[^#]*?://[^/?#]*([^?#]*)', 1) AS page_path FROM targets WHERE target <> ''),
+placed AS (
+  SELECT url, t, page, site, page_path, CASE
+    WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN 'whole'
+    WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') OR site = '' THEN 'none'
+    WHEN starts_with(t, '//') THEN 'host' WHEN starts_with(t, '?') THEN 'query' WHEN starts_with(t, '#') THEN 'page'
+    ELSE 'path' END AS form,
+    CASE WHEN starts_with(t, '/') THEN '' WHEN page_path = '' THEN '/'
+         ELSE regexp_extract(page_path, '(?s)^(.*/)', 1) END || regexp_extract(t, '(?s)^([^?#]*)', 1) AS walk,
+    regexp_extract(t, '(?s)^[^?#]*(.*)', 1) AS rest FROM split),
+walked(url, t, walk, done) AS (
+  SELECT DISTINCT url, t, substr(walk, 2), '' FROM placed WHERE form = 'path'
+  UNION
+  SELECT url, t, CASE WHEN contains(walk, '/') THEN regexp_extract(walk, '(?s)^[^/]*/(.*)', 1) END,
+    CASE regexp_extract(walk, '(?s)^([^/]*)', 1)
+      WHEN '.' THEN CASE WHEN contains(walk, '/') OR done = '' THEN done ELSE done || '/' END
+      WHEN '..' THEN regexp_replace(done, '(?s)/[^/]*$', '') || CASE WHEN contains(walk, '/') OR NOT contains(substr(done, 2), '/') THEN '' ELSE '/' END
+      ELSE done || '/' || regexp_extract(walk, '(?s)^([^/]*)', 1) END
+  FROM walked WHERE walk IS NOT NULL),
 links AS (
-  SELECT DISTINCT {_address_sql('url')} AS a, {_address_sql("replace(target, '&amp;', '&')")} AS b
-  FROM targets WHERE contains(target, '://')),
+  SELECT DISTINCT {_address_sql('url')} AS a, {_address_sql('full_url')} AS b FROM (
+    SELECT placed.url, CASE form WHEN 'whole' THEN placed.t
+      WHEN 'host' THEN regexp_extract(site, '(?s)^(.*?:)//', 1) || placed.t
+      WHEN 'query' THEN site || page_path || placed.t WHEN 'page' THEN page
+      WHEN 'path' THEN site || CASE WHEN done = '' THEN '/' ELSE done END || rest END AS full_url
+    FROM placed LEFT JOIN walked ON placed.url = walked.url AND placed.t = walked.t AND walked.walk IS NULL)
+  WHERE full_url IS NOT NULL),
 edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach(a, b) AS (SELECT a, a FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
 aliases AS (

@@ -62,19 +62,55 @@ def _address(url: Column) -> Column:
     return F.concat(F.translate(head, _UPPER, _LOWER), F.substr(bare, F.length(head) + 1))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path that begins with ``/`` without its ``.`` and ``..`` segments."""
+    step = F.split(path, "/", -1)
+    last = F.element_at(step, -1)
+    kept = F.aggregate(F.slice(step, 2, F.size(step) - 1), F.array().cast("array<string>"), lambda done, x: F.when(
+        x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(x == ".", done).otherwise(
+        F.concat(done, F.array(x))))
+    # a path that ends in a dot segment names a folder
+    end = F.when(last.isin(".", "..") & (F.size(kept) > 0), "/").otherwise("")
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), end)
+
+
+def resolved(url: Column, target: Column) -> Column:
+    """The target of a link as seen from the page at ``url``; null where the page has no address.
+
+    A target is absolute (``scheme://``, or another scheme, which is no address and gives null),
+    or begins with ``//`` (the page's scheme), ``/`` (its host), ``?`` (its path) or ``#`` (the page), or is
+    relative to the page's folder.  Dot segments are resolved in relative targets alone.
+    """
+    page = F.regexp_extract(url, r"(?s)^([^#]*)", 1)
+    scheme = F.regexp_extract(page, r"(?s)^(.*?:)//", 1)
+    head = F.regexp_extract(page, r"(?s)^(.*?://[^/?]*)", 1)
+    path = F.regexp_extract(page, r"(?s)^.*?://[^/?]*([^?]*)", 1)
+    folder = F.when(path == "", "/").otherwise(F.regexp_extract(path, r"(?s)^(.*/)", 1))
+    own = F.regexp_extract(target, r"(?s)^([^?#]*)", 1)
+    rest = F.substr(target, F.length(own) + 1)
+    inside = (F.when(target.startswith("//"), F.concat(scheme, target))
+              .when(own.startswith("/"), F.concat(head, _without_dots(own), rest))
+              .when(target.startswith("?"), F.concat(head, path, target))
+              .when(own == "", F.concat(page, target))
+              .otherwise(F.concat(head, _without_dots(F.concat(folder, own)), rest)))
+    return (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+            .when(~target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") & (scheme != ""), inside))
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
     """(source, target) addresses of the redirects and canonical links that pages declare.
 
-    Only absolute targets count; a page may declare several.
+    Relative targets are resolved against the page; a page may declare several.
     """
     targets = F.array_distinct(F.concat(*[
         F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(p), 1) for p in (_REFRESH, _CANONICAL)]))
     # most pages declare nothing: a plain search for the words comes before the patterns
     declares = F.lower("html").contains("canonical") | F.lower("html").contains("refresh")
     return (pages.where(F.col("url").isNotNull() & declares)
-            .select(_address(F.col("url")).alias("source"), F.explode(targets).alias("target"))
-            .where(F.col("target").contains("://"))
-            .select("source", _address(F.regexp_replace("target", "&amp;", "&")).alias("target"))
+            .select("url", F.explode(targets).alias("target"))
+            .select("url", resolved(F.col("url"), F.regexp_replace("target", "&amp;", "&")).alias("target"))
+            .where(F.col("target").isNotNull())
+            .select(_address(F.col("url")).alias("source"), _address(F.col("target")).alias("target"))
             .where("source != target").distinct())
 
 

@@ -1,4 +1,7 @@
-from logsmith.llm.url_filter import judge_urls
+import duckdb
+
+from logsmith.llm.queries import URL_FILTER_SQL
+from logsmith.llm.url_filter import judge_urls, link_edges
 
 SCHEMA = "page_id long, url string, html string, node long, verdict string"
 
@@ -45,3 +48,29 @@ def test_empty_and_repeated(spark):
     assert judge_urls(spark.createDataFrame([], SCHEMA)).collect() == []
     df = spark.createDataFrame([(None, "http://a.net/", None, 1, "x")] * 3, SCHEMA)
     assert [r.verdict for r in judge_urls(df).collect()] == ["block"] * 3
+
+
+def test_relative_links(spark):
+    page = "http://A.com/x/y/p?q#f"
+    wanted = {"/r": "http://a.com/r", "//Bad.net/k": "http://bad.net/k", "n": "http://a.com/x/y/n", "../u?v=/../w": "http://a.com/x/u?v=/../w",
+              "./": "http://a.com/x/y/", "..": "http://a.com/x/", "../../../../t": "http://a.com/t", "?z": "http://a.com/x/y/p?z",
+              "https://b.com/../c": "https://b.com/../c", "/a/b/../..": "http://a.com/", "/a//b/./c#d": "http://a.com/a//b/c"}
+    rows = [(1, page, link(t), 1, "x") for t in [*wanted, "mailto:a@b.com", "#frag"]]
+    edges = {(r.source, r.target) for r in link_edges(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert edges == {("http://a.com/x/y/p?q", t) for t in wanted.values()}
+
+
+def test_relative_links_as_in_sql(spark):
+    targets = ["/r", "//bad.net/k", "n", "../u", "..", ".", "./", "/a/b/..", "../../../t", "?z", "#f", "mailto:x", "a/./b/../c?d=../e"]
+    rows = [(100 * i + j, f"http://h{i}.com{p}", link(t), 1, "x") for i, t in enumerate(targets) for j, p in enumerate(["", "/", "/x", "/x/y?q"])]
+    # one more page for each address that is a target, tied to a blocked one
+    ends = [r.target for r in link_edges(spark.createDataFrame(rows, SCHEMA)).collect()]
+    rows += [(10_000 + i, t, link("https://blocked.net/") if i % 2 else "", 1, "x") for i, t in enumerate(sorted(set(ends)))]
+    rows += [(20_000, "no address", link("/r"), 1, "x"), (20_001, None, link("/r"), 1, "x")]
+    got = sorted((r.page_id, r.host, r.path, r.rule or "", r.verdict) for r in judge_urls(spark.createDataFrame(rows, SCHEMA)).collect())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR, node BIGINT, verdict VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?, ?, ?)", rows)
+    want = con.execute(f"SELECT page_id, host, path, coalesce(rule, ''), verdict FROM ({URL_FILTER_SQL})").fetchall()
+    assert got == sorted(want)
+    assert {v for *_, v in got} == {"allow", "block"}
