@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from logsmith.llm import cross_polytope as C
 
@@ -25,11 +26,19 @@ def results(df):
 
 def test_rotation_keeps_lengths_and_axes():
     x = np.random.default_rng(0).normal(size=(50, 20))
-    signs = C.rotations(20, 1)[0]
-    assert np.allclose(np.linalg.norm(C.rotated(x, signs), axis=1), np.linalg.norm(x, axis=1))
-    y = np.array([[0.1, -0.9, 0.3], [0.5, 0.2, -0.4]])
-    assert C.nearest_axes(y, 1)[:, 0].tolist() == [3, 0]
-    assert C.nearest_axes(y, 3).tolist() == [[3, 4, 0], [0, 5, 2]]
+    signs = C.rotations(20, 2)
+    assert signs.shape == (C.TABLES, 2, C.ROUNDS, 32) and (signs[:, :1] == C.rotations(20, 1)).all()
+    assert np.allclose(np.linalg.norm(C.rotated(x, signs[0, 0]), axis=1), np.linalg.norm(x, axis=1))
+    axes, short = C.nearest_axes(x, signs), C.shortfalls(x, signs)
+    assert (np.take_along_axis(short, axes[..., None], 3) == 0).all() and (short >= 0).all()
+
+
+def test_probed_codes_are_all_within_reach():
+    short = np.random.default_rng(1).uniform(0, 1, size=(3, 6))
+    want = {a * 36 + b * 6 + c for a in range(6) for b in range(6) for c in range(6)
+            if short[0, a] + short[1, b] + short[2, c] <= 1.1}
+    assert set(C.probed_codes(short, 3, 1.1).tolist()) == want and want
+    assert C.depth(64, 500) == 1 and C.depth(64, 2000) == 2 and C.depth(64, 10**6) == 3
 
 
 def test_recall_on_the_table(spark):
@@ -69,3 +78,39 @@ def test_bad_vectors_take_no_part(spark):
     assert set(got) == {0, 20, 40}
     assert {i for f in got.values() for _, i, _ in f} <= {i for i, _ in good}
     assert C.nearest_neighbours(frame(spark, [])).collect() == []
+
+
+def recall(spark, vectors):
+    rows = [(i, v.astype(np.float32)) for i, v in enumerate(vectors)]
+    got = results(frame(spark, rows).repartition(4))
+    assert set(got) == {i for i, _ in rows if i % 20 == 0}
+    matrix = np.array([v.astype(float) for _, v in rows])
+    hits = 0
+    for q, found in got.items():
+        scores = matrix @ matrix[q]
+        scores[q] = -np.inf
+        n = min(C.TOP, len(rows) - 1)
+        assert len(found) == n                       # all candidates, if fewer
+        hits += len({i for _, i, _ in found} & set(np.argsort(-scores, kind="stable")[:n].tolist()))
+    return hits / sum(len(f) for f in got.values())
+
+
+@pytest.mark.parametrize("case", ["unit", "outlier", "lognormal", "hundred", "fifteen"])
+def test_recall_for_any_lengths_and_sizes(spark, case):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=({"hundred": 100, "fifteen": 15}.get(case, 3000), 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if case == "outlier":
+        x[77] *= 100
+    if case == "lognormal":
+        x *= np.exp(rng.normal(size=(len(x), 1)))
+    assert recall(spark, x) >= (1.0 if case == "fifteen" else 0.9)
+
+
+def test_extreme_lengths_and_repeated_ids(spark):
+    small, large = [1e-300, 2e-300, 0.0], [1e150, -1e150, 1e150]
+    schema = "vec_id long, embedding array<double>"
+    df = spark.createDataFrame([(0, small), (20, large), (1, [1.0, 1.0, 1.0]), (1, [1.0, 0.0, 0.0]), (2, [0.0, 0.0, 1.0])], schema)
+    got = results(df)
+    assert sorted(i for _, i, _ in got[0]) == [1, 1, 2, 20]
+    assert sorted(i for _, i, _ in got[20]) == [0, 1, 1, 2]
