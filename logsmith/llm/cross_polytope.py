@@ -16,9 +16,10 @@ all points, in blocks.
 Equal vectors are one point: a vector that a third of all rows share is hashed, compared and
 ranked once.  Buckets are handled together in slots of about BLOCK points; a crowded slot is
 split into blocks of points and queries over tasks, and nothing is cut off.  A bounded sample
-of points gives each query a score that its result reaches at least; candidates below it, or
-behind TOP + 1 others of their block, cannot be in the result and are not sent on, and a band
-whose longest vector cannot reach it is not probed.
+of points gives each query a score that its result reaches at least, and the candidates of the
+first table a higher one for the other tables, whose rank does not grow with the table.
+Candidates below it, or behind TOP + 1 others of their block, cannot be in the result and are
+not sent on, and a band whose longest vector cannot reach it is not probed.
 """
 
 from __future__ import annotations
@@ -177,7 +178,7 @@ def _hash_points(bands: dict):
     return run
 
 
-def _floor(q: np.ndarray, short: np.ndarray, sample: tuple, bands: dict) -> np.ndarray:
+def _floor(q: np.ndarray, margin: np.ndarray, short: np.ndarray, sample: tuple, bands: dict) -> np.ndarray:
     """A score for each query that TOP + 1 of its candidates reach, as far as the sample tells."""
     points, axes, band = sample
     if len(points) <= TOP:
@@ -190,7 +191,6 @@ def _floor(q: np.ndarray, short: np.ndarray, sample: tuple, bands: dict) -> np.n
             far = np.where(n > k, far + short[:, t, k][:, axes[:, t, k]], far)
         met |= far <= reach
     scores = np.where(met, q @ points.T, -np.inf)
-    margin = SLACK * np.linalg.norm(q, axis=1) * max(b[2] for b in bands.values())
     return np.partition(scores, -TOP - 1, axis=1)[:, -TOP - 1] - margin
 
 
@@ -205,7 +205,9 @@ def _probe(bands: dict, sample: dict):
                 rows = np.flatnonzero(dims == dim)
                 q = _matrix(batch, rows, int(dim))
                 short = shortfalls(q, signs[dim])
-                floor, own = _floor(q, short, sample[dim], bands[dim]), np.linalg.norm(q, axis=1)
+                own = np.linalg.norm(q, axis=1)
+                margin = SLACK * own * max(b[2] for b in bands[dim].values())
+                floor = _floor(q, margin, short, sample[dim], bands[dim])
                 for i, row in enumerate(rows):
                     out = []
                     for b, (n, slots, longest, reach) in bands[dim].items():
@@ -220,8 +222,9 @@ def _probe(bands: dict, sample: dict):
                         same = lambda x, kind: pa.array([x] * len(out), type=kind)
                         yield pa.RecordBatch.from_arrays(
                             [same(ids[row], pa.int64()), same(dim, pa.int32()), pa.array(band, pa.int32()), pa.array(tab, pa.int32()),
-                             pa.array(slot, pa.int32()), pa.array(codes, pa.list_(pa.int64())), same(floor[i], pa.float64())],
-                            names=["query", "dim", "band", "tab", "slot", "codes", "floor"])
+                             pa.array(slot, pa.int32()), pa.array(codes, pa.list_(pa.int64())), same(floor[i], pa.float64()),
+                             same(margin[i], pa.float64())],
+                            names=["query", "dim", "band", "tab", "slot", "codes", "floor", "margin"])
     return run
 
 
@@ -379,8 +382,15 @@ def nearest_neighbours(embeddings: DataFrame, query_step: int = QUERY_STEP) -> D
     hashed = stored(points.select("point", "dim", "band", "vec").mapInArrow(
         _hash_points(bands), "point long, dim int, band int, tab int, slot int, code long"), "ann-hashed")
     probed = stored(searched.select("point", "dim", "vec").mapInArrow(
-        _probe(bands, sample), "query long, dim int, band int, tab int, slot int, codes array<long>, floor double"), "ann-probed")
-    found = stored(_compare(hashed, probed, points, searched).distinct(), "ann-found")
+        _probe(bands, sample), "query long, dim int, band int, tab int, slot int, codes array<long>, floor double, margin double"), "ann-probed")
+    table = lambda df, first: df.where((F.col("tab") == 0) == first)
+    found = stored(_compare(table(hashed, True), table(probed, True), points, searched), "ann-first")
+    best = Window.partitionBy("query").orderBy(F.col("score").desc(), "first")
+    reached = (found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= TOP + 1)
+               .groupBy("query").agg(F.min("score").alias("reached"), F.max("n").alias("n")).where(F.col("n") == TOP + 1))
+    raised = stored(table(probed, False).join(reached.drop("n"), "query", "left").withColumn(
+        "floor", F.greatest("floor", F.col("reached") - F.col("margin"))), "ann-raised")
+    found = stored(found.unionByName(_compare(table(hashed, False), raised, points, searched)).distinct(), "ann-found")
 
     # queries that met too few points are compared with all of them: one bucket for each dim
     met = found.groupBy("query").agg(F.count(F.lit(1)).alias("met"))
@@ -393,7 +403,6 @@ def nearest_neighbours(embeddings: DataFrame, query_step: int = QUERY_STEP) -> D
                                         F.lit(float("-inf")).alias("floor")), points, searched)
         found = found.unionByName(whole).distinct()
 
-    best = Window.partitionBy("query").orderBy(F.col("score").desc(), "first")
     ranked = (found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= TOP + 1)
               .join(points.select("point", "ids"), "point")
               .groupBy("query").agg(F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct(
