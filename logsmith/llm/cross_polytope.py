@@ -3,8 +3,8 @@
 A hash is a fast pseudo-random rotation of a vector's direction, three rounds of random signs
 and a Hadamard transform, followed by the nearest signed axis: 2 * d buckets.  A table hashes
 with one or more rotations together, as many as leave at most BUCKETS buckets to a point, and
-there are TABLES tables.  Points are hashed in bands of length (half an octave each), as the
-largest inner products are not always the smallest angles.
+there are TABLES tables.  Points are hashed in bands of length (half an octave each, length 1 in
+the middle of one), as the largest inner products are not always the smallest angles.
 
 A query probes, in each table, every bucket whose signed axes fall short of the query's nearest
 ones by at most a reach (multiprobe by score).  Reaches are fitted, per band: the true
@@ -146,7 +146,7 @@ def valid_vectors(embeddings: DataFrame) -> DataFrame:
     return (embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), vec.alias("vec"))
             .where(F.col("vec_id").isNotNull() & F.col("vec").isNotNull()).where(finite)
             .withColumn("largest", largest).where(F.col("largest") > 0).withColumn("length", length)
-            .withColumn("band", F.floor(2 * F.log2("length")).cast("int")).withColumn("dim", F.size("vec")).drop("largest"))
+            .withColumn("band", F.floor(2 * F.log2("length") + 0.5).cast("int")).withColumn("dim", F.size("vec")).drop("largest"))
 
 
 def _matrix(batch: pa.RecordBatch, rows: np.ndarray, dim: int) -> np.ndarray:
