@@ -14,8 +14,8 @@ Units that collide in a value are first paired with the lowest one (doc_id, then
 passage in n documents costs n pairs.  Where that fails, a second round follows.  Paragraphs of
 one value in different components are paired with each other.  Marks, a bitmap of a paragraph's
 shingles and their number, bound the similarity of a pair from above: narrow ones travel with
-the values, wide ones are looked up for the pairs left.  Pairs whose bound is too low are never
-fetched.  For an excerpt whose lowest
+the values, wide ones with the paragraphs left for the second round.  Pairs whose bound is too low
+are never fetched.  For an excerpt whose lowest
 holder shares too little with another one, all holders give the MIN_WORDS-word windows around
 it, and a window's lowest holder keeps it: that is n rows for n holders, too.  Colliding paragraphs are
 verified by exact Jaccard similarity and grouped into connected components: the lowest of a
@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 from logsmith.llm.common import connected_components, merge_components, small_arrow_batches, stored, text_chars
 from logsmith.llm.sketches import holding, may_repeat, repeat_filter
 from logsmith.llm.words import mix, shingle_hashes, sliding, word_hashes, words_and_lines
+from logsmith.scratch import drop_scratch, scratch_mark
 
 MIN_WORDS = 50
 SHINGLE_WORDS = 5
@@ -45,8 +46,14 @@ BANDS, ROWS = 10, 3
 EXCERPT_WORDS = 20
 #: 64-bit words in the narrow and wide bitmaps of a paragraph's shingles.
 NARROW, WIDE = 4, 16
+#: Others that a paragraph left may have to meet, on average, in the last round, if that is the first
+#: round, and if near copies have come together before.
+LAST_ROUND, LAST_ROUND_LATER = 32, 512
 GAP = MIN_WORDS - EXCERPT_WORDS - SHINGLE_WORDS + 2  # so that a shared run of MIN_WORDS holds a shared excerpt
 
+#: Words compared in one step of the search for common runs.
+RUN_CELLS = 1 << 18
+
 EXCERPT, PARAGRAPH = 0, 1
 
 _rng = np.random.default_rng(75)
@@ -130,8 +137,8 @@ def may_be_similar(x: Column, y: Column, width: int) -> Column:
     def common(a: Column, b: Column) -> Column:
         lacking = [F.bit_count(a[f"m{i}"].bitwiseAND(F.bitwise_not(b[f"m{i}"]))) for i in range(width)]
         return a["n"] - sum(lacking[1:], lacking[0])
-    both = F.least(common(x, y), common(y, x))
-    return both >= SIMILARITY * (x["n"] + y["n"] - both)
+    least = SIMILARITY * (x["n"] + y["n"])  # with c in common: c >= SIMILARITY * (n + n' - c)
+    return ((1 + SIMILARITY) * common(x, y) >= least) & ((1 + SIMILARITY) * common(y, x) >= least)
 
 
 def _units(texts: list[str | None]):
@@ -226,50 +233,94 @@ def _further_links(colliding: DataFrame, links: DataFrame, docs: DataFrame, wide
     Values whose paragraphs are in different components go on in rounds: a few paragraphs of each
     value, four times as many in every round, meet all its paragraphs of other components and then
     leave the value.  Links join components on the way, so near copies of a paragraph come together
-    in the first rounds and are not paired with each other.  No pair is verified twice.  ``wide``:
-    (node, marks) of the paragraphs.
+    in the first rounds and are not paired with each other.  Once the paragraphs left would meet
+    few enough others on average (LAST_ROUND, LAST_ROUND_LATER), all meet in one last round.  No pair is verified
+    twice.  ``wide``: (node, marks) of the paragraphs.
     """
     ends = lambda rows: rows.select(_node("low_key", "low_first").alias("a"), _node("doc_key", "first").alias("b"))
     part = stored(connected_components(ends(links)), "paragraph-star-parts")
     units = (colliding.where((F.col("kind") == PARAGRAPH) & (F.col("unit") != F.col("low")))
              .withColumn("node", _node("unit.doc_key", "unit.place")).join(part, "node", "left")
-             .select("value", "unit", "marks", "node", F.coalesce("component", "node").alias("part")))
-    rows = _open(units)
-    if rows.isEmpty():
+             .select("value", "unit", "node", F.coalesce("component", "node").alias("part")))
+    rows, meetings = _open(units)
+    if not meetings:
         return links
+    # plain columns, not structs: generated code for the join below stays small enough to be compiled
+    fields = ["n", *(f"m{i}" for i in range(WIDE))]
+    wide = wide.join(rows.select("node"), "node", "left_semi").dropDuplicates(["node"]).select("node", "marks.*")
+    rows = stored(rows.join(wide, "node"), "paragraph-marked")
+    own = ["unit", "part", "node", *fields]
     met, width = None, 1
-    while not rows.isEmpty():
-        speakers = stored(rows.groupBy("value", F.pmod(F.xxhash64("node"), F.lit(width)).alias("no")).agg(
-            F.min(F.struct("unit", "part", "node", "marks")).alias("s")).select("value", "s"), "paragraph-speakers")
-        pairs = (rows.join(speakers, "value").where(F.col("part") != F.col("s.part"))
-                 .where(may_be_similar(F.col("marks"), F.col("s.marks"), NARROW))
-                 .select("value", F.lit(PARAGRAPH).alias("kind"), F.greatest("unit", "s.unit").alias("unit"),
-                         F.least("unit", "s.unit").alias("low"), F.least("node", "s.node").alias("a"),
-                         F.greatest("node", "s.node").alias("b")).dropDuplicates(["a", "b"]))
+    while meetings:
+        last = meetings <= (LAST_ROUND if met is None else LAST_ROUND_LATER) * rows.count()
+        speakers = rows
+        if not last:
+            speakers = stored(rows.groupBy("value", F.pmod(F.xxhash64("node"), F.lit(width)).alias("no")).agg(
+                F.min(F.struct(*own)).alias("s")).select("value", "s.*"), "paragraph-speakers")
+        met_by = speakers.select("value", *(F.col(c).alias(f"s_{c}") for c in own))
+        marks = F.struct(*fields), F.struct(*(F.col(f"s_{c}").alias(c) for c in fields))
+        pairs = (rows.join(met_by, "value").where(F.col("part") != F.col("s_part"))
+                 .where(F.col("node") < F.col("s_node") if last else F.lit(True)).where(may_be_similar(*marks, WIDE))
+                 .select(F.greatest("unit", "s_unit").alias("unit"), F.least("unit", "s_unit").alias("low"),
+                         F.least("node", "s_node").alias("a"), F.greatest("node", "s_node").alias("b"))
+                 .dropDuplicates(["a", "b"]))
         pairs = stored(pairs if met is None else pairs.join(met, ["a", "b"], "left_anti"), "paragraph-met")
         met = pairs.select("a", "b") if met is None else met.union(pairs.select("a", "b"))
-        rest = rows.join(speakers.select("value", "s.node"), ["value", "node"], "left_anti")
-        alike = (pairs.join(wide.select(F.col("node").alias("a"), F.col("marks").alias("x")), "a")
-                 .join(wide.select(F.col("node").alias("b"), F.col("marks").alias("y")), "b")
-                 .where(may_be_similar(F.col("x"), F.col("y"), WIDE)).select("value", "kind", "unit", "low"))
-        pairs = stored(alike, "paragraph-alike")
-        if not pairs.isEmpty():
-            by_document = stored(_pairs(pairs), "paragraph-pairs")
-            found = _verified(by_document, _pair_texts(by_document, docs))
-            links = links.unionByName(found)
-            part, renamed = merge_components(part, ends(found))
-            rest = (rest.join(renamed, rest["part"] == renamed["old"], "left")
-                    .select("value", "unit", "marks", "node", F.coalesce("new", "part").alias("part")))
-        rows = _open(rest.select("value", "unit", "marks", "node", "part"))
+        found = _similar_pairs(pairs, docs)
+        links = links.unionByName(found)
+        if last:
+            break
+        part, renamed = merge_components(part, ends(found))
+        rest = rows.join(speakers.select("value", "node"), ["value", "node"], "left_anti")
+        rest = (rest.join(renamed, rest["part"] == renamed["old"], "left")
+                .select("value", "unit", "node", F.coalesce("new", "part").alias("part"), *fields))
+        rows, meetings = _open(rest)
         width *= 4
     return links
 
 
-def _open(units: DataFrame) -> DataFrame:
-    """The rows (value, unit, marks, node, part) of values whose paragraphs are in more than one component."""
+def _open(units: DataFrame) -> tuple[DataFrame, int]:
+    """The rows (value, part, ...) of values whose paragraphs are in more than one component, and how
+    many pairs of them are in different ones."""
     units = stored(units, "paragraph-units")
-    several = units.groupBy("value").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a != b").select("value")
-    return stored(units.join(several, "value", "left_semi"), "paragraph-open")
+    several = stored(units.groupBy("value", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("value").agg(
+        ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).cast("long").alias("meetings"))
+        .where("meetings > 0"), "paragraph-several")
+    rows = stored(units.join(several.select("value"), "value", "left_semi"), "paragraph-open")
+    return rows, several.agg(F.sum("meetings")).first()[0] or 0
+
+
+def _shingle_sets(batches):
+    """(doc_key, places, text) -> (doc_key, first, end, grams): the lines at the places, and their shingles."""
+    for batch in batches:
+        keys, places = (batch.column(i).to_pylist() for i in range(2))
+        words, offsets, lines = words_and_lines(batch.column(2).to_pylist())
+        out = []
+        for i, key in enumerate(keys):
+            own = slice(offsets[i], offsets[i + 1])
+            for place in places[i]:
+                first, end = _lines_at(words[own], lines[own], place)
+                out.append((key, first, end, np.unique(shingle_hashes(words[own][first:end], SHINGLE_WORDS)).astype(np.int64)))
+        columns = zip(*out) if out else [[]] * 4
+        types = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["doc_key", "first", "end", "grams"])
+
+
+def _similar_pairs(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(unit, low, a, b) -> links of the pairs of paragraphs that are similar."""
+    units = pairs.select("unit.doc_key", "unit.place").union(pairs.select("low.doc_key", "low.place"))
+    places = stored(units.groupBy("doc_key").agg(F.collect_set("place").alias("places")), "paragraph-places")
+    grams = stored(places.join(_texts(docs, places.select(F.col("doc_key").alias("key"))), F.col("doc_key") == F.col("key"))
+                   .select("doc_key", "places", "text")
+                   .mapInArrow(_shingle_sets, "doc_key long, first int, end int, grams array<long>"), "paragraph-grams")
+    own = grams.select(F.col("doc_key").alias("k"), F.col("first").alias("f"), "end", F.col("grams").alias("x"))
+    low = grams.select(F.col("doc_key").alias("l"), F.col("first").alias("g"), F.col("end").alias("low_end"), F.col("grams").alias("y"))
+    both = F.size(F.array_intersect("x", "y"))
+    return stored(pairs.join(own, (F.col("unit.doc_key") == F.col("k")) & (F.col("unit.place") == F.col("f")))
+                  .join(low, (F.col("low.doc_key") == F.col("l")) & (F.col("low.place") == F.col("g")))
+                  .where(both >= SIMILARITY * (F.size("x") + F.size("y") - both))
+                  .select(F.lit(PARAGRAPH).alias("kind"), F.col("k").alias("doc_key"), F.col("f").alias("first"), "end",
+                          F.col("l").alias("low_key"), F.col("g").alias("low_first"), "low_end"), "paragraph-similar")
 
 
 def _node(key: str, first: str):
@@ -314,22 +365,33 @@ def _window_removals(colliding: DataFrame, runs: DataFrame, docs: DataFrame) ->
         "unit.doc_key", F.col("unit.place").alias("first"), (F.col("unit.place") + MIN_WORDS).alias("end"))
 
 
-def common_runs(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], same: bool = False) -> list[tuple[int, int]]:
-    """Maximal runs of ``a``, of MIN_WORDS words or more, equal to words of ``b`` at a seed's offset."""
-    runs = []
-    by_offset: dict[int, list[int]] = {}
-    for place, low in seeds:
-        by_offset.setdefault(low - place, []).append(place)
-    for offset, places in by_offset.items():
-        if same and offset >= 0:
-            continue
-        begin, end = max(0, -offset), min(len(a), len(b) - offset)
-        equal = np.concatenate(([0], (a[begin:end] == b[begin + offset:end + offset]).view(np.int8), [0]))
-        edge = np.diff(equal)
-        for s, e in zip(np.flatnonzero(edge == 1) + begin, np.flatnonzero(edge == -1) + begin):
-            if e - s >= MIN_WORDS and any(s <= p and p + EXCERPT_WORDS <= e for p in places):
-                runs.append((int(s), int(e)))
-    return runs
+def shared_runs(a: np.ndarray, b: np.ndarray, place: np.ndarray, low: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(first, end) of the different maximal runs of ``a``, of MIN_WORDS words or more, that equal words of
+    ``b`` at a seed's offset and hold the seed's excerpt.  Seeds: excerpts at ``place`` in a, ``low`` in b.
+
+    Offsets go together in steps of RUN_CELLS words.
+    """
+    offset = low - place
+    if same:
+        place, offset = place[offset < 0], offset[offset < 0]
+    offsets, which = np.unique(offset, return_inverse=True)
+    seeds = np.sort(which * (len(a) + 1) + place)
+    found = [np.empty((0, 2), np.int64)]
+    step = max(RUN_CELLS // max(len(a), 1), 1)
+    for at in range(0, len(offsets), step):
+        other = np.arange(len(a)) + offsets[at:at + step, None]
+        equal = np.zeros((len(other), len(a) + 2), np.int8)
+        equal[:, 1:-1] = (a == b[np.clip(other, 0, len(b) - 1)]) & (other >= 0) & (other < len(b))
+        edge = np.diff(equal, axis=1)
+        (row, first), (_, end) = np.nonzero(edge == 1), np.nonzero(edge == -1)
+        long = end - first >= MIN_WORDS
+        row, first, end = row[long] + at, first[long], end[long]
+        base = row * (len(a) + 1)
+        seed = np.append(seeds, np.iinfo(np.int64).max)[np.searchsorted(seeds, base + first)]
+        held = seed <= base + end - EXCERPT_WORDS
+        found.append(np.stack([first[held], end[held]], axis=1))
+    runs = np.unique(np.concatenate(found), axis=0)
+    return runs[:, 0], runs[:, 1]
 
 
 def _lines_at(words: np.ndarray, lines: np.ndarray, place: int) -> tuple[int, int]:
@@ -351,21 +413,30 @@ _VERIFIED = {"kind": pa.int32(), "doc_key": pa.int64(), "first": pa.int32(), "en
 def _verify(batches):
     """(doc_key, low_key, seeds, text, low_text) -> runs of excerpts and pairs of similar paragraphs."""
     for batch in batches:
-        keys, lows, seeds = (batch.column(i).to_pylist() for i in range(3))
-        words, offsets, lines = words_and_lines(batch.column(3).to_pylist() + batch.column(4).to_pylist())
-        n, out = len(keys), []
-        for i in range(n):
-            x, y = slice(offsets[i], offsets[i + 1]), slice(offsets[n + i], offsets[n + i + 1])
+        keys, lows = (batch.column(i).to_numpy() for i in range(2))
+        bounds, seeds = batch.column(2).offsets.to_numpy(), batch.column(2).values
+        kind, place, low = (seeds.field(c).to_numpy() for c in ("kind", "place", "low"))
+        # each text of the batch is hashed once
+        _, one, which = np.unique(np.concatenate([keys, lows]), return_index=True, return_inverse=True)
+        texts = pa.concat_arrays([batch.column(3), batch.column(4)]).take(pa.array(one)).to_pylist()
+        words, offsets, lines = words_and_lines(texts)
+        span = lambda j: slice(offsets[which[j]], offsets[which[j] + 1])
+        out = [np.empty((0, len(_VERIFIED)), np.int64)]
+        for i in range(len(keys)):
+            x, y = span(i), span(len(keys) + i)
             a, b = words[x], words[y]
-            runs = [(u["place"], u["low"]) for u in seeds[i] if u["kind"] == EXCERPT]
-            out += [(EXCERPT, keys[i], s, e, lows[i], 0, 0) for s, e in common_runs(a, b, runs, keys[i] == lows[i])]
-            for u in seeds[i]:
-                if u["kind"] == PARAGRAPH:
-                    (s, e), (t, f) = _lines_at(a, lines[x], u["place"]), _lines_at(b, lines[y], u["low"])
-                    if similar(a[s:e], b[t:f]):
-                        out.append((PARAGRAPH, keys[i], s, e, lows[i], t, f))
-        columns = zip(*out) if out else [[]] * len(_VERIFIED)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _VERIFIED.values())], names=list(_VERIFIED))
+            own = slice(bounds[i], bounds[i + 1])
+            excerpt = kind[own] == EXCERPT
+            first, end = shared_runs(a, b, place[own][excerpt].astype(np.int64), low[own][excerpt].astype(np.int64), keys[i] == lows[i])
+            rows = np.zeros((len(first), len(_VERIFIED)), np.int64)
+            rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3], rows[:, 4] = EXCERPT, keys[i], first, end, lows[i]
+            out.append(rows)
+            for p, q in zip(place[own][~excerpt].tolist(), low[own][~excerpt].tolist()):
+                (s, e), (t, f) = _lines_at(a, lines[x], p), _lines_at(b, lines[y], q)
+                if similar(a[s:e], b[t:f]):
+                    out.append(np.array([[PARAGRAPH, keys[i], s, e, lows[i], t, f]], np.int64))
+        columns = np.concatenate(out).T
+        yield pa.RecordBatch.from_arrays([pa.array(c, t, safe=False) for c, t in zip(columns, _VERIFIED.values())], names=list(_VERIFIED))
 
 
 def _paragraph_removals(links: DataFrame, ids: DataFrame) -> DataFrame:
@@ -408,7 +479,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     doc_key is xxhash64(doc_id, text).
     """
-    spark = docs.sparkSession
+    spark, mark = docs.sparkSession, scratch_mark()
     small_arrow_batches(spark)
     texts = docs.select("text")
     bits = spark.sparkContext.broadcast(repeat_filter(texts, _values, text_chars(texts) // 40))
@@ -419,14 +490,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     pairs = stored(_pairs(colliding.where("near and unit != low")), "repeat-pairs")
     verified = _verified(pairs, _pair_texts(pairs, docs))
     links, runs = (verified.where(F.col("kind") == kind) for kind in (PARAGRAPH, EXCERPT))
-    wide = stored(shared.select("id.doc_key", F.explode("wide").alias("w")).select(
-        _node("doc_key", "w.place").alias("node"), "w.marks").dropDuplicates(["node"]), "paragraph-marks")
+    wide = shared.select("id.doc_key", F.explode("wide").alias("w")).select(
+        _node("doc_key", "w.place").alias("node"), "w.marks")
     links = _further_links(colliding, links, docs, wide)
     ids = shared.select("id.doc_id", "id.doc_key").distinct()
     spans = _paragraph_removals(links, ids).unionByName(runs.select("doc_key", "first", "end")).unionByName(
         _window_removals(colliding, runs, docs))
-    return stored(spans.groupBy("doc_key").agg(F.array_sort(F.collect_set(F.struct("first", "end"))).alias("spans")),
-                  "repeat-spans")
+    spans = stored(spans.groupBy("doc_key").agg(F.array_sort(F.collect_set(F.struct("first", "end"))).alias("spans")),
+                   "repeat-spans")
+    drop_scratch(spark, spans, since=mark)
+    return spans
 
 
 def cut_words(text: str, spans: list[tuple[int, int]]) -> tuple[str, int]:

@@ -156,3 +156,53 @@ def test_marks_never_refuse_similar_paragraphs(spark):
         refused[name] = sum(not ok for ok in got.values())
     unlike = sum(not S.similar(a, b) for a, b in texts)
     assert 0 < refused["narrow"] <= refused["wide"] <= unlike
+
+
+def test_shared_runs_are_the_maximal_equal_runs_at_the_seeds_offsets(monkeypatch):
+    rng = np.random.default_rng(6)
+    for cells in (1, 500, S.RUN_CELLS):
+        monkeypatch.setattr(S, "RUN_CELLS", cells)
+        for same in (False, True):
+            b = np.concatenate([np.tile(rng.integers(0, 99, 7), 30), rng.integers(0, 99, 150), np.arange(60)]).astype(np.uint64)
+            a = b if same else np.concatenate([b[5:260], rng.integers(0, 99, 20).astype(np.uint64), b[300:]])
+            seeds = {(int(p), int(q)) for p, q in zip(rng.integers(0, len(a) - 20, 400), rng.integers(0, len(b) - 20, 400))
+                     if (a[p:p + 20] == b[q:q + 20]).all()} | {(0, 5), (len(a) - 60, len(b) - 60)}
+            expected = set()
+            for p, q in seeds:
+                if (a[p:p + 20] != b[q:q + 20]).any() or same and q >= p:
+                    continue
+                s, e = p, p
+                while s and q - p + s and a[s - 1] == b[s - 1 + q - p]:
+                    s -= 1
+                while e < len(a) and e + q - p < len(b) and a[e] == b[e + q - p]:
+                    e += 1
+                if e - s >= MIN_WORDS:
+                    expected.add((s, e))
+            place, low = (np.array(x, dtype=np.int64) for x in zip(*sorted(seeds)))
+            first, end = S.shared_runs(a, b, place, low, same)
+            assert sorted(expected) == list(zip(first.tolist(), end.tolist())) and expected
+
+
+def test_what_is_left_meets_in_one_round_and_leaves_one_scratch_table(spark, monkeypatch):
+    """Four unlike paragraphs that share values with many near ones: no round for each width, no scratch but the spans."""
+    from logsmith import scratch
+    rng = random.Random(21)
+    rows = []
+    for k in range(12):
+        base = words(rng, 120, 10**6)
+        middle = list(base)
+        middle[60] = "changed"                                            # J = 111 / 121 with the base
+        lows = [[w if j < 88 else words(rng, 1, 10**6)[0] for j, w in enumerate(base)] for _ in range(30)]
+        rows += [" ".join(t) for t in [*lows, base, middle]]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    seen, plain = [], S.stored
+
+    def counted(frame, name):
+        seen.append(name)
+        return plain(frame, name)
+    monkeypatch.setattr(S, "stored", counted)
+    before = len(scratch._tables)
+    got = {r.doc_id: r.removed_words for r in remove_repeats(df).collect()}
+    assert all(got[32 * k + 31] == 120 for k in range(12))
+    assert seen.count("paragraph-met") <= 2
+    assert [path.rsplit("/", 1)[1].startswith("repeat-spans") for _, path in scratch._tables[before:]] == [True]
