@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from logsmith.llm.common import small_arrow_batches, stored
 from logsmith.llm.sketches import holding
 from logsmith.llm.words import distinct_words_as_text, mix
+from logsmith.scratch import drop_scratch, scratch_mark
 
 ORDER = 5
 BEGIN, END = "\x02", "\x03"
@@ -88,7 +89,8 @@ def _discount(counts: DataFrame) -> list[float]:
 def train_ngram_model(texts: DataFrame) -> dict:
     """Sharded tables of the model: per order (gram, p), and (context, backoff); and the base
     probability of a symbol.  ``texts`` has a column text.  Counts cover all of it."""
-    small_arrow_batches(texts.sparkSession)
+    spark, mark = texts.sparkSession, scratch_mark()
+    small_arrow_batches(spark)
     raw = stored(texts.where("text IS NOT NULL").select("text").mapInArrow(_count_grams, "gram string, n long")
                  .groupBy("gram").agg(F.sum("n").alias("c")), "kn-raw")
     symbols = F.char_length("gram")
@@ -113,6 +115,7 @@ def train_ngram_model(texts: DataFrame) -> dict:
             lower = probabilities[k - 1].select(F.col("gram").alias("suffix"), F.col("p").alias("lower"))
             full = own.join(lower, "suffix").select("gram", (F.col("own") + F.col("backoff") * F.col("lower")).alias("p"))
         probabilities[k] = stored(full, f"kn-p-{k}")
+    drop_scratch(spark, *probabilities.values(), *backoffs.values(), since=mark)
     return {"p": probabilities, "backoff": backoffs, "base": base}
 
 
@@ -143,7 +146,8 @@ def train_word_model(texts: DataFrame) -> dict:
     ``counts`` has a row for each pair (key, c) and for each word (key, total, taken, follows): how
     often it is followed, how much of that its pairs' discounts take, and after how many different words it stands.
     """
-    small_arrow_batches(texts.sparkSession)
+    spark, mark = texts.sparkSession, scratch_mark()
+    small_arrow_batches(spark)
     pairs = stored(texts.where("text IS NOT NULL").select("text")
                    .mapInArrow(_count_pairs, "key long, before long, word long, n long")
                    .groupBy("key", "before", "word").agg(F.sum("n").alias("c")), "kn-pairs")
@@ -155,11 +159,13 @@ def train_word_model(texts: DataFrame) -> dict:
     sums = follows.agg(F.sum("c").alias("n"), F.sum(_cut(F.col("c"), of_words)).alias("taken")).first()
     words = after.join(follows.withColumnRenamed("c", "follows"), "key", "full")
     counts = stored(pairs.select("key", "c").unionByName(words, allowMissingColumns=True), "kn-word-counts")
+    drop_scratch(spark, counts, since=mark)
     return {"counts": counts, "of_pairs": of_pairs, "of_words": of_words, "n": sums["n"] or 0, "taken": sums["taken"] or 0.0}
 
 
 def gram_probabilities(grams: DataFrame, model: dict) -> DataFrame:
     """(gram, p) for distinct n-grams of any order up to ORDER, seen or not."""
+    mark = scratch_mark()
     symbols = F.char_length("gram")
     wanted = {ORDER: grams.where(symbols == ORDER)}
     for k in range(ORDER - 1, 0, -1):
@@ -176,6 +182,7 @@ def gram_probabilities(grams: DataFrame, model: dict) -> DataFrame:
             lower = F.col("lower")
         scored = stored(rows.select("gram", F.coalesce("seen", F.coalesce("backoff", F.lit(1.0)) * lower).alias("p")), f"kn-scored-{k}")
         out.append(scored)
+    drop_scratch(grams.sparkSession, *out, since=mark)
     result = out[0]
     for table in out[1:]:
         result = result.union(table)

@@ -135,3 +135,13 @@ def test_trusted_texts_are_scored_without_their_own_pairs(spark):
             logp += math.log(p)
         expected = math.exp(-logp / r.n_symbols)
         assert abs(r.perplexity - expected) < 1e-6 * expected
+
+
+def test_training_leaves_only_the_tables_of_the_models(spark):
+    from logsmith import scratch
+    texts = spark.createDataFrame([("ab abc ab ba",), ("ba ab cab",), (None,)], "text string")
+    before = len(scratch._tables)
+    model, words = K.train_ngram_model(texts), K.train_word_model(texts)
+    left = sorted(path.rsplit("/", 1)[1].rsplit("-", 1)[0] for _, path in scratch._tables[before:])
+    assert left == sorted([f"kn-{what}-{k}" for what in ("p", "backoff") for k in range(1, K.ORDER + 1)] + ["kn-word-counts"])
+    assert all(table.count() for table in [*model["p"].values(), *model["backoff"].values(), words["counts"]])
