@@ -46,9 +46,8 @@ BANDS, ROWS = 10, 3
 EXCERPT_WORDS = 20
 #: 64-bit words in the narrow and wide bitmaps of a paragraph's shingles.
 NARROW, WIDE = 4, 16
-#: Others that a paragraph left may have to meet, on average, in the last round, if that is the first
-#: round, and if near copies have come together before.
-LAST_ROUND, LAST_ROUND_LATER = 32, 512
+#: Others that a paragraph left may have to meet, on average, in the last round.
+LAST_ROUND = 32
 GAP = MIN_WORDS - EXCERPT_WORDS - SHINGLE_WORDS + 2  # so that a shared run of MIN_WORDS holds a shared excerpt
 
 #: Words compared in one step of the search for common runs.
@@ -234,7 +233,7 @@ def _further_links(colliding: DataFrame, links: DataFrame, docs: DataFrame, wide
     value, four times as many in every round, meet all its paragraphs of other components and then
     leave the value.  Links join components on the way, so near copies of a paragraph come together
     in the first rounds and are not paired with each other.  Once the paragraphs left would meet
-    few enough others on average (LAST_ROUND, LAST_ROUND_LATER), all meet in one last round.  No pair is verified
+    no more than LAST_ROUND others on average, all meet in one last round.  No pair is verified
     twice.  ``wide``: (node, marks) of the paragraphs.
     """
     ends = lambda rows: rows.select(_node("low_key", "low_first").alias("a"), _node("doc_key", "first").alias("b"))
@@ -252,7 +251,7 @@ def _further_links(colliding: DataFrame, links: DataFrame, docs: DataFrame, wide
     own = ["unit", "part", "node", *fields]
     met, width = None, 1
     while meetings:
-        last = meetings <= (LAST_ROUND if met is None else LAST_ROUND_LATER) * rows.count()
+        last = meetings <= LAST_ROUND * rows.count()
         speakers = rows
         if not last:
             speakers = stored(rows.groupBy("value", F.pmod(F.xxhash64("node"), F.lit(width)).alias("no")).agg(
