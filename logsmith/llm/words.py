@@ -169,16 +169,44 @@ def distinct_words(texts: list[str | None]):
     return out, new_starts, new_ends, inverse, np.searchsorted(starts, begins)
 
 
-def distinct_words_as_text(texts: list[str | None]):
-    """(words, hashes, inverse, offsets): distinct words of a batch as strings, case kept."""
+def _words_as_written(texts: list[str | None]):
     data, begins = _encoded(texts)
     space = _SPACE[data]
-    edge = np.diff(np.concatenate(([1], space.view(np.int8), [1])))
+    edge = np.diff(np.concatenate(([1], space.view(np.int8), [1])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    hashes, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    return data, starts, ends, span_hashes(data, starts, ends), np.searchsorted(starts, begins)
+
+
+def words_as_written(texts: list[str | None]):
+    """(hashes, offsets): hashes of all words of all texts, case kept, as in distinct_words_as_text."""
+    return _words_as_written(texts)[3:]
+
+
+def distinct_words_as_text(texts: list[str | None]):
+    """(words, hashes, inverse, offsets): distinct words of a batch as strings, case kept."""
+    data, starts, ends, each, offsets = _words_as_written(texts)
+    hashes, first, inverse = np.unique(each, return_index=True, return_inverse=True)
+    return _texts(data, starts[first], ends[first]), hashes, inverse, offsets
+
+
+def new_words_as_text(texts: list[str | None], known: np.ndarray):
+    """(words, hashes): distinct words that are not among the sorted ``known`` hashes."""
+    data, starts, ends, each, _ = _words_as_written(texts)
+    new = np.flatnonzero(~among(known, each))
+    hashes, first = np.unique(each[new], return_index=True)
+    return _texts(data, starts[new[first]], ends[new[first]]), hashes
+
+
+def _texts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str]:
     stream = data.tobytes()
-    words = [stream[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-    return words, hashes, inverse, np.searchsorted(starts, begins)
+    return [stream[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts.tolist(), ends.tolist())]
+
+
+def among(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each key is one of the sorted ``known`` ones."""
+    if not len(known):
+        return np.zeros(len(keys), bool)
+    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
 
 
 def words_and_lines(texts: list[str | None]):

@@ -145,3 +145,40 @@ def test_training_leaves_only_the_tables_of_the_models(spark):
     left = sorted(path.rsplit("/", 1)[1].rsplit("-", 1)[0] for _, path in scratch._tables[before:])
     assert left == sorted([f"kn-{what}-{k}" for what in ("p", "backoff") for k in range(1, K.ORDER + 1)] + ["kn-word-counts"])
     assert all(table.count() for table in [*model["p"].values(), *model["backoff"].values(), words["counts"]])
+
+
+def random_texts(seed, n, words):
+    rng = random.Random(seed)
+    return [" ".join("".join(rng.choice("abcdeé日") for _ in range(rng.randrange(1, 6))) for _ in range(words)) for _ in range(n)]
+
+
+def test_pairs_travel_packed(spark, monkeypatch):
+    rows, write = {}, K.stored
+
+    def counted(df, name):
+        table = write(df, name)
+        rows[name] = table.count()
+        return table
+    monkeypatch.setattr(K, "stored", counted)
+    docs = spark.createDataFrame([(i, "en", t) for i, t in enumerate(random_texts(6, 30, 200))], "doc_id long, lang string, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(12)], "doc_id long, quality int")
+    assert K.classify_quality(docs, labels).count() == 30
+    # 2,400 pairs of words are trusted; neither these nor words or their n-grams in documents have a row each
+    trained = {"kn-raw", *(f"kn-{what}-{k}" for what in ("p", "backoff") for k in range(1, K.ORDER + 1))}
+    assert max(n for name, n in rows.items() if name not in trained) < 100
+
+
+def test_many_blocks_of_files_give_the_rows_of_one(spark, tmp_path, monkeypatch):
+    rng = random.Random(2)
+    rows = [(i, rng.choice(["en", "fr", None]), t) for i, t in enumerate(random_texts(3, 300, 20))]
+    rows += [(0, "en", rows[5][2]), (None, "en", rows[7][2]), (301, "fr", ""), (302, "en", None), *rows[:9]]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(250)], "doc_id long, quality int")
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    key = lambda r: (str(r.doc_id), str(r.lang), r.n_symbols, r.keep, round(r.perplexity or 0, 8), round(r.threshold, 8))
+    one = sorted(map(key, K.classify_quality(docs, labels).collect()))
+    assert len(one) == len(rows)
+    for chars in (9_000, 400):  # a few units to a block; and units dealt out by hash
+        monkeypatch.setattr(K, "BLOCK_CHARS", chars)
+        assert K._in_blocks(docs.select("*", K._positions(docs).alias("at")))[0].select("block").distinct().count() > 2
+        assert sorted(map(key, K.classify_quality(docs, labels).collect())) == one
